@@ -1,15 +1,22 @@
 """Every operator as a named query over the given tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.operators import turns
-from usagelens.operators.adoption import user_ledger
-from usagelens.plans import recipes, views
-from usagelens.session import configure
+from usagelens import schemas
+from usagelens.functions.columns import engine_of, last_segment
+from usagelens.operators import definitions, directory, quality, reshape, turns
+from usagelens.operators.adoption import adoption_from_ledger, user_flags, user_ledger
+from usagelens.operators.dedup import without_repeats
+from usagelens.plans import questions, recipes, views
+from usagelens.session import configure, scratch_path
+from usagelens.sources import logs
 from usagelens.sources import sample_logs as sample
+from usagelens.sources.tables import Warehouse, load_with_bad_budget
+from usagelens.streaming import landing
 
 ACTIVITY_AS_OF = "2024-01-31"
 ORDERS_AS_OF = "2001-08-02"
@@ -99,3 +106,387 @@ def r3_agent_popularity(spark, d):
 @query
 def r5_engine_adoption(spark, d):
     return recipes.engine_adoption(sample.assistant_activity(spark, d))
+
+
+@query
+def r4_governance(spark, d):
+    return _plain_times(_attribution(spark, d))
+
+
+# ---- example queries on the views ---------------------------------------------
+@query
+def b1_adoption_latest(spark, d):
+    return recipes.latest_adoption(views.adoption_summary(_events(spark, d)))
+
+
+@query
+def b2_user_active_days(spark, d):
+    return recipes.user_active_days(user_flags(_events(spark, d), "activity_date"))
+
+
+@query
+def b3_leaderboard_by_name(spark, d):
+    return recipes.leaderboard_by_name(_leaderboard(spark, d))
+
+
+# ---- reshaping ------------------------------------------------------------------
+@query
+def t1_creators(spark, d):
+    return _plain_times(reshape.extract_creators(sample.creation_entries(spark, d)))
+
+
+@query
+def t2_audit_reshape(spark, d):
+    return _plain_times(reshape.reshape_audit(sample.audit_entries(spark, d)))
+
+
+@query
+def t3_activity_projection(spark, d):
+    return _plain_times(reshape.project_activity(sample.activity_entries(spark, d)))
+
+
+@query
+def t4_definitions(spark, d):
+    return definitions.flatten_definitions(sample.agent_definitions(spark, d))
+
+
+@query
+def t5_definitions_light(spark, d):
+    return definitions.flatten_definitions_light(sample.agent_definitions(spark, d))
+
+
+@query
+def t6_datastores(spark, d):
+    return definitions.attach_datastores(sample.engines(spark, d), sample.data_stores(spark, d))
+
+
+@query
+def t7_agent_listing(spark, d):
+    agents = sample.agent_definitions(spark, d).select("name")
+    listed = definitions.list_agents(sample.engines(spark, d), sample.assistants(spark, d), agents)
+    return listed.select(last_segment(F.col("name")).alias("agent_id"), "engine_id")
+
+
+@query
+def t8_name_harvest(spark, d):
+    return directory.harvest_names(sample.assistant_activity(spark, d)).drop("last_logged")
+
+
+@query
+def t11_normalized_events(spark, d):
+    return _events(spark, d)
+
+
+@query
+def t12_base_events(spark, d):
+    return _base_events(spark, d)
+
+
+# ---- directory upkeep -------------------------------------------------------------
+@query
+def m1_upsert(spark, d):
+    updates = definitions.flatten_definitions_light(sample.agent_definitions(spark, d))
+    return directory.upsert_definitions(sample.agent_directory(spark, d), updates)
+
+
+@query
+def m2_reconcile(spark, d):
+    names = directory.harvest_names(sample.assistant_activity(spark, d))
+    return directory.reconcile_names(sample.agent_directory(spark, d), names)
+
+
+@query
+def m3_replace(spark, d):
+    warehouse = _warehouse(spark, "replace")
+    warehouse.replace(sample.agent_directory(spark, d), "agent_directory")
+    stores = definitions.attach_datastores(sample.engines(spark, d), sample.data_stores(spark, d))
+    documents = sample.agent_definitions(spark, d).join(stores, "engine_name", "left")
+    warehouse.replace_if_any(definitions.flatten_definitions(documents), "agent_directory")
+    return warehouse.read("agent_directory")
+
+
+# ---- sources and sinks --------------------------------------------------------------
+def _warehouse(spark, label: str) -> Warehouse:
+    warehouse = Warehouse(spark, scratch_path(spark, label))
+    warehouse.ensure_tables()
+    return warehouse
+
+
+def _landed_json(spark, df: DataFrame, label: str) -> str:
+    path = scratch_path(spark, label)
+    df.write.json(path)
+    return path
+
+
+@query
+def s1_log_scan_lookback(spark, d):
+    path = _landed_json(spark, sample.creation_entries(spark, d), "creations")
+    return _plain_times(reshape.extract_creators(logs.read_creation_log(spark, path, ORDERS_AS_OF)))
+
+
+@query
+def s2_audit_scan(spark, d):
+    path = _landed_json(spark, sample.audit_entries(spark, d), "audit")
+    entries = logs.read_audit_log(spark, path, ACTIVITY_AS_OF, lookback_days=10)
+    return _plain_times(reshape.reshape_audit(entries).select("insertId", "timestamp", "protopayload_auditlog"))
+
+
+@query
+def s3_activity_scan(spark, d):
+    path = _landed_json(spark, sample.activity_entries(spark, d), "activity")
+    entries = logs.read_activity_log(spark, path, ACTIVITY_AS_OF, lookback_days=10)
+    return _plain_times(reshape.project_activity(entries).select("insertId", "timestamp", "jsonPayload"))
+
+
+@query
+def s6_bad_record_budget(spark, d):
+    entries = sample.activity_entries(spark, d)
+    line = F.to_json(F.struct(*entries.columns))
+    is_torn = F.bit_count(F.col("insertId").cast("bigint")) == 1
+    path = scratch_path(spark, "torn")
+    torn = F.when(is_torn, line.substr(F.lit(1), F.length(line) - 3)).otherwise(line)
+    entries.select(torn.alias("value")).write.text(path)
+    good, bad = load_with_bad_budget(spark, path, schemas.ACTIVITY_ENTRY)
+    return (
+        good.select(F.to_date("timestamp").alias("event_date"))
+        .unionByName(bad.select(F.lit(None).cast("date").alias("event_date")))
+        .groupBy("event_date")
+        .agg(F.count("*").alias("records"))
+    )
+
+
+@query
+def s8_inferred_updates(spark, d):
+    updates = definitions.flatten_definitions_light(sample.agent_definitions(spark, d))
+    return logs.read_directory_updates(spark, _landed_json(spark, updates, "updates"))
+
+
+@query
+def s9_metrics_append(spark, d):
+    path = _landed_json(spark, sample.session_metrics(spark, d), "metrics")
+    warehouse = _warehouse(spark, "metrics")
+    warehouse.append(logs.read_session_metrics(spark, path), "agent_session_metrics", "first")
+    # a repeated load replaces its own rows
+    warehouse.append(logs.read_session_metrics(spark, path), "agent_session_metrics", "first")
+    return warehouse.read("agent_session_metrics")
+
+
+@query
+def s12_sql_views(spark, d):
+    views.register_views(
+        {
+            "audit_access": sample.audit_access(spark, d),
+            "assistant_activity": sample.assistant_activity(spark, d),
+            "notebook_activity": sample.notebook_activity(spark, d),
+            "agent_directory": sample.agent_directory(spark, d),
+            "agent_creators": sample.agent_creators(spark, d),
+            "agent_session_metrics": sample.session_metrics(spark, d),
+        }
+    )
+    return spark.sql(
+        """
+        SELECT s.time_period, s.total_active_users, s.distinct_agents_used, u.chat_days
+        FROM vw_feature_adoption_summary s
+        JOIN (SELECT activity_date, count_if(used_chat) AS chat_days
+              FROM vw_user_feature_adoption GROUP BY activity_date) u
+          ON s.time_period = u.activity_date
+        """
+    )
+
+
+@query
+def s13_day_partitions(spark, d):
+    warehouse = _warehouse(spark, "days")
+    warehouse.append(sample.audit_access(spark, d), "audit_access", "first")
+    warehouse.append(sample.notebook_activity(spark, d), "notebook_activity", "first")
+    landed = warehouse.read("audit_access").filter(F.col("event_date") >= F.lit("2024-01-20").cast("date"))
+    return landed.groupBy("event_date").agg(F.count("*").alias("records"))
+
+
+@query
+def s14_engine_filter(spark, d):
+    engine = engine_of(F.col("agent_name"))
+    kept = logs.filter_engines(sample.session_metrics(spark, d), "engine-1, engine-3,,", engine)
+    return kept.groupBy(engine.alias("engine_id")).agg(
+        F.count("*").alias("metric_rows"), F.sum("agent_session_count").alias("total_sessions")
+    )
+
+
+# ---- questions ------------------------------------------------------------------------
+@query
+def n1_dau_trend(spark, d):
+    return questions.dau_trend(_events(spark, d), ACTIVITY_AS_OF, 14)
+
+
+@query
+def n2_adoption_weekly(spark, d):
+    return questions.adoption(_events(spark, d), "week")
+
+
+@query
+def n2_adoption_monthly(spark, d):
+    return questions.adoption(_events(spark, d), "month")
+
+
+@query
+def n3_power_users(spark, d):
+    return questions.power_users(_events(spark, d), ACTIVITY_AS_OF, 7)
+
+
+@query
+def n4_all_three_users(spark, d):
+    return questions.users_of(_events(spark, d), ("chat", "notebooklm", "agent"))
+
+
+@query
+def n5_feature_users(spark, d):
+    return questions.users_of(_events(spark, d), ("notebooklm",))
+
+
+@query
+def n6_exclusive_segments(spark, d):
+    return questions.exclusive_segments(_events(spark, d))
+
+
+@query
+def n7_creator_agents(spark, d):
+    return _plain_times(questions.creator_agents(_attribution(spark, d)))
+
+
+@query
+def n7_top_creators(spark, d):
+    return _plain_times(questions.top_creators(_attribution(spark, d), 10))
+
+
+@query
+def n8_agents_by_architecture(spark, d):
+    return questions.agents_by_architecture(sample.agent_directory(spark, d))
+
+
+@query
+def n9_agent_profile(spark, d):
+    return _plain_times(questions.agent_profile(_attribution(spark, d), "Customer#000000009"))
+
+
+@query
+def n10_recent_agents(spark, d):
+    return _plain_times(questions.recent_agents(_attribution(spark, d), ORDERS_AS_OF, 30))
+
+
+@query
+def n11_top_agents(spark, d):
+    return questions.top_agents(_leaderboard(spark, d), 5)
+
+
+@query
+def n12_idle_agents(spark, d):
+    turns_ = recipes.agent_turns(sample.assistant_activity(spark, d))
+    return questions.idle_agents(sample.agent_directory(spark, d), turns_, ACTIVITY_AS_OF, 30)
+
+
+@query
+def n13_distinct_agents_on_day(spark, d):
+    return questions.distinct_agents_on(_events(spark, d), "2024-01-30")
+
+
+@query
+def n14_engine_sessions(spark, d):
+    return questions.engine_sessions(_leaderboard(spark, d))
+
+
+@query
+def n14_busiest_engine(spark, d):
+    return questions.busiest_engine(recipes.engine_adoption(sample.assistant_activity(spark, d)))
+
+
+@query
+def n15_user_agent_history(spark, d):
+    return questions.user_agent_history(_events(spark, d), sample.agent_directory(spark, d))
+
+
+@query
+def n16_adoption_bars(spark, d):
+    return questions.adoption_bars(views.adoption_summary(_events(spark, d)))
+
+
+# ---- streams -----------------------------------------------------------------------------
+def _run_stream(spark, d, warehouse: Warehouse, after_batch=(), halves: int = 1) -> None:
+    """Land the entries in ``halves`` arrivals; every later one brings late rows for all days."""
+    arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "checkpoint")
+    entries = sample.stream_entries(spark, d)
+    for half in range(halves):
+        part = entries.filter(F.col("insertId").cast("bigint") % halves == half)
+        part.write.mode("append").json(arrivals)
+        stream = landing.read_entries(spark, arrivals)
+        landing.land_activity(
+            stream, warehouse, checkpoint, after_batch=after_batch, once=True
+        ).awaitTermination()
+
+
+@query
+def w1_stream_routing(spark, d):
+    warehouse = _warehouse(spark, "stream")
+    _run_stream(spark, d, warehouse)
+    return reduce(
+        DataFrame.unionByName,
+        [
+            warehouse.read(name).groupBy("event_date").agg(F.count("*").alias("records")).withColumn(
+                "landed_in", F.lit(name)
+            )
+            for name in schemas.LOG_TABLES
+        ],
+    )
+
+
+@query
+def w2_stream_creations(spark, d):
+    entries = sample.creation_entries(spark, d)
+    arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "checkpoint")
+    entries.write.json(arrivals)
+    warehouse = _warehouse(spark, "creations")
+    stream = landing.read_entries(spark, arrivals)
+    landing.land_creations(stream, warehouse, checkpoint, once=True).awaitTermination()
+    return _plain_times(warehouse.read("creation_events").drop("event_date"))
+
+
+@query
+def w3_incremental_adoption(spark, d):
+    warehouse = _warehouse(spark, "incremental")
+    _run_stream(spark, d, warehouse, after_batch=[landing.refresh_ledger], halves=2)
+    return adoption_from_ledger(warehouse.read("user_ledger"))
+
+
+@query
+def w4_dedup(spark, d):
+    rows = sample.assistant_activity(spark, d)
+    number = F.col("insertId").cast("bigint")
+    copies = rows.filter(number % 3 == 0).withColumn("jsonPayload", F.lit("{}"))
+    repeated = rows.unionByName(copies).withColumn("insertId", F.when(number % 10 != 1, F.col("insertId")))
+    return (
+        without_repeats(repeated, "jsonPayload")
+        .groupBy(F.to_date("timestamp").alias("event_date"))
+        .agg(F.count("*").alias("records"), F.count_if(F.col("jsonPayload") == "{}").alias("reduced"))
+    )
+
+
+@query
+def w5_stream_names(spark, d):
+    warehouse = _warehouse(spark, "names")
+    warehouse.replace(sample.agent_directory(spark, d), "agent_directory")
+    _run_stream(spark, d, warehouse, after_batch=[landing.refresh_names])
+    return warehouse.read("agent_directory")
+
+
+# ---- quality ------------------------------------------------------------------------------
+@query
+def x1_duplicate_agents(spark, d):
+    updates = definitions.flatten_definitions_light(sample.agent_definitions(spark, d))
+    both = sample.agent_directory(spark, d).unionByName(updates, allowMissingColumns=True)
+    return quality.duplicate_agents(both)
+
+
+@query
+def x3_view_recipe_diff(spark, d):
+    return quality.view_recipe_difference(
+        views.adoption_summary(_events(spark, d)), recipes.base_adoption(_base_events(spark, d), rows=None)
+    )

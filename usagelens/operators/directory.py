@@ -92,6 +92,13 @@ def reconcile_names(directory: DataFrame, harvested: DataFrame, on_conflict: str
     )
 
 
+def unresolved_names(directory: DataFrame, harvested: DataFrame) -> DataFrame:
+    """Harvested agents that ``reconcile_names`` would add or rename."""
+    unnamed = directory.filter(is_placeholder_name(F.col("display_name"))).select("agent_id")
+    added = harvested.join(directory.select("agent_id"), "agent_id", "left_anti")
+    return added.unionByName(harvested.join(unnamed, "agent_id", "left_semi"))
+
+
 def with_standard_type(directory: DataFrame, labels: Mapping[str, str] | None = None) -> DataFrame:
     """Add ``agent_type_norm``: one label for agents built in the visual designer."""
     labels = {C.TYPE_DESIGNER: C.TYPE_BUILDER} if labels is None else labels

@@ -1,5 +1,7 @@
 """Raw log entries -> rows of the log and creator tables."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,8 +10,8 @@ from usagelens import constants as C
 from usagelens.functions.columns import last_segment, non_empty
 
 
-def extract_creators(entries: DataFrame) -> DataFrame:
-    """Who created which agent, from creation audit entries."""
+def extract_creators(entries: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Who created which agent, from creation audit entries; ``keep`` passes more columns on."""
     payload = F.col("protoPayload")
     auth = payload["authenticationInfo"]
     subject = last_segment(F.regexp_replace(auth["principalSubject"], "^user:", ""))
@@ -27,6 +29,7 @@ def extract_creators(entries: DataFrame) -> DataFrame:
     engine = F.when(non_empty(after_engines).isNotNull(), F.substring_index(after_engines, "/", 1))
     return entries.select(
         "timestamp",
+        *keep,
         F.coalesce(
             auth["principalEmail"], non_empty(subject), F.lit(C.UNKNOWN_EMAIL)
         ).alias("creator_email"),

@@ -198,4 +198,355 @@ def statements() -> dict[str, str]:
         " min(day) AS first_active_date, max(day) AS last_active_date"
         " FROM ev WHERE event_type IN ('view', 'click') AND principal IS NOT NULL GROUP BY 1"
     )
+    sql.update(_view_examples())
+    sql.update(_reshaping())
+    sql.update(_upkeep())
+    sql.update(_sources())
+    sql.update(_questions())
+    sql.update(_streams())
+    sql.update(_checks())
     return sql
+
+
+def _view_examples() -> dict[str, str]:
+    return {
+        "r4_governance": _with(_DIRECTORY, _CREATORS) + "SELECT * FROM attribution",
+        "b1_adoption_latest": _SUMMARY
+        + "SELECT time_period, total_active_users, chat_users, chat_pct, notebooklm_users, notebooklm_pct,"
+        " agent_users, agent_pct, distinct_agents_used, chat_and_notebooklm_pct, chat_and_agents_pct,"
+        " notebooklm_and_agents_pct, all_three_pct FROM summary ORDER BY time_period DESC LIMIT 30",
+        "b2_user_active_days": _with(_EVENTS, _NORMALIZED, _LEDGER)
+        + "SELECT user_email, count(DISTINCT activity_date) AS total_active_days,"
+        " count(*) FILTER (WHERE used_chat) AS chat_active_days,"
+        " count(*) FILTER (WHERE used_notebooklm) AS notebooklm_active_days,"
+        " count(*) FILTER (WHERE used_agents) AS agent_active_days FROM ledger GROUP BY user_email",
+        "b3_leaderboard_by_name": _with(_DIRECTORY, _LEADERBOARD)
+        + "SELECT display_name, CAST(sum(total_sessions) AS BIGINT) AS total_sessions,"
+        " max(monthly_users) AS monthly_users FROM leaderboard GROUP BY display_name",
+    }
+
+
+# who created what, from the columns the sample entries are made of
+_CREATIONS = """
+creations AS (
+  SELECT o_orderkey, o_orderdate AS timestamp,
+    CASE WHEN o_orderkey % 3 <> 0 OR o_orderkey % 6 <> 0
+         THEN 'maker' || (o_custkey % 97) || '@example.com' ELSE 'unknown_email' END AS creator_email,
+    CASE WHEN o_orderkey % 7 <= 3 THEN CAST(o_custkey AS VARCHAR) ELSE 'unknown_id' END AS agent_id,
+    CASE WHEN o_orderkey % 7 <= 2 THEN 'engine-' || (o_custkey % 4)
+         WHEN o_orderkey % 7 = 3 THEN 'agents' ELSE 'default_engine' END AS engine_id,
+    CASE o_orderkey % 4 WHEN 0 THEN 'Request ' || o_custkey WHEN 1 THEN 'Response ' || o_custkey
+         ELSE 'Unknown Name' END AS display_name
+  FROM orders
+)"""
+
+_AUDIT_TEXT = """
+audit_text AS (
+  SELECT event_id, ts, day,
+    '{"serviceName":"discoveryengine.googleapis.com","methodName":"google.cloud.discoveryengine.v1.'
+    || CASE WHEN event_type = 'error' THEN 'NotebookService.GetNotebook' ELSE 'AssistantService.StreamAssist' END
+    || '","authenticationInfo":{' || coalesce('"principalEmail":"' || principal || '"', '') || '}' AS head,
+    CASE WHEN k % 3 <> 0 THEN
+      ',"requestJson":"{\\"@type\\":\\"type.example.com/Assist\\",\\"agent_info\\":{\\"core_assistant\\":'
+      || CASE WHEN k < 10 THEN 'true' ELSE 'false' END
+      || coalesce(',\\"agent\\":\\"' || agent || '\\"', '') || '}}"' ELSE '' END AS request,
+    CASE WHEN event_type = 'error' THEN ',"status":{"code":5,"message":"not found"}' ELSE '' END AS status,
+    ',"authorizationInfo":[{"permission":"run"}]' AS grants
+  FROM ev WHERE event_type IN ('error', 'signup')
+)"""
+
+_ACTIVITY_TEXT = """
+activity_text AS (
+  SELECT event_id, ts, day, '{' || concat_ws(',',
+      '"userIamPrincipal":"' || principal || '"',
+      '"request":{"agentsSpec":{"agentSpecs":[{"agentId":"' || agent || '"}]}}',
+      CASE WHEN resp IS NOT NULL OR spiffe_engine IS NOT NULL THEN
+        '"response":{"agentInfo":{' || concat_ws(',', '"agent":"' || resp || '"',
+          '"displayName":"' || resp_name || '"') || '}}' END) || '}' AS payload
+  FROM ev WHERE event_type IN ('view', 'click')
+)"""
+
+_DEFINITIONS = """
+docs AS (
+  SELECT *, c_mktsegment IN ('BUILDING', 'FURNITURE') AS low_code,
+    c_custkey % 2 = 0 AS even, c_custkey % 6 = 0 AS first_is_root,
+    CASE WHEN c_custkey % 19 = 3 THEN 'default_assistant' ELSE CAST(c_custkey AS VARCHAR) END AS agent_id,
+    CASE WHEN c_custkey % 3 <> 0 THEN 'Helper ' || c_custkey ELSE 'Sub-Agent' END AS first_label
+  FROM customer WHERE c_custkey % 17 <> 5
+),
+flattened AS (
+  SELECT agent_id,
+    CASE WHEN c_custkey % 10 < 7 THEN c_name WHEN c_custkey % 10 < 9 THEN 'Draft ' || c_name
+         ELSE 'Unknown' END AS display_name,
+    'engine-' || (c_custkey % 100) AS engine_id,
+    CASE c_custkey % 3 WHEN 0 THEN 'Agent for ' || c_mktsegment WHEN 1 THEN 'Draft for ' || c_mktsegment
+         ELSE '' END AS description,
+    CASE
+      WHEN low_code AND c_custkey % 4 <> 1 AND first_is_root THEN
+        'Help' || chr(10) || chr(10) || chr(10) || 'Sub-Agent Instructions:' || chr(10)
+        || concat_ws(chr(10), '[Root ' || c_custkey || '] You are ' || c_name,
+             CASE WHEN c_custkey % 5 <> 0 THEN '[Checker ' || c_custkey || '] Check' END)
+      WHEN low_code AND c_custkey % 4 <> 1 THEN
+        'You are ' || c_name || chr(10) || chr(10)
+        || CASE WHEN even OR c_custkey % 5 <> 0 THEN chr(10) || 'Sub-Agent Instructions:' || chr(10)
+             || concat_ws(chr(10), CASE WHEN even THEN '[' || first_label || '] Help' END,
+                  CASE WHEN c_custkey % 5 <> 0 THEN '[Checker ' || c_custkey || '] Check' END)
+           ELSE '' END
+      ELSE concat_ws(chr(10), CASE WHEN even THEN 'Rule for ' || c_name END, 'Be brief') END AS system_instructions,
+    CASE c_mktsegment WHEN 'MACHINERY' THEN 'ADK Agent' WHEN 'AUTOMOBILE' THEN 'Managed Agent'
+         WHEN 'HOUSEHOLD' THEN 'Unknown' ELSE 'Agent Builder (UI)' END AS agent_type,
+    CASE WHEN NOT low_code OR c_custkey % 4 = 1 THEN ''
+         WHEN first_is_root THEN 'Root ' || c_custkey || ', Checker ' || c_custkey
+         ELSE first_label || ', Checker ' || c_custkey END AS sub_agents
+  FROM docs
+),
+light AS (
+  SELECT agent_id, CASE WHEN c_custkey % 10 < 7 THEN c_name ELSE '' END AS display_name,
+    CASE c_mktsegment WHEN 'MACHINERY' THEN 'ADK Agent' WHEN 'AUTOMOBILE' THEN 'Managed Agent'
+         ELSE 'Agent Designer' END AS agent_type,
+    CASE WHEN c_custkey % 3 = 0 THEN 'Agent for ' || c_mktsegment ELSE '' END AS description,
+    CASE WHEN low_code AND (NOT even OR c_custkey % 4 = 0) THEN 'You are ' || c_name
+         ELSE '' END AS system_instructions
+  FROM docs WHERE agent_id <> 'default_assistant'
+)"""
+
+_STORES = f"""
+listed AS (
+  SELECT s_suppkey, p.pos, 'ds-' || CASE p.pos WHEN 1 THEN s_suppkey + 2 WHEN 2 THEN s_suppkey * 7
+    WHEN 3 THEN s_suppkey ELSE s_suppkey + 1 END AS id
+  FROM supplier CROSS JOIN (VALUES (1), (2), (3), (4)) AS p(pos)
+  WHERE s_suppkey % 6 <> 5 AND s_suppkey % 11 <> 0 AND p.pos <= s_suppkey % 5
+),
+known AS (SELECT 'ds-' || s_suppkey AS id, s_name FROM supplier WHERE s_suppkey % 5 <> 0),
+stores AS (
+  SELECT s.s_suppkey, '{_PREFIX}engines/engine-' || s.s_suppkey AS engine_name,
+    coalesce(string_agg(l.id, ',' ORDER BY l.pos), '') AS datastore_ids,
+    coalesce(string_agg(coalesce(n.s_name, l.id), ',' ORDER BY l.pos), '') AS datastore_names
+  FROM supplier s LEFT JOIN listed l ON s.s_suppkey = l.s_suppkey LEFT JOIN known n ON l.id = n.id
+  WHERE s.s_suppkey % 6 <> 5 GROUP BY 1, 2
+)"""
+
+_LOG = "ts AS timestamp, CAST(event_id AS VARCHAR) AS \"insertId\", 'INFO' AS severity"
+
+
+def _reshaping() -> dict[str, str]:
+    return {
+        "t1_creators": _with(_CREATIONS) + "SELECT * EXCLUDE (o_orderkey) FROM creations",
+        "t2_audit_reshape": _with(_EVENTS, _AUDIT_TEXT)
+        + f"SELECT {_LOG}, 'projects/p1/logs/cloudaudit.googleapis.com%2Fdata_access' AS \"logName\","
+        " head || request || status || grants || '}' AS protopayload_auditlog FROM audit_text",
+        "t3_activity_projection": _with(_EVENTS, _ACTIVITY_TEXT)
+        + f"SELECT {_LOG}, 'projects/p1/logs/discoveryengine.googleapis.com%2Fgemini_enterprise_user_activity'"
+        " AS \"logName\", payload AS \"jsonPayload\" FROM activity_text",
+        "t4_definitions": _with(_DEFINITIONS)
+        + "SELECT *, '' AS datastore_ids, '' AS datastore_names FROM flattened",
+        "t5_definitions_light": _with(_DEFINITIONS) + "SELECT * FROM light",
+        "t6_datastores": _with(_STORES) + "SELECT engine_name, datastore_ids, datastore_names FROM stores",
+        "t7_agent_listing": _with(_DEFINITIONS)
+        + "SELECT agent_id, 'engine-' || (c_custkey % 100) AS engine_id FROM docs"
+        " WHERE c_custkey % 100 IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 6 <> 5)",
+        "t8_name_harvest": _with(_EVENTS)
+        + "SELECT DISTINCT agent AS agent_id, resp_name AS display_name, 'Agent Designer' AS agent_type FROM ev"
+        f" WHERE event_type IN ('view', 'click') AND resp_name IS NOT NULL AND agent NOT IN {_SYSTEM}",
+        "t11_normalized_events": _with(_EVENTS, _NORMALIZED) + "SELECT * FROM norm",
+        "t12_base_events": _with(_EVENTS, _BASE) + "SELECT * FROM norm",
+    }
+
+
+_DIRECTORY_COLUMNS = (
+    "agent_id display_name engine_id description system_instructions datastore_ids datastore_names"
+    " agent_type sub_agents"
+).split()
+
+
+def _merged(source: str, columns: list[str], condition: str = "TRUE") -> str:
+    """Upsert of ``source`` into the directory as a full join."""
+    parts = ["coalesce(d.agent_id, s.agent_id) AS agent_id"]
+    for name in _DIRECTORY_COLUMNS[1:]:
+        if name in columns:
+            applies = f"s.agent_id IS NOT NULL AND (d.agent_id IS NULL OR {condition})"
+            parts.append(f"CASE WHEN {applies} THEN s.{name} ELSE d.{name} END AS {name}")
+        else:
+            parts.append(f"d.{name} AS {name}")
+    return f"SELECT {', '.join(parts)} FROM dir d FULL JOIN {source} s ON d.agent_id = s.agent_id"
+
+
+_LATEST = f"""
+latest AS (
+  SELECT agent AS agent_id, resp_name AS display_name, 'Agent Designer' AS agent_type FROM (
+    SELECT *, row_number() OVER (PARTITION BY agent ORDER BY ts DESC, resp_name DESC) AS place FROM ev
+    WHERE event_type IN ('view', 'click') AND resp_name IS NOT NULL AND agent NOT IN {_SYSTEM}
+  ) WHERE place = 1
+)"""
+_PLACEHOLDER = "(d.display_name IS NULL OR d.display_name IN ('', 'My Agent', 'Unknown Name'))"
+
+
+def _upkeep() -> dict[str, str]:
+    descriptive = ["display_name", "agent_type", "description", "system_instructions"]
+    return {
+        "m1_upsert": _with(_DIRECTORY, _DEFINITIONS) + _merged("light", descriptive),
+        "m2_reconcile": _with(_EVENTS, _DIRECTORY, _LATEST)
+        + _merged("latest", ["display_name", "agent_type"], _PLACEHOLDER),
+        "m3_replace": _with(_DEFINITIONS, _STORES)
+        + "SELECT f.*, coalesce(s.datastore_ids, '') AS datastore_ids,"
+        " coalesce(s.datastore_names, '') AS datastore_names"
+        " FROM flattened f LEFT JOIN stores s ON f.engine_id = 'engine-' || s.s_suppkey",
+    }
+
+
+def _sources() -> dict[str, str]:
+    return {
+        "s1_log_scan_lookback": _with(_CREATIONS)
+        + "SELECT * EXCLUDE (o_orderkey) FROM creations WHERE o_orderkey % 8 <> 0"
+        " AND timestamp >= DATE '2001-08-02' - INTERVAL 365 DAY AND timestamp < DATE '2001-08-03'",
+        "s2_audit_scan": _with(_EVENTS, _AUDIT_TEXT)
+        # the declared payload schema puts the grants first
+        + "SELECT ts AS timestamp, CAST(event_id AS VARCHAR) AS \"insertId\","
+        " head || grants || status || request || '}' AS protopayload_auditlog FROM audit_text"
+        " WHERE day >= DATE '2024-01-21'",
+        "s3_activity_scan": _with(_EVENTS, _ACTIVITY_TEXT)
+        + "SELECT ts AS timestamp, CAST(event_id AS VARCHAR) AS \"insertId\", payload AS \"jsonPayload\""
+        " FROM activity_text WHERE day >= DATE '2024-01-21'",
+        "s6_bad_record_budget": _with(_EVENTS)
+        + "SELECT CASE WHEN bit_count(event_id) <> 1 THEN day END AS event_date, count(*) AS records"
+        " FROM ev WHERE event_type IN ('view', 'click') GROUP BY 1",
+        "s8_inferred_updates": _with(_DEFINITIONS) + "SELECT * FROM light",
+        "s9_metrics_append": "SELECT CAST(o_orderdate AS DATE) AS date,"
+        f" CASE WHEN o_orderkey % 20 <> 0 THEN '{_PREFIX}engines/engine-' || (o_custkey % 4) || '/' ELSE '' END"
+        " || 'assistants/default_assistant/agents/' || o_custkey AS agent_name,"
+        " 1 + o_orderkey % 17 AS agent_session_count, o_orderkey % 50 AS monthly_agent_active_user_count"
+        " FROM orders",
+        "s12_sql_views": _SUMMARY
+        + "SELECT time_period, total_active_users, distinct_agents_used, chat_users AS chat_days FROM summary",
+        "s13_day_partitions": _with(_EVENTS)
+        + "SELECT day AS event_date, count(*) AS records FROM ev"
+        " WHERE event_type IN ('error', 'signup') AND day >= DATE '2024-01-20' GROUP BY 1",
+        "s14_engine_filter": "SELECT 'engine-' || (o_custkey % 4) AS engine_id, count(*) AS metric_rows,"
+        " CAST(sum(1 + o_orderkey % 17) AS BIGINT) AS total_sessions FROM orders"
+        " WHERE o_orderkey % 20 <> 0 AND o_custkey % 4 IN (1, 3) GROUP BY 1",
+    }
+
+
+def _questions() -> dict[str, str]:
+    ledger = _with(_EVENTS, _NORMALIZED, _LEDGER)
+    totals = (
+        "SELECT user_email, count(*) AS active_days, count(*) FILTER (WHERE used_chat) AS chat_days,"
+        " count(*) FILTER (WHERE used_notebooklm) AS notebooklm_days,"
+        " count(*) FILTER (WHERE used_agents) AS agent_days FROM ledger GROUP BY user_email"
+    )
+    attribution = _with(_DIRECTORY, _CREATORS)
+    leaderboard = _with(_DIRECTORY, _LEADERBOARD)
+    bars = ", ".join(
+        f"'[' || repeat('█', CAST(round({name}_pct * 20 / 100) AS INTEGER))"
+        f" || repeat('░', 20 - CAST(round({name}_pct * 20 / 100) AS INTEGER)) || '] ' || {name}_pct || '%'"
+        f" AS {name}_bar"
+        for name in ("chat", "notebooklm", "agent")
+    )
+    periods = {
+        grain: _with(_EVENTS, _NORMALIZED, _adoption(grain)) + "SELECT * FROM summary" for grain in ("week", "month")
+    }
+    return {
+        "n1_dau_trend": ledger
+        + "SELECT activity_date AS time_period, count(*) AS total_active_users FROM ledger"
+        " WHERE activity_date > DATE '2024-01-17' AND activity_date <= DATE '2024-01-31' GROUP BY 1",
+        "n2_adoption_weekly": periods["week"],
+        "n2_adoption_monthly": periods["month"],
+        "n3_power_users": ledger
+        + "SELECT count(*) AS active_users, count(*) FILTER (WHERE a AND n) AS power_users,"
+        " round(count(*) FILTER (WHERE a AND n) * CAST(100.0 AS DOUBLE) / count(*), 2) AS power_pct FROM ("
+        "SELECT user_email, bool_or(used_agents) AS a, bool_or(used_notebooklm) AS n FROM ledger"
+        " WHERE activity_date > DATE '2024-01-24' GROUP BY 1)",
+        "n4_all_three_users": ledger
+        + f"SELECT * FROM ({totals}) WHERE chat_days > 0 AND notebooklm_days > 0 AND agent_days > 0",
+        "n5_feature_users": ledger + f"SELECT * FROM ({totals}) WHERE notebooklm_days > 0",
+        "n6_exclusive_segments": ledger
+        + "SELECT CASE WHEN c AND n AND a THEN 'chat+notebooklm+agents' WHEN c AND n THEN 'chat+notebooklm'"
+        " WHEN c AND a THEN 'chat+agents' WHEN n AND a THEN 'notebooklm+agents' WHEN c THEN 'chat only'"
+        " WHEN n THEN 'notebooklm only' WHEN a THEN 'agents only' ELSE 'none' END AS segment,"
+        " count(*) AS users FROM (SELECT user_email, bool_or(used_chat) AS c, bool_or(used_notebooklm) AS n,"
+        " bool_or(used_agents) AS a FROM ledger GROUP BY 1) GROUP BY 1",
+        "n7_creator_agents": attribution
+        + "SELECT creator_email, agent_id, display_name, min(creation_time) AS first_created"
+        " FROM attribution GROUP BY 1, 2, 3",
+        "n7_top_creators": attribution
+        + "SELECT creator_email, count(DISTINCT agent_id) AS agents_created, count(*) AS creations,"
+        " max(creation_time) AS last_created FROM attribution GROUP BY 1"
+        " ORDER BY agents_created DESC, creations DESC, creator_email LIMIT 10",
+        "n8_agents_by_architecture": _with(_DIRECTORY)
+        + "SELECT CASE WHEN agent_type = 'Agent Designer' THEN 'Agent Builder (UI)' ELSE agent_type END"
+        " AS agent_type_norm, count(*) AS agents FROM dir GROUP BY 1",
+        "n9_agent_profile": attribution + "SELECT * FROM attribution WHERE display_name = 'Customer#000000009'",
+        "n10_recent_agents": attribution
+        + "SELECT * FROM attribution WHERE CAST(creation_time AS DATE) > DATE '2001-07-03'"
+        " AND CAST(creation_time AS DATE) <= DATE '2001-08-02'",
+        "n11_top_agents": leaderboard
+        + "SELECT * FROM leaderboard ORDER BY total_sessions DESC, monthly_users DESC, agent_id, engine_id LIMIT 5",
+        "n12_idle_agents": _with(_EVENTS, _DIRECTORY)
+        + "SELECT agent_id, coalesce(nullif(display_name, ''), agent_id) AS display_name, agent_type FROM dir"
+        " WHERE agent_id NOT IN (SELECT agent FROM ev WHERE event_type IN ('view', 'click')"
+        f" AND agent NOT IN {_SYSTEM} AND day > DATE '2024-01-01')",
+        "n13_distinct_agents_on_day": _with(_EVENTS, _NORMALIZED)
+        + "SELECT count(DISTINCT agent_id) AS distinct_agents_used FROM norm WHERE activity_date = DATE '2024-01-30'",
+        "n14_engine_sessions": leaderboard
+        + "SELECT engine_id, count(DISTINCT agent_id) AS agents, CAST(sum(total_sessions) AS BIGINT)"
+        " AS total_sessions, min(first_active_date) AS first_active_date, max(last_active_date)"
+        " AS last_active_date FROM leaderboard GROUP BY 1",
+        "n14_busiest_engine": _with(_EVENTS)
+        + "SELECT COALESCE(spiffe_engine, path_engine, 'default_engine') AS engine_id,"
+        " count(DISTINCT lower(principal)) AS total_active_users, count(*) AS total_turns,"
+        " min(day) AS first_active_date, max(day) AS last_active_date"
+        " FROM ev WHERE event_type IN ('view', 'click') AND principal IS NOT NULL GROUP BY 1"
+        " ORDER BY total_active_users DESC, engine_id LIMIT 1",
+        "n15_user_agent_history": _with(_EVENTS, _NORMALIZED, _DIRECTORY)
+        + "SELECT n.user_email, n.agent_id, COALESCE(NULLIF(d.display_name, ''), n.agent_id) AS display_name,"
+        " count(DISTINCT activity_date) AS active_days, min(activity_date) AS first_used,"
+        " max(activity_date) AS last_used FROM norm n LEFT JOIN dir d ON n.agent_id = d.agent_id"
+        " WHERE n.agent_id IS NOT NULL GROUP BY 1, 2, 3",
+        "n16_adoption_bars": _SUMMARY + f"SELECT time_period, {bars} FROM summary",
+    }
+
+
+def _streams() -> dict[str, str]:
+    routed = "routed AS (SELECT * FROM ev WHERE event_type NOT IN ('error', 'signup') OR event_id % 9 <> 0)"
+    from_routed = _NORMALIZED.replace("FROM ev ", "FROM routed ")
+    return {
+        "w1_stream_routing": _with(_EVENTS, routed)
+        + "SELECT day AS event_date, count(*) AS records, CASE WHEN event_type IN ('error', 'signup')"
+        " THEN 'audit_access' WHEN event_type = 'purchase' THEN 'notebook_activity'"
+        " ELSE 'assistant_activity' END AS landed_in FROM routed GROUP BY 1, 3",
+        "w2_stream_creations": _with(_CREATIONS)
+        + "SELECT c.timestamp, CASE WHEN engine_call THEN 'google.cloud.discoveryengine.v1.EngineService.CreateEngine'"
+        " ELSE 'google.cloud.discoveryengine.v1main.AgentService.CreateAgent' END AS method_name,"
+        " CASE WHEN o_orderkey % 7 = 3 THEN 'agents/' || agent_id END AS resource_name,"
+        " CASE WHEN NOT engine_call THEN creator_email END AS creator_email,"
+        " CASE WHEN NOT engine_call THEN agent_id END AS agent_id,"
+        " CASE WHEN NOT engine_call THEN engine_id END AS engine_id,"
+        " CASE WHEN NOT engine_call THEN display_name END AS display_name"
+        " FROM (SELECT *, o_orderkey % 8 = 0 AS engine_call FROM creations) c",
+        "w3_incremental_adoption": _with(_EVENTS, routed, from_routed, _adoption()) + "SELECT * FROM summary",
+        "w4_dedup": _with(_EVENTS)
+        + "SELECT day AS event_date,"
+        " count(*) + count(*) FILTER (WHERE event_id % 3 = 0 AND event_id % 10 = 1) AS records,"
+        " count(*) FILTER (WHERE event_id % 3 = 0 AND event_id % 10 = 1) AS reduced"
+        " FROM ev WHERE event_type IN ('view', 'click') GROUP BY 1",
+        "w5_stream_names": _with(_EVENTS, _DIRECTORY, _LATEST)
+        + _merged("latest", ["display_name", "agent_type"], _PLACEHOLDER),
+    }
+
+
+def _checks() -> dict[str, str]:
+    diffs = ", ".join(
+        f"coalesce(s.{name}, 0) - coalesce(b.{name}, 0) AS {name}_diff"
+        for name in ("total_active_users", "chat_users", "notebooklm_users", "agent_users")
+    )
+    base = _BASE.replace("norm AS (", "base_norm AS (")
+    base_ledger = _LEDGER.replace("ledger AS (", "base_ledger AS (").replace("FROM norm", "FROM base_norm")
+    return {
+        "x1_duplicate_agents": _with(_DIRECTORY, _DEFINITIONS)
+        + "SELECT agent_id, count(*) AS copies FROM (SELECT agent_id FROM dir UNION ALL SELECT agent_id FROM light)"
+        " GROUP BY 1 HAVING count(*) > 1",
+        "x3_view_recipe_diff": _with(_EVENTS, _NORMALIZED, _adoption(), base, base_ledger)
+        + f"SELECT coalesce(s.time_period, b.activity_date) AS activity_date, {diffs} FROM summary s FULL JOIN ("
+        f"SELECT activity_date, count(*) AS total_active_users, {_shares()} FROM base_ledger GROUP BY 1) b"
+        " ON s.time_period = b.activity_date",
+    }

@@ -8,11 +8,16 @@ def _struct(ddl: str) -> T.StructType:
 
 
 # ---- tables ---------------------------------------------------------------
-# Log payloads rest as JSON text; event_date is the landing partition.
+# Log payloads rest as JSON text; event_date and load_id are landing partitions.
 _LOG = "timestamp timestamp, logName string, insertId string, severity string"
-ASSISTANT_ACTIVITY = _struct(f"{_LOG}, jsonPayload string, event_date date")
+_LANDING = "event_date date, load_id string"
+ASSISTANT_ACTIVITY = _struct(f"{_LOG}, jsonPayload string, {_LANDING}")
 NOTEBOOK_ACTIVITY = ASSISTANT_ACTIVITY
-AUDIT_ACCESS = _struct(f"{_LOG}, protopayload_auditlog string, event_date date")
+AUDIT_ACCESS = _struct(f"{_LOG}, protopayload_auditlog string, {_LANDING}")
+# all log tables share one landing folder, so that a mixed batch is one write
+LANDED_LOG = _struct(
+    f"{_LOG}, jsonPayload string, protopayload_auditlog string, table string, {_LANDING}"
+)
 AGENT_DIRECTORY = _struct(
     "agent_id string, display_name string, engine_id string, description string,"
     " system_instructions string, datastore_ids string, datastore_names string,"
@@ -22,21 +27,41 @@ AGENT_CREATORS = _struct(
     "timestamp timestamp, creator_email string, agent_id string, engine_id string,"
     " display_name string"
 )
-SESSION_METRICS = _struct(
+_METRICS = (
     "date date, agent_name string, agent_session_count bigint,"
     " monthly_agent_active_user_count bigint"
 )
+SESSION_METRICS = _struct(_METRICS)
 DIRECTORY_UPDATE = _struct(
     "agent_id string, display_name string, agent_type string, description string,"
     " system_instructions string"
 )
 
-# table name -> (schema, partition columns)
+CREATION_EVENTS = _struct(
+    "timestamp timestamp, method_name string, resource_name string, creator_email string,"
+    " agent_id string, engine_id string, display_name string, event_date date, load_id string"
+)
+USER_LEDGER = _struct(
+    "user_email string, used_chat boolean, used_agents boolean, used_notebooklm boolean,"
+    " agent_ids_used array<string>, activity_date date"
+)
+
+LOG_TABLES = ("assistant_activity", "notebook_activity", "audit_access")
 APPEND_TABLES = {
-    "assistant_activity": (ASSISTANT_ACTIVITY, ["event_date"]),
-    "notebook_activity": (NOTEBOOK_ACTIVITY, ["event_date"]),
-    "audit_access": (AUDIT_ACCESS, ["event_date"]),
-    "agent_session_metrics": (SESSION_METRICS, []),
+    "assistant_activity": ASSISTANT_ACTIVITY,
+    "notebook_activity": NOTEBOOK_ACTIVITY,
+    "audit_access": AUDIT_ACCESS,
+    "agent_session_metrics": _struct(f"{_METRICS}, load_id string"),
+    "creation_events": CREATION_EVENTS,
+    "user_ledger": USER_LEDGER,
+}
+PARTITIONS = {
+    "assistant_activity": ["event_date", "load_id"],
+    "notebook_activity": ["event_date", "load_id"],
+    "audit_access": ["event_date", "load_id"],
+    "agent_session_metrics": ["load_id"],
+    "creation_events": ["event_date", "load_id"],
+    "user_ledger": ["activity_date"],
 }
 SNAPSHOT_TABLES = {
     "agent_directory": AGENT_DIRECTORY,

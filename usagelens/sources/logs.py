@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from usagelens import constants as C
 from usagelens import schemas
+from usagelens.sources.tables import align_schema
 
 
 def in_lookback(as_of: str, days: int = C.LOOKBACK_DAYS) -> Column:
@@ -104,3 +105,8 @@ def filter_engines(df: DataFrame, spec: str | None, engine: Column) -> DataFrame
     if not names or text.upper() in C.ALL_ENGINES:
         return df
     return df.filter(engine.isin(names))
+
+
+def read_directory_updates(spark: SparkSession, path: str) -> DataFrame:
+    """Directory updates from JSON lines of unknown shape: inferred, then aligned by name."""
+    return align_schema(read_json(spark, path, None), schemas.DIRECTORY_UPDATE)

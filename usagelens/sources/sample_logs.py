@@ -272,8 +272,8 @@ def audit_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("principal").alias("principalEmail"), F.lit("x").alias("@via")).alias(
             "authenticationInfo"
         ),
-        F.when(F.col("k") % 3 != 0, F.to_json(request)).alias("request"),
-        F.lit('{"ok":true}').alias("response"),
+        F.when(F.col("k") % 3 != 0, request).alias("request"),
+        F.struct(F.lit(True).alias("ok")).alias("response"),
         F.when(
             F.col("event_type") == "error",
             F.struct(

@@ -26,36 +26,76 @@ def align_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def write_if_any(df: DataFrame, write) -> bool:
+    """Call ``write(df)`` unless ``df`` is empty; tells whether it was called."""
+    if df.isEmpty():
+        return False
+    write(df)
+    return True
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """A folder of Parquet tables.
 
-    Logs and metrics grow by appends, logs in day partitions. The directory and the creators are
-    replaced as a whole: a new version is written to its own folder and becomes current by one row
-    in the pointer table, so readers never see a half-written table and the version being read is
-    never overwritten.
+    Logs and metrics grow by appends. Logs are partitioned by day and by the load or micro-batch
+    that wrote them, so that repeating a load or a batch overwrites its own files and nothing else.
+    The directory and the creators are replaced as a whole: a new version is written to its own
+    folder and becomes current by one row in the pointer table, so readers never see a half-written
+    table and the version being read is never overwritten.
     """
 
     spark: SparkSession
     root: str
 
     def path(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{table}"
+        root = self.root.rstrip("/")
+        return f"{root}/logs/table={table}" if table in schemas.LOG_TABLES else f"{root}/{table}"
 
     def ensure_tables(self) -> None:
         """Create what is missing; existing tables are left alone."""
-        for table, (schema, partitions) in schemas.APPEND_TABLES.items():
-            empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("ignore").partitionBy(*partitions).parquet(self.path(table))
-        pointers = self.spark.createDataFrame([], _POINTERS)
-        pointers.write.mode("ignore").parquet(self.path("snapshot_pointers"))
-
-    def append(self, df: DataFrame, table: str) -> None:
-        schema, partitions = schemas.APPEND_TABLES[table]
-        if partitions and "event_date" not in df.columns:
-            df = df.withColumn("event_date", F.to_date("timestamp"))
-        writer = align_schema(df, schema).write.mode("append")
-        writer.partitionBy(*partitions).parquet(self.path(table))
+        for table, schema in schemas.APPEND_TABLES.items():
+            self._create(table, schema, schemas.PARTITIONS.get(table, []))
+        self._create("snapshot_pointers", _POINTERS, [])
+
+    def _create(self, table: str, schema: T.StructType, partitions: list[str]) -> None:
+        empty = self.spark.createDataFrame([], schema)
+        empty.write.mode("ignore").partitionBy(*partitions).parquet(self.path(table))
+
+    def append(self, df: DataFrame, table: str, load_id: str) -> None:
+        """Add rows under a load id; a repeated load id replaces what it wrote on the same days."""
+        if table in schemas.LOG_TABLES:
+            self.append_logs(df.withColumn("table", F.lit(table)), load_id)
+            return
+        partitions = schemas.PARTITIONS[table]
+        rows = df.withColumn("load_id", F.lit(load_id))
+        if "event_date" in partitions:
+            rows = rows.withColumn("event_date", F.to_date("timestamp"))
+        self._overwrite_partitions(
+            align_schema(rows, schemas.APPEND_TABLES[table]), self.path(table), partitions
+        )
+
+    def append_logs(self, df: DataFrame, load_id: str) -> None:
+        """Add rows of several log tables, told apart by a ``table`` column, in one job."""
+        rows = df.withColumns({"load_id": F.lit(load_id), "event_date": F.to_date("timestamp")})
+        self._overwrite_partitions(
+            align_schema(rows, schemas.LANDED_LOG),
+            f"{self.root.rstrip('/')}/logs",
+            ["table", "event_date", "load_id"],
+        )
+
+    def overwrite_days(self, df: DataFrame, table: str) -> None:
+        """Replace the days that occur in ``df`` and keep the others."""
+        rows = align_schema(df, schemas.APPEND_TABLES[table])
+        self._overwrite_partitions(rows, self.path(table), schemas.PARTITIONS[table])
+
+    @staticmethod
+    def _overwrite_partitions(df: DataFrame, path: str, partitions: list[str]) -> None:
+        # Rows of one partition are brought together, or every task would write a file per day; the
+        # rebalance splits a partition that is too large for one task.
+        together = df.hint("rebalance", *partitions)
+        writer = together.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partitions).parquet(path)
 
     def replace(self, df: DataFrame, table: str) -> str:
         """Write a new version of a snapshot table and make it current."""
@@ -68,16 +108,13 @@ class Warehouse:
 
     def replace_if_any(self, df: DataFrame, table: str) -> bool:
         """Replace unless ``df`` is empty; then the table stays as it is."""
-        if df.isEmpty():
-            return False
-        self.replace(df, table)
-        return True
+        return write_if_any(df, lambda rows: self.replace(rows, table))
 
     def read(self, table: str) -> DataFrame:
         """Current content; columns added to the schema since a file was written read as NULL."""
         if table in schemas.APPEND_TABLES:
-            schema, _ = schemas.APPEND_TABLES[table]
-            return self.spark.read.schema(schema).parquet(self.path(table))
+            rows = self.spark.read.schema(schemas.APPEND_TABLES[table]).parquet(self.path(table))
+            return rows.drop("load_id")
         schema = schemas.SNAPSHOT_TABLES[table]
         pointers = self.spark.read.schema(_POINTERS).parquet(self.path("snapshot_pointers"))
         current = pointers.filter(F.col("table") == table).agg(F.max_by("path", "version")).first()[0]
@@ -85,6 +122,16 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(current)
 
+    def read_load(self, load_id: str) -> DataFrame:
+        """All log rows of one load, with their ``table`` and ``event_date``."""
+        logs = self.spark.read.schema(schemas.LANDED_LOG).parquet(f"{self.root.rstrip('/')}/logs")
+        return logs.filter(F.col("load_id") == load_id)
+
+    def read_all(self) -> dict[str, DataFrame]:
+        """Every base table by name."""
+        names = [*schemas.LOG_TABLES, "agent_session_metrics", *schemas.SNAPSHOT_TABLES]
+        return {name: self.read(name) for name in names}
+
 
 class TooManyBadRecords(RuntimeError):
     """A load met more malformed records than it may skip."""
