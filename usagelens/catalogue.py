@@ -14,12 +14,13 @@ from usagelens.operators.dedup import without_repeats
 from usagelens.plans import questions, recipes, views
 from usagelens.session import configure, scratch_path
 from usagelens.sources import logs
-from usagelens.sources import sample_logs as sample
+from usagelens.sources.sample_logs import SampleLogs
 from usagelens.sources.tables import Warehouse, load_with_bad_budget
 from usagelens.streaming import landing
 
 ACTIVITY_AS_OF = "2024-01-31"
 ORDERS_AS_OF = "2001-08-02"
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,7 +29,7 @@ def query(function):
     """Register a query under its function name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(configure(spark), sf_dir)
+        return function(SampleLogs(configure(spark), sf_dir))
 
     _QUERIES[function.__name__] = run
     return run
@@ -38,22 +39,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
 
-def _events(spark, d):
+def _events(s):
     return turns.normalize_events(
-        sample.audit_access(spark, d), sample.assistant_activity(spark, d), sample.notebook_activity(spark, d)
+        s.audit_access, s.assistant_activity, s.notebook_activity
     )
 
 
-def _base_events(spark, d):
-    return turns.normalize_base_events(sample.assistant_activity(spark, d), sample.notebook_activity(spark, d))
+def _base_events(s):
+    return turns.normalize_base_events(s.assistant_activity, s.notebook_activity)
 
 
-def _leaderboard(spark, d):
-    return views.agent_leaderboard(sample.session_metrics(spark, d), sample.agent_directory(spark, d))
+def _leaderboard(s):
+    return views.agent_leaderboard(s.session_metrics, s.agent_directory)
 
 
-def _attribution(spark, d):
-    return views.creator_attribution(sample.agent_creators(spark, d), sample.agent_directory(spark, d))
+def _attribution(s):
+    return views.creator_attribution(s.agent_creators, s.agent_directory)
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
@@ -68,185 +69,186 @@ def _plain_times(df: DataFrame) -> DataFrame:
 
 # ---- views ------------------------------------------------------------------
 @query
-def v1_agent_leaderboard(spark, d):
-    return _leaderboard(spark, d)
+def v1_agent_leaderboard(s):
+    return _leaderboard(s)
 
 
 @query
-def v2_user_ledger(spark, d):
-    return user_ledger(_events(spark, d)).withColumn("agent_ids_used", F.array_join("agent_ids_used", ","))
+def v2_user_ledger(s):
+    return user_ledger(_events(s)).withColumn("agent_ids_used", F.array_join("agent_ids_used", ","))
 
 
 @query
-def v3_adoption_summary(spark, d):
-    return views.adoption_summary(_events(spark, d))
+def v3_adoption_summary(s):
+    return views.adoption_summary(_events(s))
 
 
 @query
-def v4_creator_attribution(spark, d):
-    return _plain_times(_attribution(spark, d))
+def v4_creator_attribution(s):
+    return _plain_times(_attribution(s))
 
 
 # ---- recipes ------------------------------------------------------------------
 @query
-def r1_adoption_base(spark, d):
-    return recipes.base_adoption(_base_events(spark, d))
+def r1_adoption_base(s):
+    return recipes.base_adoption(_base_events(s))
 
 
 @query
-def r2_user_engagement(spark, d):
-    return recipes.user_engagement(_base_events(spark, d))
+def r2_user_engagement(s):
+    return recipes.user_engagement(_base_events(s))
 
 
 @query
-def r3_agent_popularity(spark, d):
-    return recipes.agent_popularity(sample.assistant_activity(spark, d), sample.agent_directory(spark, d))
+def r3_agent_popularity(s):
+    return recipes.agent_popularity(s.assistant_activity, s.agent_directory)
 
 
 @query
-def r5_engine_adoption(spark, d):
-    return recipes.engine_adoption(sample.assistant_activity(spark, d))
+def r5_engine_adoption(s):
+    return recipes.engine_adoption(s.assistant_activity)
 
 
 @query
-def r4_governance(spark, d):
-    return _plain_times(_attribution(spark, d))
+def r4_governance(s):
+    return _plain_times(_attribution(s))
 
 
 # ---- example queries on the views ---------------------------------------------
 @query
-def b1_adoption_latest(spark, d):
-    return recipes.latest_adoption(views.adoption_summary(_events(spark, d)))
+def b1_adoption_latest(s):
+    return recipes.latest_adoption(views.adoption_summary(_events(s)))
 
 
 @query
-def b2_user_active_days(spark, d):
-    return recipes.user_active_days(user_flags(_events(spark, d), "activity_date"))
+def b2_user_active_days(s):
+    return recipes.user_active_days(user_flags(_events(s), "activity_date"))
 
 
 @query
-def b3_leaderboard_by_name(spark, d):
-    return recipes.leaderboard_by_name(_leaderboard(spark, d))
+def b3_leaderboard_by_name(s):
+    return recipes.leaderboard_by_name(_leaderboard(s))
 
 
 # ---- reshaping ------------------------------------------------------------------
 @query
-def t1_creators(spark, d):
-    return _plain_times(reshape.extract_creators(sample.creation_entries(spark, d)))
+def t1_creators(s):
+    return _plain_times(reshape.extract_creators(s.creation_entries))
 
 
 @query
-def t2_audit_reshape(spark, d):
-    return _plain_times(reshape.reshape_audit(sample.audit_entries(spark, d)))
+def t2_audit_reshape(s):
+    return _plain_times(reshape.reshape_audit(s.audit_entries))
 
 
 @query
-def t3_activity_projection(spark, d):
-    return _plain_times(reshape.project_activity(sample.activity_entries(spark, d)))
+def t3_activity_projection(s):
+    return _plain_times(reshape.project_activity(s.activity_entries))
 
 
 @query
-def t4_definitions(spark, d):
-    return definitions.flatten_definitions(sample.agent_definitions(spark, d))
+def t4_definitions(s):
+    return definitions.flatten_definitions(s.agent_definitions)
 
 
 @query
-def t5_definitions_light(spark, d):
-    return definitions.flatten_definitions_light(sample.agent_definitions(spark, d))
+def t5_definitions_light(s):
+    return definitions.flatten_definitions_light(s.agent_definitions)
 
 
 @query
-def t6_datastores(spark, d):
-    return definitions.attach_datastores(sample.engines(spark, d), sample.data_stores(spark, d))
+def t6_datastores(s):
+    return definitions.attach_datastores(s.engines, s.data_stores)
 
 
 @query
-def t7_agent_listing(spark, d):
-    agents = sample.agent_definitions(spark, d).select("name")
-    listed = definitions.list_agents(sample.engines(spark, d), sample.assistants(spark, d), agents)
+def t7_agent_listing(s):
+    agents = s.agent_definitions.select("name")
+    listed = definitions.list_agents(s.engines, s.assistants, agents)
     return listed.select(last_segment(F.col("name")).alias("agent_id"), "engine_id")
 
 
 @query
-def t8_name_harvest(spark, d):
-    return directory.harvest_names(sample.assistant_activity(spark, d)).drop("last_logged")
+def t8_name_harvest(s):
+    return directory.harvest_names(s.assistant_activity).drop("last_logged")
 
 
 @query
-def t11_normalized_events(spark, d):
-    return _events(spark, d)
+def t11_normalized_events(s):
+    return _events(s)
 
 
 @query
-def t12_base_events(spark, d):
-    return _base_events(spark, d)
+def t12_base_events(s):
+    return _base_events(s)
 
 
 # ---- directory upkeep -------------------------------------------------------------
 @query
-def m1_upsert(spark, d):
-    updates = definitions.flatten_definitions_light(sample.agent_definitions(spark, d))
-    return directory.upsert_definitions(sample.agent_directory(spark, d), updates)
+def m1_upsert(s):
+    updates = definitions.flatten_definitions_light(s.agent_definitions)
+    return directory.upsert_definitions(s.agent_directory, updates)
 
 
 @query
-def m2_reconcile(spark, d):
-    names = directory.harvest_names(sample.assistant_activity(spark, d))
-    return directory.reconcile_names(sample.agent_directory(spark, d), names)
+def m2_reconcile(s):
+    names = directory.harvest_names(s.assistant_activity)
+    return directory.reconcile_names(s.agent_directory, names)
 
 
 @query
-def m3_replace(spark, d):
-    warehouse = _warehouse(spark, "replace")
-    warehouse.replace(sample.agent_directory(spark, d), "agent_directory")
-    stores = definitions.attach_datastores(sample.engines(spark, d), sample.data_stores(spark, d))
-    documents = sample.agent_definitions(spark, d).join(stores, "engine_name", "left")
+def m3_replace(s):
+    warehouse = _warehouse(s.spark, "replace")
+    warehouse.replace(s.agent_directory, "agent_directory")
+    stores = definitions.attach_datastores(s.engines, s.data_stores)
+    documents = s.agent_definitions.join(stores, "engine_name", "left")
     warehouse.replace_if_any(definitions.flatten_definitions(documents), "agent_directory")
     return warehouse.read("agent_directory")
 
 
 # ---- sources and sinks --------------------------------------------------------------
-def _warehouse(spark, label: str) -> Warehouse:
+def _warehouse(spark, label: str, *tables: str) -> Warehouse:
     warehouse = Warehouse(spark, scratch_path(spark, label))
-    warehouse.ensure_tables()
+    if tables:
+        warehouse.ensure_tables(*tables)
     return warehouse
 
 
 def _landed_json(spark, df: DataFrame, label: str) -> str:
     path = scratch_path(spark, label)
-    df.write.json(path)
+    df.write.option("timestampFormat", MICROS).json(path)
     return path
 
 
 @query
-def s1_log_scan_lookback(spark, d):
-    path = _landed_json(spark, sample.creation_entries(spark, d), "creations")
-    return _plain_times(reshape.extract_creators(logs.read_creation_log(spark, path, ORDERS_AS_OF)))
+def s1_log_scan_lookback(s):
+    path = _landed_json(s.spark, s.creation_entries, "creations")
+    return _plain_times(reshape.extract_creators(logs.read_creation_log(s.spark, path, ORDERS_AS_OF)))
 
 
 @query
-def s2_audit_scan(spark, d):
-    path = _landed_json(spark, sample.audit_entries(spark, d), "audit")
-    entries = logs.read_audit_log(spark, path, ACTIVITY_AS_OF, lookback_days=10)
+def s2_audit_scan(s):
+    path = _landed_json(s.spark, s.audit_entries, "audit")
+    entries = logs.read_audit_log(s.spark, path, ACTIVITY_AS_OF, lookback_days=10)
     return _plain_times(reshape.reshape_audit(entries).select("insertId", "timestamp", "protopayload_auditlog"))
 
 
 @query
-def s3_activity_scan(spark, d):
-    path = _landed_json(spark, sample.activity_entries(spark, d), "activity")
-    entries = logs.read_activity_log(spark, path, ACTIVITY_AS_OF, lookback_days=10)
+def s3_activity_scan(s):
+    path = _landed_json(s.spark, s.activity_entries, "activity")
+    entries = logs.read_activity_log(s.spark, path, ACTIVITY_AS_OF, lookback_days=10)
     return _plain_times(reshape.project_activity(entries).select("insertId", "timestamp", "jsonPayload"))
 
 
 @query
-def s6_bad_record_budget(spark, d):
-    entries = sample.activity_entries(spark, d)
+def s6_bad_record_budget(s):
+    entries = s.activity_entries
     line = F.to_json(F.struct(*entries.columns))
     is_torn = F.bit_count(F.col("insertId").cast("bigint")) == 1
-    path = scratch_path(spark, "torn")
+    path = scratch_path(s.spark, "torn")
     torn = F.when(is_torn, line.substr(F.lit(1), F.length(line) - 3)).otherwise(line)
     entries.select(torn.alias("value")).write.text(path)
-    good, bad = load_with_bad_budget(spark, path, schemas.ACTIVITY_ENTRY)
+    good, bad = load_with_bad_budget(s.spark, path, schemas.ACTIVITY_ENTRY)
     return (
         good.select(F.to_date("timestamp").alias("event_date"))
         .unionByName(bad.select(F.lit(None).cast("date").alias("event_date")))
@@ -256,34 +258,34 @@ def s6_bad_record_budget(spark, d):
 
 
 @query
-def s8_inferred_updates(spark, d):
-    updates = definitions.flatten_definitions_light(sample.agent_definitions(spark, d))
-    return logs.read_directory_updates(spark, _landed_json(spark, updates, "updates"))
+def s8_inferred_updates(s):
+    updates = definitions.flatten_definitions_light(s.agent_definitions)
+    return logs.read_directory_updates(s.spark, _landed_json(s.spark, updates, "updates"))
 
 
 @query
-def s9_metrics_append(spark, d):
-    path = _landed_json(spark, sample.session_metrics(spark, d), "metrics")
-    warehouse = _warehouse(spark, "metrics")
-    warehouse.append(logs.read_session_metrics(spark, path), "agent_session_metrics", "first")
+def s9_metrics_append(s):
+    path = _landed_json(s.spark, s.session_metrics, "metrics")
+    warehouse = _warehouse(s.spark, "metrics")
+    warehouse.append(logs.read_session_metrics(s.spark, path), "agent_session_metrics", "first")
     # a repeated load replaces its own rows
-    warehouse.append(logs.read_session_metrics(spark, path), "agent_session_metrics", "first")
+    warehouse.append(logs.read_session_metrics(s.spark, path), "agent_session_metrics", "first")
     return warehouse.read("agent_session_metrics")
 
 
 @query
-def s12_sql_views(spark, d):
+def s12_sql_views(s):
     views.register_views(
         {
-            "audit_access": sample.audit_access(spark, d),
-            "assistant_activity": sample.assistant_activity(spark, d),
-            "notebook_activity": sample.notebook_activity(spark, d),
-            "agent_directory": sample.agent_directory(spark, d),
-            "agent_creators": sample.agent_creators(spark, d),
-            "agent_session_metrics": sample.session_metrics(spark, d),
+            "audit_access": s.audit_access,
+            "assistant_activity": s.assistant_activity,
+            "notebook_activity": s.notebook_activity,
+            "agent_directory": s.agent_directory,
+            "agent_creators": s.agent_creators,
+            "agent_session_metrics": s.session_metrics,
         }
     )
-    return spark.sql(
+    return s.spark.sql(
         """
         SELECT s.time_period, s.total_active_users, s.distinct_agents_used, u.chat_days
         FROM vw_feature_adoption_summary s
@@ -295,18 +297,18 @@ def s12_sql_views(spark, d):
 
 
 @query
-def s13_day_partitions(spark, d):
-    warehouse = _warehouse(spark, "days")
-    warehouse.append(sample.audit_access(spark, d), "audit_access", "first")
-    warehouse.append(sample.notebook_activity(spark, d), "notebook_activity", "first")
+def s13_day_partitions(s):
+    warehouse = _warehouse(s.spark, "days")
+    warehouse.append(s.audit_access, "audit_access", "first")
+    warehouse.append(s.notebook_activity, "notebook_activity", "first")
     landed = warehouse.read("audit_access").filter(F.col("event_date") >= F.lit("2024-01-20").cast("date"))
     return landed.groupBy("event_date").agg(F.count("*").alias("records"))
 
 
 @query
-def s14_engine_filter(spark, d):
+def s14_engine_filter(s):
     engine = engine_of(F.col("agent_name"))
-    kept = logs.filter_engines(sample.session_metrics(spark, d), "engine-1, engine-3,,", engine)
+    kept = logs.filter_engines(s.session_metrics, "engine-1, engine-3,,", engine)
     return kept.groupBy(engine.alias("engine_id")).agg(
         F.count("*").alias("metric_rows"), F.sum("agent_session_count").alias("total_sessions")
     )
@@ -314,119 +316,119 @@ def s14_engine_filter(spark, d):
 
 # ---- questions ------------------------------------------------------------------------
 @query
-def n1_dau_trend(spark, d):
-    return questions.dau_trend(_events(spark, d), ACTIVITY_AS_OF, 14)
+def n1_dau_trend(s):
+    return questions.dau_trend(_events(s), ACTIVITY_AS_OF, 14)
 
 
 @query
-def n2_adoption_weekly(spark, d):
-    return questions.adoption(_events(spark, d), "week")
+def n2_adoption_weekly(s):
+    return questions.adoption(_events(s), "week")
 
 
 @query
-def n2_adoption_monthly(spark, d):
-    return questions.adoption(_events(spark, d), "month")
+def n2_adoption_monthly(s):
+    return questions.adoption(_events(s), "month")
 
 
 @query
-def n3_power_users(spark, d):
-    return questions.power_users(_events(spark, d), ACTIVITY_AS_OF, 7)
+def n3_power_users(s):
+    return questions.power_users(_events(s), ACTIVITY_AS_OF, 7)
 
 
 @query
-def n4_all_three_users(spark, d):
-    return questions.users_of(_events(spark, d), ("chat", "notebooklm", "agent"))
+def n4_all_three_users(s):
+    return questions.users_of(_events(s), ("chat", "notebooklm", "agent"))
 
 
 @query
-def n5_feature_users(spark, d):
-    return questions.users_of(_events(spark, d), ("notebooklm",))
+def n5_feature_users(s):
+    return questions.users_of(_events(s), ("notebooklm",))
 
 
 @query
-def n6_exclusive_segments(spark, d):
-    return questions.exclusive_segments(_events(spark, d))
+def n6_exclusive_segments(s):
+    return questions.exclusive_segments(_events(s))
 
 
 @query
-def n7_creator_agents(spark, d):
-    return _plain_times(questions.creator_agents(_attribution(spark, d)))
+def n7_creator_agents(s):
+    return _plain_times(questions.creator_agents(_attribution(s)))
 
 
 @query
-def n7_top_creators(spark, d):
-    return _plain_times(questions.top_creators(_attribution(spark, d), 10))
+def n7_top_creators(s):
+    return _plain_times(questions.top_creators(_attribution(s), 10))
 
 
 @query
-def n8_agents_by_architecture(spark, d):
-    return questions.agents_by_architecture(sample.agent_directory(spark, d))
+def n8_agents_by_architecture(s):
+    return questions.agents_by_architecture(s.agent_directory)
 
 
 @query
-def n9_agent_profile(spark, d):
-    return _plain_times(questions.agent_profile(_attribution(spark, d), "Customer#000000009"))
+def n9_agent_profile(s):
+    return _plain_times(questions.agent_profile(_attribution(s), "Customer#000000009"))
 
 
 @query
-def n10_recent_agents(spark, d):
-    return _plain_times(questions.recent_agents(_attribution(spark, d), ORDERS_AS_OF, 30))
+def n10_recent_agents(s):
+    return _plain_times(questions.recent_agents(_attribution(s), ORDERS_AS_OF, 30))
 
 
 @query
-def n11_top_agents(spark, d):
-    return questions.top_agents(_leaderboard(spark, d), 5)
+def n11_top_agents(s):
+    return questions.top_agents(_leaderboard(s), 5)
 
 
 @query
-def n12_idle_agents(spark, d):
-    turns_ = recipes.agent_turns(sample.assistant_activity(spark, d))
-    return questions.idle_agents(sample.agent_directory(spark, d), turns_, ACTIVITY_AS_OF, 30)
+def n12_idle_agents(s):
+    turns_ = turns.agent_turns(s.assistant_activity)
+    return questions.idle_agents(s.agent_directory, turns_, ACTIVITY_AS_OF, 30)
 
 
 @query
-def n13_distinct_agents_on_day(spark, d):
-    return questions.distinct_agents_on(_events(spark, d), "2024-01-30")
+def n13_distinct_agents_on_day(s):
+    return questions.distinct_agents_on(_events(s), "2024-01-30")
 
 
 @query
-def n14_engine_sessions(spark, d):
-    return questions.engine_sessions(_leaderboard(spark, d))
+def n14_engine_sessions(s):
+    return questions.engine_sessions(_leaderboard(s))
 
 
 @query
-def n14_busiest_engine(spark, d):
-    return questions.busiest_engine(recipes.engine_adoption(sample.assistant_activity(spark, d)))
+def n14_busiest_engine(s):
+    return questions.busiest_engine(recipes.engine_adoption(s.assistant_activity))
 
 
 @query
-def n15_user_agent_history(spark, d):
-    return questions.user_agent_history(_events(spark, d), sample.agent_directory(spark, d))
+def n15_user_agent_history(s):
+    return questions.user_agent_history(_events(s), s.agent_directory)
 
 
 @query
-def n16_adoption_bars(spark, d):
-    return questions.adoption_bars(views.adoption_summary(_events(spark, d)))
+def n16_adoption_bars(s):
+    return questions.adoption_bars(views.adoption_summary(_events(s)))
 
 
 # ---- streams -----------------------------------------------------------------------------
-def _run_stream(spark, d, warehouse: Warehouse, after_batch=(), halves: int = 1) -> None:
+def _run_stream(s, warehouse: Warehouse, after_batch=(), halves: int = 1) -> None:
     """Land the entries in ``halves`` arrivals; every later one brings late rows for all days."""
-    arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "checkpoint")
-    entries = sample.stream_entries(spark, d)
+    arrivals, checkpoint = scratch_path(s.spark, "arrivals"), scratch_path(s.spark, "checkpoint")
+    entries = s.stream_entries
     for half in range(halves):
         part = entries.filter(F.col("insertId").cast("bigint") % halves == half)
-        part.write.mode("append").json(arrivals)
-        stream = landing.read_entries(spark, arrivals)
+        part.write.mode("append").option("timestampFormat", MICROS).json(arrivals)
+        stream = landing.read_entries(s.spark, arrivals)
         landing.land_activity(
             stream, warehouse, checkpoint, after_batch=after_batch, once=True
         ).awaitTermination()
 
 
 @query
-def w1_stream_routing(spark, d):
-    warehouse = _warehouse(spark, "stream")
-    _run_stream(spark, d, warehouse)
+def w1_stream_routing(s):
+    warehouse = _warehouse(s.spark, "stream", *schemas.LOG_TABLES)
+    _run_stream(s, warehouse)
     return reduce(
         DataFrame.unionByName,
         [
@@ -439,26 +441,25 @@ def w1_stream_routing(spark, d):
 
 
 @query
-def w2_stream_creations(spark, d):
-    entries = sample.creation_entries(spark, d)
-    arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "checkpoint")
-    entries.write.json(arrivals)
-    warehouse = _warehouse(spark, "creations")
-    stream = landing.read_entries(spark, arrivals)
+def w2_stream_creations(s):
+    entries = s.creation_entries
+    arrivals, checkpoint = _landed_json(s.spark, entries, "arrivals"), scratch_path(s.spark, "checkpoint")
+    warehouse = _warehouse(s.spark, "creations")
+    stream = landing.read_entries(s.spark, arrivals)
     landing.land_creations(stream, warehouse, checkpoint, once=True).awaitTermination()
     return _plain_times(warehouse.read("creation_events").drop("event_date"))
 
 
 @query
-def w3_incremental_adoption(spark, d):
-    warehouse = _warehouse(spark, "incremental")
-    _run_stream(spark, d, warehouse, after_batch=[landing.refresh_ledger], halves=2)
+def w3_incremental_adoption(s):
+    warehouse = _warehouse(s.spark, "incremental", *schemas.LOG_TABLES)
+    _run_stream(s, warehouse, after_batch=[landing.refresh_ledger], halves=2)
     return adoption_from_ledger(warehouse.read("user_ledger"))
 
 
 @query
-def w4_dedup(spark, d):
-    rows = sample.assistant_activity(spark, d)
+def w4_dedup(s):
+    rows = s.assistant_activity
     number = F.col("insertId").cast("bigint")
     copies = rows.filter(number % 3 == 0).withColumn("jsonPayload", F.lit("{}"))
     repeated = rows.unionByName(copies).withColumn("insertId", F.when(number % 10 != 1, F.col("insertId")))
@@ -470,23 +471,23 @@ def w4_dedup(spark, d):
 
 
 @query
-def w5_stream_names(spark, d):
-    warehouse = _warehouse(spark, "names")
-    warehouse.replace(sample.agent_directory(spark, d), "agent_directory")
-    _run_stream(spark, d, warehouse, after_batch=[landing.refresh_names])
+def w5_stream_names(s):
+    warehouse = _warehouse(s.spark, "names")
+    warehouse.replace(s.agent_directory, "agent_directory")
+    _run_stream(s, warehouse, after_batch=[landing.refresh_names])
     return warehouse.read("agent_directory")
 
 
 # ---- quality ------------------------------------------------------------------------------
 @query
-def x1_duplicate_agents(spark, d):
-    updates = definitions.flatten_definitions_light(sample.agent_definitions(spark, d))
-    both = sample.agent_directory(spark, d).unionByName(updates, allowMissingColumns=True)
+def x1_duplicate_agents(s):
+    updates = definitions.flatten_definitions_light(s.agent_definitions)
+    both = s.agent_directory.unionByName(updates, allowMissingColumns=True)
     return quality.duplicate_agents(both)
 
 
 @query
-def x3_view_recipe_diff(spark, d):
+def x3_view_recipe_diff(s):
     return quality.view_recipe_difference(
-        views.adoption_summary(_events(spark, d)), recipes.base_adoption(_base_events(spark, d), rows=None)
+        views.adoption_summary(_events(s)), recipes.base_adoption(_base_events(s), rows=None)
     )

@@ -16,6 +16,11 @@ def engine_of(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, "engines/([^/]+)", 1), F.lit(""))
 
 
+def sql_in(values: tuple[str, ...]) -> str:
+    """A tuple of plain names as an SQL list."""
+    return "(" + ", ".join(f"'{value}'" for value in values) + ")"
+
+
 def non_empty(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
@@ -29,42 +34,24 @@ def is_placeholder_name(name: Column) -> Column:
     return name.isNull() | name.isin(*C.PLACEHOLDER_NAMES)
 
 
-def contains_any(text: Column, parts: tuple[str, ...]) -> Column:
-    found = text.contains(parts[0])
-    for part in parts[1:]:
-        found = found | text.contains(part)
-    return found
-
-
-def lower_email(principal: Column, principal_alt: Column) -> Column:
-    return F.lower(F.coalesce(principal, principal_alt))
-
-
-def share(count: Column, total: Column) -> Column:
-    """Percentage with two decimals, NULL for an empty total."""
-    return F.round(count * F.lit(100.0).cast("double") / F.nullif(total, F.lit(0)), 2)
+def share(count: str, total: str) -> str:
+    """SQL for a percentage with two decimals, NULL for an empty total."""
+    return f"round({count} * 100.0D / nullif({total}, 0), 2)"
 
 
-def adoption_bar(percent: Column, cells: int = 20) -> Column:
-    """``[████░░] 80.0%`` with ``cells`` cells."""
-    filled = F.round(percent * F.lit(cells) / F.lit(100.0).cast("double")).cast("int")
-    return F.concat(
-        F.lit("["),
-        F.repeat(F.lit("█"), filled),
-        F.repeat(F.lit("░"), F.lit(cells) - filled),
-        F.lit("] "),
-        percent.cast("string"),
-        F.lit("%"),
-    )
+def adoption_bar(percent: str, cells: int = 20) -> str:
+    """SQL for ``[████░░] 80.0%`` with ``cells`` cells."""
+    filled = f"CAST(round({percent} * {cells} / 100.0D) AS INT)"
+    return f"concat('[', repeat('█', {filled}), repeat('░', {cells} - {filled}), '] ', {percent}, '%')"
 
 
-def period_start(day: Column, grain: str) -> Column:
-    """First day of the day, ISO week or month that holds ``day``."""
+def period_start(day: str, grain: str) -> str:
+    """SQL for the first day of the day, ISO week or month that holds ``day``."""
     if grain == "day":
         return day
     if grain not in ("week", "month"):
         raise ValueError(f"grain must be day, week or month, not {grain!r}")
-    return F.trunc(day, grain)
+    return f"trunc({day}, '{grain}')"
 
 
 def in_last_days(day: Column, as_of: str, days: int) -> Column:

@@ -1,23 +1,23 @@
-"""Scalar values out of JSON documents, one parsing pass per document."""
+"""Scalar values out of JSON documents, one parsing pass per document.
+
+Expressions are written as SQL text: a projection of many columns then crosses to the JVM once,
+instead of once per function call.
+"""
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def scalar_text(value: Column) -> Column:
-    """Text of a scalar variant; NULL for an object, an array or JSON null."""
-    kind = F.schema_of_variant(value)
-    return F.when(~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), value.cast("string"))
+def scalar_text(value: str) -> str:
+    """SQL for the text of a scalar variant; NULL for an object, an array or JSON null."""
+    return f"IF(schema_of_variant({value}) RLIKE '^(OBJECT|ARRAY)', NULL, CAST({value} AS STRING))"
 
 
-def json_text(df: DataFrame, column: str) -> Column:
-    """The column as JSON text, whether it rests as text, record or variant."""
-    if isinstance(df.schema[column].dataType, T.StringType):
-        return F.col(column)
-    return F.to_json(F.col(column))
+def json_text(df: DataFrame, column: str) -> str:
+    """SQL for the column as JSON text, whether it rests as text, record or variant."""
+    return column if isinstance(df.schema[column].dataType, T.StringType) else f"to_json({column})"
 
 
 def json_scalars(
@@ -30,30 +30,26 @@ def json_scalars(
     Catalyst does not copy expressions across one; filters on the new columns therefore never make
     Spark parse the document a second time.
     """
-    leaves: dict[str, tuple[tuple[str, ...], str]] = {}
     splits = {name: _split(path) for name, path in paths.items()}
     roots: list[tuple[str, ...]] = []
     for keys, _ in sorted(splits.values(), key=lambda s: len(s[0])):
         if not any(keys[: len(root)] == root for root in roots):
             roots.append(keys)
-    for name, (keys, index) in splits.items():
-        root = next(r for r in roots if keys[: len(r)] == r)
-        rest = "".join(f".{key}" for key in keys[len(root) :]) + index
-        leaves[name] = (root, rest)
-
-    schema = _pruned_schema(roots)
-    slots = {field.name: f"__doc_{i}" for i, field in enumerate(schema.fields)}
-    parsed = df.select(
-        *keep, F.inline(F.array(F.from_json(json_text(df, document), schema))).alias(*slots.values())
+    fields = _fields(roots)
+    slots = {key: f"__doc_{i}" for i, key in enumerate(fields)}
+    schema = _record(fields)
+    parsed = df.selectExpr(
+        *keep,
+        f"inline(array(from_json({json_text(df, document)}, '{schema}'))) AS ({', '.join(slots.values())})",
     )
 
-    def leaf(root: tuple[str, ...], rest: str) -> Column:
-        value = F.col(slots[root[0]])
-        for key in root[1:]:
-            value = value.getField(key)
-        return scalar_text(F.try_variant_get(value, f"${rest}", "variant") if rest else value)
+    def leaf(keys: tuple[str, ...], index: str) -> str:
+        root = next(r for r in roots if keys[: len(r)] == r)
+        value = ".".join([slots[root[0]], *(f"`{key}`" for key in root[1:])])
+        rest = "".join(f".{key}" for key in keys[len(root) :]) + index
+        return scalar_text(f"try_variant_get({value}, '${rest}', 'variant')" if rest else value)
 
-    return parsed.select(*keep, *[leaf(*leaves[name]).alias(name) for name in paths])
+    return parsed.selectExpr(*keep, *[f"{leaf(*splits[name])} AS {name}" for name in paths])
 
 
 def _split(path: str) -> tuple[tuple[str, ...], str]:
@@ -61,13 +57,16 @@ def _split(path: str) -> tuple[tuple[str, ...], str]:
     return tuple(head.split(".")), bracket + tail
 
 
-def _pruned_schema(roots: Sequence[tuple[str, ...]]) -> T.StructType:
+def _fields(roots: Sequence[tuple[str, ...]]) -> dict[str, list[tuple[str, ...]]]:
     fields: dict[str, list[tuple[str, ...]]] = {}
     for key, *rest in roots:
         fields.setdefault(key, []).append(tuple(rest))
-    return T.StructType(
-        [
-            T.StructField(key, _pruned_schema(below) if below != [()] else T.VariantType())
-            for key, below in fields.items()
-        ]
-    )
+    return fields
+
+
+def _record(fields: Mapping[str, list[tuple[str, ...]]]) -> str:
+    parts = [
+        f"`{key}`: " + ("VARIANT" if below == [()] else _record(_fields(below)))
+        for key, below in fields.items()
+    ]
+    return f"STRUCT<{', '.join(parts)}>"

@@ -1,8 +1,5 @@
 """User ledger and adoption counts over normalised events."""
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +17,11 @@ FEATURES = {
 }
 
 
+_FLAGS = {"used_chat": "is_chat", "used_agents": "is_agent", "used_notebooklm": "is_nblm"}
+
+
 def _flags() -> list[Column]:
-    return [
-        F.bool_or("is_chat").alias("used_chat"),
-        F.bool_or("is_agent").alias("used_agents"),
-        F.bool_or("is_nblm").alias("used_notebooklm"),
-    ]
+    return [F.expr(f"bool_or({event}) AS {flag}") for flag, event in _FLAGS.items()]
 
 
 def user_ledger(events: DataFrame) -> DataFrame:
@@ -35,13 +31,10 @@ def user_ledger(events: DataFrame) -> DataFrame:
     map-side combining; a user-day that holds most of the log has shrunk to its distinct agents
     before the arrays are built.
     """
-    folded = events.groupBy("user_email", "activity_date", "agent_id").agg(
-        F.bool_or("is_chat").alias("is_chat"),
-        F.bool_or("is_agent").alias("is_agent"),
-        F.bool_or("is_nblm").alias("is_nblm"),
-    )
+    folded = events.groupBy("user_email", "activity_date", "agent_id").agg(*_flags())
     return folded.groupBy("user_email", "activity_date").agg(
-        *_flags(), F.array_sort(F.collect_list("agent_id")).alias("agent_ids_used")
+        *[F.expr(f"bool_or({flag}) AS {flag}") for flag in _FLAGS],
+        F.expr("array_sort(collect_list(agent_id)) AS agent_ids_used"),
     )
 
 
@@ -51,70 +44,58 @@ def user_flags(events: DataFrame, *by: str) -> DataFrame:
 
 
 def feature_counts() -> list[Column]:
-    """User counts per feature and overlap, over one row per user."""
+    """User counts per feature and overlap, over rows of which each user has one."""
     return [
-        F.count_if(reduce(and_, [F.col(flag) for flag in flags])).alias(f"{name}_users")
+        F.expr(f"count_if(user_email IS NOT NULL AND {' AND '.join(flags)}) AS {name}_users")
         for name, flags in FEATURES.items()
     ]
 
 
 def with_shares(counts: DataFrame, period: str, distinct_agents: bool = True) -> DataFrame:
     """Period, total, then count and percentage per feature in the published order."""
-    columns = [F.col(period), F.col("total_active_users")]
+    columns = [period, "total_active_users"]
     for name in FEATURES:
-        users = F.col(f"{name}_users")
-        columns += [users, share(users, F.col("total_active_users")).alias(f"{name}_pct")]
+        columns += [f"{name}_users", f"{share(f'{name}_users', 'total_active_users')} AS {name}_pct"]
         if name == "agent" and distinct_agents:
-            columns.append(F.col("distinct_agents_used"))
-    return counts.select(*columns)
+            columns.append("distinct_agents_used")
+    return counts.selectExpr(*columns)
 
 
 def adoption_by_period(events: DataFrame, grain: str = "day") -> DataFrame:
     """Adoption per day, week or month in one pass over the events.
 
-    Two distinct counts are needed per period, of users and of agents. Each event is split into a
-    user facet and (if it names an agent) an agent facet, so that one aggregation by
-    (period, user, agent) serves both; it combines map-side, and the final aggregation by period
-    receives at most one row per period and task. No self-join, no second scan, and users are
-    recounted per period instead of summing days.
+    Two distinct counts are needed per period, of users and of agents. Grouping sets give both from
+    one scan and one shuffle: rows per (period, user) and rows per (period, agent), combined
+    map-side, so the final aggregation by period receives at most one row per period and task. No
+    self-join, no second scan, and users are recounted per period instead of summing days.
     """
-    no_user = F.lit(None).cast("string").alias("user_email")
-    no_agent = F.lit(None).cast("string").alias("agent_id")
-    no_flag = F.lit(None).cast("boolean")
-    user_facet = F.struct("user_email", no_agent, "is_chat", "is_agent", "is_nblm")
-    agent_facet = F.struct(
-        no_user,
+    periods = events.selectExpr(
+        f"{period_start('activity_date', grain)} AS time_period",
+        "user_email",
         "agent_id",
-        no_flag.alias("is_chat"),
-        no_flag.alias("is_agent"),
-        no_flag.alias("is_nblm"),
-    )
-    facets = events.select(
-        period_start(F.col("activity_date"), grain).alias("time_period"),
-        F.inline(
-            F.when(F.col("agent_id").isNull(), F.array(user_facet)).otherwise(
-                F.array(user_facet, agent_facet)
-            )
-        ),
+        *_FLAGS.values(),
     )
-    folded = facets.groupBy("time_period", "user_email", "agent_id").agg(*_flags())
+    folded = periods.groupingSets(
+        [["time_period", "user_email"], ["time_period", "agent_id"]],
+        "time_period",
+        "user_email",
+        "agent_id",
+    ).agg(*_flags())
     counts = folded.groupBy("time_period").agg(
-        F.count("user_email").alias("total_active_users"),
+        F.expr("count(user_email) AS total_active_users"),
         *feature_counts(),
-        F.count("agent_id").alias("distinct_agents_used"),
+        F.expr("count(agent_id) AS distinct_agents_used"),
     )
     return with_shares(counts, "time_period")
 
 
 def adoption_from_ledger(ledger: DataFrame, grain: str = "day") -> DataFrame:
     """The same answer from a stored ledger (one row per user and day)."""
-    events = ledger.select(
+    events = ledger.selectExpr(
         "user_email",
         "activity_date",
-        F.col("used_chat").alias("is_chat"),
-        F.col("used_agents").alias("is_agent"),
-        F.col("used_notebooklm").alias("is_nblm"),
+        *[f"{flag} AS {event}" for flag, event in _FLAGS.items()],
         # the flags of a row without agents must survive as well
-        F.explode_outer("agent_ids_used").alias("agent_id"),
+        "explode_outer(agent_ids_used) AS agent_id",
     )
     return adoption_by_period(events, grain)

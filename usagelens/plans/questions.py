@@ -38,7 +38,7 @@ def power_users(events: DataFrame, as_of: str, days: int = 30) -> DataFrame:
         F.count("*").alias("active_users"),
         F.count_if(F.col("used_agents") & F.col("used_notebooklm")).alias("power_users"),
     )
-    return counted.withColumn("power_pct", share(F.col("power_users"), F.col("active_users")))
+    return counted.selectExpr("*", f"{share('power_users', 'active_users')} AS power_pct")
 
 
 def users_of(events: DataFrame, features: tuple[str, ...]) -> DataFrame:
@@ -203,10 +203,7 @@ def user_agent_history(events: DataFrame, directory: DataFrame, user_email: str
 
 def adoption_bars(summary: DataFrame) -> DataFrame:
     """Adoption shares as text bars."""
-    return summary.select(
-        "time_period",
-        *[
-            adoption_bar(F.col(f"{name}_pct")).alias(f"{name}_bar")
-            for name in ("chat", "notebooklm", "agent")
-        ],
+    features = ("chat", "notebooklm", "agent")
+    return summary.selectExpr(
+        "time_period", *[f"{adoption_bar(f'{name}_pct')} AS {name}_bar" for name in features]
     )

@@ -4,9 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens import constants as C
-from usagelens.functions.columns import engine_of, is_system_agent, lower_email, non_empty
+from usagelens.functions.columns import non_empty
 from usagelens.operators.adoption import feature_counts, user_flags, with_shares
-from usagelens.operators.turns import activity_day, assistant_turns
+from usagelens.operators.turns import agent_turns, engine_turns
 
 
 def base_adoption(base_events: DataFrame, rows: int | None = C.ADOPTION_ROWS) -> DataFrame:
@@ -41,16 +41,6 @@ def user_engagement(base_events: DataFrame) -> DataFrame:
     )
 
 
-def agent_turns(assistant: DataFrame) -> DataFrame:
-    """Turns addressed to a custom agent; the user may be unknown."""
-    turns = assistant_turns(assistant, ("principal", "principal_alt", "requested_agent"))
-    return turns.filter(~is_system_agent(F.col("requested_agent"))).select(
-        F.col("requested_agent").alias("agent_id"),
-        activity_day(turns).alias("interaction_date"),
-        lower_email(F.col("principal"), F.col("principal_alt")).alias("user_email"),
-    )
-
-
 def agent_popularity(assistant: DataFrame, directory: DataFrame) -> DataFrame:
     """Turns and users per agent, folded to agents before the directory is joined.
 
@@ -86,19 +76,9 @@ def agent_popularity(assistant: DataFrame, directory: DataFrame) -> DataFrame:
 
 def engine_adoption(assistant: DataFrame) -> DataFrame:
     """Users and turns per engine."""
-    turns = assistant_turns(
-        assistant, ("principal", "principal_alt", "spiffe_path", "assistant_path")
-    )
-    email = lower_email(F.col("principal"), F.col("principal_alt"))
-    per_engine = turns.filter(email.isNotNull()).select(
-        F.coalesce(
-            engine_of(F.col("spiffe_path")), engine_of(F.col("assistant_path")), F.lit(C.DEFAULT_ENGINE)
-        ).alias("engine_id"),
-        email.alias("user_email"),
-        activity_day(turns).alias("activity_date"),
-    )
     return (
-        per_engine.groupBy("engine_id")
+        engine_turns(assistant)
+        .groupBy("engine_id")
         .agg(
             F.count_distinct("user_email").alias("total_active_users"),
             F.count("*").alias("total_turns"),

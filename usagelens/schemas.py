@@ -60,7 +60,8 @@ PARTITIONS = {
     "notebook_activity": ["event_date", "load_id"],
     "audit_access": ["event_date", "load_id"],
     "agent_session_metrics": ["load_id"],
-    "creation_events": ["event_date", "load_id"],
+    # creations are few per day; day folders would hold next to nothing
+    "creation_events": ["load_id"],
     "user_ledger": ["activity_date"],
 }
 SNAPSHOT_TABLES = {

@@ -5,374 +5,303 @@
 computed by Spark, over whole tables, with payloads as JSON text.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from dataclasses import dataclass
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
 
 from usagelens import constants as C
 
 COLLECTION = "projects/p1/locations/global/collections/default_collection/"
 LOG_PREFIX = "projects/p1/logs/"
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _text(*parts) -> Column:
-    return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-
-
-def _when_present(value: Column, record: Column) -> Column:
-    return F.when(value.isNotNull(), record)
-
-
-def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    user, event = F.col("user_id"), F.col("event_id")
-    agent = F.col("agent")
-    return (
-        table(spark, sf_dir, "events")
-        .select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("timestamp"), k.alias("k"))
-        .withColumn(
-            "agent",
-            F.when(F.col("k") < 30, None)
-            .when(F.col("k") < 35, "workflow_summary_agent")
-            .when(F.col("k") < 40, "default_assistant")
-            .otherwise(((user * 7 + F.col("k")) % 140).cast("string")),
-        )
-        .withColumns(
-            {
-                "principal": F.when(event % 13 == 0, None)
-                .when(event % 5 == 0, _text("USER", user, "@EXAMPLE.COM"))
-                .otherwise(_text("user", user, "@example.com")),
-                "resp": F.when(F.col("k") % 2 == 0, agent),
-                "spiffe": F.when(
-                    agent.isNotNull() & (F.col("k") % 6 == 0),
-                    _text("spiffe://x/engines/engine-", user % 4, "/agents/", agent),
-                ),
-                "assistant_path": F.when(
-                    F.col("k") % 5 != 0,
-                    _text(COLLECTION, "engines/engine-", user % 4, "/assistants/default_assistant"),
-                ),
-            }
-        )
-        .withColumn(
-            "resp_name",
-            F.when(
-                F.col("resp").isNotNull(),
-                _text("Agent ", agent, F.when(event % 50 == 0, " v2").otherwise("")),
-            ),
-        )
-    )
-
-
-def _log_columns(log: str) -> list[Column]:
+_ASSISTANT_PAYLOAD = """
+    struct(
+      principal AS userIamPrincipal,
+      struct(
+        IF(assistant_path IS NOT NULL, struct(assistant_path AS assistant), NULL) AS assistantsSpec,
+        IF(agent IS NOT NULL, struct(array(struct(agent AS agentId)) AS agentSpecs), NULL) AS agentsSpec
+      ) AS request,
+      struct(
+        IF(resp IS NOT NULL OR spiffe IS NOT NULL,
+           struct(resp AS agent, resp_name AS displayName, spiffe AS spiffeId), NULL) AS agentInfo
+      ) AS response)"""
+_NOTEBOOK_PAYLOAD = "struct(principal AS useriamprincipal, 'NOTEBOOKLM_ENTERPRISE' AS servicelabel)"
+_AUDIT_METHOD = f"IF(event_type = 'error', '{C.STREAMED_METHODS[3]}', '{C.STREAMED_METHODS[1]}')"
+_IS_ASSISTANT = "event_type IN ('view', 'click')"
+_IS_NOTEBOOK = "event_type = 'purchase'"
+_IS_AUDIT = "event_type IN ('error', 'signup')"
+
+
+def _audit_payload(method: str) -> str:
+    return f"""
+    struct(
+      '{C.SERVICE_NAME}' AS serviceName,
+      {method} AS methodName,
+      struct(principal AS principalEmail) AS authenticationInfo,
+      struct(struct(k < 10 AS core_assistant, agent AS agent) AS agent_info) AS request)"""
+
+
+def _log_columns(log: str) -> list[str]:
     return [
-        F.col("timestamp"),
-        F.lit(LOG_PREFIX + log).alias("logName"),
-        F.col("event_id").cast("string").alias("insertId"),
-        F.lit("INFO").alias("severity"),
-    ]
-
-
-def _assistant_payload() -> Column:
-    return F.struct(
-        F.col("principal").alias("userIamPrincipal"),
-        F.struct(
-            _when_present(
-                F.col("assistant_path"), F.struct(F.col("assistant_path").alias("assistant"))
-            ).alias("assistantsSpec"),
-            _when_present(
-                F.col("agent"),
-                F.struct(F.array(F.struct(F.col("agent").alias("agentId"))).alias("agentSpecs")),
-            ).alias("agentsSpec"),
-        ).alias("request"),
-        F.struct(
-            F.when(
-                F.col("resp").isNotNull() | F.col("spiffe").isNotNull(),
-                F.struct(
-                    F.col("resp").alias("agent"),
-                    F.col("resp_name").alias("displayName"),
-                    F.col("spiffe").alias("spiffeId"),
-                ),
-            ).alias("agentInfo")
-        ).alias("response"),
-    )
-
-
-def _audit_request() -> Column:
-    return F.struct(
-        F.struct((F.col("k") < 10).alias("core_assistant"), F.col("agent").alias("agent")).alias(
-            "agent_info"
-        )
-    )
-
-
-def _audit_method() -> Column:
-    return F.when(F.col("event_type") == "error", C.STREAMED_METHODS[3]).otherwise(C.STREAMED_METHODS[1])
-
-
-def assistant_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = flat_events(spark, sf_dir).filter(F.col("event_type").isin("view", "click"))
-    return rows.select(*_log_columns(C.ASSISTANT_LOG), F.to_json(_assistant_payload()).alias("jsonPayload"))
-
-
-def notebook_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = flat_events(spark, sf_dir).filter(F.col("event_type") == "purchase")
-    payload = F.struct(
-        F.col("principal").alias("useriamprincipal"), F.lit("NOTEBOOKLM_ENTERPRISE").alias("servicelabel")
-    )
-    return rows.select(*_log_columns(C.NOTEBOOK_LOG), F.to_json(payload).alias("jsonPayload"))
-
-
-def audit_access(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = flat_events(spark, sf_dir).filter(F.col("event_type").isin("error", "signup"))
-    payload = F.struct(
-        F.lit(C.SERVICE_NAME).alias("serviceName"),
-        _audit_method().alias("methodName"),
-        F.struct(F.col("principal").alias("principalEmail")).alias("authenticationInfo"),
-        _audit_request().alias("request"),
-    )
-    return rows.select(*_log_columns(C.AUDIT_DATA_LOG), F.to_json(payload).alias("protopayload_auditlog"))
-
-
-def stream_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All logs as entries of one stream; every ninth audit entry calls an unrouted method."""
-    flat = flat_events(spark, sf_dir)
-    is_notebook, is_audit = F.col("event_type") == "purchase", F.col("event_type").isin("error", "signup")
-    method = F.when(
-        F.col("event_id") % 9 == 0, "google.cloud.discoveryengine.v1.SourceService.CreateSource"
-    ).otherwise(_audit_method())
-    log = (
-        F.when(is_audit, LOG_PREFIX + C.AUDIT_DATA_LOG)
-        .when(is_notebook, LOG_PREFIX + C.NOTEBOOK_LOG)
-        .otherwise(LOG_PREFIX + C.ASSISTANT_LOG)
-    )
-    notebook = F.struct(
-        F.col("principal").alias("useriamprincipal"), F.lit("NOTEBOOKLM_ENTERPRISE").alias("servicelabel")
-    )
-    audit = F.struct(
-        F.lit(C.SERVICE_NAME).alias("serviceName"),
-        method.alias("methodName"),
-        F.struct(F.col("principal").alias("principalEmail")).alias("authenticationInfo"),
-        _audit_request().alias("request"),
-    )
-    return flat.select(
         "timestamp",
-        log.alias("logName"),
-        F.col("event_id").cast("string").alias("insertId"),
-        F.lit("INFO").alias("severity"),
-        F.when(is_notebook, F.to_json(notebook))
-        .when(~is_audit, F.to_json(_assistant_payload()))
-        .alias("jsonPayload"),
-        F.when(is_audit, F.to_json(audit)).alias("protoPayload"),
-    )
+        f"'{LOG_PREFIX}{log}' AS logName",
+        "CAST(event_id AS STRING) AS insertId",
+        "'INFO' AS severity",
+    ]
 
 
-def agent_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").filter(key % 11 != 0).select(
-        key.cast("string").alias("agent_id"),
-        F.when(key % 10 == 0, "")
-        .when(key % 10 == 1, None)
-        .when(key % 10 == 2, "My Agent")
-        .when(key % 10 == 3, "Unknown Name")
-        .otherwise(F.col("c_name"))
-        .alias("display_name"),
-        F.when(key % 7 == 0, "")
-        .when(key % 7 == 1, None)
-        .otherwise(_text("engine-", key % 4))
-        .alias("engine_id"),
-        _text("Agent for ", F.col("c_mktsegment")).alias("description"),
-        _text("You are ", F.col("c_name")).alias("system_instructions"),
-        F.lit("").alias("datastore_ids"),
-        F.lit("").alias("datastore_names"),
-        F.when(F.col("c_mktsegment") == "MACHINERY", C.TYPE_CODE)
-        .when(F.col("c_mktsegment") == "BUILDING", C.TYPE_BUILDER)
-        .when(F.col("c_mktsegment") == "AUTOMOBILE", C.TYPE_MANAGED)
-        .when(F.col("c_mktsegment") == "FURNITURE", C.TYPE_DESIGNER)
-        .otherwise(C.TYPE_UNKNOWN)
-        .alias("agent_type"),
-        F.lit("").alias("sub_agents"),
-    )
+@dataclass
+class SampleLogs:
+    """The inputs over one folder of tables; every property is a lazy DataFrame."""
 
+    spark: SparkSession
+    folder: str
 
-def agent_creators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order, maker = F.col("o_orderkey"), F.col("o_custkey")
-    return table(spark, sf_dir, "orders").filter(order % 10 == 0).select(
-        F.col("o_orderdate").cast("timestamp").alias("timestamp"),
-        _text("maker", maker % 97, "@example.com").alias("creator_email"),
-        maker.cast("string").alias("agent_id"),
-        F.when(order % 3 == 0, "").otherwise(_text("engine-", maker % 4)).alias("engine_id"),
-        _text("Created ", maker).alias("display_name"),
-    )
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def flat_events(self) -> DataFrame:
+        return (
+            self.table("events")
+            .selectExpr(
+                "event_id",
+                "user_id",
+                "event_type",
+                "CAST(ts AS TIMESTAMP) AS timestamp",
+                "CAST(get_json_object(props, '$.k') AS INT) AS k",
+            )
+            .selectExpr(
+                "*",
+                """CASE WHEN k < 30 THEN NULL WHEN k < 35 THEN 'workflow_summary_agent'
+                        WHEN k < 40 THEN 'default_assistant'
+                        ELSE CAST((user_id * 7 + k) % 140 AS STRING) END AS agent""",
+            )
+            .selectExpr(
+                "*",
+                """CASE WHEN event_id % 13 = 0 THEN NULL
+                        WHEN event_id % 5 = 0 THEN concat('USER', user_id, '@EXAMPLE.COM')
+                        ELSE concat('user', user_id, '@example.com') END AS principal""",
+                "IF(k % 2 = 0, agent, NULL) AS resp",
+                """IF(k % 2 = 0, concat('Agent ', agent, IF(event_id % 50 = 0, ' v2', '')), NULL)
+                   AS resp_name""",
+                """IF(k % 6 = 0, concat('spiffe://x/engines/engine-', user_id % 4, '/agents/', agent), NULL)
+                   AS spiffe""",
+                f"""IF(k % 5 <> 0, concat('{COLLECTION}engines/engine-', user_id % 4,
+                                          '/assistants/default_assistant'), NULL) AS assistant_path""",
+            )
+        )
 
-def session_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order, agent = F.col("o_orderkey"), F.col("o_custkey")
-    engine = F.when(order % 20 == 0, "").otherwise(_text(COLLECTION, "engines/engine-", agent % 4, "/"))
-    return table(spark, sf_dir, "orders").select(
-        F.to_date("o_orderdate").alias("date"),
-        _text(engine, "assistants/default_assistant/agents/", agent).alias("agent_name"),
-        (1 + order % 17).alias("agent_session_count"),
-        (order % 50).alias("monthly_agent_active_user_count"),
-    )
+    # ---- the three logs -------------------------------------------------------
+    @property
+    def assistant_activity(self) -> DataFrame:
+        return self.flat_events.filter(_IS_ASSISTANT).selectExpr(
+            *_log_columns(C.ASSISTANT_LOG), f"to_json({_ASSISTANT_PAYLOAD}) AS jsonPayload"
+        )
 
+    @property
+    def notebook_activity(self) -> DataFrame:
+        return self.flat_events.filter(_IS_NOTEBOOK).selectExpr(
+            *_log_columns(C.NOTEBOOK_LOG), f"to_json({_NOTEBOOK_PAYLOAD}) AS jsonPayload"
+        )
 
-def creation_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Creation audit entries with every fallback exercised, one per order."""
-    order, agent = F.col("o_orderkey"), F.col("o_custkey")
-    path = _text(
-        COLLECTION, "engines/engine-", agent % 4, "/assistants/default_assistant/agents/", agent
-    )
-    email = F.when(order % 3 != 0, _text("maker", agent % 97, "@example.com"))
-    subject = F.when(order % 6 != 0, _text("user:pool/people/maker", agent % 97, "@example.com"))
-    payload = F.struct(
-        F.lit(C.SERVICE_NAME).alias("serviceName"),
-        F.when(order % 8 == 0, C.CREATE_ENGINE_METHOD)
-        .otherwise("google.cloud.discoveryengine.v1main.AgentService.CreateAgent")
-        .alias("methodName"),
-        F.when(order % 7 == 3, _text("agents/", agent)).alias("resourceName"),
-        F.struct(email.alias("principalEmail"), subject.alias("principalSubject")).alias(
-            "authenticationInfo"
-        ),
-        F.struct(
-            F.struct(
-                F.when(order % 7 < 2, path).alias("name"),
-                F.when(order % 4 == 0, _text("Request ", agent)).alias("displayName"),
-            ).alias("agent")
-        ).alias("request"),
-        F.struct(
-            F.when(order % 7 == 2, path).alias("name"),
-            F.when(order % 4 == 1, _text("Response ", agent)).alias("displayName"),
-        ).alias("response"),
-    )
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderdate").cast("timestamp").alias("timestamp"),
-        F.lit(LOG_PREFIX + C.AUDIT_ADMIN_LOG).alias("logName"),
-        order.cast("string").alias("insertId"),
-        F.lit("NOTICE").alias("severity"),
-        payload.alias("protoPayload"),
-    )
+    @property
+    def audit_access(self) -> DataFrame:
+        return self.flat_events.filter(_IS_AUDIT).selectExpr(
+            *_log_columns(C.AUDIT_DATA_LOG),
+            f"to_json({_audit_payload(_AUDIT_METHOD)}) AS protopayload_auditlog",
+        )
 
+    @property
+    def stream_entries(self) -> DataFrame:
+        """All logs as entries of one stream; every ninth audit entry calls an unrouted method."""
+        method = (
+            "IF(event_id % 9 = 0, 'google.cloud.discoveryengine.v1.SourceService.CreateSource',"
+            f" {_AUDIT_METHOD})"
+        )
+        return self.flat_events.selectExpr(
+            "timestamp",
+            f"""CASE WHEN {_IS_AUDIT} THEN '{LOG_PREFIX}{C.AUDIT_DATA_LOG}'
+                     WHEN {_IS_NOTEBOOK} THEN '{LOG_PREFIX}{C.NOTEBOOK_LOG}'
+                     ELSE '{LOG_PREFIX}{C.ASSISTANT_LOG}' END AS logName""",
+            "CAST(event_id AS STRING) AS insertId",
+            "'INFO' AS severity",
+            f"""CASE WHEN {_IS_NOTEBOOK} THEN to_json({_NOTEBOOK_PAYLOAD})
+                     WHEN {_IS_ASSISTANT} THEN to_json({_ASSISTANT_PAYLOAD}) END AS jsonPayload""",
+            f"IF({_IS_AUDIT}, to_json({_audit_payload(method)}), NULL) AS protoPayload",
+        )
 
-def audit_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw data-access entries with keys, a response and status details that must go."""
-    rows = flat_events(spark, sf_dir).filter(F.col("event_type").isin("error", "signup"))
-    request = F.struct(
-        F.lit("type.example.com/Assist").alias("@type"),
-        F.struct((F.col("k") < 10).alias("core_assistant"), F.col("agent").alias("agent")).alias(
-            "agent_info"
-        ),
-    )
-    payload = F.struct(
-        F.lit("type.example.com/AuditLog").alias("@type"),
-        F.lit(C.SERVICE_NAME).alias("serviceName"),
-        _audit_method().alias("methodName"),
-        F.struct(F.col("principal").alias("principalEmail"), F.lit("x").alias("@via")).alias(
-            "authenticationInfo"
-        ),
-        F.when(F.col("k") % 3 != 0, request).alias("request"),
-        F.struct(F.lit(True).alias("ok")).alias("response"),
-        F.when(
-            F.col("event_type") == "error",
-            F.struct(
-                F.lit(5).alias("code"),
-                F.lit("not found").alias("message"),
-                F.array(F.lit("detail")).alias("details"),
-            ),
-        ).alias("status"),
-        F.array(
-            F.struct(F.lit("run").alias("permission"), F.lit("y").alias("@grant"))
-        ).alias("authorizationInfo"),
-    )
-    return rows.select(*_log_columns(C.AUDIT_DATA_LOG), payload.alias("protoPayload"))
+    # ---- dimension tables -----------------------------------------------------
+    @property
+    def agent_directory(self) -> DataFrame:
+        return (
+            self.table("customer")
+            .filter("c_custkey % 11 <> 0")
+            .selectExpr(
+                "CAST(c_custkey AS STRING) AS agent_id",
+                """CASE c_custkey % 10 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'My Agent'
+                        WHEN 3 THEN 'Unknown Name' ELSE c_name END AS display_name""",
+                """CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN NULL
+                        ELSE concat('engine-', c_custkey % 4) END AS engine_id""",
+                "concat('Agent for ', c_mktsegment) AS description",
+                "concat('You are ', c_name) AS system_instructions",
+                "'' AS datastore_ids",
+                "'' AS datastore_names",
+                f"""CASE c_mktsegment WHEN 'MACHINERY' THEN '{C.TYPE_CODE}'
+                        WHEN 'BUILDING' THEN '{C.TYPE_BUILDER}' WHEN 'AUTOMOBILE' THEN '{C.TYPE_MANAGED}'
+                        WHEN 'FURNITURE' THEN '{C.TYPE_DESIGNER}' ELSE '{C.TYPE_UNKNOWN}' END AS agent_type""",
+                "'' AS sub_agents",
+            )
+        )
 
+    @property
+    def agent_creators(self) -> DataFrame:
+        return (
+            self.table("orders")
+            .filter("o_orderkey % 10 = 0")
+            .selectExpr(
+                "CAST(o_orderdate AS TIMESTAMP) AS timestamp",
+                "concat('maker', o_custkey % 97, '@example.com') AS creator_email",
+                "CAST(o_custkey AS STRING) AS agent_id",
+                "IF(o_orderkey % 3 = 0, '', concat('engine-', o_custkey % 4)) AS engine_id",
+                "concat('Created ', o_custkey) AS display_name",
+            )
+        )
 
-def activity_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw user-activity entries, payload as a record with more branches than are kept."""
-    rows = flat_events(spark, sf_dir).filter(F.col("event_type").isin("view", "click"))
-    return rows.select(*_log_columns(C.ASSISTANT_LOG), _assistant_payload().alias("jsonPayload"))
+    @property
+    def session_metrics(self) -> DataFrame:
+        return self.table("orders").selectExpr(
+            "to_date(o_orderdate) AS date",
+            f"""concat(IF(o_orderkey % 20 = 0, '', concat('{COLLECTION}engines/engine-', o_custkey % 4, '/')),
+                       'assistants/default_assistant/agents/', o_custkey) AS agent_name""",
+            "1 + o_orderkey % 17 AS agent_session_count",
+            "o_orderkey % 50 AS monthly_agent_active_user_count",
+        )
 
+    # ---- raw entries and documents ----------------------------------------------
+    @property
+    def creation_entries(self) -> DataFrame:
+        """Creation audit entries with every fallback exercised, one per order."""
+        path = (
+            f"concat('{COLLECTION}engines/engine-', o_custkey % 4,"
+            " '/assistants/default_assistant/agents/', o_custkey)"
+        )
+        return self.table("orders").selectExpr(
+            "CAST(o_orderdate AS TIMESTAMP) AS timestamp",
+            f"'{LOG_PREFIX}{C.AUDIT_ADMIN_LOG}' AS logName",
+            "CAST(o_orderkey AS STRING) AS insertId",
+            "'NOTICE' AS severity",
+            f"""struct(
+              '{C.SERVICE_NAME}' AS serviceName,
+              IF(o_orderkey % 8 = 0, '{C.CREATE_ENGINE_METHOD}',
+                 'google.cloud.discoveryengine.v1main.AgentService.CreateAgent') AS methodName,
+              IF(o_orderkey % 7 = 3, concat('agents/', o_custkey), NULL) AS resourceName,
+              struct(
+                IF(o_orderkey % 3 <> 0, concat('maker', o_custkey % 97, '@example.com'), NULL)
+                  AS principalEmail,
+                IF(o_orderkey % 6 <> 0, concat('user:pool/people/maker', o_custkey % 97, '@example.com'), NULL)
+                  AS principalSubject) AS authenticationInfo,
+              struct(struct(
+                IF(o_orderkey % 7 < 2, {path}, NULL) AS name,
+                IF(o_orderkey % 4 = 0, concat('Request ', o_custkey), NULL) AS displayName) AS agent)
+                AS request,
+              struct(
+                IF(o_orderkey % 7 = 2, {path}, NULL) AS name,
+                IF(o_orderkey % 4 = 1, concat('Response ', o_custkey), NULL) AS displayName)
+                AS response) AS protoPayload""",
+        )
 
-def agent_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Agent documents in all variants, one per customer."""
-    key, name = F.col("c_custkey"), F.col("c_name")
+    @property
+    def audit_entries(self) -> DataFrame:
+        """Raw data-access entries with ``@`` keys, a response and status details that must go."""
+        return self.flat_events.filter(_IS_AUDIT).selectExpr(
+            *_log_columns(C.AUDIT_DATA_LOG),
+            f"""struct(
+              'type.example.com/AuditLog' AS `@type`,
+              '{C.SERVICE_NAME}' AS serviceName,
+              {_AUDIT_METHOD} AS methodName,
+              struct(principal AS principalEmail, 'x' AS `@via`) AS authenticationInfo,
+              IF(k % 3 <> 0, struct('type.example.com/Assist' AS `@type`,
+                 struct(k < 10 AS core_assistant, agent AS agent) AS agent_info), NULL) AS request,
+              struct(true AS ok) AS response,
+              IF(event_type = 'error',
+                 struct(5 AS code, 'not found' AS message, array('detail') AS details), NULL) AS status,
+              array(struct('run' AS permission, 'y' AS `@grant`)) AS authorizationInfo
+            ) AS protoPayload""",
+        )
 
-    def node(node_id, label: Column, instruction: Column) -> Column:
-        return F.struct(
-            F.lit(node_id).alias("id"),
-            label.alias("displayName"),
-            F.struct(instruction.alias("instruction")).alias("llmAgentNode"),
+    @property
+    def activity_entries(self) -> DataFrame:
+        """Raw user-activity entries, payload as a record with more branches than are kept."""
+        return self.flat_events.filter(_IS_ASSISTANT).selectExpr(
+            *_log_columns(C.ASSISTANT_LOG), f"{_ASSISTANT_PAYLOAD} AS jsonPayload"
         )
 
-    none = F.lit(None).cast("string")
-    nodes = F.array(
-        node("root_agent", _text("Root ", key), _text("You are ", name)),
-        node("first", F.when(key % 3 != 0, _text("Helper ", key)), F.when(key % 2 == 0, "Help")),
-        node("second", _text("Checker ", key), F.when(key % 5 != 0, "Check")),
-    )
-    empty = F.slice(nodes, 1, 0)
-    no_nodes = F.when(F.lit(False), nodes)
-    low_code = F.struct(
-        F.when(key % 4 == 0, nodes).when(key % 4 == 1, empty).otherwise(no_nodes).alias("deployedNodes"),
-        F.when(key % 4 == 2, nodes).alias("draftAgents"),
-        F.when(key % 2 == 1, nodes).alias("nodes"),
-        no_nodes.alias("agents"),
-        F.when(key % 6 == 0, "first").alias("deployedRootAgentId"),
-        none.alias("rootAgentId"),
-        none.alias("draftRootAgentId"),
-    )
-    segment = F.col("c_mktsegment")
-    marker = F.struct(F.lit("x").alias("raw"))
-    engine = _text(COLLECTION, "engines/engine-", key % 100)
-    return table(spark, sf_dir, "customer").select(
-        F.when(key % 17 == 5, "")
-        .otherwise(
-            _text(
-                engine,
-                "/assistants/default_assistant/agents/",
-                F.when(key % 19 == 3, "default_assistant").otherwise(key.cast("string")),
+    @property
+    def agent_definitions(self) -> DataFrame:
+        """Agent documents in all variants, one per customer."""
+        nodes = """array(
+            struct('root_agent' AS id, concat('Root ', c_custkey) AS displayName,
+                   struct(concat('You are ', c_name) AS instruction) AS llmAgentNode),
+            struct('first' AS id, IF(c_custkey % 3 <> 0, concat('Helper ', c_custkey), NULL) AS displayName,
+                   struct(IF(c_custkey % 2 = 0, 'Help', NULL) AS instruction) AS llmAgentNode),
+            struct('second' AS id, concat('Checker ', c_custkey) AS displayName,
+                   struct(IF(c_custkey % 5 <> 0, 'Check', NULL) AS instruction) AS llmAgentNode))"""
+        engine = f"concat('{COLLECTION}engines/engine-', c_custkey % 100)"
+        return (
+            self.table("customer")
+            .selectExpr("*", f"{nodes} AS node_list")
+            .selectExpr(
+                f"""IF(c_custkey % 17 = 5, '', concat({engine}, '/assistants/default_assistant/agents/',
+                       IF(c_custkey % 19 = 3, 'default_assistant', CAST(c_custkey AS STRING)))) AS name""",
+                "IF(c_custkey % 10 < 7, c_name, NULL) AS displayName",
+                "IF(c_custkey % 10 < 9, concat('Draft ', c_name), NULL) AS draftDisplayName",
+                "IF(c_custkey % 3 = 0, concat('Agent for ', c_mktsegment), NULL) AS description",
+                "IF(c_custkey % 3 = 1, concat('Draft for ', c_mktsegment), NULL) AS draftDescription",
+                "IF(c_mktsegment = 'MACHINERY', struct('x' AS raw), NULL) AS adkAgentDefinition",
+                "IF(c_mktsegment = 'AUTOMOBILE', struct('x' AS raw), NULL) AS managedAgentDefinition",
+                """IF(c_mktsegment IN ('BUILDING', 'FURNITURE'), struct(
+                     CASE c_custkey % 4 WHEN 0 THEN node_list WHEN 1 THEN slice(node_list, 1, 0) END
+                       AS deployedNodes,
+                     IF(c_custkey % 4 = 2, node_list, NULL) AS draftAgents,
+                     IF(c_custkey % 2 = 1, node_list, NULL) AS nodes,
+                     IF(false, node_list, NULL) AS agents,
+                     IF(c_custkey % 6 = 0, 'first', NULL) AS deployedRootAgentId,
+                     CAST(NULL AS STRING) AS rootAgentId,
+                     CAST(NULL AS STRING) AS draftRootAgentId), NULL) AS lowCodeAgentDefinition""",
+                """struct(array(
+                     struct(IF(c_custkey % 2 = 0, concat('Rule for ', c_name), NULL) AS instruction),
+                     struct('' AS instruction),
+                     struct('Be brief' AS instruction)) AS systemInstructions) AS instructions""",
+                f"{engine} AS engine_name",
             )
         )
-        .alias("name"),
-        F.when(key % 10 < 7, name).alias("displayName"),
-        F.when(key % 10 < 9, _text("Draft ", name)).alias("draftDisplayName"),
-        F.when(key % 3 == 0, _text("Agent for ", segment)).alias("description"),
-        F.when(key % 3 == 1, _text("Draft for ", segment)).alias("draftDescription"),
-        F.when(segment == "MACHINERY", marker).alias("adkAgentDefinition"),
-        F.when(segment == "AUTOMOBILE", marker).alias("managedAgentDefinition"),
-        F.when(segment.isin("BUILDING", "FURNITURE"), low_code).alias("lowCodeAgentDefinition"),
-        F.struct(
-            F.array(
-                F.struct(F.when(key % 2 == 0, _text("Rule for ", name)).alias("instruction")),
-                F.struct(F.lit("").alias("instruction")),
-                F.struct(F.lit("Be brief").alias("instruction")),
-            ).alias("systemInstructions")
-        ).alias("instructions"),
-        engine.alias("engine_name"),
-    )
 
-
-def engines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One engine per supplier (every sixth is not listed) with up to four data stores."""
-    key = F.col("s_suppkey")
-    stores = F.array(*[_text("ds-", store) for store in (key + 2, key * 7, key, key + 1)])
-    return table(spark, sf_dir, "supplier").filter(key % 6 != 5).select(
-        _text(COLLECTION, "engines/engine-", key).alias("name"),
-        F.when(key % 11 != 0, F.slice(stores, F.lit(1), (key % 5).cast("int"))).alias("dataStoreIds"),
-    )
-
-
-def assistants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(
-        _text(COLLECTION, "engines/engine-", F.col("s_suppkey"), "/assistants/default_assistant").alias(
-            "name"
+    @property
+    def engines(self) -> DataFrame:
+        """One engine per supplier (every sixth is not listed) with up to four data stores."""
+        return (
+            self.table("supplier")
+            .filter("s_suppkey % 6 <> 5")
+            .selectExpr(
+                f"concat('{COLLECTION}engines/engine-', s_suppkey) AS name",
+                """IF(s_suppkey % 11 <> 0, slice(array(
+                     concat('ds-', s_suppkey + 2), concat('ds-', s_suppkey * 7), concat('ds-', s_suppkey),
+                     concat('ds-', s_suppkey + 1)), 1, CAST(s_suppkey % 5 AS INT)), NULL) AS dataStoreIds""",
+            )
         )
-    )
 
+    @property
+    def assistants(self) -> DataFrame:
+        return self.table("supplier").selectExpr(
+            f"concat('{COLLECTION}engines/engine-', s_suppkey, '/assistants/default_assistant') AS name"
+        )
 
-def data_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") % 5 != 0).select(
-        _text("ds-", F.col("s_suppkey")).alias("id"), F.col("s_name").alias("displayName")
-    )
+    @property
+    def data_stores(self) -> DataFrame:
+        return (
+            self.table("supplier")
+            .filter("s_suppkey % 5 <> 0")
+            .selectExpr("concat('ds-', s_suppkey) AS id", "s_name AS displayName")
+        )

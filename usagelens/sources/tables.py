@@ -52,15 +52,16 @@ class Warehouse:
         root = self.root.rstrip("/")
         return f"{root}/logs/table={table}" if table in schemas.LOG_TABLES else f"{root}/{table}"
 
-    def ensure_tables(self) -> None:
-        """Create what is missing; existing tables are left alone."""
-        for table, schema in schemas.APPEND_TABLES.items():
-            self._create(table, schema, schemas.PARTITIONS.get(table, []))
-        self._create("snapshot_pointers", _POINTERS, [])
-
-    def _create(self, table: str, schema: T.StructType, partitions: list[str]) -> None:
-        empty = self.spark.createDataFrame([], schema)
-        empty.write.mode("ignore").partitionBy(*partitions).parquet(self.path(table))
+    def ensure_tables(self, *tables: str) -> None:
+        """Create what is missing (of ``tables``, or of all); existing tables are left alone."""
+        wanted = {name: schemas.APPEND_TABLES[name] for name in tables} if tables else {
+            **schemas.APPEND_TABLES,
+            "snapshot_pointers": _POINTERS,
+        }
+        for table, schema in wanted.items():
+            empty = align_schema(self.spark.range(0), schema)
+            writer = empty.write.mode("ignore").partitionBy(*schemas.PARTITIONS.get(table, []))
+            writer.parquet(self.path(table))
 
     def append(self, df: DataFrame, table: str, load_id: str) -> None:
         """Add rows under a load id; a repeated load id replaces what it wrote on the same days."""
@@ -69,7 +70,7 @@ class Warehouse:
             return
         partitions = schemas.PARTITIONS[table]
         rows = df.withColumn("load_id", F.lit(load_id))
-        if "event_date" in partitions:
+        if "event_date" in schemas.APPEND_TABLES[table].fieldNames():
             rows = rows.withColumn("event_date", F.to_date("timestamp"))
         self._overwrite_partitions(
             align_schema(rows, schemas.APPEND_TABLES[table]), self.path(table), partitions
