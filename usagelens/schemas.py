@@ -1,9 +1,13 @@
-"""Declared schemas of the tables and of the raw inputs."""
+"""Declared schemas of the tables and of the raw inputs, as DDL text."""
+
+from functools import cache
 
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
+@cache
+def parsed(ddl: str) -> T.StructType:
+    """The DDL as a type; parsing needs a running session, hence not done at import."""
     return T.StructType.fromDDL(ddl)
 
 
@@ -11,37 +15,36 @@ def _struct(ddl: str) -> T.StructType:
 # Log payloads rest as JSON text; event_date and load_id are landing partitions.
 _LOG = "timestamp timestamp, logName string, insertId string, severity string"
 _LANDING = "event_date date, load_id string"
-ASSISTANT_ACTIVITY = _struct(f"{_LOG}, jsonPayload string, {_LANDING}")
+ASSISTANT_ACTIVITY = f"{_LOG}, jsonPayload string, {_LANDING}"
 NOTEBOOK_ACTIVITY = ASSISTANT_ACTIVITY
-AUDIT_ACCESS = _struct(f"{_LOG}, protopayload_auditlog string, {_LANDING}")
+AUDIT_ACCESS = f"{_LOG}, protopayload_auditlog string, {_LANDING}"
 # all log tables share one landing folder, so that a mixed batch is one write
-LANDED_LOG = _struct(
+LANDED_LOG = (
     f"{_LOG}, jsonPayload string, protopayload_auditlog string, table string, {_LANDING}"
 )
-AGENT_DIRECTORY = _struct(
+AGENT_DIRECTORY = (
     "agent_id string, display_name string, engine_id string, description string,"
     " system_instructions string, datastore_ids string, datastore_names string,"
     " agent_type string, sub_agents string"
 )
-AGENT_CREATORS = _struct(
+AGENT_CREATORS = (
     "timestamp timestamp, creator_email string, agent_id string, engine_id string,"
     " display_name string"
 )
-_METRICS = (
+SESSION_METRICS = (
     "date date, agent_name string, agent_session_count bigint,"
     " monthly_agent_active_user_count bigint"
 )
-SESSION_METRICS = _struct(_METRICS)
-DIRECTORY_UPDATE = _struct(
+DIRECTORY_UPDATE = (
     "agent_id string, display_name string, agent_type string, description string,"
     " system_instructions string"
 )
 
-CREATION_EVENTS = _struct(
+CREATION_EVENTS = (
     "timestamp timestamp, method_name string, resource_name string, creator_email string,"
     " agent_id string, engine_id string, display_name string, event_date date, load_id string"
 )
-USER_LEDGER = _struct(
+USER_LEDGER = (
     "user_email string, used_chat boolean, used_agents boolean, used_notebooklm boolean,"
     " agent_ids_used array<string>, activity_date date"
 )
@@ -51,7 +54,7 @@ APPEND_TABLES = {
     "assistant_activity": ASSISTANT_ACTIVITY,
     "notebook_activity": NOTEBOOK_ACTIVITY,
     "audit_access": AUDIT_ACCESS,
-    "agent_session_metrics": _struct(f"{_METRICS}, load_id string"),
+    "agent_session_metrics": f"{SESSION_METRICS}, load_id string",
     "creation_events": CREATION_EVENTS,
     "user_ledger": USER_LEDGER,
 }
@@ -71,7 +74,7 @@ SNAPSHOT_TABLES = {
 
 # ---- raw inputs -----------------------------------------------------------
 # A nested object declared as string keeps its JSON text.
-CREATION_ENTRY = _struct(
+CREATION_ENTRY = (
     "timestamp timestamp, logName string, insertId string, severity string,"
     " protoPayload struct<"
     "serviceName:string, methodName:string, resourceName:string,"
@@ -90,17 +93,17 @@ AUDIT_PAYLOAD_DDL = (
     " numResponseItems:string, status:struct<code:int, message:string, details:string>,"
     " request:string, response:string>"
 )
-AUDIT_ENTRY = _struct(f"{_LOG}, protoPayload {AUDIT_PAYLOAD_DDL}")
-ACTIVITY_ENTRY = _struct(
+AUDIT_ENTRY = f"{_LOG}, protoPayload {AUDIT_PAYLOAD_DDL}"
+ACTIVITY_ENTRY = (
     f"{_LOG}, jsonPayload struct<userIamPrincipal:string,"
     " request:struct<agentsSpec:struct<agentSpecs:array<struct<agentId:string>>>>,"
     " response:struct<agentInfo:struct<agent:string, displayName:string>>>"
 )
 # One log entry as it arrives on the stream: either payload may be absent.
-STREAM_ENTRY = _struct(f"{_LOG}, jsonPayload string, protoPayload string")
+STREAM_ENTRY = f"{_LOG}, jsonPayload string, protoPayload string"
 
 _NODES = "array<struct<id:string, displayName:string, llmAgentNode:struct<instruction:string>>>"
-AGENT_DEFINITION = _struct(
+AGENT_DEFINITION = (
     "name string, displayName string, draftDisplayName string, description string,"
     " draftDescription string, adkAgentDefinition struct<raw:string>,"
     " managedAgentDefinition struct<raw:string>,"
@@ -109,7 +112,7 @@ AGENT_DEFINITION = _struct(
     " deployedRootAgentId:string, rootAgentId:string, draftRootAgentId:string>,"
     " instructions struct<systemInstructions:array<struct<instruction:string>>>"
 )
-AGENT_LISTING = _struct("name string, displayName string, draftDisplayName string")
-ENGINE = _struct("name string, dataStoreIds array<string>")
-ASSISTANT = _struct("name string")
-DATA_STORE = _struct("id string, displayName string")
+AGENT_LISTING = "name string, displayName string, draftDisplayName string"
+ENGINE = "name string, dataStoreIds array<string>"
+ASSISTANT = "name string"
+DATA_STORE = "id string, displayName string"

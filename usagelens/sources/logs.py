@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from usagelens import constants as C
 from usagelens import schemas
@@ -64,7 +63,7 @@ def select_activity_log(
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: T.StructType | None, multi_line: bool = False
+    spark: SparkSession, path: str, schema: str | None, multi_line: bool = False
 ) -> DataFrame:
     """Landed JSON: one entry per line (splittable), or arrays with ``multi_line``.
 
@@ -83,7 +82,7 @@ def read_audit_log(
     path: str,
     as_of: str,
     multi_line: bool = False,
-    schema: T.StructType | None = schemas.AUDIT_ENTRY,
+    schema: str | None = schemas.AUDIT_ENTRY,
     **limits,
 ):
     return select_audit_log(read_json(spark, path, schema, multi_line), as_of, **limits)

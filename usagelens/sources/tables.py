@@ -6,22 +6,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from usagelens import constants as C
 from usagelens import schemas
 from usagelens.session import scratch_path
 
-_POINTERS = T.StructType.fromDDL("table string, version bigint, path string")
+_POINTERS = "table string, version bigint, path string"
 _BAD = "_corrupt_record"
 
 
-def align_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the columns of ``schema``: missing ones are NULL, others are left out."""
-    return df.select(
+def align_schema(df: DataFrame, ddl: str) -> DataFrame:
+    """Exactly the columns of the schema: missing ones are NULL, others are left out."""
+    present = set(df.columns)
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
+            f"CAST({f'`{f.name}`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+            for f in schemas.parsed(ddl).fields
         ]
     )
 
@@ -70,7 +70,7 @@ class Warehouse:
             return
         partitions = schemas.PARTITIONS[table]
         rows = df.withColumn("load_id", F.lit(load_id))
-        if "event_date" in schemas.APPEND_TABLES[table].fieldNames():
+        if "event_date" in schemas.APPEND_TABLES[table]:
             rows = rows.withColumn("event_date", F.to_date("timestamp"))
         self._overwrite_partitions(
             align_schema(rows, schemas.APPEND_TABLES[table]), self.path(table), partitions
@@ -139,7 +139,7 @@ class TooManyBadRecords(RuntimeError):
 
 
 def load_with_bad_budget(
-    spark: SparkSession, path: str, schema: T.StructType, max_bad: int = C.BAD_RECORD_BUDGET
+    spark: SparkSession, path: str, schema: str, max_bad: int = C.BAD_RECORD_BUDGET
 ) -> tuple[DataFrame, DataFrame]:
     """JSON lines -> (good rows, malformed lines), or an error beyond ``max_bad`` malformed lines.
 
@@ -147,7 +147,7 @@ def load_with_bad_budget(
     lines are counted there by reading one, mostly empty, column, and the caller loads the same
     copy: count and rows agree even if files arrive or executors are lost in between.
     """
-    flagged = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    flagged = f"{schema}, {_BAD} string"
     raw = (
         spark.read.schema(flagged)
         .option("mode", "PERMISSIVE")
