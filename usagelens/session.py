@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+_OWN_SCRATCH = "spark.usagelens.scratch.dir"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the results depend on to an existing session."""
@@ -23,7 +25,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g"
+) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -41,10 +45,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Only where no folder is configured (tests) a temporary one is made and remembered in the session.
+    Only where no folder is configured (tests) a temporary one is made, once per session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_SCRATCH, None)
     if not root:
         root = tempfile.mkdtemp(prefix="usagelens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.conf.set(_OWN_SCRATCH, root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
