@@ -452,7 +452,7 @@ def w2_stream_creations(s):
 
 @query
 def w3_incremental_adoption(s):
-    warehouse = _warehouse(s.spark, "incremental", *schemas.LOG_TABLES)
+    warehouse = _warehouse(s.spark, "incremental", "user_ledger")
     _run_stream(s, warehouse, after_batch=[landing.refresh_ledger], halves=2)
     return adoption_from_ledger(warehouse.read("user_ledger"))
 

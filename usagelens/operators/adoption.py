@@ -38,6 +38,17 @@ def user_ledger(events: DataFrame) -> DataFrame:
     )
 
 
+def ledger_events(ledger: DataFrame) -> DataFrame:
+    """A stored ledger as events again, one per agent used (at least one per row)."""
+    return ledger.selectExpr(
+        "user_email",
+        "activity_date",
+        *[f"{flag} AS {event}" for flag, event in _FLAGS.items()],
+        # the flags of a row without agents must survive as well
+        "explode_outer(agent_ids_used) AS agent_id",
+    )
+
+
 def user_flags(events: DataFrame, *by: str) -> DataFrame:
     """Flags per user (and per extra column), without the agents."""
     return events.groupBy("user_email", *by).agg(*_flags())
@@ -91,11 +102,4 @@ def adoption_by_period(events: DataFrame, grain: str = "day") -> DataFrame:
 
 def adoption_from_ledger(ledger: DataFrame, grain: str = "day") -> DataFrame:
     """The same answer from a stored ledger (one row per user and day)."""
-    events = ledger.selectExpr(
-        "user_email",
-        "activity_date",
-        *[f"{flag} AS {event}" for flag, event in _FLAGS.items()],
-        # the flags of a row without agents must survive as well
-        "explode_outer(agent_ids_used) AS agent_id",
-    )
-    return adoption_by_period(events, grain)
+    return adoption_by_period(ledger_events(ledger), grain)

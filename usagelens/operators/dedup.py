@@ -1,6 +1,9 @@
 """Repeated log entries: a backfill appends over rows the stream has already written."""
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: what identifies a log entry
@@ -11,18 +14,27 @@ def without_repeats(logs: DataFrame, payload: str) -> DataFrame:
     """One row per log entry; entries without an insertId are all kept.
 
     Copies may differ (a backfilled payload is a reduced one), so the survivor is fixed: the longest
-    payload, then the greatest text. Copies are combined map-side before the shuffle.
+    payload, then the greatest text. Repeated keys are found first, from the key columns alone; the
+    payloads of entries that occur once are not aggregated, and where repeats are few Spark
+    broadcasts their keys and moves no payload at all. Copies are combined map-side.
     """
     identified = logs.filter(F.col("insertId").isNotNull())
     anonymous = logs.filter(F.col("insertId").isNull())
+    repeated = identified.groupBy(*ENTRY_KEY).count().filter(F.col("count") > 1).drop("count")
+    # keys may be NULL in the other two columns
+    same = reduce(
+        and_, [F.col(f"log.{c}").eqNullSafe(F.col(f"repeat.{c}")) for c in ENTRY_KEY]
+    )
+    single = identified.alias("log").join(repeated.alias("repeat"), same, "left_anti")
+    copies = identified.alias("log").join(repeated.alias("repeat"), same, "left_semi")
     others = [c for c in logs.columns if c not in (*ENTRY_KEY, payload)]
-    rank: Column = F.struct(F.length(payload).alias("size"), payload, *others)
+    rank = F.struct(F.length(payload).alias("size"), payload, *others)
     kept = (
-        identified.groupBy(*ENTRY_KEY)
+        copies.groupBy(*ENTRY_KEY)
         .agg(F.max(rank).alias("best"))
         .select(*ENTRY_KEY, *[F.col(f"best.{c}").alias(c) for c in (payload, *others)])
     )
-    return kept.select(*logs.columns).unionByName(anonymous)
+    return single.unionByName(kept).unionByName(anonymous)
 
 
 def without_stream_repeats(logs: DataFrame, delay: str = "1 day") -> DataFrame:

@@ -17,6 +17,7 @@ from usagelens.operators.definitions import (
 from usagelens.operators.directory import harvest_names, reconcile_names, upsert_definitions
 from usagelens.operators.reshape import extract_creators, project_activity, reshape_audit
 from usagelens.operators.turns import assistant_turns, audit_turns, notebook_turns
+from usagelens.session import materialized
 from usagelens.sources import logs
 from usagelens.sources.tables import Warehouse, load_with_bad_budget, write_if_any
 
@@ -45,9 +46,14 @@ def full_directory(spark: SparkSession, landing: Landing) -> DataFrame:
     )
 
 
-def reconcile_directory(warehouse: Warehouse) -> int:
-    """Names from the whole assistant log into the directory; returns the rows offered."""
-    names = harvest_names(warehouse.read("assistant_activity"))
+def reconcile_directory(warehouse: Warehouse, turns: DataFrame | None = None) -> int:
+    """Names from the assistant log into the directory; returns the number of agents offered.
+
+    ``turns`` is the log to read, e.g. its typed copy or its latest days; by default the whole raw
+    table. It is read once.
+    """
+    log = warehouse.read("assistant_activity") if turns is None else turns
+    names = materialized(harvest_names(log), "names")
     warehouse.replace(reconcile_names(warehouse.read("agent_directory"), names), "agent_directory")
     return names.select("agent_id").distinct().count()
 
@@ -57,7 +63,7 @@ def append_metrics(spark: SparkSession, landing: Landing, warehouse: Warehouse,
     exported = logs.read_session_metrics(spark, landing.path("session_metrics"))
     rows = logs.filter_engines(exported, engine_spec, engine_of(F.col("agent_name")))
     warehouse.append(rows, "agent_session_metrics", load_id)
-    return rows.count()
+    return warehouse.count_load("agent_session_metrics", load_id)
 
 
 def backfill(
@@ -69,10 +75,12 @@ def backfill(
     lookback_days: int = C.LOOKBACK_DAYS,
     max_bad: int = C.BAD_RECORD_BUDGET,
     load_id: str = "backfill",
+    gather: bool = True,
 ) -> None:
     """First load: definitions, creators, a year of activity, names, metrics.
 
-    Stages run in order and stop at the first failure; each may be repeated.
+    Stages run in order and stop at the first failure; each may be repeated. ``gather=False`` skips
+    the shuffle by day for exports that are in time order.
     """
     warehouse.ensure_tables()
     warehouse.replace_if_any(full_directory(spark, landing), "agent_directory")
@@ -84,35 +92,42 @@ def backfill(
 
     audit, _ = load_with_bad_budget(spark, landing.path("audit_log"), schemas.AUDIT_ENTRY, max_bad)
     audit = reshape_audit(logs.select_audit_log(audit, as_of, lookback_days))
-    write_if_any(audit, lambda rows: warehouse.append(rows, "audit_access", load_id))
+    write_if_any(audit, lambda rows: warehouse.append(rows, "audit_access", load_id, gather))
 
     activity, _ = load_with_bad_budget(
         spark, landing.path("activity_log"), schemas.ACTIVITY_ENTRY, max_bad
     )
     activity = project_activity(logs.select_activity_log(activity, as_of, lookback_days))
-    write_if_any(activity, lambda rows: warehouse.append(rows, "assistant_activity", load_id))
+    write_if_any(
+        activity, lambda rows: warehouse.append(rows, "assistant_activity", load_id, gather)
+    )
 
     reconcile_directory(warehouse)
     append_metrics(spark, landing, warehouse, engine_spec, load_id)
 
 
 def nightly(
-    spark: SparkSession, landing: Landing, warehouse: Warehouse, engine_spec: str = "ALL", load_id: str = "nightly"
+    spark: SparkSession,
+    landing: Landing,
+    warehouse: Warehouse,
+    engine_spec: str = "ALL",
+    load_id: str = "nightly",
+    turns: DataFrame | None = None,
 ) -> DataFrame:
     """Definitions, then logged names, then metrics; one row of counts.
 
-    Agents outside ``engine_spec`` are left alone, in the definitions and in the metrics.
+    Agents outside ``engine_spec`` are left alone, in the definitions and in the metrics. ``turns``
+    replaces the raw assistant log as the source of names, see ``reconcile_directory``.
     """
     warehouse.ensure_tables()
     documents = logs.read_json(spark, landing.path("agent_details"), schemas.AGENT_DEFINITION)
-    updates = flatten_definitions_light(
-        logs.filter_engines(documents, engine_spec, engine_of(F.col("name")))
-    )
+    selected = logs.filter_engines(documents, engine_spec, engine_of(F.col("name")))
+    updates = materialized(flatten_definitions_light(selected), "definitions")
     synced = updates.count()
     if synced:
         directory = upsert_definitions(warehouse.read("agent_directory"), updates)
         warehouse.replace(directory, "agent_directory")
-    reconciled = reconcile_directory(warehouse)
+    reconciled = reconcile_directory(warehouse, turns)
     metric_rows = append_metrics(spark, landing, warehouse, engine_spec, load_id)
     return spark.createDataFrame(
         [(synced, reconciled, metric_rows)],

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # a day is a UTC day
@@ -52,3 +52,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="usagelens-")
         spark.conf.set(_OWN_SCRATCH, root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a Parquet table in the shared scratch folder: computed once, safe to reuse."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -63,39 +63,49 @@ class Warehouse:
             writer = empty.write.mode("ignore").partitionBy(*schemas.PARTITIONS.get(table, []))
             writer.parquet(self.path(table))
 
-    def append(self, df: DataFrame, table: str, load_id: str) -> None:
-        """Add rows under a load id; a repeated load id replaces what it wrote on the same days."""
+    def append(self, df: DataFrame, table: str, load_id: str, gather: bool = True) -> None:
+        """Add rows under a load id; a repeated load id replaces what it wrote on the same days.
+
+        ``gather`` brings the rows of a day together before writing. Without it nothing is
+        shuffled, which is the better choice for large exports in time order, whose tasks meet one
+        or two days each.
+        """
         if table in schemas.LOG_TABLES:
-            self.append_logs(df.withColumn("table", F.lit(table)), load_id)
+            self.append_logs(df.withColumn("table", F.lit(table)), load_id, gather)
             return
         partitions = schemas.PARTITIONS[table]
         rows = df.withColumn("load_id", F.lit(load_id))
         if "event_date" in schemas.APPEND_TABLES[table]:
             rows = rows.withColumn("event_date", F.to_date("timestamp"))
         self._overwrite_partitions(
-            align_schema(rows, schemas.APPEND_TABLES[table]), self.path(table), partitions
+            align_schema(rows, schemas.APPEND_TABLES[table]), self.path(table), partitions, gather
         )
 
-    def append_logs(self, df: DataFrame, load_id: str) -> None:
+    def append_logs(self, df: DataFrame, load_id: str, gather: bool = True) -> None:
         """Add rows of several log tables, told apart by a ``table`` column, in one job."""
         rows = df.withColumns({"load_id": F.lit(load_id), "event_date": F.to_date("timestamp")})
         self._overwrite_partitions(
             align_schema(rows, schemas.LANDED_LOG),
             f"{self.root.rstrip('/')}/logs",
             ["table", "event_date", "load_id"],
+            gather,
         )
 
     def overwrite_days(self, df: DataFrame, table: str) -> None:
-        """Replace the days that occur in ``df`` and keep the others."""
+        """Replace the days that occur in ``df`` and keep the others.
+
+        ``df`` may be computed from the same days: new files are staged, and old ones go when the
+        write commits.
+        """
         rows = align_schema(df, schemas.APPEND_TABLES[table])
         self._overwrite_partitions(rows, self.path(table), schemas.PARTITIONS[table])
 
     @staticmethod
-    def _overwrite_partitions(df: DataFrame, path: str, partitions: list[str]) -> None:
-        # Rows of one partition are brought together, or every task would write a file per day; the
-        # rebalance splits a partition that is too large for one task.
-        together = df.hint("rebalance", *partitions)
-        writer = together.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    def _overwrite_partitions(df: DataFrame, path: str, partitions: list[str], gather: bool = True) -> None:
+        # Gathered, a partition is written by one task instead of by all of them; the rebalance
+        # splits a partition that is too large for one task.
+        rows = df.hint("rebalance", *partitions) if gather else df
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*partitions).parquet(path)
 
     def replace(self, df: DataFrame, table: str) -> str:
@@ -123,10 +133,10 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(current)
 
-    def read_load(self, load_id: str) -> DataFrame:
-        """All log rows of one load, with their ``table`` and ``event_date``."""
-        logs = self.spark.read.schema(schemas.LANDED_LOG).parquet(f"{self.root.rstrip('/')}/logs")
-        return logs.filter(F.col("load_id") == load_id)
+    def count_load(self, table: str, load_id: str) -> int:
+        """Rows a load has written, counted from the file footers."""
+        rows = self.spark.read.schema(schemas.APPEND_TABLES[table]).parquet(self.path(table))
+        return rows.filter(F.col("load_id") == load_id).count()
 
     def read_all(self) -> dict[str, DataFrame]:
         """Every base table by name."""

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from usagelens import constants as C
 from usagelens import schemas
-from usagelens.operators.adoption import user_ledger
+from usagelens.operators.adoption import ledger_events, user_ledger
 from usagelens.operators.directory import harvest_names, reconcile_names, unresolved_names
 from usagelens.operators.routing import creation_events, route
 from usagelens.operators.turns import normalize_events
@@ -44,17 +44,21 @@ def land_activity(
 
     The batch number is part of the partition, so a repeated batch overwrites its own files:
     exactly-once without a transactional table format, next to loads by other jobs. ``after_batch``
-    steps get the days of the batch (``event_date``) and run after the rows are landed; they
-    recompute from the tables and may therefore be repeated too.
+    steps get the rows of the batch and run after these are landed; each gives the same result when
+    it is repeated.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
-        load_id = f"{name}-{number}"
-        warehouse.append_logs(rows, load_id)
-        if after_batch:
-            landed = warehouse.read_load(load_id)
+        if not after_batch:
+            warehouse.append_logs(rows, f"{name}-{number}")
+            return
+        shared = rows.persist()
+        try:
+            warehouse.append_logs(shared, f"{name}-{number}")
             for step in after_batch:
-                step(warehouse, landed)
+                step(warehouse, shared)
+        finally:
+            shared.unpersist()
 
     return _start(route(entries, methods), batch, checkpoint, once, every)
 
@@ -75,30 +79,29 @@ def land_creations(
     return _start(creation_events(entries), batch, checkpoint, once, every)
 
 
-def refresh_ledger(warehouse: Warehouse, landed: DataFrame) -> None:
-    """Recompute the stored user ledger for the days a batch touched, late rows included.
+def refresh_ledger(warehouse: Warehouse, batch: DataFrame) -> None:
+    """Merge a batch into the stored user ledger, late rows included.
 
-    Only the partitions of those days are read and replaced. The number of distinct days is what
-    comes to the driver, never rows.
+    Flags only ever turn on and agents are only ever added, so the stored rows of the touched days
+    and the rows of the batch are folded together: payloads landed earlier are not parsed again,
+    and merging a batch twice changes nothing. Only the partitions of those days are read and
+    replaced; what comes to the driver is the list of distinct days.
     """
-    days = [row[0] for row in landed.select("event_date").distinct().collect()]
-    if not days:
-        return
-    touched = F.col("event_date").isin(days)
     events = normalize_events(*[
-        warehouse.read(table).filter(touched)
+        batch.filter(F.col("table") == table)
         for table in ("audit_access", "assistant_activity", "notebook_activity")
     ])
-    warehouse.overwrite_days(user_ledger(events), "user_ledger")
+    days = [row[0] for row in batch.select(F.to_date("timestamp")).distinct().collect()]
+    stored = warehouse.read("user_ledger").filter(F.col("activity_date").isin(days))
+    warehouse.overwrite_days(user_ledger(events.unionByName(ledger_events(stored))), "user_ledger")
 
 
-def refresh_names(warehouse: Warehouse, landed: DataFrame) -> None:
+def refresh_names(warehouse: Warehouse, batch: DataFrame) -> None:
     """Fill placeholder names and add unknown agents from the turns of a batch.
 
     The directory is rewritten only if the batch has a name to contribute.
     """
-    turns = landed.filter(F.col("table") == "assistant_activity")
-    names = harvest_names(turns)
+    names = harvest_names(batch.filter(F.col("table") == "assistant_activity"))
     directory = warehouse.read("agent_directory")
     if not unresolved_names(directory, names).isEmpty():
         warehouse.replace(reconcile_names(directory, names), "agent_directory")
