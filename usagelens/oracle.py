@@ -69,7 +69,7 @@ _PREFIX = "projects/p1/locations/global/collections/default_collection/"
 
 _DIRECTORY = """
 dir AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS agent_id,
+  SELECT CASE WHEN c_custkey % 11 = 0 THEN 'legacy-' ELSE '' END || c_custkey AS agent_id,
     CASE c_custkey % 10 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'My Agent'
          WHEN 3 THEN 'Unknown Name' ELSE c_name END AS display_name,
     CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'engine-' || (c_custkey % 4) END AS engine_id,
@@ -80,7 +80,7 @@ dir AS (
          WHEN 'AUTOMOBILE' THEN 'Managed Agent' WHEN 'FURNITURE' THEN 'Agent Designer'
          ELSE 'Unknown' END AS agent_type,
     '' AS sub_agents
-  FROM customer WHERE c_custkey % 11 <> 0
+  FROM customer
 )"""
 
 _CREATORS = """
@@ -88,7 +88,7 @@ creators AS (
   SELECT o_orderdate AS creation_time, 'maker' || (o_custkey % 97) || '@example.com' AS creator_email,
     CAST(o_custkey AS VARCHAR) AS agent_id,
     CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'engine-' || (o_custkey % 4) END AS engine_id
-  FROM orders WHERE o_orderkey % 10 = 0
+  FROM orders
 ),
 attribution AS (
   SELECT c.creator_email, c.creation_time, c.agent_id,
@@ -315,15 +315,16 @@ listed AS (
   SELECT s_suppkey, p.pos, 'ds-' || CASE p.pos WHEN 1 THEN s_suppkey + 2 WHEN 2 THEN s_suppkey * 7
     WHEN 3 THEN s_suppkey ELSE s_suppkey + 1 END AS id
   FROM supplier CROSS JOIN (VALUES (1), (2), (3), (4)) AS p(pos)
-  WHERE s_suppkey % 6 <> 5 AND s_suppkey % 11 <> 0 AND p.pos <= s_suppkey % 5
+  WHERE s_suppkey % 11 <> 0 AND p.pos <= s_suppkey % 5
 ),
-known AS (SELECT 'ds-' || s_suppkey AS id, s_name FROM supplier WHERE s_suppkey % 5 <> 0),
+known AS (SELECT CASE WHEN s_suppkey % 5 = 0 THEN 'old-' ELSE 'ds-' END || s_suppkey AS id, s_name FROM supplier),
 stores AS (
-  SELECT s.s_suppkey, '{_PREFIX}engines/engine-' || s.s_suppkey AS engine_name,
+  SELECT '{_PREFIX}engines/' || CASE WHEN s.s_suppkey % 6 = 5 THEN 'retired-' ELSE 'engine-' END
+      || s.s_suppkey AS engine_name,
     coalesce(string_agg(l.id, ',' ORDER BY l.pos), '') AS datastore_ids,
     coalesce(string_agg(coalesce(n.s_name, l.id), ',' ORDER BY l.pos), '') AS datastore_names
   FROM supplier s LEFT JOIN listed l ON s.s_suppkey = l.s_suppkey LEFT JOIN known n ON l.id = n.id
-  WHERE s.s_suppkey % 6 <> 5 GROUP BY 1, 2
+  GROUP BY 1
 )"""
 
 _LOG = "ts AS timestamp, CAST(event_id AS VARCHAR) AS \"insertId\", 'INFO' AS severity"
@@ -390,7 +391,7 @@ def _upkeep() -> dict[str, str]:
         "m3_replace": _with(_DEFINITIONS, _STORES)
         + "SELECT f.*, coalesce(s.datastore_ids, '') AS datastore_ids,"
         " coalesce(s.datastore_names, '') AS datastore_names"
-        " FROM flattened f LEFT JOIN stores s ON f.engine_id = 'engine-' || s.s_suppkey",
+        f" FROM flattened f LEFT JOIN stores s ON '{_PREFIX}engines/' || f.engine_id = s.engine_name",
     }
 
 

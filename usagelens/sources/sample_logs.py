@@ -135,38 +135,31 @@ class SampleLogs:
     # ---- dimension tables -----------------------------------------------------
     @property
     def agent_directory(self) -> DataFrame:
-        return (
-            self.table("customer")
-            .filter("c_custkey % 11 <> 0")
-            .selectExpr(
-                "CAST(c_custkey AS STRING) AS agent_id",
-                """CASE c_custkey % 10 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'My Agent'
-                        WHEN 3 THEN 'Unknown Name' ELSE c_name END AS display_name""",
-                """CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN NULL
-                        ELSE concat('engine-', c_custkey % 4) END AS engine_id""",
-                "concat('Agent for ', c_mktsegment) AS description",
-                "concat('You are ', c_name) AS system_instructions",
-                "'' AS datastore_ids",
-                "'' AS datastore_names",
-                f"""CASE c_mktsegment WHEN 'MACHINERY' THEN '{C.TYPE_CODE}'
-                        WHEN 'BUILDING' THEN '{C.TYPE_BUILDER}' WHEN 'AUTOMOBILE' THEN '{C.TYPE_MANAGED}'
-                        WHEN 'FURNITURE' THEN '{C.TYPE_DESIGNER}' ELSE '{C.TYPE_UNKNOWN}' END AS agent_type""",
-                "'' AS sub_agents",
-            )
+        """One agent per customer; every eleventh has an id that no log mentions."""
+        return self.table("customer").selectExpr(
+            "IF(c_custkey % 11 = 0, concat('legacy-', c_custkey), CAST(c_custkey AS STRING)) AS agent_id",
+            """CASE c_custkey % 10 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'My Agent'
+                    WHEN 3 THEN 'Unknown Name' ELSE c_name END AS display_name""",
+            """CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN NULL
+                    ELSE concat('engine-', c_custkey % 4) END AS engine_id""",
+            "concat('Agent for ', c_mktsegment) AS description",
+            "concat('You are ', c_name) AS system_instructions",
+            "'' AS datastore_ids",
+            "'' AS datastore_names",
+            f"""CASE c_mktsegment WHEN 'MACHINERY' THEN '{C.TYPE_CODE}'
+                    WHEN 'BUILDING' THEN '{C.TYPE_BUILDER}' WHEN 'AUTOMOBILE' THEN '{C.TYPE_MANAGED}'
+                    WHEN 'FURNITURE' THEN '{C.TYPE_DESIGNER}' ELSE '{C.TYPE_UNKNOWN}' END AS agent_type""",
+            "'' AS sub_agents",
         )
 
     @property
     def agent_creators(self) -> DataFrame:
-        return (
-            self.table("orders")
-            .filter("o_orderkey % 10 = 0")
-            .selectExpr(
-                "CAST(o_orderdate AS TIMESTAMP) AS timestamp",
-                "concat('maker', o_custkey % 97, '@example.com') AS creator_email",
-                "CAST(o_custkey AS STRING) AS agent_id",
-                "IF(o_orderkey % 3 = 0, '', concat('engine-', o_custkey % 4)) AS engine_id",
-                "concat('Created ', o_custkey) AS display_name",
-            )
+        return self.table("orders").selectExpr(
+            "CAST(o_orderdate AS TIMESTAMP) AS timestamp",
+            "concat('maker', o_custkey % 97, '@example.com') AS creator_email",
+            "CAST(o_custkey AS STRING) AS agent_id",
+            "IF(o_orderkey % 3 = 0, '', concat('engine-', o_custkey % 4)) AS engine_id",
+            "concat('Created ', o_custkey) AS display_name",
         )
 
     @property
@@ -280,16 +273,13 @@ class SampleLogs:
 
     @property
     def engines(self) -> DataFrame:
-        """One engine per supplier (every sixth is not listed) with up to four data stores."""
-        return (
-            self.table("supplier")
-            .filter("s_suppkey % 6 <> 5")
-            .selectExpr(
-                f"concat('{COLLECTION}engines/engine-', s_suppkey) AS name",
-                """IF(s_suppkey % 11 <> 0, slice(array(
-                     concat('ds-', s_suppkey + 2), concat('ds-', s_suppkey * 7), concat('ds-', s_suppkey),
-                     concat('ds-', s_suppkey + 1)), 1, CAST(s_suppkey % 5 AS INT)), NULL) AS dataStoreIds""",
-            )
+        """One engine per supplier, every sixth without agents, with up to four data stores."""
+        return self.table("supplier").selectExpr(
+            f"""concat('{COLLECTION}engines/', IF(s_suppkey % 6 = 5, 'retired-', 'engine-'), s_suppkey)
+                AS name""",
+            """IF(s_suppkey % 11 <> 0, slice(array(
+                 concat('ds-', s_suppkey + 2), concat('ds-', s_suppkey * 7), concat('ds-', s_suppkey),
+                 concat('ds-', s_suppkey + 1)), 1, CAST(s_suppkey % 5 AS INT)), NULL) AS dataStoreIds""",
         )
 
     @property
@@ -300,8 +290,7 @@ class SampleLogs:
 
     @property
     def data_stores(self) -> DataFrame:
-        return (
-            self.table("supplier")
-            .filter("s_suppkey % 5 <> 0")
-            .selectExpr("concat('ds-', s_suppkey) AS id", "s_name AS displayName")
+        """One store per supplier; every fifth has an id that no engine lists."""
+        return self.table("supplier").selectExpr(
+            "concat(IF(s_suppkey % 5 = 0, 'old-', 'ds-'), s_suppkey) AS id", "s_name AS displayName"
         )

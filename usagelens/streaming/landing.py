@@ -92,7 +92,10 @@ def refresh_ledger(warehouse: Warehouse, batch: DataFrame) -> None:
         for table in ("audit_access", "assistant_activity", "notebook_activity")
     ])
     days = [row[0] for row in batch.select(F.to_date("timestamp")).distinct().collect()]
-    stored = warehouse.read("user_ledger").filter(F.col("activity_date").isin(days))
+    touched = F.col("activity_date").isin([day for day in days if day is not None])
+    if None in days:
+        touched = touched | F.col("activity_date").isNull()
+    stored = warehouse.read("user_ledger").filter(touched)
     warehouse.overwrite_days(user_ledger(events.unionByName(ledger_events(stored))), "user_ledger")
 
 
