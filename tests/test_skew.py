@@ -1,0 +1,136 @@
+"""Joins with a third of the rows under one key: split by Spark, and exact."""
+
+from contextlib import contextmanager
+
+import pytest
+
+from tests.conftest import rows
+from usagelens.operators.dedup import without_repeats
+from usagelens.operators.definitions import list_agents
+from usagelens.operators.directory import reconcile_names, upsert_definitions
+from usagelens.plans import questions, views
+
+# every side counts as large and every third of the rows as skewed
+LARGE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    "spark.sql.shuffle.partitions": "16",
+    # with few map tasks there would be nothing to split a partition by
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+N = 30000
+HOT = "IF(id % 3 = 0, 'hot', CAST(id AS STRING))"
+
+
+@contextmanager
+def settings(spark, values):
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def executed_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def directory(spark):
+    return spark.range(0, N, 1, 4).selectExpr(
+        "CAST(id AS STRING) AS agent_id",
+        "concat('Agent ', id) AS display_name", "'e' AS engine_id", "sha2(CAST(id AS STRING), 256) AS description",
+        "'i' AS system_instructions", "'' AS datastore_ids", "'' AS datastore_names", "'t' AS agent_type",
+        "'' AS sub_agents",
+    )
+
+
+def test_attribution(spark, directory):
+    creators = spark.range(0, N, 1, 4).selectExpr(
+        "timestamp_seconds(id) AS timestamp", "concat('m', id, repeat('x', 20)) AS creator_email",
+        f"{HOT} AS agent_id", "'e' AS engine_id", "'n' AS display_name",
+    )
+    with settings(spark, LARGE):
+        df = views.creator_attribution(creators, directory)
+        assert "skew=true" in executed_plan(df)
+        assert df.count() == N
+        assert df.filter("agent_id = 'hot' AND display_name = 'hot'").count() == N // 3
+
+
+@pytest.mark.parametrize("rule", ["names", "definitions"])
+def test_upserts_of_a_table_with_a_repeated_id(spark, directory, rule):
+    repeated = directory.selectExpr(
+        "IF(CAST(agent_id AS INT) % 3 = 0, 'hot', agent_id) AS agent_id",
+        *[c if c != "display_name" else "'' AS display_name" for c in directory.columns[1:]],
+    )
+    updates = spark.range(0, N, 1, 4).selectExpr(
+        "IF(id = 0, 'hot', CAST(id AS STRING)) AS agent_id", "concat('New ', id) AS display_name",
+        "'u' AS agent_type", "'d' AS description", "'i' AS system_instructions",
+    )
+    with settings(spark, LARGE):
+        if rule == "names":
+            df = reconcile_names(repeated, updates.select("agent_id", "display_name", "agent_type"))
+        else:
+            df = upsert_definitions(repeated, updates)
+        assert "skew=true" in executed_plan(df)
+        # two thirds of the ids are listed, the multiples of three are new
+        assert df.count() == N + N // 3 - 1
+        assert df.filter("agent_id = 'hot' AND display_name = 'New 0'").count() == N // 3
+        assert df.filter("agent_type <> 'u'").isEmpty()
+
+
+def test_history(spark, directory):
+    events = spark.range(0, N, 1, 4).selectExpr(
+        "concat('user', id, repeat('x', 20)) AS user_email", "DATE '2024-01-01' AS activity_date",
+        f"{HOT} AS agent_id",
+    )
+    with settings(spark, LARGE):
+        df = questions.user_agent_history(events, directory)
+        assert "skew=true" in executed_plan(df)
+        assert df.filter("agent_id = 'hot'").count() == N // 3
+
+
+def test_agents_of_one_engine(spark):
+    root = "'projects/p/engines/e'"
+    engines = spark.range(0, N, 1, 4).selectExpr(f"concat({root}, id) AS name", "array('d') AS dataStoreIds")
+    assistants = engines.selectExpr("concat(name, '/assistants/d') AS name")
+    agents = spark.range(0, N, 1, 4).selectExpr(
+        f"concat({root}, IF(id % 3 = 0, 0, id), '/assistants/d/agents/', id) AS name",
+        "'n' AS displayName", "CAST(NULL AS STRING) AS draftDisplayName",
+    )
+    with settings(spark, LARGE):
+        df = list_agents(engines, assistants, agents)
+        assert "skew=true" in executed_plan(df)
+        assert df.count() == N
+        assert df.filter("engine_id = 'e0'").count() == N // 3
+
+
+def test_hot_keys_of_metrics_are_folded(spark, directory):
+    metrics = spark.range(0, N, 1, 4).selectExpr(
+        "DATE '2024-01-01' AS date", f"concat('p/engines/e/agents/', {HOT}) AS agent_name",
+        "1L AS agent_session_count", "id AS monthly_agent_active_user_count",
+    )
+    with settings(spark, LARGE):
+        df = views.agent_leaderboard(metrics, directory)
+        assert "skew=true" not in executed_plan(df)  # nothing left to split
+        assert rows(df.filter("agent_id = 'hot'"), "total_sessions", "monthly_users") == [(N // 3, N - 3)]
+        assert df.count() == N - N // 3 + 1
+
+
+def test_copies_of_one_entry(spark):
+    logs = spark.range(0, N, 1, 4).selectExpr(
+        f"{HOT} AS insertId", "'l' AS logName", "TIMESTAMP '2024-01-01' AS timestamp",
+        "sha2(CAST(id AS STRING), 256) AS jsonPayload",
+    )
+    with settings(spark, LARGE):
+        df = without_repeats(logs, "jsonPayload")
+        assert "skew=true" in executed_plan(df)
+        assert df.count() == N - N // 3 + 1

@@ -58,7 +58,9 @@ def _upsert(
     target: DataFrame, source: DataFrame, columns: Sequence[str], when_matched: Column | None = None
 ) -> DataFrame:
     """New table version; ``source`` has one row per agent_id, ``when_matched`` sees the target row."""
-    incoming = source.select(
+    # Spark splits a skewed join only between two plain shuffles; the rebalance keeps the grouping
+    # that made the source unique from standing in for one of them.
+    incoming = source.hint("rebalance").select(
         F.col("agent_id").alias("new_id"), *[F.col(c).alias(f"new_{c}") for c in columns]
     )
     applies = F.col("new_id").isNotNull()
