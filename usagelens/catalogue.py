@@ -273,18 +273,36 @@ def s9_metrics_append(s):
     return warehouse.read("agent_session_metrics")
 
 
+def _tables(s: SampleLogs) -> dict[str, DataFrame]:
+    return {
+        "audit_access": s.audit_access,
+        "assistant_activity": s.assistant_activity,
+        "notebook_activity": s.notebook_activity,
+        "agent_directory": s.agent_directory,
+        "agent_creators": s.agent_creators,
+        "agent_session_metrics": s.session_metrics,
+    }
+
+
 @query
-def s12_sql_views(s):
-    views.register_views(
-        {
-            "audit_access": s.audit_access,
-            "assistant_activity": s.assistant_activity,
-            "notebook_activity": s.notebook_activity,
-            "agent_directory": s.agent_directory,
-            "agent_creators": s.agent_creators,
-            "agent_session_metrics": s.session_metrics,
-        }
+def s10_sql_tables(s):
+    views.register_tables(_tables(s))
+    return s.spark.sql(
+        """
+        SELECT n.agent_type, count(*) AS turns,
+               count(DISTINCT lower(json_value(a.jsonPayload, '$.userIamPrincipal'))) AS users
+        FROM discoveryengine_googleapis_com_gemini_enterprise_user_activity a
+        JOIN agent_names n
+          ON json_value(a.jsonPayload, '$.request.agentsSpec.agentSpecs[0].agentId') = n.agent_id
+        WHERE json_value(a.jsonPayload, '$.request.agentsSpec') IS NULL
+        GROUP BY n.agent_type
+        """
     )
+
+
+@query
+def s12_sql_views(s):
+    views.register_views(_tables(s))
     return s.spark.sql(
         """
         SELECT s.time_period, s.total_active_users, s.distinct_agents_used, u.chat_days

@@ -417,6 +417,9 @@ def _sources() -> dict[str, str]:
         " || 'assistants/default_assistant/agents/' || o_custkey AS agent_name,"
         " 1 + o_orderkey % 17 AS agent_session_count, o_orderkey % 50 AS monthly_agent_active_user_count"
         " FROM orders",
+        "s10_sql_tables": _with(_EVENTS, _DIRECTORY)
+        + "SELECT d.agent_type, count(*) AS turns, count(DISTINCT lower(principal)) AS users"
+        " FROM ev JOIN dir d ON ev.agent = d.agent_id WHERE event_type IN ('view', 'click') GROUP BY 1",
         "s12_sql_views": _SUMMARY
         + "SELECT time_period, total_active_users, distinct_agents_used, chat_users AS chat_days FROM summary",
         "s13_day_partitions": _with(_EVENTS)

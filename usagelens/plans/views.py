@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from usagelens import constants as C
 from usagelens.functions.columns import engine_of, last_segment, non_empty
+from usagelens.functions.json_scalar import scalar_text
 from usagelens.operators.adoption import adoption_by_period, user_ledger
 from usagelens.operators.turns import normalize_events
 
@@ -110,3 +111,29 @@ def register_views(tables: dict[str, DataFrame], decode_embedded_json: bool = Fa
     creator_attribution(tables["agent_creators"], directory).createOrReplaceTempView(
         "vw_agent_creators"
     )
+
+
+# fixed values: names under which the base tables are queried
+TABLE_NAMES = {
+    "assistant_activity": "discoveryengine_googleapis_com_gemini_enterprise_user_activity",
+    "notebook_activity": "discoveryengine_googleapis_com_notebooklm_enterprise_user_activity",
+    "audit_access": "cloudaudit_googleapis_com_data_access",
+    "agent_directory": "agent_names",
+    "agent_creators": "historical_creators",
+    "agent_session_metrics": "agent_session_metrics",
+}
+
+
+def register_tables(tables: dict[str, DataFrame]) -> None:
+    """Register the base tables under the names existing queries use, and ``json_value``.
+
+    ``json_value(document, path)`` is an SQL function that Spark inlines: the text of a scalar, NULL
+    for objects and arrays. Queries over many rows and paths are better served by the typed turns.
+    """
+    for name, published in TABLE_NAMES.items():
+        tables[name].createOrReplaceTempView(published)
+    found = "try_variant_get(try_parse_json(document), path, 'variant')"
+    tables["agent_directory"].sparkSession.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION json_value(document STRING, path STRING)"
+        f" RETURNS STRING RETURN {scalar_text(found)}"
+    )
