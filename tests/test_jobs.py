@@ -1,5 +1,6 @@
 """The two jobs end to end over landed JSON files."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -7,7 +8,7 @@ import pytest
 from tests.conftest import rows
 from usagelens import constants as C
 from usagelens.operators.adoption import adoption_by_period
-from usagelens.operators.turns import normalize_events
+from usagelens.operators.turns import audit_turns, normalize_events
 from usagelens.plans import jobs, views
 from usagelens.sources.tables import TooManyBadRecords
 
@@ -133,7 +134,7 @@ def test_backfill_stops_at_too_many_bad_records(spark, landing, warehouse):
 
 def test_nightly(spark, landing, warehouse):
     jobs.backfill(spark, landing, warehouse, "2024-01-31")
-    status = jobs.nightly(spark, landing, warehouse, engine_spec="e1", load_id="night-1").first()
+    status = jobs.nightly(spark, landing, warehouse, "night-1", engine_spec="e1").first()
     # definitions and metrics of the other engine are left alone
     assert (status.agents_synced, status.names_reconciled, status.metric_rows) == (1, 2, 1)
     # the definition puts the placeholder back, the logged name fills it again
@@ -142,7 +143,7 @@ def test_nightly(spark, landing, warehouse):
         ("2", "Two", ""),
         ("3", "Three", None),
     ]
-    status = jobs.nightly(spark, landing, warehouse, load_id="night-2").first()
+    status = jobs.nightly(spark, landing, warehouse, "night-2").first()
     assert (status.agents_synced, status.metric_rows) == (2, 2)
     assert warehouse.read("agent_directory").filter("agent_id = '9'").count() == 1
 
@@ -154,5 +155,13 @@ def test_typed_turns_replace_the_raw_tables(spark, landing, warehouse, tmp_path)
     raw = normalize_events(*[warehouse.read(n) for n in names])
     from_typed = normalize_events(*[typed[n] for n in names])
     assert rows(from_typed) == rows(raw)
+    # one day is parsed again without touching the other
+    before = set(typed["audit_access"].inputFiles())
+    again = jobs.refresh_turns(warehouse, str(tmp_path / "typed"), [dt.date(2024, 1, 1)])
+    kept = before & set(again["audit_access"].inputFiles())
+    assert len(kept) == 1 and "event_date=2024-01-02" in kept.pop()
+    columns = again["audit_access"].columns
+    assert rows(again["audit_access"]) == rows(audit_turns(warehouse.read("audit_access")), *columns)
+    from_typed = normalize_events(*[again[n] for n in names])
     plan = from_typed._jdf.queryExecution().executedPlan().toString()
     assert "from_json" not in plan and "IsNotNull(principal)" in plan

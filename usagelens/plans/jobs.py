@@ -110,13 +110,13 @@ def nightly(
     spark: SparkSession,
     landing: Landing,
     warehouse: Warehouse,
+    load_id: str,
     engine_spec: str = "ALL",
-    load_id: str = "nightly",
     turns: DataFrame | None = None,
 ) -> DataFrame:
     """Definitions, then logged names, then metrics; one row of counts.
 
-    Agents outside ``engine_spec`` are left alone, in the definitions and in the metrics. ``turns``
+    ``load_id`` names the night, so that a repeated run does not add its metrics twice. Agents outside ``engine_spec`` are left alone, in the definitions and in the metrics. ``turns``
     replaces the raw assistant log as the source of names, see ``reconcile_directory``.
     """
     warehouse.ensure_tables()
@@ -148,9 +148,7 @@ def refresh_turns(warehouse: Warehouse, root: str, days: list | None = None) ->
     }
     typed = {}
     for table, parse in parsers.items():
-        raw = warehouse.read(table)
-        if days is not None:
-            raw = raw.filter(F.col("event_date").isin(days))
+        raw = warehouse.read(table) if days is None else warehouse.read_days(table, days)
         path = f"{root.rstrip('/')}/{table}"
         parsed = parse(raw)
         writer = parsed.hint("rebalance", "event_date").write.mode("overwrite")

@@ -2,8 +2,11 @@
 
 import time
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,6 +136,19 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(current)
 
+    def read_days(self, table: str, days: Sequence[date]) -> DataFrame:
+        """Some days of a log table; only their folders are listed, however many there are."""
+        schema = schemas.APPEND_TABLES[table]
+        folders = "{" + ",".join(day.isoformat() for day in days) + "}"
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
+        try:
+            rows = reader.parquet(f"{self.path(table)}/event_date={folders}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = align_schema(self.spark.range(0), schema)  # nothing has landed on these days
+        return rows.drop("load_id")
+
     def count_load(self, table: str, load_id: str) -> int:
         """Rows a load has written, counted from the file footers."""
         rows = self.spark.read.schema(schemas.APPEND_TABLES[table]).parquet(self.path(table))
