@@ -170,8 +170,8 @@ def test_segments_partition_the_users(events):
     got = {r.segment: r.users for r in questions.exclusive_segments(events).collect()}
     assert sum(got.values()) == events.select("user_email").distinct().count()
     assert set(got) <= {
-        "none", "chat only", "notebooklm only", "agents only", "chat+notebooklm", "chat+agents",
-        "notebooklm+agents", "chat+notebooklm+agents",
+        "none", "chat only", "notebooks only", "agents only", "chat+notebooks", "chat+agents",
+        "notebooks+agents", "chat+notebooks+agents",
     }
 
 

@@ -48,3 +48,21 @@ ALL_ENGINES = ("ALL", "AUTO", "*")
 LOOKBACK_DAYS = 365
 BAD_RECORD_BUDGET = 1000
 ADOPTION_ROWS = 30
+
+# fixed values: names under which the base tables are queried
+TABLE_NAMES = {
+    "assistant_activity": "discoveryengine_googleapis_com_gemini_enterprise_user_activity",
+    "notebook_activity": "discoveryengine_googleapis_com_notebooklm_enterprise_user_activity",
+    "audit_access": "cloudaudit_googleapis_com_data_access",
+    "agent_directory": "agent_names",
+    "agent_creators": "historical_creators",
+    "agent_session_metrics": "agent_session_metrics",
+}
+
+# fixed values: names under which the views are queried
+VIEW_NAMES = {
+    "agent_leaderboard": "vw_unified_metrics",
+    "user_ledger": "vw_user_feature_adoption",
+    "adoption_summary": "vw_feature_adoption_summary",
+    "creator_attribution": "vw_agent_creators",
+}

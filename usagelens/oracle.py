@@ -464,9 +464,9 @@ def _questions() -> dict[str, str]:
         + f"SELECT * FROM ({totals}) WHERE chat_days > 0 AND notebooklm_days > 0 AND agent_days > 0",
         "n5_feature_users": ledger + f"SELECT * FROM ({totals}) WHERE notebooklm_days > 0",
         "n6_exclusive_segments": ledger
-        + "SELECT CASE WHEN c AND n AND a THEN 'chat+notebooklm+agents' WHEN c AND n THEN 'chat+notebooklm'"
-        " WHEN c AND a THEN 'chat+agents' WHEN n AND a THEN 'notebooklm+agents' WHEN c THEN 'chat only'"
-        " WHEN n THEN 'notebooklm only' WHEN a THEN 'agents only' ELSE 'none' END AS segment,"
+        + "SELECT CASE WHEN c AND n AND a THEN 'chat+notebooks+agents' WHEN c AND n THEN 'chat+notebooks'"
+        " WHEN c AND a THEN 'chat+agents' WHEN n AND a THEN 'notebooks+agents' WHEN c THEN 'chat only'"
+        " WHEN n THEN 'notebooks only' WHEN a THEN 'agents only' ELSE 'none' END AS segment,"
         " count(*) AS users FROM (SELECT user_email, bool_or(used_chat) AS c, bool_or(used_notebooklm) AS n,"
         " bool_or(used_agents) AS a FROM ledger GROUP BY 1) GROUP BY 1",
         "n7_creator_agents": attribution

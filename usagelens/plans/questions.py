@@ -65,7 +65,7 @@ def exclusive_segments(events: DataFrame) -> DataFrame:
     used = F.array_compact(
         F.array(
             F.when(F.col("used_chat"), "chat"),
-            F.when(F.col("used_notebooklm"), "notebooklm"),
+            F.when(F.col("used_notebooklm"), "notebooks"),
             F.when(F.col("used_agents"), "agents"),
         )
     )

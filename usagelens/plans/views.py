@@ -102,26 +102,14 @@ def register_views(tables: dict[str, DataFrame], decode_embedded_json: bool = Fa
         decode_embedded_json,
     )
     directory = tables["agent_directory"]
-    # fixed values: published view names
-    agent_leaderboard(tables["agent_session_metrics"], directory).createOrReplaceTempView(
-        "vw_unified_metrics"
-    )
-    user_ledger(events).createOrReplaceTempView("vw_user_feature_adoption")
-    adoption_summary(events).createOrReplaceTempView("vw_feature_adoption_summary")
-    creator_attribution(tables["agent_creators"], directory).createOrReplaceTempView(
-        "vw_agent_creators"
-    )
-
-
-# fixed values: names under which the base tables are queried
-TABLE_NAMES = {
-    "assistant_activity": "discoveryengine_googleapis_com_gemini_enterprise_user_activity",
-    "notebook_activity": "discoveryengine_googleapis_com_notebooklm_enterprise_user_activity",
-    "audit_access": "cloudaudit_googleapis_com_data_access",
-    "agent_directory": "agent_names",
-    "agent_creators": "historical_creators",
-    "agent_session_metrics": "agent_session_metrics",
-}
+    published = {
+        "agent_leaderboard": agent_leaderboard(tables["agent_session_metrics"], directory),
+        "user_ledger": user_ledger(events),
+        "adoption_summary": adoption_summary(events),
+        "creator_attribution": creator_attribution(tables["agent_creators"], directory),
+    }
+    for name, view in published.items():
+        view.createOrReplaceTempView(C.VIEW_NAMES[name])
 
 
 def register_tables(tables: dict[str, DataFrame]) -> None:
@@ -130,7 +118,7 @@ def register_tables(tables: dict[str, DataFrame]) -> None:
     ``json_value(document, path)`` is an SQL function that Spark inlines: the text of a scalar, NULL
     for objects and arrays. Queries over many rows and paths are better served by the typed turns.
     """
-    for name, published in TABLE_NAMES.items():
+    for name, published in C.TABLE_NAMES.items():
         tables[name].createOrReplaceTempView(published)
     found = "try_variant_get(try_parse_json(document), path, 'variant')"
     tables["agent_directory"].sparkSession.sql(
