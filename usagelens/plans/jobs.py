@@ -58,7 +58,9 @@ def reconcile_directory(warehouse: Warehouse, turns: DataFrame | None = None) ->
     return names.select("agent_id").distinct().count()
 
 
-def append_metrics(spark: SparkSession, landing: Landing, warehouse: Warehouse, engine_spec: str, load_id: str) -> int:
+def append_metrics(
+    spark: SparkSession, landing: Landing, warehouse: Warehouse, engine_spec: str, load_id: str
+) -> int:
     """Exported session metrics of the selected engines into the metrics table."""
     exported = logs.read_session_metrics(spark, landing.path("session_metrics"))
     rows = logs.filter_engines(exported, engine_spec, engine_of(F.col("agent_name")))
@@ -116,8 +118,9 @@ def nightly(
 ) -> DataFrame:
     """Definitions, then logged names, then metrics; one row of counts.
 
-    ``load_id`` names the night, so that a repeated run does not add its metrics twice. Agents outside ``engine_spec`` are left alone, in the definitions and in the metrics. ``turns``
-    replaces the raw assistant log as the source of names, see ``reconcile_directory``.
+    ``load_id`` names the night, so that a repeated run does not add its metrics twice. Agents
+    outside ``engine_spec`` are left alone, in the definitions and in the metrics. ``turns`` replaces
+    the raw assistant log as the source of names, see ``reconcile_directory``.
     """
     warehouse.ensure_tables()
     documents = logs.read_json(spark, landing.path("agent_details"), schemas.AGENT_DEFINITION)
