@@ -158,3 +158,24 @@ def _decided(narrow: DataFrame, state: DataFrame, path: list[str]) -> DataFrame:
 def mix_documents(docs: DataFrame) -> DataFrame:
     """Digest of the mix of all documents: doc_id, size, source_size, target, taken."""
     return mixed(docs, word_count(F.col("text"))).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """Whole rows, each as often as the mix takes it; rows that it does not take are gone.
+
+    Decisions belong to a document, so equal rows (id, source and text) get the number of copies that the
+    mix takes of them together, dealt out evenly.
+    """
+    key = F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit("")), F.lit(0))
+    plan = mixed(docs, word_count(F.col("text"))).groupBy("_ul_hash", F.col("source").alias("_ul_source")).agg(
+        F.count("*").alias("_ul_rows"), F.sum("copies").alias("_ul_copies")
+    )
+    plan = stored(plan.where("_ul_copies > 0"), "mix-plan")
+    rows = docs.withColumn("_ul_key", key)
+    joined = rows.join(plan, (F.col("_ul_key") == F.col("_ul_hash")) & F.col("source").eqNullSafe(F.col("_ul_source")))
+    base, rest = F.floor(F.col("_ul_copies") / F.col("_ul_rows")), F.col("_ul_copies") % F.col("_ul_rows")
+    # of n equal rows, the first ones get one more; equal rows are told apart only where that matters
+    first = F.when(rest == 0, F.lit(False)).otherwise(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_ul_rows")) < rest)
+    times = (base + first.cast("int")).cast("int")
+    repeated = joined.withColumn("_ul_times", times).where("_ul_times > 0")
+    return repeated.withColumn("_ul_turn", F.explode(F.array_repeat(F.lit(0), F.col("_ul_times")))).select(*docs.columns)

@@ -194,7 +194,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     forest = None
     left = stored(_tidy(edges), label)
     while left.limit(1).count():
-        hooks = stored(left.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), label)
+        # flat hooks: no hooked node is the root of another, so it never comes back into the edges
+        hooks = _flattened(left.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), label)
         forest = hooks if forest is None else forest.unionByName(hooks)
         by_a = left.join(hooks.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
         both = by_a.select(F.coalesce("ra", "a").alias("a"), "b").join(
@@ -203,15 +204,21 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         left = stored(_tidy(both.select("a", F.coalesce("rb", "b").alias("b"))), label)
     if forest is None:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
+    forest = _flattened(forest, label)
+    # the roots themselves
+    return forest.unionByName(forest.select(F.col("root").alias("node"), "root").distinct())
+
+
+def _flattened(forest: DataFrame, label: str) -> DataFrame:
+    """(node, root) with every root followed to its end, by pointer jumping."""
+    forest = stored(forest, label)
     while True:
         above = forest.select(F.col("node").alias("root"), F.col("root").alias("up"))
         jumped = stored(forest.join(above, "root", "left"), label)
         moved = jumped.where("up IS NOT NULL").limit(1).count()
         forest = jumped.select("node", F.coalesce("up", "root").alias("root"))
         if not moved:
-            break
-    # the roots themselves
-    return forest.unionByName(forest.select(F.col("root").alias("node"), "root").distinct())
+            return forest
 
 
 def _tidy(edges: DataFrame) -> DataFrame:
