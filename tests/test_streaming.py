@@ -51,9 +51,11 @@ def test_stream_equals_batch_over_several_batches(spark, sample, warehouse, tmp_
         user_ledger(events), "user_email", "activity_date", "agent_ids_used"
     )
     assert rows(adoption_from_ledger(warehouse.read("user_ledger"))) == rows(adoption_by_period(events))
-    # names arrive batch by batch, the first one to fill a placeholder stays
+    # one rule for names, however the stream is cut: the latest
     batch = reconcile_names(sample.agent_directory, harvest_names(warehouse.read("assistant_activity")))
-    assert rows(warehouse.read("agent_directory"), "agent_id", "agent_type") == rows(batch, "agent_id", "agent_type")
+    columns = ("agent_id", "display_name", "agent_type")
+    assert rows(warehouse.read("agent_directory"), *columns) == rows(batch, *columns)
+    assert rows(warehouse.read("usage_events"), "user_email", "agent_id") == rows(events, "user_email", "agent_id")
 
 
 def test_late_rows_change_only_their_days(spark, sample, warehouse, tmp_path):
@@ -81,9 +83,11 @@ def test_late_rows_change_only_their_days(spark, sample, warehouse, tmp_path):
 def test_a_repeated_batch_is_not_doubled(spark, sample, warehouse, tmp_path):
     arrivals = str(tmp_path / "in")
     arrive(sample.stream_entries, arrivals, 1)
-    for attempt in range(2):  # a lost checkpoint replays the same batch number
+    for attempt in range(2):  # a lost checkpoint replays the same batches under the old identity
         stream = landing.read_entries(spark, arrivals)
-        landing.land_activity(stream, warehouse, str(tmp_path / f"c{attempt}"), once=True).awaitTermination()
+        landing.land_activity(
+            stream, warehouse, str(tmp_path / f"c{attempt}"), once=True, identity="main"
+        ).awaitTermination()
     landed = reduce(DataFrame.unionByName, [warehouse.read(t).select("insertId") for t in schemas.LOG_TABLES])
     assert landed.count() == route(sample.stream_entries).count()
 
@@ -111,3 +115,80 @@ def test_stream_repeats(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("kept").trigger(availableNow=True).start()
     query.awaitTermination()
     assert rows(spark.table("kept"), "insertId") == [("1",), ("1",), (None,), (None,)]
+
+
+def land(spark, warehouse, arrivals, checkpoint, **options):
+    landing.land_activity(
+        landing.read_entries(spark, arrivals), warehouse, checkpoint, once=True, **options
+    ).awaitTermination()
+
+
+def test_streams_of_one_warehouse_keep_apart(spark, sample, warehouse, tmp_path):
+    even, odd = (sample.stream_entries.filter(f"insertId % 2 = {i}") for i in (0, 1))
+    for name, part in (("a", even), ("b", odd)):
+        arrive(part, str(tmp_path / name), 1)
+        land(spark, warehouse, str(tmp_path / name), str(tmp_path / f"checkpoint-{name}"))
+    landed = reduce(DataFrame.unionByName, [warehouse.read(t).select("insertId") for t in schemas.LOG_TABLES])
+    assert rows(landed) == rows(route(sample.stream_entries), "insertId")
+
+
+def test_a_half_committed_batch_is_replayed(spark, sample, warehouse, tmp_path):
+    import shutil
+
+    arrivals, after = str(tmp_path / "in"), [landing.refresh_ledger]
+    arrive(sample.stream_entries.filter("insertId % 3 > 0"), arrivals, 1)
+    land(spark, warehouse, arrivals, str(tmp_path / "c"), after_batch=after, identity="s")
+    arrive(sample.stream_entries.filter("insertId % 3 = 0"), arrivals, 1)
+    land(spark, warehouse, arrivals, str(tmp_path / "c"), after_batch=after, identity="s")
+    expected = rows(warehouse.read("user_ledger"), "user_email", "activity_date", "agent_ids_used")
+    # the second batch's ledger is lost with its commit: the same batch runs again
+    (tmp_path / "c" / "commits" / "1").unlink()
+    for crc in (tmp_path / "c" / "commits").glob(".1.crc"):
+        crc.unlink()
+    for part in (tmp_path / "warehouse" / "user_ledger").glob("activity_date=*/load_id=stream-s-1"):
+        shutil.rmtree(part)
+    land(spark, warehouse, arrivals, str(tmp_path / "c"), after_batch=after, identity="s")
+    assert rows(warehouse.read("user_ledger"), "user_email", "activity_date", "agent_ids_used") == expected
+
+
+def test_views_follow_what_lands(spark, sample, warehouse, tmp_path):
+    from usagelens.plans import views
+
+    views.register_live(warehouse)
+    assert spark.table("vw_feature_adoption_summary").count() == 0
+    assert spark.table("vw_agent_creators").count() == spark.table("vw_unified_metrics").count() == 0
+    arrivals = str(tmp_path / "in")
+    for turn in range(2):
+        arrive(sample.stream_entries.filter(f"insertId % 2 = {turn}"), arrivals, 1)
+        land(spark, warehouse, arrivals, str(tmp_path / "c"), after_batch=[landing.refresh_names])
+        expected = adoption_by_period(events_of(warehouse))
+        assert rows(spark.table("vw_feature_adoption_summary")) == rows(expected)
+    warehouse.replace(sample.agent_directory, "agent_directory")
+    warehouse.replace(sample.agent_creators, "agent_creators")
+    warehouse.append(sample.session_metrics, "agent_session_metrics", "one")
+    tables = warehouse.read_all()
+    assert rows(spark.table("vw_agent_creators")) == rows(
+        views.creator_attribution(tables["agent_creators"], tables["agent_directory"])
+    )
+    assert rows(spark.table("vw_unified_metrics")) == rows(
+        views.agent_leaderboard(tables["agent_session_metrics"], tables["agent_directory"])
+    )
+    plan = spark.sql("SELECT * FROM vw_feature_adoption_summary WHERE time_period = DATE '2024-01-10'")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in text and "PartitionFilters: [" in text and "2024-01-10" in text
+
+
+def test_stream_repeats_free_their_state(spark, tmp_path):
+    arrivals, checkpoint, out = (str(tmp_path / name) for name in ("in", "c", "out"))
+    kept = []
+    for day in range(1, 7):
+        entry = {"timestamp": f"2024-01-{day * 4:02d}T00:00:00Z", "logName": "l", "insertId": str(day), "jsonPayload": {}}
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{day}.json").write_text("\n".join(json.dumps(entry) for _ in range(2)))
+        stream = without_stream_repeats(landing.read_entries(spark, arrivals))
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        query = query.trigger(availableNow=True).start()
+        query.awaitTermination()
+        kept.append(sum(o["numRowsTotal"] for o in query.lastProgress["stateOperators"]))
+    assert rows(spark.read.parquet(out), "insertId") == [(str(day),) for day in range(1, 7)]
+    assert kept[-1] < 4

@@ -6,12 +6,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usagelens import constants as C
 from usagelens import schemas
 from usagelens.functions.columns import engine_of, last_segment
 from usagelens.operators import definitions, directory, quality, reshape, turns
-from usagelens.operators.adoption import adoption_from_ledger, user_flags, user_ledger
+from usagelens.operators.adoption import adoption_by_period, adoption_from_ledger, user_flags, user_ledger
 from usagelens.operators.dedup import without_repeats
-from usagelens.plans import questions, recipes, views
+from usagelens.plans import jobs, questions, recipes, views
 from usagelens.session import configure, scratch_path
 from usagelens.sources import logs
 from usagelens.sources.sample_logs import SampleLogs
@@ -91,7 +92,7 @@ def v4_creator_attribution(s):
 # ---- recipes ------------------------------------------------------------------
 @query
 def r1_adoption_base(s):
-    return recipes.base_adoption(_base_events(s))
+    return recipes.base_adoption(_base_events(s), rows=C.ADOPTION_ROWS)
 
 
 @query
@@ -117,7 +118,7 @@ def r4_governance(s):
 # ---- example queries on the views ---------------------------------------------
 @query
 def b1_adoption_latest(s):
-    return recipes.latest_adoption(views.adoption_summary(_events(s)))
+    return recipes.latest_adoption(views.adoption_summary(_events(s)), rows=C.ADOPTION_ROWS)
 
 
 @query
@@ -257,6 +258,44 @@ def s6_bad_record_budget(s):
     )
 
 
+@query
+def s6_rejected_lines(s):
+    entries = s.activity_entries
+    line = F.to_json(F.struct(*entries.columns))
+    torn = F.when(F.bit_count(F.col("insertId").cast("bigint")) == 1, line.substr(F.lit(1), F.length(line) - 3))
+    path = scratch_path(s.spark, "torn")
+    entries.select(F.coalesce(torn, line).alias("value")).write.text(path)
+    _, bad = load_with_bad_budget(s.spark, path, schemas.ACTIVITY_ENTRY)
+    warehouse = _warehouse(s.spark, "rejected")
+    warehouse.reject(bad, "activity_log", "first")
+    return warehouse.read("rejected_lines").groupBy("source").agg(F.count("line").alias("lines"))
+
+
+@query
+def s4_empty_keeps_table(s):
+    warehouse = _warehouse(s.spark, "empty")
+    warehouse.replace(s.agent_directory, "agent_directory")
+    warehouse.replace_if_any(s.agent_directory.filter("agent_id = 'nobody'"), "agent_directory")
+    return warehouse.read("agent_directory")
+
+
+@query
+def s11_old_files(s):
+    """A version whose files were partly written before two columns existed."""
+    warehouse = _warehouse(s.spark, "old")
+    path = warehouse.replace(s.agent_directory.filter("length(agent_id) % 2 = 1"), "agent_directory")
+    old = s.agent_directory.filter("length(agent_id) % 2 = 0").drop("sub_agents", "datastore_ids")
+    old.write.mode("append").parquet(path)
+    return warehouse.read("agent_directory")
+
+
+@query
+def o5_newest(s):
+    path = _landed_json(s.spark, s.creation_entries, "creations")
+    newest = logs.read_creation_log(s.spark, path, ORDERS_AS_OF, cap=25)
+    return _plain_times(reshape.extract_creators(newest))
+
+
 @query
 def s8_inferred_updates(s):
     updates = definitions.flatten_definitions_light(s.agent_definitions)
@@ -430,23 +469,26 @@ def n16_adoption_bars(s):
 
 
 # ---- streams -----------------------------------------------------------------------------
-def _run_stream(s, warehouse: Warehouse, after_batch=(), halves: int = 1) -> None:
-    """Land the entries in ``halves`` arrivals; every later one brings late rows for all days."""
+def _run_stream(s, warehouse: Warehouse, after_batch=(), halves: int = 1, typed: bool = False, apart: bool = False) -> None:
+    """Land the entries in ``halves`` arrivals; every later one brings late rows for all days.
+
+    ``apart``: every arrival has a folder, a checkpoint and so a stream of its own.
+    """
     arrivals, checkpoint = scratch_path(s.spark, "arrivals"), scratch_path(s.spark, "checkpoint")
-    entries = s.stream_entries
     for half in range(halves):
-        part = entries.filter(F.col("insertId").cast("bigint") % halves == half)
-        part.write.mode("append").option("timestampFormat", MICROS).json(arrivals)
-        stream = landing.read_entries(s.spark, arrivals)
-        landing.land_activity(
-            stream, warehouse, checkpoint, after_batch=after_batch, once=True
-        ).awaitTermination()
+        if apart:
+            arrivals, checkpoint = scratch_path(s.spark, "arrivals"), scratch_path(s.spark, "checkpoint")
+        part = s.stream_entries.filter(F.col("insertId").cast("bigint") % halves == half)
+        _land(s, part, warehouse, arrivals, checkpoint, after_batch=after_batch, typed=typed)
 
 
-@query
-def w1_stream_routing(s):
-    warehouse = _warehouse(s.spark, "stream", *schemas.LOG_TABLES)
-    _run_stream(s, warehouse)
+def _land(s, entries: DataFrame, warehouse: Warehouse, arrivals: str, checkpoint: str, **options) -> None:
+    entries.write.mode("append").option("timestampFormat", MICROS).json(arrivals)
+    stream = landing.read_entries(s.spark, arrivals)
+    landing.land_activity(stream, warehouse, checkpoint, once=True, **options).awaitTermination()
+
+
+def _landed_per_day(warehouse: Warehouse) -> DataFrame:
     return reduce(
         DataFrame.unionByName,
         [
@@ -458,6 +500,56 @@ def w1_stream_routing(s):
     )
 
 
+@query
+def w1_stream_routing(s):
+    warehouse = _warehouse(s.spark, "stream", *schemas.LOG_TABLES)
+    _run_stream(s, warehouse)
+    return _landed_per_day(warehouse)
+
+
+@query
+def w6_two_streams(s):
+    """Two streams with checkpoints of their own, hence equal batch numbers, into one warehouse."""
+    warehouse = _warehouse(s.spark, "streams", *schemas.LOG_TABLES)
+    _run_stream(s, warehouse, halves=2, apart=True)
+    return _landed_per_day(warehouse)
+
+
+@query
+def w7_view_follows_landing(s):
+    """Views are registered before anything lands."""
+    warehouse = _warehouse(s.spark, "live")
+    warehouse.ensure_tables()
+    views.register_live(warehouse)
+    _run_stream(s, warehouse, halves=2, typed=True)
+    return s.spark.sql(
+        "SELECT time_period, total_active_users, distinct_agents_used, agent_pct FROM vw_feature_adoption_summary"
+    )
+
+
+@query
+def w8_stream_dedup(s):
+    """Everything arrives twice; the span of the data is shorter than the delay."""
+    warehouse = _warehouse(s.spark, "repeats", *schemas.LOG_TABLES)
+    arrivals, checkpoint = scratch_path(s.spark, "arrivals"), scratch_path(s.spark, "checkpoint")
+    for _ in range(2):
+        _land(s, s.stream_entries, warehouse, arrivals, checkpoint, typed=False, repeats_within="60 days")
+    return _landed_per_day(warehouse)
+
+
+@query
+def s15_typed_landing(s):
+    warehouse = _warehouse(s.spark, "typed", "usage_events")
+    _run_stream(s, warehouse, halves=2, typed=True)
+    return warehouse.read("usage_events").groupBy("event_date").agg(
+        F.count("*").alias("events"),
+        F.count_if("is_chat").alias("chats"),
+        F.count_if("is_agent").alias("agent_turns"),
+        F.count_if("is_nblm").alias("notebook_turns"),
+        F.count_distinct("agent_id").alias("agents"),
+    )
+
+
 @query
 def w2_stream_creations(s):
     entries = s.creation_entries
@@ -492,10 +584,44 @@ def w4_dedup(s):
 def w5_stream_names(s):
     warehouse = _warehouse(s.spark, "names")
     warehouse.replace(s.agent_directory, "agent_directory")
-    _run_stream(s, warehouse, after_batch=[landing.refresh_names])
+    _run_stream(s, warehouse, after_batch=[landing.refresh_names], halves=2)
     return warehouse.read("agent_directory")
 
 
+# ---- jobs ---------------------------------------------------------------------------------
+def _exports(s) -> jobs.Landing:
+    root = scratch_path(s.spark, "exports")
+    frames = {
+        "engines": s.engines,
+        "assistants": s.assistants,
+        "agents": s.agent_definitions.select("name", "displayName", "draftDisplayName"),
+        "agent_details": s.agent_definitions.drop("engine_name"),
+        "data_stores": s.data_stores,
+        "creation_log": s.creation_entries,
+        "audit_log": s.audit_entries,
+        "activity_log": s.activity_entries,
+        "session_metrics": s.session_metrics,
+    }
+    for name, frame in frames.items():
+        frame.write.option("timestampFormat", MICROS).json(f"{root}/{name}")
+    return jobs.Landing(root)
+
+
+@query
+def j1_backfill(s):
+    warehouse = _warehouse(s.spark, "backfill")
+    jobs.backfill(s.spark, _exports(s), warehouse, ACTIVITY_AS_OF)
+    return adoption_by_period(warehouse.read("usage_events").withColumnRenamed("event_date", "activity_date"))
+
+
+@query
+def j2_nightly(s):
+    warehouse = _warehouse(s.spark, "nightly")
+    warehouse.ensure_tables()
+    warehouse.append(s.assistant_activity, "assistant_activity", "first")
+    return jobs.nightly(s.spark, _exports(s), warehouse, "night")
+
+
 # ---- quality ------------------------------------------------------------------------------
 @query
 def x1_duplicate_agents(s):

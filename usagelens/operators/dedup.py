@@ -1,8 +1,5 @@
 """Repeated log entries: a backfill appends over rows the stream has already written."""
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,34 +11,30 @@ def without_repeats(logs: DataFrame, payload: str) -> DataFrame:
     """One row per log entry; entries without an insertId are all kept.
 
     Copies may differ (a backfilled payload is a reduced one), so the survivor is fixed: the longest
-    payload, then the greatest text. Repeated keys are found first, from the key columns alone; the
-    payloads of entries that occur once are not aggregated, and where repeats are few Spark
-    broadcasts their keys and moves no payload at all. Copies are combined map-side.
+    payload, then the greatest text. One aggregation, combined map-side, and two reads of the log. A
+    log that lies in day partitions needs it only on the days that several loads have written: see
+    ``Warehouse.read_once``.
     """
     identified = logs.filter(F.col("insertId").isNotNull())
     anonymous = logs.filter(F.col("insertId").isNull())
-    repeated = identified.groupBy(*ENTRY_KEY).count().filter(F.col("count") > 1).drop("count")
-    # keys may be NULL in the other two columns
-    same = reduce(
-        and_, [F.col(f"log.{c}").eqNullSafe(F.col(f"repeat.{c}")) for c in ENTRY_KEY]
-    )
-    single = identified.alias("log").join(repeated.alias("repeat"), same, "left_anti")
-    copies = identified.alias("log").join(repeated.alias("repeat"), same, "left_semi")
     others = [c for c in logs.columns if c not in (*ENTRY_KEY, payload)]
     rank = F.struct(F.length(payload).alias("size"), payload, *others)
     kept = (
-        copies.groupBy(*ENTRY_KEY)
+        identified.groupBy(*ENTRY_KEY)
         .agg(F.max(rank).alias("best"))
         .select(*ENTRY_KEY, *[F.col(f"best.{c}").alias(c) for c in (payload, *others)])
     )
-    return single.unionByName(kept).unionByName(anonymous)
+    return kept.unionByName(anonymous)
 
 
 def without_stream_repeats(logs: DataFrame, delay: str = "1 day") -> DataFrame:
-    """The same on a stream: the first copy within ``delay`` of event time wins."""
-    identified = (
-        logs.filter(F.col("insertId").isNotNull())
-        .withWatermark("timestamp", delay)
-        .dropDuplicatesWithinWatermark(ENTRY_KEY)
-    )
-    return identified.unionByName(logs.filter(F.col("insertId").isNull()).withWatermark("timestamp", delay))
+    """The same on a stream: the first copy within ``delay`` of event time wins.
+
+    State is freed once the watermark has passed an entry by ``delay``. The price: identified entries
+    that arrive later than ``delay`` behind the newest one are dropped here. Where they must be kept,
+    land everything and read the landed table through ``Warehouse.read_once``.
+    """
+    # one watermark for both branches: with one each, the slower (often empty) one would hold it back
+    marked = logs.withWatermark("timestamp", delay)
+    identified = marked.filter(F.col("insertId").isNotNull()).dropDuplicatesWithinWatermark(ENTRY_KEY)
+    return identified.unionByName(marked.filter(F.col("insertId").isNull()))

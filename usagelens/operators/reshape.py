@@ -89,10 +89,12 @@ def reshape_audit(entries: DataFrame) -> DataFrame:
         if field.name == "response" or field.name.startswith("@"):
             continue
         if field.name == "request":
+            if isinstance(kind, T.VariantType):
+                value = F.when(~F.is_variant_null(value), value)
             text = value if isinstance(kind, T.StringType) else F.to_json(value)
             parts.append(text.alias("requestJson"))
             continue
-        if field.name == "status" and "details" in kind.fieldNames():
+        if field.name == "status" and isinstance(kind, T.StructType) and "details" in kind.fieldNames():
             kind = T.StructType([f for f in kind.fields if f.name != "details"])
             value = F.when(value.isNotNull(), value.dropFields("details"))
         parts.append(without_keys(value, kind).alias(field.name))

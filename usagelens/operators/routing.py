@@ -18,13 +18,18 @@ def _audit_call(df: DataFrame) -> DataFrame:
 
 
 def target_table(methods: Sequence[str] = C.STREAMED_METHODS) -> Column:
-    """Table of an entry by its log; NULL for entries that are not landed."""
+    """Table of an entry by its log; NULL for entries that are not landed.
+
+    Matching audit calls are landed whatever log they come from; the views read those of the
+    data-access log, the others keep their log name in a table of their own.
+    """
     log = F.col("logName")
     is_call = (F.col("service_name") == C.SERVICE_NAME) & F.col("method_name").isin(*methods)
     return (
         F.when(log.endswith("/logs/" + C.ASSISTANT_LOG), "assistant_activity")
         .when(log.endswith("/logs/" + C.NOTEBOOK_LOG), "notebook_activity")
         .when(log.endswith("/logs/" + C.AUDIT_DATA_LOG) & is_call, "audit_access")
+        .when(is_call, "audit_other")
     )
 
 

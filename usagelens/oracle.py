@@ -205,6 +205,7 @@ def statements() -> dict[str, str]:
     sql.update(_questions())
     sql.update(_streams())
     sql.update(_checks())
+    sql.update(_jobs())
     return sql
 
 
@@ -251,7 +252,12 @@ audit_text AS (
       || CASE WHEN k < 10 THEN 'true' ELSE 'false' END
       || coalesce(',\\"agent\\":\\"' || agent || '\\"', '') || '}}"' ELSE '' END AS request,
     CASE WHEN event_type = 'error' THEN ',"status":{"code":5,"message":"not found"}' ELSE '' END AS status,
-    ',"authorizationInfo":[{"permission":"run"}]' AS grants
+    CASE WHEN k % 3 <> 0 THEN
+      ',"requestJson":"{\\"@type\\":\\"type.example.com/Assist\\",\\"agent_info\\":{'
+      || coalesce('\\"agent\\":\\"' || agent || '\\",', '') || '\\"core_assistant\\":'
+      || CASE WHEN k < 10 THEN 'true' ELSE 'false' END || '}}"' ELSE '' END AS sorted_request,
+    ',"authorizationInfo":[{"permission":"run"}]' AS grants,
+    ',"metadata":{"k":' || k || ',"kind":"m"}' AS more
   FROM ev WHERE event_type IN ('error', 'signup')
 )"""
 
@@ -335,7 +341,7 @@ def _reshaping() -> dict[str, str]:
         "t1_creators": _with(_CREATIONS) + "SELECT * EXCLUDE (o_orderkey) FROM creations",
         "t2_audit_reshape": _with(_EVENTS, _AUDIT_TEXT)
         + f"SELECT {_LOG}, 'projects/p1/logs/cloudaudit.googleapis.com%2Fdata_access' AS \"logName\","
-        " head || request || status || grants || '}' AS protopayload_auditlog FROM audit_text",
+        " head || request || status || grants || more || '}' AS protopayload_auditlog FROM audit_text",
         "t3_activity_projection": _with(_EVENTS, _ACTIVITY_TEXT)
         + f"SELECT {_LOG}, 'projects/p1/logs/discoveryengine.googleapis.com%2Fgemini_enterprise_user_activity'"
         " AS \"logName\", payload AS \"jsonPayload\" FROM activity_text",
@@ -401,9 +407,9 @@ def _sources() -> dict[str, str]:
         + "SELECT * EXCLUDE (o_orderkey) FROM creations WHERE o_orderkey % 8 <> 0"
         " AND timestamp >= DATE '2001-08-02' - INTERVAL 365 DAY AND timestamp < DATE '2001-08-03'",
         "s2_audit_scan": _with(_EVENTS, _AUDIT_TEXT)
-        # the declared payload schema puts the grants first
+        # the declared payload schema puts the grants first, undeclared fields follow
         + "SELECT ts AS timestamp, CAST(event_id AS VARCHAR) AS \"insertId\","
-        " head || grants || status || request || '}' AS protopayload_auditlog FROM audit_text"
+        " head || grants || status || sorted_request || more || '}' AS protopayload_auditlog FROM audit_text"
         " WHERE day >= DATE '2024-01-21'",
         "s3_activity_scan": _with(_EVENTS, _ACTIVITY_TEXT)
         + "SELECT ts AS timestamp, CAST(event_id AS VARCHAR) AS \"insertId\", payload AS \"jsonPayload\""
@@ -512,12 +518,25 @@ def _questions() -> dict[str, str]:
 
 def _streams() -> dict[str, str]:
     routed = "routed AS (SELECT * FROM ev WHERE event_type NOT IN ('error', 'signup') OR event_id % 9 <> 0)"
+    # audit calls of the admin log are landed, but no view reads them
+    viewed = "routed AS (SELECT * FROM ev WHERE event_type NOT IN ('error', 'signup') OR event_id % 9 > 1)"
     from_routed = _NORMALIZED.replace("FROM ev ", "FROM routed ")
+    landed = _with(_EVENTS, routed) + (
+        "SELECT day AS event_date, count(*) AS records, CASE WHEN event_type IN ('error', 'signup')"
+        " THEN CASE WHEN event_id % 9 = 1 THEN 'audit_other' ELSE 'audit_access' END"
+        " WHEN event_type = 'purchase' THEN 'notebook_activity'"
+        " ELSE 'assistant_activity' END AS landed_in FROM routed GROUP BY 1, 3"
+    )
     return {
-        "w1_stream_routing": _with(_EVENTS, routed)
-        + "SELECT day AS event_date, count(*) AS records, CASE WHEN event_type IN ('error', 'signup')"
-        " THEN 'audit_access' WHEN event_type = 'purchase' THEN 'notebook_activity'"
-        " ELSE 'assistant_activity' END AS landed_in FROM routed GROUP BY 1, 3",
+        "w1_stream_routing": landed,
+        "w6_two_streams": landed,
+        "w8_stream_dedup": landed,
+        "w7_view_follows_landing": _with(_EVENTS, viewed, from_routed, _adoption())
+        + "SELECT time_period, total_active_users, distinct_agents_used, agent_pct FROM summary",
+        "s15_typed_landing": _with(_EVENTS, viewed, from_routed)
+        + "SELECT activity_date AS event_date, count(*) AS events, count(*) FILTER (WHERE is_chat) AS chats,"
+        " count(*) FILTER (WHERE is_agent) AS agent_turns, count(*) FILTER (WHERE is_nblm) AS notebook_turns,"
+        " count(DISTINCT agent_id) AS agents FROM norm GROUP BY 1",
         "w2_stream_creations": _with(_CREATIONS)
         + "SELECT c.timestamp, CASE WHEN engine_call THEN 'google.cloud.discoveryengine.v1.EngineService.CreateEngine'"
         " ELSE 'google.cloud.discoveryengine.v1main.AgentService.CreateAgent' END AS method_name,"
@@ -527,7 +546,7 @@ def _streams() -> dict[str, str]:
         " CASE WHEN NOT engine_call THEN engine_id END AS engine_id,"
         " CASE WHEN NOT engine_call THEN display_name END AS display_name"
         " FROM (SELECT *, o_orderkey % 8 = 0 AS engine_call FROM creations) c",
-        "w3_incremental_adoption": _with(_EVENTS, routed, from_routed, _adoption()) + "SELECT * FROM summary",
+        "w3_incremental_adoption": _with(_EVENTS, viewed, from_routed, _adoption()) + "SELECT * FROM summary",
         "w4_dedup": _with(_EVENTS)
         + "SELECT day AS event_date,"
         " count(*) + count(*) FILTER (WHERE event_id % 3 = 0 AND event_id % 10 = 1) AS records,"
@@ -538,6 +557,37 @@ def _streams() -> dict[str, str]:
     }
 
 
+def _jobs() -> dict[str, str]:
+    # a backfilled request is text, so an assistant call of the audit log names no agent
+    backfilled = f"""
+norm AS (
+  SELECT principal AS user_email, day AS activity_date, event_type = 'signup' AS is_chat, FALSE AS is_agent,
+    event_type = 'error' AS is_nblm, NULL AS agent_id
+  FROM ev WHERE event_type IN ('error', 'signup') AND principal IS NOT NULL
+  UNION ALL
+  SELECT principal, day, resp IS NULL, resp IS NOT NULL AND resp NOT IN {_SYSTEM}, FALSE,
+    CASE WHEN agent IN {_SYSTEM} THEN NULL ELSE agent END
+  FROM ev WHERE event_type IN ('view', 'click') AND principal IS NOT NULL
+)"""
+    return {
+        "j1_backfill": _with(_EVENTS, backfilled, _adoption()) + "SELECT * FROM summary",
+        "j2_nightly": _with(_EVENTS, _DEFINITIONS)
+        + "SELECT (SELECT count(*) FROM light) AS agents_synced, (SELECT count(DISTINCT agent) FROM ev"
+        f" WHERE event_type IN ('view', 'click') AND resp_name IS NOT NULL AND agent NOT IN {_SYSTEM})"
+        " AS names_reconciled, (SELECT count(*) FROM orders) AS metric_rows",
+        "s4_empty_keeps_table": _with(_DIRECTORY) + "SELECT * FROM dir",
+        "s6_rejected_lines": "SELECT 'activity_log' AS source, count(*) AS lines FROM events"
+        " WHERE event_type IN ('view', 'click') AND bit_count(event_id) = 1",
+        "s11_old_files": _with(_DIRECTORY)
+        + "SELECT * REPLACE (CASE WHEN length(agent_id) % 2 = 0 THEN NULL ELSE sub_agents END AS sub_agents,"
+        " CASE WHEN length(agent_id) % 2 = 0 THEN NULL ELSE datastore_ids END AS datastore_ids) FROM dir",
+        "o5_newest": _with(_CREATIONS)
+        + "SELECT * EXCLUDE (o_orderkey) FROM creations WHERE o_orderkey % 8 <> 0"
+        " AND timestamp >= DATE '2001-08-02' - INTERVAL 365 DAY AND timestamp < DATE '2001-08-03'"
+        " ORDER BY timestamp DESC, CAST(o_orderkey AS VARCHAR) LIMIT 25",
+    }
+
+
 def _checks() -> dict[str, str]:
     diffs = ", ".join(
         f"coalesce(s.{name}, 0) - coalesce(b.{name}, 0) AS {name}_diff"

@@ -14,12 +14,12 @@ from usagelens.operators.definitions import (
     flatten_definitions_light,
     list_agents,
 )
-from usagelens.operators.directory import harvest_names, reconcile_names, upsert_definitions
+from usagelens.operators.directory import harvest_names, upsert_definitions
 from usagelens.operators.reshape import extract_creators, project_activity, reshape_audit
-from usagelens.operators.turns import assistant_turns, audit_turns, notebook_turns
+from usagelens.operators.turns import assistant_turns, audit_turns, normalize_events, notebook_turns
 from usagelens.session import materialized
 from usagelens.sources import logs
-from usagelens.sources.tables import Warehouse, load_with_bad_budget, write_if_any
+from usagelens.sources.tables import Warehouse, load_with_bad_budget
 
 
 @dataclass(frozen=True)
@@ -46,16 +46,26 @@ def full_directory(spark: SparkSession, landing: Landing) -> DataFrame:
     )
 
 
-def reconcile_directory(warehouse: Warehouse, turns: DataFrame | None = None) -> int:
-    """Names from the assistant log into the directory; returns the number of agents offered.
+def reconcile_directory(warehouse: Warehouse, load_id: str, turns: DataFrame | None = None) -> int:
+    """Harvest the names of loads that have not been harvested; returns the number of agents offered.
 
-    ``turns`` is the log to read, e.g. its typed copy or its latest days; by default the whole raw
-    table. It is read once.
+    ``turns`` are the rows to read instead, e.g. typed ones. Names lie beside the directory and are
+    resolved when it is read. A load is remembered by a row without agent that carries its id.
     """
-    log = warehouse.read("assistant_activity") if turns is None else turns
-    names = materialized(harvest_names(log), "names")
-    warehouse.replace(reconcile_names(warehouse.read("agent_directory"), names), "agent_directory")
-    return names.select("agent_id").distinct().count()
+    seen = warehouse.parts("agent_names_seen")
+    if turns is None:
+        done = seen.selectExpr("load_id").union(seen.filter("agent_id IS NULL").selectExpr("display_name AS load_id"))
+        fresh = warehouse.parts("assistant_activity").join(done.distinct(), "load_id", "left_anti")
+        marks = fresh.select("load_id").distinct().selectExpr(
+            "CAST(NULL AS STRING) AS agent_id", "load_id AS display_name", "CAST(NULL AS STRING) AS agent_type",
+            "CAST(NULL AS TIMESTAMP) AS last_logged",
+        )
+        names = harvest_names(fresh.drop("load_id")).unionByName(marks)
+    else:
+        names = harvest_names(turns)
+    names = materialized(names, "names")
+    warehouse.append(names, "agent_names_seen", load_id)
+    return warehouse.parts("agent_names_seen").select("agent_id").filter("agent_id IS NOT NULL").distinct().count()
 
 
 def append_metrics(
@@ -76,6 +86,7 @@ def backfill(
     engine_spec: str = "ALL",
     lookback_days: int = C.LOOKBACK_DAYS,
     max_bad: int = C.BAD_RECORD_BUDGET,
+    max_bad_share: float = 0.0,
     load_id: str = "backfill",
     gather: bool = True,
 ) -> None:
@@ -92,19 +103,22 @@ def backfill(
     )
     warehouse.replace_if_any(extract_creators(creations), "agent_creators")
 
-    audit, _ = load_with_bad_budget(spark, landing.path("audit_log"), schemas.AUDIT_ENTRY, max_bad)
+    path = landing.path("audit_log")
+    audit, torn = load_with_bad_budget(spark, path, logs.audit_schema(spark, path), max_bad, max_bad_share)
+    warehouse.reject(torn, "audit_log", load_id)
     audit = reshape_audit(logs.select_audit_log(audit, as_of, lookback_days))
-    write_if_any(audit, lambda rows: warehouse.append(rows, "audit_access", load_id, gather))
+    warehouse.append(audit, "audit_access", load_id, gather)
 
-    activity, _ = load_with_bad_budget(
-        spark, landing.path("activity_log"), schemas.ACTIVITY_ENTRY, max_bad
-    )
+    path = landing.path("activity_log")
+    activity, torn = load_with_bad_budget(spark, path, schemas.ACTIVITY_ENTRY, max_bad, max_bad_share)
+    warehouse.reject(torn, "activity_log", load_id)
     activity = project_activity(logs.select_activity_log(activity, as_of, lookback_days))
-    write_if_any(
-        activity, lambda rows: warehouse.append(rows, "assistant_activity", load_id, gather)
-    )
+    warehouse.append(activity, "assistant_activity", load_id, gather)
 
-    reconcile_directory(warehouse)
+    # what has just been landed, parsed once more into the columns that views read
+    events = normalize_events(audit, activity, activity.limit(0))
+    warehouse.append(events.withColumnRenamed("activity_date", "event_date"), "usage_events", load_id, gather)
+    warehouse.append(harvest_names(activity), "agent_names_seen", load_id)
     append_metrics(spark, landing, warehouse, engine_spec, load_id)
 
 
@@ -120,7 +134,7 @@ def nightly(
 
     ``load_id`` names the night, so that a repeated run does not add its metrics twice. Agents
     outside ``engine_spec`` are left alone, in the definitions and in the metrics. ``turns`` replaces
-    the raw assistant log as the source of names, see ``reconcile_directory``.
+    the loads that have not been harvested as the source of names, see ``reconcile_directory``.
     """
     warehouse.ensure_tables()
     documents = logs.read_json(spark, landing.path("agent_details"), schemas.AGENT_DEFINITION)
@@ -128,9 +142,8 @@ def nightly(
     updates = materialized(flatten_definitions_light(selected), "definitions")
     synced = updates.count()
     if synced:
-        directory = upsert_definitions(warehouse.read("agent_directory"), updates)
-        warehouse.replace(directory, "agent_directory")
-    reconciled = reconcile_directory(warehouse, turns)
+        warehouse.update("agent_directory", lambda current: upsert_definitions(current, updates))
+    reconciled = reconcile_directory(warehouse, f"{load_id}-names", turns)
     metric_rows = append_metrics(spark, landing, warehouse, engine_spec, load_id)
     return spark.createDataFrame(
         [(synced, reconciled, metric_rows)],

@@ -57,7 +57,7 @@ def users_of(events: DataFrame, features: tuple[str, ...]) -> DataFrame:
     )
     for name in features:
         totals = totals.filter(F.col(f"{name}_days") > 0)
-    return totals.orderBy("user_email")
+    return totals
 
 
 def exclusive_segments(events: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def creator_agents(attribution: DataFrame) -> DataFrame:
     """Creators and the agents they built, one row per creator and agent."""
     return attribution.groupBy("creator_email", "agent_id", "display_name").agg(
         F.min("creation_time").alias("first_created")
-    ).orderBy("creator_email", "agent_id", "display_name")
+    )
 
 
 def top_creators(attribution: DataFrame, k: int = 5) -> DataFrame:
@@ -118,8 +118,12 @@ def agent_profile(attribution: DataFrame, name: str) -> DataFrame:
 
 
 def recent_agents(attribution: DataFrame, as_of: str, days: int = 7) -> DataFrame:
-    """Agents created in the last ``days`` days."""
-    return attribution.filter(in_last_days(F.to_date("creation_time"), as_of, days))
+    """Agents created in the last ``days`` days; a range of instants, which Parquet can skip by."""
+    last = F.lit(as_of).cast("date")
+    created = F.col("creation_time")
+    return attribution.filter(
+        (created >= F.date_sub(last, days - 1).cast("timestamp")) & (created < F.date_add(last, 1).cast("timestamp"))
+    )
 
 
 def top_agents(leaderboard: DataFrame, k: int = 5) -> DataFrame:
@@ -144,7 +148,6 @@ def idle_agents(directory: DataFrame, turns: DataFrame, as_of: str, days: int =
             F.coalesce(non_empty(F.col("display_name")), F.col("agent_id")).alias("display_name"),
             "agent_type",
         )
-        .orderBy("agent_id")
     )
 
 
@@ -197,7 +200,6 @@ def user_agent_history(events: DataFrame, directory: DataFrame, user_email: str
             "first_used",
             "last_used",
         )
-        .orderBy("user_email", F.desc("active_days"), "agent_id")
     )
 
 

@@ -3,14 +3,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens import constants as C
 from usagelens.functions.columns import non_empty
 from usagelens.operators.adoption import feature_counts, user_flags, with_shares
 from usagelens.operators.turns import agent_turns, engine_turns
 
 
-def base_adoption(base_events: DataFrame, rows: int | None = C.ADOPTION_ROWS) -> DataFrame:
-    """Daily adoption from the activity logs, the newest ``rows`` days."""
+def base_adoption(base_events: DataFrame, rows: int | None = None) -> DataFrame:
+    """Daily adoption from the activity logs, newest first; only the newest ``rows`` days if given."""
     counts = (
         user_flags(base_events, "activity_date")
         .groupBy("activity_date")
@@ -89,9 +88,9 @@ def engine_adoption(assistant: DataFrame) -> DataFrame:
     )
 
 
-def latest_adoption(summary: DataFrame, rows: int = C.ADOPTION_ROWS) -> DataFrame:
-    """The newest periods of the summary view, in the columns reports show."""
-    return (
+def latest_adoption(summary: DataFrame, rows: int | None = None) -> DataFrame:
+    """The summary view in the columns reports show, newest first; only ``rows`` periods if given."""
+    ordered = (
         summary.select(
             "time_period",
             "total_active_users",
@@ -108,8 +107,8 @@ def latest_adoption(summary: DataFrame, rows: int = C.ADOPTION_ROWS) -> DataFram
             "all_three_pct",
         )
         .orderBy(F.desc("time_period"))
-        .limit(rows)
     )
+    return ordered if rows is None else ordered.limit(rows)
 
 
 def user_active_days(ledger: DataFrame) -> DataFrame:

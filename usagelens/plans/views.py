@@ -4,10 +4,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens import constants as C
-from usagelens.functions.columns import engine_of, last_segment, non_empty
+from usagelens.functions.columns import engine_of, last_segment, non_empty, share, sql_in
 from usagelens.functions.json_scalar import scalar_text
-from usagelens.operators.adoption import adoption_by_period, user_ledger
+from usagelens.operators.adoption import FEATURES, adoption_by_period, user_ledger
 from usagelens.operators.turns import normalize_events
+from usagelens.sources.tables import Warehouse
 
 
 def agent_leaderboard(metrics: DataFrame, directory: DataFrame) -> DataFrame:
@@ -94,7 +95,10 @@ def creator_attribution(creators: DataFrame, directory: DataFrame) -> DataFrame:
 
 
 def register_views(tables: dict[str, DataFrame], decode_embedded_json: bool = False) -> None:
-    """Register (or replace) the four views under the names their users query."""
+    """Register (or replace) the four views over given DataFrames, as they are now.
+
+    For views that follow a warehouse see ``register_live``.
+    """
     events = normalize_events(
         tables["audit_access"],
         tables["assistant_activity"],
@@ -112,6 +116,100 @@ def register_views(tables: dict[str, DataFrame], decode_embedded_json: bool = Fa
         view.createOrReplaceTempView(C.VIEW_NAMES[name])
 
 
+def register_live(warehouse: Warehouse) -> None:
+    """Register the four views over a warehouse once; every query sees what has landed by then.
+
+    The views are SQL text over the folders. Spark resolves the text, and with it the list of files,
+    each time a view is used, in contrast to a registered DataFrame, which keeps the files of the moment
+    it was made. Events come from the typed columns that loads write, so no payload is parsed, and a
+    range of days reads only its partitions. Needs ``ensure_tables``.
+    """
+    spark, root = warehouse.spark, warehouse.root.rstrip("/")
+
+    def view(name: str, text: str) -> None:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS {text}")
+
+    def snapshot(table: str) -> str:
+        newest = f"SELECT max_by(version, number) FROM parquet.`{root}/snapshot_pointers/table={table}`"
+        return f"SELECT * FROM parquet.`{root}/{table}` WHERE CAST(version AS STRING) = ({newest})"
+
+    view(
+        "usagelens_events",
+        "SELECT user_email, CAST(event_date AS DATE) AS activity_date, is_chat, is_agent, is_nblm, agent_id"
+        f" FROM parquet.`{root}/usage_events`",
+    )
+    placeholders = f"(display_name IS NULL OR display_name IN {sql_in(C.PLACEHOLDER_NAMES)})"
+    view(
+        "usagelens_directory",
+        f"""
+        WITH stored AS ({snapshot("agent_directory")}), names AS (
+          SELECT agent_id, max(struct(last_logged, display_name, agent_type)) AS best
+          FROM parquet.`{root}/agent_names_seen` WHERE agent_id IS NOT NULL GROUP BY agent_id)
+        SELECT s.agent_id, IF(n.agent_id IS NOT NULL AND {placeholders}, n.best.display_name, s.display_name) AS display_name,
+               engine_id, description, system_instructions,
+               IF(n.agent_id IS NOT NULL AND {placeholders}, n.best.agent_type, s.agent_type) AS agent_type
+        FROM stored s LEFT JOIN names n ON s.agent_id = n.agent_id
+        UNION ALL
+        SELECT n.agent_id, n.best.display_name, NULL, NULL, NULL, n.best.agent_type
+        FROM names n LEFT ANTI JOIN stored s ON s.agent_id = n.agent_id""",
+    )
+    flags = {"used_chat": "is_chat", "used_agents": "is_agent", "used_notebooklm": "is_nblm"}
+    folded = ", ".join(f"bool_or({event}) AS {flag}" for flag, event in flags.items())
+    refolded = ", ".join(f"bool_or({flag}) AS {flag}" for flag in flags)
+    view(
+        C.VIEW_NAMES["user_ledger"],
+        f"""
+        SELECT user_email, activity_date, {refolded}, array_sort(collect_list(agent_id)) AS agent_ids_used
+        FROM (SELECT user_email, activity_date, agent_id, {folded} FROM usagelens_events GROUP BY ALL)
+        GROUP BY user_email, activity_date""",
+    )
+    counts = ", ".join(
+        f"count_if(user_email IS NOT NULL AND {' AND '.join(needed)}) AS {name}_users" for name, needed in FEATURES.items()
+    )
+    shares = ", ".join(
+        f"{name}_users, {share(f'{name}_users', 'total_active_users')} AS {name}_pct"
+        + (", distinct_agents_used" if name == "agent" else "")
+        for name in FEATURES
+    )
+    view(
+        C.VIEW_NAMES["adoption_summary"],
+        f"""
+        SELECT time_period, total_active_users, {shares} FROM (
+          SELECT activity_date AS time_period, count(user_email) AS total_active_users, {counts},
+                 count(agent_id) AS distinct_agents_used
+          FROM (SELECT activity_date, user_email, agent_id, {folded} FROM usagelens_events
+                GROUP BY GROUPING SETS ((activity_date, user_email), (activity_date, agent_id)))
+          GROUP BY activity_date)
+        ORDER BY time_period DESC""",
+    )
+    view(
+        C.VIEW_NAMES["agent_leaderboard"],
+        f"""
+        WITH folded AS (
+          SELECT substring_index(agent_name, '/', -1) AS agent_id,
+                 nullif(regexp_extract(agent_name, 'engines/([^/]+)', 1), '') AS path_engine,
+                 sum(agent_session_count) AS total_sessions, max(monthly_agent_active_user_count) AS monthly_users,
+                 min(date) AS first_active_date, max(date) AS last_active_date
+          FROM parquet.`{root}/agent_session_metrics` GROUP BY 1, 2)
+        SELECT f.agent_id, coalesce(nullif(d.display_name, ''), f.agent_id) AS display_name,
+               coalesce(nullif(d.engine_id, ''), path_engine, '{C.DEFAULT_ENGINE}') AS engine_id,
+               sum(total_sessions) AS total_sessions, max(monthly_users) AS monthly_users,
+               min(first_active_date) AS first_active_date, max(last_active_date) AS last_active_date
+        FROM folded f LEFT JOIN usagelens_directory d ON f.agent_id = d.agent_id
+        GROUP BY 1, 2, 3""",
+    )
+    view(
+        C.VIEW_NAMES["creator_attribution"],
+        f"""
+        SELECT c.creator_email, c.timestamp AS creation_time, c.agent_id,
+               coalesce(nullif(d.engine_id, ''), nullif(c.engine_id, ''), '{C.DEFAULT_ENGINE}') AS engine_id,
+               coalesce(nullif(d.display_name, ''), c.agent_id) AS display_name,
+               d.agent_type, d.description, d.system_instructions
+        FROM ({snapshot("agent_creators")}) c LEFT JOIN usagelens_directory d ON c.agent_id = d.agent_id
+        ORDER BY creation_time DESC, agent_id, creator_email""",
+    )
+
+
 def register_tables(tables: dict[str, DataFrame]) -> None:
     """Register the base tables under the names existing queries use, and ``json_value``.
 

@@ -12,12 +12,23 @@ def parsed(ddl: str) -> T.StructType:
 
 
 # ---- tables ---------------------------------------------------------------
+# fixed values: column and payload field names are those of the published logs and definitions
 # Log payloads rest as JSON text; event_date and load_id are landing partitions.
 _LOG = "timestamp timestamp, logName string, insertId string, severity string"
 _LANDING = "event_date date, load_id string"
 ASSISTANT_ACTIVITY = f"{_LOG}, jsonPayload string, {_LANDING}"
 NOTEBOOK_ACTIVITY = ASSISTANT_ACTIVITY
 AUDIT_ACCESS = f"{_LOG}, protopayload_auditlog string, {_LANDING}"
+# normalised events, written with the load that brought them
+USAGE_EVENTS = (
+    "user_email string, is_chat boolean, is_agent boolean, is_nblm boolean, agent_id string,"
+    f" {_LANDING}"
+)
+# names that the assistant log has offered for agents, one row per load and name
+AGENT_NAMES_SEEN = (
+    "agent_id string, display_name string, agent_type string, last_logged timestamp, load_id string"
+)
+REJECTED_LINES = "line string, source string, load_id string"
 # all log tables share one landing folder, so that a mixed batch is one write
 LANDED_LOG = (
     f"{_LOG}, jsonPayload string, protopayload_auditlog string, table string, {_LANDING}"
@@ -46,14 +57,18 @@ CREATION_EVENTS = (
 )
 USER_LEDGER = (
     "user_email string, used_chat boolean, used_agents boolean, used_notebooklm boolean,"
-    " agent_ids_used array<string>, activity_date date"
+    " agent_ids_used array<string>, activity_date date, load_id string"
 )
 
-LOG_TABLES = ("assistant_activity", "notebook_activity", "audit_access")
+LOG_TABLES = ("assistant_activity", "notebook_activity", "audit_access", "audit_other")
 APPEND_TABLES = {
     "assistant_activity": ASSISTANT_ACTIVITY,
     "notebook_activity": NOTEBOOK_ACTIVITY,
     "audit_access": AUDIT_ACCESS,
+    "audit_other": AUDIT_ACCESS,
+    "usage_events": USAGE_EVENTS,
+    "agent_names_seen": AGENT_NAMES_SEEN,
+    "rejected_lines": REJECTED_LINES,
     "agent_session_metrics": f"{SESSION_METRICS}, load_id string",
     "creation_events": CREATION_EVENTS,
     "user_ledger": USER_LEDGER,
@@ -62,10 +77,14 @@ PARTITIONS = {
     "assistant_activity": ["event_date", "load_id"],
     "notebook_activity": ["event_date", "load_id"],
     "audit_access": ["event_date", "load_id"],
+    "audit_other": ["event_date", "load_id"],
+    "usage_events": ["event_date", "load_id"],
+    "agent_names_seen": ["load_id"],
+    "rejected_lines": ["source", "load_id"],
     "agent_session_metrics": ["load_id"],
     # creations are few per day; day folders would hold next to nothing
     "creation_events": ["load_id"],
-    "user_ledger": ["activity_date"],
+    "user_ledger": ["activity_date", "load_id"],
 }
 SNAPSHOT_TABLES = {
     "agent_directory": AGENT_DIRECTORY,

@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import re
 import tempfile
 import uuid
 
@@ -42,13 +43,25 @@ def local_session(
     return builder.getOrCreate()
 
 
+def is_one_process(master: str) -> bool:
+    """``local`` and ``local[n]``, not ``local-cluster``."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Only where no folder is configured (tests) a temporary one is made, once per session.
+    Without one, a temporary folder is made once per session, but only where all tasks run in this
+    process; on a cluster every executor would write to a disk of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_SCRATCH, None)
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get(_OWN_SCRATCH, None)
+    )
     if not root:
+        if not is_one_process(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="usagelens-")
         spark.conf.set(_OWN_SCRATCH, root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType, VariantType
 
 from usagelens import constants as C
 from usagelens import schemas
@@ -63,7 +64,7 @@ def select_activity_log(
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: str | None, multi_line: bool = False
+    spark: SparkSession, path: str, schema: str | StructType | None, multi_line: bool = False
 ) -> DataFrame:
     """Landed JSON: one entry per line (splittable), or arrays with ``multi_line``.
 
@@ -77,14 +78,43 @@ def read_creation_log(spark: SparkSession, path: str, as_of: str, multi_line: bo
     return select_creation_log(read_json(spark, path, schemas.CREATION_ENTRY, multi_line), as_of, **limits)
 
 
+def audit_schema(spark: SparkSession, path: str, multi_line: bool = False) -> StructType:
+    """Entry schema with every payload field that the files hold, declared or not.
+
+    Declared fields come first and keep their types; what else occurs is inferred, in one pass over the
+    files. ``request`` is read as a variant: it is passed on as text, in compact form.
+    """
+    declared = schemas.parsed(schemas.AUDIT_ENTRY)
+    seen = read_json(spark, path, None, multi_line).schema
+    payload = declared["protoPayload"].dataType
+    if "protoPayload" in seen.fieldNames():
+        payload = _widened(payload, seen["protoPayload"].dataType)
+    fields = [StructField(f.name, VariantType()) if f.name == "request" else f for f in payload.fields]
+    return StructType([StructField(f.name, StructType(fields)) if f.name == "protoPayload" else f for f in declared.fields])
+
+
+def _widened(declared: DataType, seen: DataType) -> DataType:
+    """The declared type plus the record fields that only the data has, at any depth."""
+    if isinstance(declared, ArrayType) and isinstance(seen, ArrayType):
+        return ArrayType(_widened(declared.elementType, seen.elementType))
+    if not (isinstance(declared, StructType) and isinstance(seen, StructType)):
+        return declared
+    known = declared.fieldNames()
+    found = {f.name: f for f in seen.fields}
+    kept = [StructField(f.name, _widened(f.dataType, found[f.name].dataType) if f.name in found else f.dataType) for f in declared.fields]
+    return StructType(kept + [f for f in seen.fields if f.name not in known])
+
+
 def read_audit_log(
     spark: SparkSession,
     path: str,
     as_of: str,
     multi_line: bool = False,
-    schema: str | None = schemas.AUDIT_ENTRY,
+    schema: str | StructType | None = None,
     **limits,
 ):
+    """Without a schema the whole payload is read, see ``audit_schema``."""
+    schema = audit_schema(spark, path, multi_line) if schema is None else schema
     return select_audit_log(read_json(spark, path, schema, multi_line), as_of, **limits)
 
 
@@ -98,11 +128,16 @@ def read_session_metrics(spark: SparkSession, path: str, file_format: str = "jso
 
 
 def filter_engines(df: DataFrame, spec: str | None, engine: Column) -> DataFrame:
-    """Keep the engines of a comma list; ``ALL``, ``AUTO``, ``*`` and an empty list keep everything."""
+    """Keep the engines of a comma list; ``ALL``, ``AUTO``, ``*`` and an empty text keep everything.
+
+    A list without any name in it is an error, not every engine.
+    """
     text = (spec or "").strip()
-    names = [name.strip() for name in text.split(",") if name.strip()]
-    if not names or text.upper() in C.ALL_ENGINES:
+    if not text or text.upper() in C.ALL_ENGINES:
         return df
+    names = [name.strip() for name in text.split(",") if name.strip()]
+    if not names:
+        raise ValueError(f"no engine in {spec!r}")
     return df.filter(engine.isin(names))
 
 

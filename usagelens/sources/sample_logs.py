@@ -115,14 +115,18 @@ class SampleLogs:
 
     @property
     def stream_entries(self) -> DataFrame:
-        """All logs as entries of one stream; every ninth audit entry calls an unrouted method."""
+        """All logs as entries of one stream.
+
+        Of nine audit entries, one calls an unrouted method and one comes from the admin log.
+        """
         method = (
             "IF(event_id % 9 = 0, 'google.cloud.discoveryengine.v1.SourceService.CreateSource',"
             f" {_AUDIT_METHOD})"
         )
         return self.flat_events.selectExpr(
             "timestamp",
-            f"""CASE WHEN {_IS_AUDIT} THEN '{LOG_PREFIX}{C.AUDIT_DATA_LOG}'
+            f"""CASE WHEN {_IS_AUDIT} AND event_id % 9 = 1 THEN '{LOG_PREFIX}{C.AUDIT_ADMIN_LOG}'
+                     WHEN {_IS_AUDIT} THEN '{LOG_PREFIX}{C.AUDIT_DATA_LOG}'
                      WHEN {_IS_NOTEBOOK} THEN '{LOG_PREFIX}{C.NOTEBOOK_LOG}'
                      ELSE '{LOG_PREFIX}{C.ASSISTANT_LOG}' END AS logName""",
             "CAST(event_id AS STRING) AS insertId",
@@ -220,7 +224,8 @@ class SampleLogs:
               struct(true AS ok) AS response,
               IF(event_type = 'error',
                  struct(5 AS code, 'not found' AS message, array('detail') AS details), NULL) AS status,
-              array(struct('run' AS permission, 'y' AS `@grant`)) AS authorizationInfo
+              array(struct('run' AS permission, 'y' AS `@grant`)) AS authorizationInfo,
+              struct(k AS k, 'm' AS kind) AS metadata
             ) AS protoPayload""",
         )
 
