@@ -132,5 +132,7 @@ def test_copies_of_one_entry(spark):
     )
     with settings(spark, LARGE):
         df = without_repeats(logs, "jsonPayload")
-        assert "skew=true" in executed_plan(df)
+        # the copies are combined before they are shuffled, so there is nothing to split
+        text = executed_plan(df)
+        assert "partial_max" in text and "Join" not in text
         assert df.count() == N - N // 3 + 1

@@ -145,10 +145,8 @@ def nightly(
         warehouse.update("agent_directory", lambda current: upsert_definitions(current, updates))
     reconciled = reconcile_directory(warehouse, f"{load_id}-names", turns)
     metric_rows = append_metrics(spark, landing, warehouse, engine_spec, load_id)
-    return spark.createDataFrame(
-        [(synced, reconciled, metric_rows)],
-        "agents_synced bigint, names_reconciled bigint, metric_rows bigint",
-    )
+    counts = {"agents_synced": synced, "names_reconciled": reconciled, "metric_rows": metric_rows}
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
 
 
 def refresh_turns(warehouse: Warehouse, root: str, days: list | None = None) -> dict[str, DataFrame]:

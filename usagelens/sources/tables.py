@@ -151,7 +151,7 @@ class Warehouse:
     def _publish(self, table: str, version: str, base: int) -> None:
         if self.current(table)[0] != base:
             raise ConcurrentReplace(f"{table} is not at version {base} any more")
-        pointer = self.spark.createDataFrame([(version,)], "version string").coalesce(1)
+        pointer = self.spark.range(1).select(F.lit(version).alias("version")).coalesce(1)
         try:
             pointer.write.mode("errorifexists").parquet(f"{self._pointers(table)}/number={base + 1}")
         except AnalysisException as error:
@@ -188,7 +188,7 @@ class Warehouse:
     def _version(self, table: str, version: str | None) -> DataFrame:
         schema = schemas.SNAPSHOT_TABLES[table]
         if version is None:
-            return self.spark.createDataFrame([], schema)
+            return self._empty(schema)
         return self.spark.read.schema(schema).parquet(f"{self.path(table)}/version={version}")
 
     def read(self, table: str) -> DataFrame:

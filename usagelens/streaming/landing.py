@@ -48,7 +48,7 @@ def stream_identity(spark: SparkSession, checkpoint: str) -> str:
         if not has_condition(error, "PATH_NOT_FOUND"):
             raise
     identity = uuid.uuid4().hex[:16]
-    spark.createDataFrame([(identity,)], "value string").coalesce(1).write.text(path)
+    spark.range(1).select(F.lit(identity).alias("value")).coalesce(1).write.text(path)
     return identity
 
 
