@@ -1,0 +1,81 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from usagelens.llm import topk
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def vectors(seed=1, n=700, dim=12):
+    draw = random.Random(seed)
+    out = [(i, [draw.gauss(0, 0.5) for _ in range(dim)], i % 3) for i in range(n)]
+    out += [(1000 + i, [1.0] * dim, 0) for i in range(300)]  # one very common vector
+    out += [
+        (2000, None, 0), (2100, [0.1, None, 0.2], 0), (2200, [float("nan")] * dim, 0), (2300, [float("inf"), 1.0], 0),
+        (2400, [], 1), (2500, [0.5, 0.5], 1), (2600, [-0.001] * dim, None), (None, [0.3] * dim, 2),
+        (300, out[300][1], 0), (300, out[300][1], 0),
+    ]
+    return out
+
+
+def brute_force(rows, k=10):
+    import numpy as np
+
+    usable = []
+    for vec_id, v, _ in rows:
+        if v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        usable.append((vec_id, [math.floor(1024 * float(np.float32(x))) for x in v]))
+    out = []
+    for i, (q, a) in enumerate(usable):
+        if q is None or q % 100:
+            continue
+        scores = [(-sum(x * y for x, y in zip(a, b, strict=False)), math.inf if c is None else c) for j, (c, b) in enumerate(usable) if j != i]
+        out += [(q, rank, None if c == math.inf else c, -s) for rank, (s, c) in enumerate(sorted(scores)[:k], 1)]
+    return Counter(out)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(spark, seed, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD", 90)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    df = frame(spark, vectors(seed)).withColumn("row", F.lit("x")).withColumn("shard", F.lit("y")).withColumn("terms", F.lit(1))
+    got = topk.nearest_embeddings(df).collect()
+    assert Counter((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == brute_force(vectors(seed))
+
+
+def test_fewer_than_k_and_empty(spark):
+    few = [(100, [1.0], 0), (1, [2.0], 0), (2, [-1.0], 0)]
+    got = topk.nearest_embeddings(frame(spark, few)).collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 1, 1024 * 2048), (2, 2, -1024 * 1024)]
+    assert topk.nearest_embeddings(frame(spark, [])).count() == 0
+    assert topk.nearest_embeddings(frame(spark, [(1, [1.0], 0)])).count() == 0
+
+
+def test_large_components_stay_exact(spark):
+    rows = [(100, [3e7, 1.0], 0), (1, [3e7, 2.0], 0), (2, [3e7, 3.0], 0)]
+    got = {r["vec_id"]: r["score"] for r in topk.nearest_embeddings(frame(spark, rows)).collect()}
+    assert got[2] - got[1] == 1024 * 1024
+
+
+def test_blocks_are_skipped(monkeypatch):
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    centres = draw.normal(size=(20, 8)) * 400
+    data = np.concatenate([c + draw.normal(size=(64, 8)) * 20 for c in centres]).astype(np.int64)
+    scored = []
+    real = topk._products
+    monkeypatch.setattr(topk, "_products", lambda q, v: scored.append(len(q) * len(v)) or real(q, v))
+    queries = data[::64]
+    found = list(topk.search_shard(np.arange(1280), np.arange(1280), data, np.arange(0, 1280, 64), queries, np.full(20, -(2**62)), 10, 64))
+    assert len(found) == 200 and sum(scored) < 0.5 * 20 * 1280

@@ -47,10 +47,10 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
         .withColumn("_ul_full", F.coalesce(F.sum("_ul_limit").over(before), F.lit(0.0)))
         .withColumn("_ul_open", F.sum("_ul_weight").over(everything) - F.coalesce(F.sum("_ul_weight").over(before), F.lit(0.0)))
         .withColumn("_ul_level", (F.col("_ul_budget") - F.col("_ul_full")) / F.col("_ul_open"))
-        # the level is the one at the first source that stays below its limit
-        .withColumn("_ul_below", F.min(F.when(F.col("_ul_level") < F.col("_ul_ratio"), F.struct("_ul_ratio", "_ul_level"))).over(everything))
+        # the level is the one at the first source that stays below its limit; after it, levels only fall
+        .withColumn("_ul_common", F.max(F.when(F.col("_ul_level") < F.col("_ul_ratio"), F.col("_ul_level"))).over(everything))
     )
-    level = F.col("_ul_below")["_ul_level"]
+    level = F.col("_ul_common")
     target = F.when(level.isNull(), F.col("_ul_limit")).otherwise(F.least(F.col("_ul_limit"), level * F.col("_ul_weight")))
     return rows.select("source", "source_size", target.alias("target"))
 
