@@ -21,7 +21,11 @@ themselves, by a hash of the text; null ids come first. A very long document is
 are ignored. An empty table gives an empty one.
 """
 
+import sys
 import zlib
+from itertools import compress, repeat
+from operator import is_
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +41,7 @@ END_ID = 1
 LONGEST = 16
 STRIDE = 256
 BLOCK_IDS = 1 << 15
-CACHED_WORDS = 400_000  # per task
+CACHED_WORDS = 450_000  # in one Python worker
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -53,7 +57,8 @@ class WordTokens:
     """Ids of texts, word by word.
 
     The vocabulary never joins characters across white space, so a text's ids are those of its words, one
-    after another; words recur, and the ids of recent ones are kept.
+    after another; words recur, and the ids of recent ones are kept. New words are encoded many at a time,
+    as lines of one text; the places of the tokens tell which line they belong to.
     """
 
     def __init__(self, path: str):
@@ -62,24 +67,64 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         # strings of special tokens in a text are ordinary text
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        fresh = list(words - self.known.keys())
-        if len(self.known) + len(fresh) > CACHED_WORDS:
+        if len(self.known) + len(words) > CACHED_WORDS:
             self.known.clear()
-            fresh = list(words)
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            texts = [w.decode("utf-8", "replace") for w in part]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, "<u2").tobytes()
+        # a mark behind a letter is a piece of its own, so such a word adds nothing to the word without it
+        marked = {w: w[:-1] for w in words if w[-1:] in (b",", b".") and w[-2:-1].isalpha()}
+        plain = (words - marked.keys()) | set(marked.values()) | {w[-1:] for w in marked}
+        fresh = [w for w in plain if w not in self.known]
+        for part in (fresh[at : at + 1000] for at in range(0, len(fresh), 1000)):
+            lines = [w.decode("utf-8", "replace") for w in part]
+            letters = [i for i, line in enumerate(lines) if line.isalpha() and line.lower().isalpha()]
+            others = sorted(set(range(len(lines))) - set(letters))
+            for chosen, lengths in ((letters, self._one_piece_each), (others, self._any)):
+                ids, counts = lengths([lines[i] for i in chosen])
+                cuts = (2 * np.concatenate([[0], np.cumsum(counts)])).tolist()
+                self.known.update((part[i], ids[a:b]) for i, a, b in zip(chosen, cuts[:-1], cuts[1:], strict=True))
+        self.known.update((w, self.known[stem] + self.known[w[-1:]]) for w, stem in marked.items())
+
+    def _one_piece_each(self, lines: list[str]) -> tuple[bytes, np.ndarray]:
+        """Ids and their number per line for lines of letters: each ends with the one token that ends a word."""
+        if not lines:
+            return b"", np.empty(0, np.int64)
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.flatnonzero(self.ends_word[ids])
+        if len(ends) != len(lines):
+            return self._any(lines)
+        return ids.astype("<u2").tobytes(), np.diff(ends, prepend=-1)
+
+    def _any(self, lines: list[str]) -> tuple[bytes, np.ndarray]:
+        """The same for any lines, by the places of the tokens."""
+        found = self.tokenizer.encode("\n".join(lines), add_special_tokens=False)
+        line = np.searchsorted(np.cumsum([len(x) + 1 for x in lines]), [o[0] for o in found.offsets], "right")
+        return np.array(found.ids, "<u2").tobytes(), np.bincount(line, minlength=len(lines))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]
-        self.learn(set().union(*split))
-        look = self.known.__getitem__
-        return [b"".join(map(look, words)) for words in split]
+        # capitals are lowered anyway, but after characters are composed: not where a combining mark could follow
+        split = [(text if b"\xcc" in text or b"\xcd" in text else text.lower()).split() for text in texts]
+        found = [list(map(self.known.get, words)) for words in split]
+        gaps = [list(compress(range(len(ids)), map(is_, ids, repeat(None)))) for ids in found]
+        missing = {words[i] for words, places in zip(split, gaps, strict=True) for i in places}
+        if missing:
+            self.learn(missing)
+            for words, ids, places in zip(split, found, gaps, strict=True):
+                for i in places:
+                    ids[i] = self.known[words[i]]
+        return [b"".join(ids) for ids in found]
+
+
+def _word_tokens(path: str) -> WordTokens:
+    """One for each Python worker: a worker serves many tasks, and what it has learnt helps the next."""
+    kept = sys.modules.setdefault("_usagelens_word_tokens", ModuleType("_usagelens_word_tokens")).__dict__
+    if path not in kept:
+        kept[path] = WordTokens(path)
+    return kept[path]
 
 
 def _tokenized(path: str, end_id: int):
@@ -88,7 +133,7 @@ def _tokenized(path: str, end_id: int):
     def run(batches):
         tokens = None
         for batch in batches:
-            tokens = tokens or WordTokens(path)
+            tokens = tokens or _word_tokens(path)
             for first, last, buf, offsets in text_chunks(batch.column("_ul_body"), 1 << 20):
                 data, at = buf.tobytes(), offsets.tolist()
                 ids = [x + end for x in tokens.encode([data[s:e] for s, e in zip(at[:-1], at[1:], strict=True)])]
