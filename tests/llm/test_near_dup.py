@@ -68,6 +68,22 @@ def test_chains_and_groups_equal_brute_force(spark, tmp_path):
     assert Counter((r["doc_id"], r["class_id"]) for r in got) == classes(data)
 
 
+def test_pairs_in_a_family_below_the_threshold_equal_brute_force(spark, tmp_path):
+    # all texts share a passage and lie at 0.77; some pairs share more and lie above 0.8
+    draw = random.Random(6)
+    passage, data = words(500, 187), []
+    for pair in range(250):
+        common = words(3000 + pair, 7)
+        for side in (0, 1):
+            text = passage + common + words(10_000 + 2 * pair + side, 21)
+            data.append((2 * pair + side, " ".join(text), "en", "s", 0))
+    draw.shuffle(data)
+    expected = classes(data)
+    assert Counter(Counter(c for _, c in expected).values()) == {2: 250}
+    got = near_dup.near_duplicate_classes(stored_documents(spark, tmp_path, data)).collect()
+    assert Counter((r["doc_id"], r["class_id"]) for r in got) == expected
+
+
 def test_one_document_of_each_class_stays(spark, tmp_path):
     docs = stored_documents(spark, tmp_path)
     kept = near_dup.unique_documents(docs).collect()

@@ -14,6 +14,11 @@ components of the links.
    bucket's first text in a random order that all buckets share, hence with few different partners, never
    in all pairs. Buckets that still hold several classes go through further rounds with other orders.
 3. *Exact check* of every such pair on the full shingle sets, then components by contraction of edges.
+4. *The rest.* Rounds end without having compared all texts of a bucket. Texts of buckets that still hold
+   untested pairs of different classes are joined on the rarest elements of their sets: of two texts at the
+   threshold, the prefixes must share an element at places that leave room for the common ones. What the
+   join leaves out cannot reach the threshold, the rest is checked exactly. So every pair that shares a
+   bucket is linked, in one class by other links, or known to be below the threshold.
 
 Equal texts share their signature and are one node. Null texts are alone; empty texts are equal texts.
 Repeated rows are copies. Null ids sort behind others within a class. Other columns are ignored. The
@@ -277,6 +282,11 @@ def near_duplicates(
         if turn and not found.limit(1).count():
             break
         roots = stored(components(links), "roots")
+    rest = _rest(members, roots, sets, tested, threshold)
+    if rest.limit(1).count():
+        found = stored(_verified(rest, sets, threshold), "links")
+        if found.limit(1).count():
+            roots = stored(components(links.unionByName(found)), "roots")
     named = texts.join(roots.withColumnRenamed("node", "text_id"), "text_id", "left")
     named = stored(named.select("text_id", "first_id", F.coalesce("root", "text_id").alias("root")), "named")
     best = named.groupBy("root").agg(
@@ -290,6 +300,45 @@ def near_duplicates(
     return with_class.unionByName(alone)
 
 
+def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
+    """Untested pairs (a, b) of different classes that could reach the threshold, of all texts in open buckets.
+
+    A bucket is open if it holds several classes and more than two texts; two were compared in the first round.
+    """
+    known = members.select("text_id", "bucket").join(roots.withColumnRenamed("node", "text_id"), "text_id", "left")
+    known = known.select("bucket", "text_id", F.coalesce("root", "text_id").alias("root"))
+    several = known.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo < hi AND n > 2")
+    texts = stored(known.join(several.select("bucket"), "bucket").select("text_id", "root").distinct(), "open")
+    each = sets.join(texts, "text_id").select("text_id", "root", F.size("elements").alias("size"), F.explode("elements").alias("element"))
+    # an element of one class makes no pair; such elements come first in every text's order
+    counts = each.groupBy("element", "root").agg(F.count("*").alias("n"))
+    shared = counts.groupBy("element").agg(F.sum("n").alias("texts"), F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("classes"))
+    shared = stored(shared.where("classes > 1").drop("classes"), "shared-elements")
+    place = F.struct("texts", "element", "main")
+    lists = each.join(shared, "element").groupBy("text_id", "root", "size").agg(F.array_sort(F.collect_list(place)).alias("elements"))
+    rows = lists.select("text_id", "root", "size", (F.col("size") - F.size("elements")).alias("alone"), F.posexplode("elements").alias("at", "e"))
+    rows = rows.select("text_id", "root", "size", (F.col("alone") + F.col("at")).alias("place"), "e.element", (F.col("root") != F.col("e.main")).alias("minor"))
+    t = float(threshold)
+    left = F.col("size") - F.col("place")  # elements from this place on
+    rows = stored(rows.where(left >= F.col("size") * F.lit(t) - 1e-6), "prefixes")
+    # the smaller text of a pair shares one of even fewer elements; one of the two is outside of the element's main class
+    small = rows.where(left >= F.col("size") * F.lit(2 * t / (1 + t)) - 1e-6).withColumn("side", F.when(F.col("minor"), 0).otherwise(1))
+    large = rows.withColumn("side", F.explode(F.when(F.col("minor"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    busy = small.groupBy("element", "side").agg(F.ceil(F.count("*") / FAN).cast("int").alias("salts"))
+    busy = stored(busy, "busy")
+    small = small.join(busy, ["element", "side"]).withColumn("salt", F.pmod(F.xxhash64("text_id"), F.col("salts")).cast("int")).drop("salts")
+    large = large.join(busy, ["element", "side"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    for name in ("text_id", "root", "size", "place"):
+        small, large = small.withColumnRenamed(name, f"{name}_a"), large.withColumnRenamed(name, f"{name}_b")
+    pairs = small.drop("minor").join(large.drop("minor"), ["element", "side", "salt"]).where(
+        (F.col("root_a") != F.col("root_b"))
+        & (F.struct("size_a", "text_id_a") < F.struct("size_b", "text_id_b"))
+        & (F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) >= (F.col("size_a") + F.col("size_b")) * F.lit(t / (1 + t)) - 1e-6)
+    )
+    pairs = _tidy(pairs.select(F.col("text_id_a").alias("a"), F.col("text_id_b").alias("b")))
+    return stored(pairs.join(tested, ["a", "b"], "left_anti"), "rest")
+
+
 def _sets_of(rows: DataFrame, texts: DataFrame, members: DataFrame, words: int) -> DataFrame:
     """Shingle sets of the texts that share a bucket with another text, one row per text."""
     wanted = texts.join(members.select("text_id").distinct(), "text_id", "left_semi")
