@@ -72,6 +72,30 @@ def test_every_template_is_found_as_itself(spark, tmp_path):
         assert name in got[i]["licenses"], name
 
 
+def spread_out(name, pieces, share, seed):
+    """The template with insertions, in so many pieces, of a share of its length together."""
+    body = words_of(licenses.TEMPLATES[name])
+    extra = [w.encode() for w in prose(seed, int(len(body) * share)).split()]
+    out = []
+    for i in range(pieces + 1):
+        out += body[len(body) * i // (pieces + 1) : len(body) * (i + 1) // (pieces + 1)]
+        out += extra[len(extra) * i // pieces : len(extra) * (i + 1) // pieces] if i < pieces else []
+    return b" ".join(out).decode()
+
+
+@pytest.mark.parametrize("name", ["MIT", "ISC", "BSD", "Apache-2.0", "GPL", "MPL-2.0"])
+def test_insertions_do_not_hide_a_license(spark, tmp_path, name):
+    cases = [(pieces, share) for pieces in (1, 3, 9) for share in (0.1, 0.4, 0.6, 1.0, 2.0)]
+    texts = [f"{prose(i, 900)} {spread_out(name, *case, 100 + i)} {prose(50 + i, 900)}" for i, case in enumerate(cases)]
+    twice = " ".join([spread_out(name, 3, 1.0, 7), prose(8, 20), spread_out(name, 3, 1.0, 9)])
+    got = names(spark, tmp_path, [*texts, twice])
+    for i, case in enumerate(cases):
+        assert got[i]["licenses"] == [name] and got[i]["coverage"][0] > 0.95, case
+        size = len(words_of(spread_out(name, *case, 100 + i)))
+        assert got[i]["last_word"][0] - got[i]["first_word"][0] >= 0.9 * size, case
+    assert got[len(cases)]["licenses"] == [name, name]
+
+
 def test_digest_of_odd_documents(spark, tmp_path):
     docs = stored_documents(spark, tmp_path).withColumn("licenses", F.lit(1)).withColumn("coverage", F.lit("c"))
     got = licenses.document_licenses(docs).collect()

@@ -8,7 +8,10 @@ at both ends still count. The matched words over the template's words are the co
 A text can hold a license anywhere and more than once. Stretches to align are found by the template's
 words themselves: its places are projected from every occurrence of each of its rarest words, and an
 alignment is tried there if enough of the template's words occur near by; a coverage of at least the
-threshold makes a finding, and findings of one template never overlap. A license line is searched as a
+threshold makes a finding, and findings of one template never overlap. What is left is chained: places of rare
+words follow one another with at most twice the template's length of foreign words in between, and the window
+runs from the first to the last projected place, so insertions (page headers, line prefixes, translations)
+may add up to any length. A license line is searched as a
 template of its own, and findings inside a longer one of the same family are part of it.
 
 Words are runs of ASCII letters (lower-cased), digits and characters beyond ASCII. Null and empty texts
@@ -29,6 +32,7 @@ from usagelens.llm.common import ByteHasher, text_chunks, word_spans
 from usagelens.llm.decontaminate import _LOWER, _WORD, words_of
 
 COVERAGE = 0.8
+REACH = 2  # foreign words between two neighbouring rare words, as a multiple of the template's
 
 # Public license texts and notices.
 TEMPLATES = {
@@ -191,7 +195,7 @@ def scan(words: list[int], templates: list[Template], coverage: float = COVERAGE
                 groups[-1].append(spot)
             else:
                 groups.append([spot])
-        taken = 0
+        taken, mine = 0, []
         body = template.words.tolist()
         for group in groups:
             for start in _tries(group, n):
@@ -203,12 +207,75 @@ def scan(words: list[int], templates: list[Template], coverage: float = COVERAGE
                     continue
                 matched = align(words, body, low, high)
                 if len(matched) >= coverage * n:
+                    if len(matched) < n:  # a part of it may lie behind an insertion
+                        wider = align(words, body, max(taken, low - REACH * n), min(len(words), high + REACH * n))
+                        matched = wider if len(wider) >= len(matched) + max(1, n // 20) else matched
                     taken = matched[-1][0] + 1
-                    found.append((template.name, len(matched) / n, matched[0][0], taken))
+                    mine.append((template.name, len(matched) / n, matched[0][0], taken))
+        found += mine + _stretched(words, template, present, mine, coverage)
     found.sort(key=lambda f: (f[2], -f[3], f[0]))
     return _without_parts(found)
 
 
+def _stretched(words: list[int], template: Template, present: dict, mine: list, coverage: float):
+    """Findings of a template with long insertions, outside of those in ``mine``."""
+    n, body = len(template.words), template.words.tolist()
+    spots = sorted({(at, -place) for h, place in template.rare for at in present.get(h, ())})
+    blocks: list[tuple[int, int, list[tuple[int, int]]]] = []  # bounds of the window, (place in text, place in template)
+    edges = [0, *(x for f in sorted(mine, key=lambda f: f[2]) for x in f[2:]), len(words)]
+    for low, high in zip(edges[::2], edges[1::2], strict=True):
+        block: list[tuple[int, int]] = []
+        for at, place in ((at, -back) for at, back in spots[bisect_left(spots, (low, -n)) : bisect_left(spots, (high, -n))]):
+            if block and at - block[-1][0] > (REACH + 1) * n:
+                blocks.append((low, high, block))
+                block = []
+            block.append((at, place))
+        if block:
+            blocks.append((low, high, block))
+    # a block, or the findings of its halves if they had any
+    found = []
+
+    def window(low, high, block):
+        return max(low, block[0][0] - (REACH + 1) * n), min(high, block[-1][0] + (REACH + 1) * n)
+
+    def search(low, high, block) -> bool:
+        if not block:
+            return False
+        low, high = window(low, high, block)
+        if high - low < coverage * n or sum((Counter(words[low:high]) & template.counts).values()) < coverage * n:
+            return False
+        falls = [i for i in range(1, len(block)) if block[i][1] < block[i - 1][1] and block[i][0] > block[i - 1][0]]
+        new = [i for i in falls if block[i - 1][1] - block[i][1] >= n / 2]  # another copy seems to begin
+        if new and halves(low, high, block, new):
+            return True
+        chain = rising(block)
+        # words of the template before and behind the chain, and insertions among them
+        first = max(low, chain[0][0] - chain[0][1] * (REACH + 1))
+        last = min(high, chain[-1][0] + (n - chain[-1][1]) * (REACH + 1))
+        matched = align(words, body, first, last)
+        if len(matched) < coverage * n:
+            matched = align(words, body, low, high)
+        if len(matched) >= coverage * n:
+            a, b = matched[0][0], matched[-1][0] + 1
+            found.append((template.name, len(matched) / n, a, b))
+            search(low, a, [x for x in block if x[0] < a])
+            search(b, high, [x for x in block if x[0] >= b])
+            return True
+        return bool(falls) and not new and halves(low, high, block, falls)
+
+    def halves(low, high, block, cuts) -> bool:
+        cut = min(cuts, key=lambda i: abs(2 * i - len(block)))
+        seen = len(found)
+        search(low, block[cut][0], block[:cut])
+        end = max([low, *(f[3] for f in found[seen:])])
+        search(end, high, [x for x in block[cut:] if x[0] >= end])
+        return len(found) > seen
+
+    for low, high, block in blocks:
+        search(max([low, *(f[3] for f in found)]), high, block)
+    return found
+
+
 def _tries(group: list[int], n: int) -> list[int]:
     """Projected starts to align at: one, or several where a group stretches over many template lengths."""
     out = [group[0]]
