@@ -52,6 +52,6 @@ def test_mixed_rows_repeat_as_taken(spark, tmp_path):
 
 def test_every_operator_has_one_registered_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(entry_point.queries())
     assert set(queries.ORACLES) <= set(entry_point.oracle_sql())

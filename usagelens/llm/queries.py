@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelens.llm import topk
+from usagelens.llm import conversations, filter_audit, line_rules, topk
 from usagelens.llm.common import table
 from usagelens.llm.decontaminate import contaminated_documents
 from usagelens.llm.html_text import extract_pages
@@ -55,6 +55,18 @@ def op10_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.line_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_target_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.conversation_repairs(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -68,6 +80,9 @@ QUERIES = {
         op8_site_templates,
         op9_nb_svm,
         op10_patience_licenses,
+        op11_line_rules,
+        op12_filter_audit,
+        op13_target_alignment,
     )
 }
 
@@ -100,4 +115,10 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
 )
 
 # the others need hashes, models, alignments or formats that SQL does not have; tests compare them with brute force
-ORACLES: dict[str, str] = {"op5_block_topk": topk.ORACLE, "op7_wu_manber": _WINDOWS}
+ORACLES: dict[str, str] = {
+    "op5_block_topk": topk.ORACLE,
+    "op7_wu_manber": _WINDOWS,
+    "op11_line_rules": line_rules.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
+    "op13_target_alignment": conversations.ORACLE,
+}
