@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry_point
 
 TINY = "/root/testdata/sf0.001"
-TABLES = "nation customer supplier orders events documents embeddings pages benchmark labels".split()
+TABLES = "nation customer supplier orders events documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="module")

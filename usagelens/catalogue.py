@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from usagelens import constants as C
 from usagelens import schemas
-from usagelens.functions.columns import engine_of, last_segment
+from usagelens.functions.columns import engine_of, in_last_days, last_segment, share
 from usagelens.operators import definitions, directory, quality, reshape, turns
 from usagelens.operators.adoption import adoption_by_period, adoption_from_ledger, user_flags, user_ledger
+from usagelens.operators.bitmaps import adoption_from_bitmaps, period_users, rolling_adoption
 from usagelens.operators.dedup import without_repeats
-from usagelens.plans import jobs, questions, recipes, views
+from usagelens.plans import jobs, questions, recipes, rollup, views
 from usagelens.session import configure, scratch_path
 from usagelens.sources import logs
 from usagelens.sources.sample_logs import SampleLogs
@@ -468,6 +469,109 @@ def n16_adoption_bars(s):
     return questions.adoption_bars(views.adoption_summary(_events(s)))
 
 
+# ---- questions out of stored bitmaps ----------------------------------------------------
+def _in_loads(s, loads: int, store) -> Warehouse:
+    """A warehouse into which the logs come in several loads; all but the first bring late rows for all days."""
+    warehouse = _warehouse(s.spark, "loads")
+    for load in range(loads):
+        mine = F.col("insertId").cast("bigint") % loads == load
+        logs_ = (s.audit_access, s.assistant_activity, s.notebook_activity)
+        store(warehouse, turns.normalize_events(*[log.filter(mine) for log in logs_]), f"load-{load}")
+    return warehouse
+
+
+def _bitmaps(s) -> DataFrame:
+    return _in_loads(s, 2, rollup.store_bitmaps).read("usage_bitmaps")
+
+
+@query
+def n2_bitmap_weekly(s):
+    return adoption_from_bitmaps(_bitmaps(s), "week")
+
+
+@query
+def n2_bitmap_monthly(s):
+    return adoption_from_bitmaps(_bitmaps(s), "month")
+
+
+@query
+def n3_bitmap_power_users(s):
+    recent = _bitmaps(s).filter(in_last_days(F.col("activity_date"), ACTIVITY_AS_OF, 7))
+    counts = period_users(recent).select(
+        F.col("total_active_users").alias("active_users"), F.col("notebooklm_and_agents_users").alias("power_users")
+    )
+    return counts.selectExpr("*", f"{share('power_users', 'active_users')} AS power_pct")
+
+
+@query
+def a3_rolling_week(s):
+    return rolling_adoption(_bitmaps(s), 7)
+
+
+# ---- views stored by day ------------------------------------------------------------------
+def _append_events(warehouse: Warehouse, events: DataFrame, load_id: str) -> None:
+    warehouse.append(events.withColumnRenamed("activity_date", "event_date"), "usage_events", load_id)
+
+
+def _daily(s) -> Warehouse:
+    """The stored views follow two loads; the second one brings late rows."""
+
+    def store(warehouse, events, load_id):
+        _append_events(warehouse, events, load_id)
+        rollup.refresh_daily(warehouse, f"after-{load_id}")
+
+    return _in_loads(s, 2, store)
+
+
+@query
+def v2_daily_ledger(s):
+    return _daily(s).read("daily_ledger").withColumn("agent_ids_used", F.array_join("agent_ids_used", ","))
+
+
+@query
+def v3_daily_adoption(s):
+    return _daily(s).read("daily_adoption").withColumnRenamed("activity_date", "time_period")
+
+
+# ---- questions as SQL ---------------------------------------------------------------------
+def _asked(s, text: str) -> DataFrame:
+    """Ask a question in SQL over a warehouse with landed events and metrics."""
+    warehouse = _warehouse(s.spark, "asked", "usage_events", "agent_session_metrics", "agent_names_seen", *schemas.SNAPSHOT_TABLES)
+    views.register_live(warehouse)
+    views.register_questions(warehouse)
+    if "usage_top_agents" in text:
+        warehouse.append(s.session_metrics, "agent_session_metrics", "first")
+        warehouse.replace(s.agent_directory, "agent_directory")
+    else:
+        _append_events(warehouse, _events(s), "first")
+    return s.spark.sql(text)
+
+
+@query
+def n1_sql_dau_trend(s):
+    return _asked(s, f"SELECT * FROM usage_dau_trend(DATE '{ACTIVITY_AS_OF}', 14)")
+
+
+@query
+def n3_sql_power_users(s):
+    return _asked(s, f"SELECT * FROM usage_power_users(DATE '{ACTIVITY_AS_OF}', days => 7)")
+
+
+@query
+def n5_sql_feature_users(s):
+    return _asked(s, "SELECT * FROM usage_feature_users('notebooklm')")
+
+
+@query
+def n11_sql_top_agents(s):
+    return _asked(s, "SELECT * FROM usage_top_agents()")
+
+
+@query
+def n13_sql_agents_on_day(s):
+    return _asked(s, "SELECT * FROM usage_agents_on(DATE '2024-01-30')")
+
+
 # ---- streams -----------------------------------------------------------------------------
 def _run_stream(s, warehouse: Warehouse, after_batch=(), halves: int = 1, typed: bool = False, apart: bool = False) -> None:
     """Land the entries in ``halves`` arrivals; every later one brings late rows for all days.
@@ -622,6 +726,19 @@ def j2_nightly(s):
     return jobs.nightly(s.spark, _exports(s), warehouse, "night")
 
 
+@query
+def j2_nightly_names(s):
+    """Two nights; the second one harvests the loads of its day only, the directory shows the names of both."""
+    warehouse = _warehouse(s.spark, "nights")
+    warehouse.ensure_tables()
+    warehouse.replace(s.agent_directory, "agent_directory")
+    early = F.col("timestamp") < F.lit("2024-01-16").cast("timestamp")
+    for night, part in enumerate((early, ~early)):
+        warehouse.append(s.assistant_activity.filter(part), "assistant_activity", f"day-{night}")
+        jobs.reconcile_directory(warehouse, f"night-{night}")
+    return warehouse.read("agent_directory")
+
+
 # ---- quality ------------------------------------------------------------------------------
 @query
 def x1_duplicate_agents(s):

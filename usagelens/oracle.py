@@ -206,9 +206,37 @@ def statements() -> dict[str, str]:
     sql.update(_streams())
     sql.update(_checks())
     sql.update(_jobs())
+    sql.update(_kept_up(sql))
     return sql
 
 
+def _kept_up(sql: dict[str, str]) -> dict[str, str]:
+    """Queries that answer an earlier question in another way have its SQL."""
+    same = {
+        "v2_daily_ledger": "v2_user_ledger",
+        "v3_daily_adoption": "v3_adoption_summary",
+        "n1_sql_dau_trend": "n1_dau_trend",
+        "n2_bitmap_weekly": "n2_adoption_weekly",
+        "n2_bitmap_monthly": "n2_adoption_monthly",
+        "n3_bitmap_power_users": "n3_power_users",
+        "n3_sql_power_users": "n3_power_users",
+        "n11_sql_top_agents": "n11_top_agents",
+        "n13_sql_agents_on_day": "n13_distinct_agents_on_day",
+        "j2_nightly_names": "m2_reconcile",
+    }
+    # every window is put together from single events
+    windows = (
+        "windows AS (SELECT d.day AS activity_date, user_email, is_chat, is_agent, is_nblm, agent_id FROM norm n"
+        " JOIN (SELECT DISTINCT activity_date AS day FROM norm) d"
+        " ON n.activity_date <= d.day AND n.activity_date > d.day - INTERVAL 7 DAY)"
+    )
+    return {
+        **{name: sql[other] for name, other in same.items()},
+        "n5_sql_feature_users": f"SELECT user_email, active_days, notebooklm_days AS feature_days FROM ({sql['n5_feature_users']})",
+        "a3_rolling_week": _with(_EVENTS, _NORMALIZED, windows, _adoption().replace("FROM norm", "FROM windows")) + "SELECT * FROM summary",
+    }
+
+
 def _view_examples() -> dict[str, str]:
     return {
         "r4_governance": _with(_DIRECTORY, _CREATORS) + "SELECT * FROM attribution",

@@ -17,6 +17,7 @@ from usagelens.operators.definitions import (
 from usagelens.operators.directory import harvest_names, upsert_definitions
 from usagelens.operators.reshape import extract_creators, project_activity, reshape_audit
 from usagelens.operators.turns import assistant_turns, audit_turns, normalize_events, notebook_turns
+from usagelens.plans.rollup import landed_parts, rows_in
 from usagelens.session import materialized
 from usagelens.sources import logs
 from usagelens.sources.tables import Warehouse, load_with_bad_budget
@@ -50,13 +51,16 @@ def reconcile_directory(warehouse: Warehouse, load_id: str, turns: DataFrame | N
     """Harvest the names of loads that have not been harvested; returns the number of agents offered.
 
     ``turns`` are the rows to read instead, e.g. typed ones. Names lie beside the directory and are
-    resolved when it is read. A load is remembered by a row without agent that carries its id.
+    resolved when it is read. A load is remembered by a row without agent that carries its id. Loads are
+    known from folder names, and only the folders of new ones are read.
     """
     seen = warehouse.parts("agent_names_seen")
     if turns is None:
         done = seen.selectExpr("load_id").union(seen.filter("agent_id IS NULL").selectExpr("display_name AS load_id"))
-        fresh = warehouse.parts("assistant_activity").join(done.distinct(), "load_id", "left_anti")
-        marks = fresh.select("load_id").distinct().selectExpr(
+        landed = landed_parts(warehouse, "assistant_activity").select("load_id").distinct()
+        loads = materialized(landed.join(done.distinct(), "load_id", "left_anti"), "loads")
+        fresh = rows_in(warehouse.parts("assistant_activity"), "load_id", loads)
+        marks = loads.selectExpr(
             "CAST(NULL AS STRING) AS agent_id", "load_id AS display_name", "CAST(NULL AS STRING) AS agent_type",
             "CAST(NULL AS TIMESTAMP) AS last_logged",
         )

@@ -10,6 +10,9 @@ from usagelens.operators.adoption import FEATURES, adoption_by_period, user_ledg
 from usagelens.operators.turns import normalize_events
 from usagelens.sources.tables import Warehouse
 
+# flags of a user and the event flags they fold
+_EVENT_FLAGS = {"used_chat": "is_chat", "used_agents": "is_agent", "used_notebooklm": "is_nblm"}
+
 
 def agent_leaderboard(metrics: DataFrame, directory: DataFrame) -> DataFrame:
     """Sessions, peak monthly users and active range per agent.
@@ -153,7 +156,7 @@ def register_live(warehouse: Warehouse) -> None:
         SELECT n.agent_id, n.best.display_name, NULL, NULL, NULL, n.best.agent_type
         FROM names n LEFT ANTI JOIN stored s ON s.agent_id = n.agent_id""",
     )
-    flags = {"used_chat": "is_chat", "used_agents": "is_agent", "used_notebooklm": "is_nblm"}
+    flags = _EVENT_FLAGS
     folded = ", ".join(f"bool_or({event}) AS {flag}" for flag, event in flags.items())
     refolded = ", ".join(f"bool_or({flag}) AS {flag}" for flag in flags)
     view(
@@ -210,6 +213,48 @@ def register_live(warehouse: Warehouse) -> None:
     )
 
 
+def register_questions(warehouse: Warehouse) -> None:
+    """Five questions as SQL table functions over the live views, which ``register_live`` must have registered.
+
+    Spark inlines a function's text into the query, so a day range given as an argument still prunes folders.
+    """
+    flags = ", ".join(f"bool_or({event}) AS {flag}" for flag, event in _EVENT_FLAGS.items())
+    span = "activity_date > date_sub(as_of, days) AND activity_date <= as_of"
+    functions = {
+        "usage_dau_trend(as_of DATE, days INT DEFAULT 30)": (
+            "time_period DATE, total_active_users BIGINT",
+            f"SELECT activity_date, count(DISTINCT user_email) FROM usagelens_events WHERE {span} GROUP BY activity_date",
+        ),
+        "usage_power_users(as_of DATE, days INT DEFAULT 30)": (
+            "active_users BIGINT, power_users BIGINT, power_pct DOUBLE",
+            f"""SELECT active, power, {share('power', 'active')} FROM (
+                  SELECT count(*) AS active, count_if(used_agents AND used_notebooklm) AS power
+                  FROM (SELECT user_email, {flags} FROM usagelens_events WHERE {span} GROUP BY user_email))""",
+        ),
+        "usage_feature_users(feature STRING)": (
+            "user_email STRING, active_days BIGINT, feature_days BIGINT",
+            f"""SELECT user_email, count(*), count_if(used) FROM (
+                  SELECT user_email, CASE feature WHEN 'chat' THEN used_chat WHEN 'agent' THEN used_agents
+                                                  WHEN 'notebooklm' THEN used_notebooklm END AS used
+                  FROM (SELECT user_email, activity_date, {flags} FROM usagelens_events GROUP BY user_email, activity_date))
+                GROUP BY user_email HAVING bool_or(used)""",
+        ),
+        "usage_agents_on(day DATE)": (
+            "distinct_agents_used BIGINT",
+            "SELECT count(DISTINCT agent_id) FROM usagelens_events WHERE activity_date = day",
+        ),
+        "usage_top_agents(k INT DEFAULT 5)": (
+            "agent_id STRING, display_name STRING, engine_id STRING, total_sessions BIGINT, monthly_users BIGINT,"
+            " first_active_date DATE, last_active_date DATE",
+            f"""SELECT agent_id, display_name, engine_id, total_sessions, monthly_users, first_active_date, last_active_date FROM (
+                  SELECT *, row_number() OVER (ORDER BY total_sessions DESC, monthly_users DESC, agent_id, engine_id) AS place
+                  FROM {C.VIEW_NAMES["agent_leaderboard"]}) WHERE place <= k""",
+        ),
+    }
+    for head, (columns, text) in functions.items():
+        warehouse.spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURNS TABLE({columns}) RETURN {text}")
+
+
 def register_tables(tables: dict[str, DataFrame]) -> None:
     """Register the base tables under the names existing queries use, and ``json_value``.
 

@@ -60,6 +60,23 @@ USER_LEDGER = (
     " agent_ids_used array<string>, activity_date date, load_id string"
 )
 
+# users and agents by number, and the days' bitmaps of those numbers
+ENTITY_NUMBERS = "space string, value string, number bigint, start bigint"
+USAGE_BITMAPS = "kind string, bucket bigint, bitmap binary, activity_date date, load_id string"
+# landed parts that a consumer has worked in
+CONSUMED_PARTS = "table string, event_date date, part string, consumer string, load_id string"
+DAILY_LEDGER = (
+    "user_email string, used_chat boolean, used_agents boolean, used_notebooklm boolean,"
+    " agent_ids_used array<string>, activity_date date"
+)
+DAILY_ADOPTION = (
+    "total_active_users bigint, chat_users bigint, chat_pct double, notebooklm_users bigint, notebooklm_pct double,"
+    " agent_users bigint, agent_pct double, distinct_agents_used bigint,"
+    " chat_and_notebooklm_users bigint, chat_and_notebooklm_pct double, chat_and_agents_users bigint,"
+    " chat_and_agents_pct double, notebooklm_and_agents_users bigint, notebooklm_and_agents_pct double,"
+    " all_three_users bigint, all_three_pct double, activity_date date"
+)
+
 LOG_TABLES = ("assistant_activity", "notebook_activity", "audit_access", "audit_other")
 APPEND_TABLES = {
     "assistant_activity": ASSISTANT_ACTIVITY,
@@ -72,6 +89,11 @@ APPEND_TABLES = {
     "agent_session_metrics": f"{SESSION_METRICS}, load_id string",
     "creation_events": CREATION_EVENTS,
     "user_ledger": USER_LEDGER,
+    "entity_numbers": ENTITY_NUMBERS,
+    "usage_bitmaps": USAGE_BITMAPS,
+    "consumed_parts": CONSUMED_PARTS,
+    "daily_ledger": DAILY_LEDGER,
+    "daily_adoption": DAILY_ADOPTION,
 }
 PARTITIONS = {
     "assistant_activity": ["event_date", "load_id"],
@@ -85,7 +107,14 @@ PARTITIONS = {
     # creations are few per day; day folders would hold next to nothing
     "creation_events": ["load_id"],
     "user_ledger": ["activity_date", "load_id"],
+    "entity_numbers": ["start"],
+    "usage_bitmaps": ["activity_date", "load_id"],
+    "consumed_parts": ["consumer", "load_id"],
+    "daily_ledger": ["activity_date"],
+    "daily_adoption": ["activity_date"],
 }
+# kept up behind the landed tables, created when first used
+DERIVED_TABLES = ("entity_numbers", "usage_bitmaps", "consumed_parts", "daily_ledger", "daily_adoption")
 SNAPSHOT_TABLES = {
     "agent_directory": AGENT_DIRECTORY,
     "agent_creators": AGENT_CREATORS,

@@ -67,8 +67,9 @@ class Warehouse:
         return f"{root}/logs/table={table}" if table in schemas.LOG_TABLES else f"{root}/{table}"
 
     def ensure_tables(self, *tables: str) -> None:
-        """Create what is missing (of ``tables``, or of all); existing tables are left alone."""
-        for table in tables or (*schemas.APPEND_TABLES, *schemas.SNAPSHOT_TABLES):
+        """Create what is missing (of ``tables``, or of all but derived ones); existing tables are left alone."""
+        base = [t for t in (*schemas.APPEND_TABLES, *schemas.SNAPSHOT_TABLES) if t not in schemas.DERIVED_TABLES]
+        for table in tables or base:
             # an empty file per table carries its columns, so that SQL over the folder always resolves
             if table in schemas.SNAPSHOT_TABLES:
                 self._write_new(self._empty(schemas.SNAPSHOT_TABLES[table]), f"{self.path(table)}/version={_SEED}")
@@ -76,7 +77,8 @@ class Warehouse:
                 continue
             partitions = schemas.PARTITIONS[table]
             empty = self._empty(schemas.APPEND_TABLES[table]).drop(*partitions)
-            seed = "/".join(f"{p}={_SEED if p in ('load_id', 'source') else '__HIVE_DEFAULT_PARTITION__'}" for p in partitions)
+            named = ("load_id", "source", "consumer")
+            seed = "/".join(f"{p}={_SEED if p in named else '__HIVE_DEFAULT_PARTITION__'}" for p in partitions)
             self._write_new(empty, f"{self.path(table)}/{seed}")
 
     def _empty(self, schema: str) -> DataFrame:
@@ -107,6 +109,10 @@ class Warehouse:
             align_schema(rows, schemas.APPEND_TABLES[table]), self.path(table), partitions, gather
         )
 
+    def overwrite_days(self, df: DataFrame, table: str) -> None:
+        """Rewrite the days that ``df`` has rows of; the other days of the table stay."""
+        self._overwrite_partitions(align_schema(df, schemas.APPEND_TABLES[table]), self.path(table), ["activity_date"])
+
     def append_logs(self, df: DataFrame, load_id: str, gather: bool = True) -> None:
         """Add rows of several log tables, told apart by a ``table`` column, in one job."""
         rows = df.withColumns({"load_id": F.lit(load_id), "event_date": F.to_date("timestamp")})
@@ -194,7 +200,7 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         """Current content; columns added to the schema since a file was written read as NULL."""
         if table in schemas.APPEND_TABLES:
-            rows = self.parts(table).drop("load_id")
+            rows = self.parts(table).drop("load_id", "start")
             return user_ledger(ledger_events(rows)) if table == "user_ledger" else rows
         rows = self._version(table, self.current(table)[1])
         if table != "agent_directory":

@@ -15,6 +15,7 @@ from usagelens.operators.dedup import without_stream_repeats
 from usagelens.operators.directory import harvest_names
 from usagelens.operators.routing import creation_events, route
 from usagelens.operators.turns import normalize_events
+from usagelens.plans.rollup import store_bitmaps
 from usagelens.sources.tables import Warehouse, has_condition
 
 # a step after landing: warehouse, rows of the batch, the batch's load id
@@ -135,6 +136,11 @@ def refresh_ledger(warehouse: Warehouse, batch: DataFrame, load_id: str) -> None
     warehouse.append(user_ledger(batch_events(batch)), "user_ledger", load_id)
 
 
+def refresh_bitmaps(warehouse: Warehouse, batch: DataFrame, load_id: str) -> None:
+    """The batch's users and agents as day bitmaps; a late row adds a part to its own day only."""
+    store_bitmaps(warehouse, batch_events(batch), load_id)
+
+
 def refresh_names(warehouse: Warehouse, batch: DataFrame, load_id: str) -> None:
     """The names that the batch offers for agents, kept beside the directory until it is read."""
     names = harvest_names(batch.filter(F.col("table") == "assistant_activity"))
