@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from usagelens import constants as C
 from usagelens import schemas
 from usagelens.functions.columns import engine_of, in_last_days, last_segment, share
+from usagelens.functions.json_scalar import json_scalars
 from usagelens.operators import definitions, directory, quality, reshape, turns
 from usagelens.operators.adoption import adoption_by_period, adoption_from_ledger, user_flags, user_ledger
 from usagelens.operators.bitmaps import adoption_from_bitmaps, period_users, rolling_adoption
 from usagelens.operators.dedup import without_repeats
 from usagelens.plans import jobs, questions, recipes, rollup, views
 from usagelens.session import configure, scratch_path
-from usagelens.sources import logs
+from usagelens.sources import logs, variants
 from usagelens.sources.sample_logs import SampleLogs
 from usagelens.sources.tables import Warehouse, load_with_bad_budget
 from usagelens.streaming import landing
@@ -180,6 +181,18 @@ def t11_normalized_events(s):
     return _events(s)
 
 
+@query
+def t11_audit_branches(s):
+    """All shapes of audit payloads, as text; requests inside text stay closed."""
+    return turns.normalize_events(s.audit_branches, s.assistant_activity.limit(0), s.notebook_activity.limit(0))
+
+
+@query
+def t11_embedded_requests(s):
+    """The same with requests inside text opened."""
+    return turns.normalize_events(s.audit_branches, s.assistant_activity.limit(0), s.notebook_activity.limit(0), decode_embedded_json=True)
+
+
 @query
 def t12_base_events(s):
     return _base_events(s)
@@ -313,6 +326,49 @@ def s9_metrics_append(s):
     return warehouse.read("agent_session_metrics")
 
 
+# ---- payloads as variants --------------------------------------------------------------
+def _variants(s, **logs_: DataFrame) -> Warehouse:
+    warehouse = _warehouse(s.spark, "variants", "log_variants")
+    for table, rows in logs_.items():
+        variants.append(warehouse, rows, table, "first")
+    return warehouse
+
+
+@query
+def s2_variant_scan(s):
+    """Raw audit entries to landed variants: one read, no inference; the fields that matter come back typed."""
+    path = _landed_json(s.spark, s.audit_entries, "audit")
+    entries = logs.select_audit_log(variants.read_entries(s.spark, path), ACTIVITY_AS_OF, lookback_days=10)
+    warehouse = _variants(s, audit_access=variants.reshape_audit(entries))
+    landed = variants.read(warehouse, "audit_access")
+    paths = {
+        "method_name": "$.methodName", "principal": "$.authenticationInfo.principalEmail", "via": "$.authenticationInfo.@via",
+        "request_json": "$.requestJson", "response": "$.response.ok", "status_code": "$.status.code", "details": "$.status.details[0]",
+        "permission": "$.authorizationInfo[0].permission", "granted": "$.authorizationInfo[0].@grant", "kind": "$.metadata.kind", "k": "$.metadata.k",
+    }
+    return _plain_times(json_scalars(landed, "protopayload_auditlog", paths, ["timestamp", "insertId"]))
+
+
+@query
+def t11_variant_events(s):
+    warehouse = _variants(s, audit_access=s.audit_access, assistant_activity=s.assistant_activity, notebook_activity=s.notebook_activity)
+    return turns.normalize_events(*[variants.read(warehouse, t) for t in ("audit_access", "assistant_activity", "notebook_activity")])
+
+
+@query
+def t11_variant_branches(s):
+    warehouse = _variants(s, audit_access=s.audit_branches)
+    landed = variants.read(warehouse, "audit_access")
+    return turns.normalize_events(landed, s.assistant_activity.limit(0), s.notebook_activity.limit(0), decode_embedded_json=True)
+
+
+@query
+def j1_variant_backfill(s):
+    warehouse = _warehouse(s.spark, "backfill")
+    jobs.backfill(s.spark, _exports(s), warehouse, ACTIVITY_AS_OF, as_variants=True)
+    return adoption_by_period(warehouse.read("usage_events").withColumnRenamed("event_date", "activity_date"))
+
+
 def _tables(s: SampleLogs) -> dict[str, DataFrame]:
     return {
         "audit_access": s.audit_access,

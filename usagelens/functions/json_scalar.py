@@ -25,11 +25,15 @@ def json_scalars(
 ) -> DataFrame:
     """Add one string column per entry of ``paths`` (name -> ``$.a.b[0].c``), keep ``keep``.
 
-    Only the branches named by the paths are materialised: a schema pruned to them, with variant
+    A document that rests as a variant is not parsed: its paths go into the scan. Otherwise only the
+    branches named by the paths are materialised: a schema pruned to them, with variant
     leaves, is handed to ``from_json``. The parsed record leaves through a generator, because
     Catalyst does not copy expressions across one; filters on the new columns therefore never make
     Spark parse the document a second time.
     """
+    if isinstance(df.schema[document].dataType, T.VariantType):
+        found = {name: scalar_text(f"try_variant_get({document}, '{path}', 'variant')") for name, path in paths.items()}
+        return df.selectExpr(*keep, *[f"{value} AS {name}" for name, value in found.items()])
     splits = {name: _split(path) for name, path in paths.items()}
     roots: list[tuple[str, ...]] = []
     for keys, _ in sorted(splits.values(), key=lambda s: len(s[0])):

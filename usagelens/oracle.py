@@ -210,6 +210,21 @@ def statements() -> dict[str, str]:
     return sql
 
 
+def _branches(opened: bool) -> str:
+    """Audit events in eleven shapes (event_id % 11); text inside of a payload is looked into if ``opened``."""
+    text = "b = 4" if opened else "FALSE"
+    listed = "b IN (2, 9)" if opened else "b = 2"
+    return _with(_EVENTS) + f"""SELECT principal AS user_email, day AS activity_date,
+        assist AND (core = 'true' OR NOT target) AS is_chat, assist AND target AND id NOT IN {_SYSTEM} AS is_agent,
+        CASE WHEN b IN (5, 6) THEN TRUE WHEN b <> 8 THEN FALSE END AS is_nblm,
+        CASE WHEN id IN {_SYSTEM} THEN NULL ELSE id END AS agent_id
+      FROM (SELECT *, direct IS NOT NULL OR b = 10 AS target, coalesce(direct, CASE WHEN {listed} THEN agent END) AS id FROM (
+        SELECT *, CASE WHEN b IN (1, 3, 5, 6, 7, 8) OR {text} THEN agent END AS direct,
+          CASE WHEN b = 0 THEN CASE WHEN k < 10 THEN 'true' ELSE 'false' END END AS core,
+          CASE WHEN b IN (5, 6) THEN FALSE WHEN b NOT IN (7, 8) THEN TRUE END AS assist
+        FROM (SELECT *, event_id % 11 AS b FROM ev) WHERE event_type IN ('error', 'signup') AND principal IS NOT NULL))"""
+
+
 def _kept_up(sql: dict[str, str]) -> dict[str, str]:
     """Queries that answer an earlier question in another way have its SQL."""
     same = {
@@ -223,6 +238,8 @@ def _kept_up(sql: dict[str, str]) -> dict[str, str]:
         "n11_sql_top_agents": "n11_top_agents",
         "n13_sql_agents_on_day": "n13_distinct_agents_on_day",
         "j2_nightly_names": "m2_reconcile",
+        "j1_variant_backfill": "j1_backfill",
+        "t11_variant_events": "t11_normalized_events",
     }
     # every window is put together from single events
     windows = (
@@ -232,6 +249,17 @@ def _kept_up(sql: dict[str, str]) -> dict[str, str]:
     )
     return {
         **{name: sql[other] for name, other in same.items()},
+        "t11_audit_branches": _branches(opened=False),
+        "t11_embedded_requests": _branches(opened=True),
+        "t11_variant_branches": _branches(opened=True),
+        "s2_variant_scan": _with(_EVENTS)
+        + "SELECT ts AS timestamp, CAST(event_id AS VARCHAR) AS \"insertId\", 'google.cloud.discoveryengine.v1.'"
+        " || CASE WHEN event_type = 'error' THEN 'NotebookService.GetNotebook' ELSE 'AssistantService.StreamAssist' END AS method_name,"
+        " principal, NULL::VARCHAR AS via, NULL::VARCHAR AS response, NULL::VARCHAR AS details, NULL::VARCHAR AS granted,"
+        " CASE WHEN k % 3 <> 0 THEN '{\"@type\":\"type.example.com/Assist\",\"agent_info\":{'"
+        " || coalesce('\"agent\":\"' || agent || '\",', '') || '\"core_assistant\":' || (k < 10) || '}}' END AS request_json,"
+        " CASE WHEN event_type = 'error' THEN '5' END AS status_code, 'run' AS permission, 'm' AS kind, CAST(k AS VARCHAR) AS k"
+        " FROM ev WHERE event_type IN ('error', 'signup') AND ts >= DATE '2024-01-31' - INTERVAL 10 DAY AND ts < DATE '2024-02-01'",
         "n5_sql_feature_users": f"SELECT user_email, active_days, notebooklm_days AS feature_days FROM ({sql['n5_feature_users']})",
         "a3_rolling_week": _with(_EVENTS, _NORMALIZED, windows, _adoption().replace("FROM norm", "FROM windows")) + "SELECT * FROM summary",
     }

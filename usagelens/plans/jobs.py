@@ -19,7 +19,7 @@ from usagelens.operators.reshape import extract_creators, project_activity, resh
 from usagelens.operators.turns import assistant_turns, audit_turns, normalize_events, notebook_turns
 from usagelens.plans.rollup import landed_parts, rows_in
 from usagelens.session import materialized
-from usagelens.sources import logs
+from usagelens.sources import logs, variants
 from usagelens.sources.tables import Warehouse, load_with_bad_budget
 
 
@@ -93,11 +93,13 @@ def backfill(
     max_bad_share: float = 0.0,
     load_id: str = "backfill",
     gather: bool = True,
+    as_variants: bool = False,
 ) -> None:
     """First load: definitions, creators, a year of activity, names, metrics.
 
     Stages run in order and stop at the first failure; each may be repeated. ``gather=False`` skips
-    the shuffle by day for exports that are in time order.
+    the shuffle by day for exports that are in time order. ``as_variants`` lands the logs with variant
+    payloads (``variants.read``) in place of text, without a pass that infers their fields.
     """
     warehouse.ensure_tables()
     warehouse.replace_if_any(full_directory(spark, landing), "agent_directory")
@@ -108,16 +110,26 @@ def backfill(
     warehouse.replace_if_any(extract_creators(creations), "agent_creators")
 
     path = landing.path("audit_log")
-    audit, torn = load_with_bad_budget(spark, path, logs.audit_schema(spark, path), max_bad, max_bad_share)
+    schema = variants.AUDIT_VARIANTS if as_variants else logs.audit_schema(spark, path)
+    audit, torn = load_with_bad_budget(spark, path, schema, max_bad, max_bad_share)
     warehouse.reject(torn, "audit_log", load_id)
-    audit = reshape_audit(logs.select_audit_log(audit, as_of, lookback_days))
-    warehouse.append(audit, "audit_access", load_id, gather)
+    audit = logs.select_audit_log(audit, as_of, lookback_days)
+    audit = variants.reshape_audit(audit) if as_variants else reshape_audit(audit)
 
     path = landing.path("activity_log")
-    activity, torn = load_with_bad_budget(spark, path, schemas.ACTIVITY_ENTRY, max_bad, max_bad_share)
+    schema = variants.ACTIVITY_VARIANTS if as_variants else schemas.ACTIVITY_ENTRY
+    activity, torn = load_with_bad_budget(spark, path, schema, max_bad, max_bad_share)
     warehouse.reject(torn, "activity_log", load_id)
-    activity = project_activity(logs.select_activity_log(activity, as_of, lookback_days))
-    warehouse.append(activity, "assistant_activity", load_id, gather)
+    activity = logs.select_activity_log(activity, as_of, lookback_days)
+    if as_variants:
+        warehouse.ensure_tables("log_variants")
+        for table, rows in (("audit_access", audit), ("assistant_activity", activity)):
+            variants.append(warehouse, rows, table, load_id)
+        audit, activity = variants.read(warehouse, "audit_access"), variants.read(warehouse, "assistant_activity")
+    else:
+        activity = project_activity(activity)
+        warehouse.append(audit, "audit_access", load_id, gather)
+        warehouse.append(activity, "assistant_activity", load_id, gather)
 
     # what has just been landed, parsed once more into the columns that views read
     events = normalize_events(audit, activity, activity.limit(0))

@@ -60,6 +60,8 @@ USER_LEDGER = (
     " agent_ids_used array<string>, activity_date date, load_id string"
 )
 
+# log entries with the payload as a variant, all log tables in one folder
+LOG_VARIANTS = f"{_LOG}, payload variant, table string, {_LANDING}"
 # users and agents by number, and the days' bitmaps of those numbers
 ENTITY_NUMBERS = "space string, value string, number bigint, start bigint"
 USAGE_BITMAPS = "kind string, bucket bigint, bitmap binary, activity_date date, load_id string"
@@ -89,6 +91,7 @@ APPEND_TABLES = {
     "agent_session_metrics": f"{SESSION_METRICS}, load_id string",
     "creation_events": CREATION_EVENTS,
     "user_ledger": USER_LEDGER,
+    "log_variants": LOG_VARIANTS,
     "entity_numbers": ENTITY_NUMBERS,
     "usage_bitmaps": USAGE_BITMAPS,
     "consumed_parts": CONSUMED_PARTS,
@@ -107,6 +110,7 @@ PARTITIONS = {
     # creations are few per day; day folders would hold next to nothing
     "creation_events": ["load_id"],
     "user_ledger": ["activity_date", "load_id"],
+    "log_variants": ["table", "event_date", "load_id"],
     "entity_numbers": ["start"],
     "usage_bitmaps": ["activity_date", "load_id"],
     "consumed_parts": ["consumer", "load_id"],
@@ -114,7 +118,7 @@ PARTITIONS = {
     "daily_adoption": ["activity_date"],
 }
 # kept up behind the landed tables, created when first used
-DERIVED_TABLES = ("entity_numbers", "usage_bitmaps", "consumed_parts", "daily_ledger", "daily_adoption")
+DERIVED_TABLES = ("log_variants", "entity_numbers", "usage_bitmaps", "consumed_parts", "daily_ledger", "daily_adoption")
 SNAPSHOT_TABLES = {
     "agent_directory": AGENT_DIRECTORY,
     "agent_creators": AGENT_CREATORS,

@@ -42,11 +42,13 @@ def select_creation_log(
 def select_audit_log(
     entries: DataFrame, as_of: str, lookback_days: int = C.LOOKBACK_DAYS, cap: int | None = None
 ) -> DataFrame:
-    """Data-access entries of our service."""
+    """Data-access entries of our service; the payload is a record or a variant."""
+    is_variant = isinstance(entries.schema["protoPayload"].dataType, VariantType)
+    service = F.try_variant_get("protoPayload", "$.serviceName", "string") if is_variant else F.col("protoPayload")["serviceName"]
     return newest(
         entries.filter(
             F.col("logName").endswith(C.AUDIT_DATA_LOG)
-            & (F.col("protoPayload")["serviceName"] == C.SERVICE_NAME)
+            & (service == C.SERVICE_NAME)
             & in_lookback(as_of, lookback_days)
         ),
         cap,

@@ -113,6 +113,30 @@ class SampleLogs:
             f"to_json({_audit_payload(_AUDIT_METHOD)}) AS protopayload_auditlog",
         )
 
+    @property
+    def audit_branches(self) -> DataFrame:
+        """Every audit event in one of eleven shapes, so that all branches of the audit parser occur.
+
+        0 to 2 carry a request with a core flag, an agent, an agents spec; 3, 4 and 9 the same inside ``requestJson``, as
+        object or text; 5 and 6 are source and audio calls; 7 and 8 lack service or method; 10 has a scalar spec.
+        """
+        named = "struct(struct(agent AS agent) AS agent_info)"
+        listed = "struct(struct(array(struct(agent AS agent_id)) AS agent_specs) AS agents_spec)"
+        shapes = [
+            "struct(struct(k < 10 AS core_assistant) AS agent_info) AS request", f"{named} AS request", f"{listed} AS request",
+            f"{named} AS requestJson", f"to_json({named}) AS requestJson", *[f"{named} AS request"] * 4,
+            f"to_json({listed}) AS requestJson", "struct('legacy' AS agents_spec) AS request",
+        ]
+        calls = "google.cloud.discoveryengine.v1"
+        common = f"""IF(b = 7, NULL, '{C.SERVICE_NAME}') AS serviceName,
+          CASE b WHEN 5 THEN '{calls}.SourceService.CreateSource' WHEN 6 THEN '{calls}.AudioOverviewService.CreateAudioOverview'
+                 WHEN 8 THEN NULL ELSE '{C.STREAMED_METHODS[1]}' END AS methodName,
+          struct(principal AS principalEmail) AS authenticationInfo"""
+        cases = " ".join(f"WHEN {b} THEN to_json(struct({common}, {shape}))" for b, shape in enumerate(shapes))
+        payload = f"CASE b {cases} END"
+        rows = self.flat_events.filter(_IS_AUDIT).selectExpr("*", "event_id % 11 AS b")
+        return rows.selectExpr(*_log_columns(C.AUDIT_DATA_LOG), f"{payload} AS protopayload_auditlog")
+
     @property
     def stream_entries(self) -> DataFrame:
         """All logs as entries of one stream.

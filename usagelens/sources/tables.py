@@ -77,7 +77,7 @@ class Warehouse:
                 continue
             partitions = schemas.PARTITIONS[table]
             empty = self._empty(schemas.APPEND_TABLES[table]).drop(*partitions)
-            named = ("load_id", "source", "consumer")
+            named = ("load_id", "source", "consumer", "table")
             seed = "/".join(f"{p}={_SEED if p in named else '__HIVE_DEFAULT_PARTITION__'}" for p in partitions)
             self._write_new(empty, f"{self.path(table)}/{seed}")
 
