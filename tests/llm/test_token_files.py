@@ -19,7 +19,6 @@ def whole_text_ids(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tf.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return [e.ids + [1] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -66,6 +65,20 @@ def check_words(texts):
     assert got == whole_text_ids(texts)
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["ab <|endoftext|> cd", "<|startoftext|>", "x<|endoftext|>y z", "<|endoftext|><|endoftext|>", "A <|ENDOFTEXT|> b", "<|endoftext", "é́ <|startoftext|>, İ don't"],
+)
+def test_added_tokens_count_as_the_plain_tokenizer_counts_them(text):
+    check_words([text, "plain words", text + " " + ODD, ""])
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("abzßàöøÿéñçµªºŉſ÷×")), min_size=1, max_size=9), max_size=8))
+def test_plain_letters_skip_the_normalizer(words):
+    check_words([" ".join(words), " ".join(words).upper()])
+
+
 def test_forgotten_words_are_learnt_again(monkeypatch):
     monkeypatch.setattr(tf, "CACHED_WORDS", 5)
     tokens = tf.WordTokens(tf.tokenizer_path())

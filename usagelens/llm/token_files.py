@@ -21,6 +21,7 @@ themselves, by a hash of the text; null ids come first. A very long document is
 are ignored. An empty table gives an empty one.
 """
 
+import re
 import sys
 import zlib
 from itertools import compress, repeat
@@ -41,7 +42,8 @@ END_ID = 1
 LONGEST = 16
 STRIDE = 256
 BLOCK_IDS = 1 << 15
-CACHED_WORDS = 450_000  # in one Python worker
+CACHED_WORDS = 1_200_000  # in one Python worker, about 200 bytes each
+WORDS_AT_A_TIME = 10_000
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -58,15 +60,22 @@ class WordTokens:
 
     The vocabulary never joins characters across white space, so a text's ids are those of its words, one
     after another; words recur, and the ids of recent ones are kept. New words are encoded many at a time,
-    as lines of one text; the places of the tokens tell which line they belong to.
+    as lines of one text; the places of the tokens tell which line they belong to. Words of letters that the
+    normalizer would leave alone skip it. A text that holds one of the vocabulary's added tokens, which are
+    found before anything else is done to a text, is encoded whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # strings of special tokens in a text are ordinary text
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # for lines of plain lower-case letters: they are in normal form and one piece each
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split("\n", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -79,21 +88,27 @@ class WordTokens:
         marked = {w: w[:-1] for w in words if w[-1:] in (b",", b".") and w[-2:-1].isalpha()}
         plain = (words - marked.keys()) | set(marked.values()) | {w[-1:] for w in marked}
         fresh = [w for w in plain if w not in self.known]
-        for part in (fresh[at : at + 1000] for at in range(0, len(fresh), 1000)):
+        for part in (fresh[at : at + WORDS_AT_A_TIME] for at in range(0, len(fresh), WORDS_AT_A_TIME)):
             lines = [w.decode("utf-8", "replace") for w in part]
-            letters = [i for i, line in enumerate(lines) if line.isalpha() and line.lower().isalpha()]
-            others = sorted(set(range(len(lines))) - set(letters))
-            for chosen, lengths in ((letters, self._one_piece_each), (others, self._any)):
+            bare = [i for i, line in enumerate(lines) if _in_normal_form(line)]
+            rest = sorted(set(range(len(lines))) - set(bare))
+            letters = [i for i in rest if lines[i].isalpha() and lines[i].lower().isalpha()]
+            others = sorted(set(rest) - set(letters))
+            for chosen, lengths in ((bare, self._bare), (letters, self._one_piece_each), (others, self._any)):
                 ids, counts = lengths([lines[i] for i in chosen])
                 cuts = (2 * np.concatenate([[0], np.cumsum(counts)])).tolist()
                 self.known.update((part[i], ids[a:b]) for i, a, b in zip(chosen, cuts[:-1], cuts[1:], strict=True))
         self.known.update((w, self.known[stem] + self.known[w[-1:]]) for w, stem in marked.items())
 
-    def _one_piece_each(self, lines: list[str]) -> tuple[bytes, np.ndarray]:
+    def _bare(self, lines: list[str]) -> tuple[bytes, np.ndarray]:
+        return self._one_piece_each(lines, self.letters)
+
+    def _one_piece_each(self, lines: list[str], tokenizer=None) -> tuple[bytes, np.ndarray]:
         """Ids and their number per line for lines of letters: each ends with the one token that ends a word."""
         if not lines:
             return b"", np.empty(0, np.int64)
-        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, np.int64)
+        tokenizer = tokenizer or self.tokenizer
+        ids = np.array(tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, np.int64)
         ends = np.flatnonzero(self.ends_word[ids])
         if len(ends) != len(lines):
             return self._any(lines)
@@ -106,10 +121,21 @@ class WordTokens:
         return np.array(found.ids, "<u2").tobytes(), np.bincount(line, minlength=len(lines))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        # lowering would make added tokens of others
+        whole = {i for i, text in enumerate(texts) if any(token in low for low in (text.lower(),) for token in self.added)}
+        if not whole:
+            return self._by_words(texts)
+        found = self._by_words([b"" if i in whole else text for i, text in enumerate(texts)])
+        for i in whole:
+            ids = self.tokenizer.encode(texts[i].decode("utf-8", "replace"), add_special_tokens=False).ids
+            found[i] = np.array(ids, "<u2").tobytes()
+        return found
+
+    def _by_words(self, texts: list[bytes]) -> list[bytes]:
         # capitals are lowered anyway, but after characters are composed: not where a combining mark could follow
         split = [(text if b"\xcc" in text or b"\xcd" in text else text.lower()).split() for text in texts]
         found = [list(map(self.known.get, words)) for words in split]
-        gaps = [list(compress(range(len(ids)), map(is_, ids, repeat(None)))) for ids in found]
+        gaps = [list(compress(range(len(ids)), map(is_, ids, repeat(None)))) if None in ids else () for ids in found]
         missing = {words[i] for words, places in zip(split, gaps, strict=True) for i in places}
         if missing:
             self.learn(missing)
@@ -119,6 +145,14 @@ class WordTokens:
         return [b"".join(ids) for ids in found]
 
 
+_PLAIN_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+
+
+def _in_normal_form(word: str) -> bool:
+    """Lower-case letters of Latin-1, none of which composing or lowering would change."""
+    return _PLAIN_LETTERS.fullmatch(word) is not None
+
+
 def _word_tokens(path: str) -> WordTokens:
     """One for each Python worker: a worker serves many tasks, and what it has learnt helps the next."""
     kept = sys.modules.setdefault("_usagelens_word_tokens", ModuleType("_usagelens_word_tokens")).__dict__
