@@ -697,6 +697,16 @@ def w8_stream_dedup(s):
     return _landed_per_day(warehouse)
 
 
+@query
+def w8_late_repeats(s):
+    """Half of the entries arrive, then all of them: repeats and new rows of every day, later than any delay."""
+    warehouse = _warehouse(s.spark, "once", *schemas.LOG_TABLES)
+    arrivals, checkpoint = scratch_path(s.spark, "arrivals"), scratch_path(s.spark, "checkpoint")
+    for part in (s.stream_entries.filter("CAST(insertId AS BIGINT) % 2 = 0"), s.stream_entries):
+        _land(s, part, warehouse, arrivals, checkpoint, typed=False, only_new=True)
+    return _landed_per_day(warehouse)
+
+
 @query
 def s15_typed_landing(s):
     warehouse = _warehouse(s.spark, "typed", "usage_events")

@@ -587,6 +587,7 @@ def _streams() -> dict[str, str]:
         "w1_stream_routing": landed,
         "w6_two_streams": landed,
         "w8_stream_dedup": landed,
+        "w8_late_repeats": landed,
         "w7_view_follows_landing": _with(_EVENTS, viewed, from_routed, _adoption())
         + "SELECT time_period, total_active_users, distinct_agents_used, agent_pct FROM summary",
         "s15_typed_landing": _with(_EVENTS, viewed, from_routed)

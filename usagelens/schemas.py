@@ -62,6 +62,9 @@ USER_LEDGER = (
 
 # log entries with the payload as a variant, all log tables in one folder
 LOG_VARIANTS = f"{_LOG}, payload variant, table string, {_LANDING}"
+# identities of landed entries, and a filter of them
+ENTRY_KEYS = f"low bigint, high bigint, {_LANDING}"
+ENTRY_FILTERS = f"bucket bigint, bitmap binary, {_LANDING}"
 # users and agents by number, and the days' bitmaps of those numbers
 ENTITY_NUMBERS = "space string, value string, number bigint, start bigint"
 USAGE_BITMAPS = "kind string, bucket bigint, bitmap binary, activity_date date, load_id string"
@@ -92,6 +95,8 @@ APPEND_TABLES = {
     "creation_events": CREATION_EVENTS,
     "user_ledger": USER_LEDGER,
     "log_variants": LOG_VARIANTS,
+    "entry_keys": ENTRY_KEYS,
+    "entry_filters": ENTRY_FILTERS,
     "entity_numbers": ENTITY_NUMBERS,
     "usage_bitmaps": USAGE_BITMAPS,
     "consumed_parts": CONSUMED_PARTS,
@@ -111,6 +116,8 @@ PARTITIONS = {
     "creation_events": ["load_id"],
     "user_ledger": ["activity_date", "load_id"],
     "log_variants": ["table", "event_date", "load_id"],
+    "entry_keys": ["event_date", "load_id"],
+    "entry_filters": ["event_date", "load_id"],
     "entity_numbers": ["start"],
     "usage_bitmaps": ["activity_date", "load_id"],
     "consumed_parts": ["consumer", "load_id"],
@@ -118,7 +125,7 @@ PARTITIONS = {
     "daily_adoption": ["activity_date"],
 }
 # kept up behind the landed tables, created when first used
-DERIVED_TABLES = ("log_variants", "entity_numbers", "usage_bitmaps", "consumed_parts", "daily_ledger", "daily_adoption")
+DERIVED_TABLES = ("log_variants", "entry_keys", "entry_filters", "entity_numbers", "usage_bitmaps", "consumed_parts", "daily_ledger", "daily_adoption")
 SNAPSHOT_TABLES = {
     "agent_directory": AGENT_DIRECTORY,
     "agent_creators": AGENT_CREATORS,

@@ -16,6 +16,7 @@ from usagelens.operators.directory import harvest_names
 from usagelens.operators.routing import creation_events, route
 from usagelens.operators.turns import normalize_events
 from usagelens.plans.rollup import store_bitmaps
+from usagelens.sources import entry_keys
 from usagelens.sources.tables import Warehouse, has_condition
 
 # a step after landing: warehouse, rows of the batch, the batch's load id
@@ -65,6 +66,7 @@ def land_activity(
     identity: str | None = None,
     typed: bool = True,
     repeats_within: str | None = None,
+    only_new: bool = False,
 ) -> StreamingQuery:
     """Route entries to the log tables, each micro-batch in one partitioned write.
 
@@ -75,18 +77,21 @@ def land_activity(
 
     With ``typed``, the normalised events of the batch are written under the same load id, so that views
     never parse payloads. ``after_batch`` steps run after that; each gives the same result when it is
-    repeated. ``repeats_within`` drops repeated entries, see ``without_stream_repeats``.
+    repeated. ``repeats_within`` drops repeated entries, see ``without_stream_repeats``. ``only_new`` drops
+    entries that another load or batch has landed, however late they are, see ``entry_keys``.
     """
     identity = identity or stream_identity(warehouse.spark, checkpoint)
 
     def batch(rows: DataFrame, number: int) -> None:
         load_id = f"{name}-{identity}-{number}"
-        if not (after_batch or typed):
+        if not (after_batch or typed or only_new):
             warehouse.append_logs(rows, load_id)
             return
-        shared = rows.persist()
+        shared = entry_keys.unseen(warehouse, rows, load_id) if only_new else rows.persist()
         try:
             warehouse.append_logs(shared, load_id)
+            if only_new:
+                entry_keys.remember(warehouse, shared, load_id)
             for step in ((land_events,) if typed else ()) + tuple(after_batch):
                 step(warehouse, shared, load_id)
         finally:
