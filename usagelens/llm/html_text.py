@@ -2,17 +2,22 @@
 
 Each page is parsed into a tree of elements. A subtree's hash covers its tag, its class, its words and its
 children, so that equal menus, notices and footers of a site have equal hashes. Spark counts for every
-host on how many pages a subtree occurs; subtrees that recur on many of the host's pages are template and
-are deleted. What a site uses once, or on sites with a few pages, is recognised by its role: elements
-that can only hold furniture (navigation, forms, scripts, ...) and elements whose class, id or role says so.
+host on how many pages a subtree of the whole page occurs. Template, and deleted before anything else, is
 
-The text comes from the page's ``article`` or ``main`` element if there is one, else from its body. Blocks
-(paragraphs, headings, list items, cells, ...) end where a block element begins or ends; white space
-inside a block becomes one space, blocks are joined by one space.
+* an outermost subtree beside the main text, never inside it, on ``OUTSIDE_PAGES`` pages and ``OUTSIDE_SHARE`` of the
+  host's pages or more (hence a host has at most a few hundred times as many as a page has such elements), and
+* a subtree on ``MIN_PAGES`` pages or more and on ``MIN_SHARE`` of the host's pages, wherever it stands.
+
+Names decide what counts cannot: elements that can only hold furniture (navigation, forms, scripts, ...) and
+elements whose class, id or role says so, unless such an element holds most of the words around it. The text comes
+from the page's ``article`` elements, or ``main``, if they hold at least half of the words that are left, else from
+the whole page. Blocks (paragraphs, headings, list items, cells, ...) end where a block element begins or
+ends; white space inside a block becomes one space, blocks are joined by one space.
 
 Copies of an article on one host count as one page, so that they do not turn its text into template. Null and
 empty pages give an empty text; a null url is a host of its own. Repeated rows are pages of their own.
-Extra columns are ignored. An empty table gives an empty table.
+Extra columns are ignored. An empty table gives an empty table. Work is in proportion to the page, however deep
+its elements are nested.
 """
 
 import re
@@ -28,6 +33,8 @@ from usagelens.llm.common import stored
 
 MIN_PAGES = 5
 MIN_SHARE = 0.5
+OUTSIDE_PAGES = 3
+OUTSIDE_SHARE = 0.005
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,10 +55,12 @@ ENDS = {
     "option": {"option"},
 }
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+# A class or id that contains one of the words; ``has-``, ``with-`` and the like say something about another element.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|"
-    r"subscri\w+|sidebar|side|widgets?|related|recommend\w*|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|"
-    r"comments?|commentlist|disqus|replies|respond|share|sharing|social|login|signup|search|pagination|pager|toolbar|skip)(?:$|[\s_-])",
+    r"(?:^|\s)(?!(?:has|with|no|without|is)[_-])(?:[\w]+[_-])*?(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|"
+    r"notices?|popup|modal|overlay|newsletter|subscri\w+|sidebar|widgets?|related[_-](?:posts?|articles?|links?|stories)|nav|navbar|navigation|"
+    r"menu|breadcrumbs?|masthead|header|footer|comments?|commentlist|disqus|replies|respond|share|sharing|login|signup|search|pagination|"
+    r"pager|toolbar)(?:$|[\s_-])",
     re.I,
 )
 _PARAGRAPH_ENDERS = BLOCKS - {"body", "html"}
@@ -72,13 +81,12 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html")
         self.open = [self.root]
+        self.places: dict[str, list[int]] = {}  # where elements of a name are open
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body") and len(self.open) > 1 and any(n.tag == tag for n in self.open):
-            return
-        if tag == "html":
+        if tag == "html" or (tag == "body" and self.places.get(tag)):
             return
-        if tag in _PARAGRAPH_ENDERS and any(n.tag == "p" for n in self.open):
+        if tag in _PARAGRAPH_ENDERS:
             self._close({"p"}, stop=("table", "button", "object"))
         if tag in ENDS:
             self._close(ENDS[tag], stop=("table", "ul", "ol", "dl", "select"))
@@ -90,15 +98,17 @@ class TreeBuilder(HTMLParser):
         node = Node(tag, marks, hidden)
         self.open[-1].parts.append(node)
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.open))
             self.open.append(node)
 
+    def _last(self, tags) -> int:
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
+
     def _close(self, tags, stop=()):
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag in tags:
-                del self.open[at:]
-                return
-            if self.open[at].tag in stop:
-                return
+        at = self._last(tags)
+        if at > self._last(stop):
+            while len(self.open) > at:
+                self.places[self.open.pop().tag].pop()
 
     def handle_endtag(self, tag):
         if tag in ("html", "body"):
@@ -171,122 +181,159 @@ def subtree_hashes(root: Node) -> list[tuple[Node, int]]:
     return out
 
 
-def _outermost(root: Node, wanted: str, marks: bool) -> list[Node]:
-    """Outermost elements of a kind, in page order, that do not lie in furniture."""
-    stack, found = [root], []
-    while stack:
-        node = stack.pop()
-        if node.tag == wanted and not (marks and furniture(node)):
-            found.append(node)
-        elif node is root or not (furniture(node) if marks else node.tag in SILENT or node.tag in FURNITURE):
-            stack += reversed([x for x in node.parts if isinstance(x, Node)])
-    return found
-
-
-def content_root(root: Node) -> Node:
-    """The articles of the page, else its main element, else the whole page.
-
-    A wrapper may be called after something beside the article; so class names only count at first.
-    """
-    for marks in (True, False):
-        for wanted in ("article", "main"):
-            found = _outermost(root, wanted, marks)
-            if len(found) == 1:
-                return found[0]
-            if found:
-                together = Node("div")
-                together.parts = found
-                return together
-    return root
-
-
-def main_text(root: Node, template: set[int] | None = None) -> str:
-    """Blocks of the main text. ``template``: hashes of the host's recurring subtrees."""
-    content = content_root(root)
-    hashes = {id(n): h for n, h in subtree_hashes(content)} if template else {}
-    blocks, held = [], []
+class Page:
+    """A parsed page, with the words of its elements counted and template and furniture marked as gone."""
+
+    def __init__(self, html: str, template: set[int] | None = None, names: bool = True):
+        self.root = parse(html)
+        self.hashes = subtree_hashes(self.root)  # children first
+        self.gone: set[int] = set()
+        self.words: dict[int, int] = {}  # words below an element that are not gone
+        for node, value in self.hashes:
+            if node.tag in SILENT or (template and value in template):
+                self.gone.add(id(node))
+            self._count(node)
+        if names:
+            self._drop_named()
+        self.content = self._content(names)
+
+    def _count(self, node: Node) -> None:
+        below = sum(self.words[id(x)] if isinstance(x, Node) else len(x.split()) for x in node.parts)
+        self.words[id(node)] = 0 if id(node) in self.gone else below
+
+    def _drop_named(self) -> None:
+        """Furniture goes, unless it holds most of the words of what it stands in: an article's body or a page's wrapper."""
+        around = {id(self.root): self.words[id(self.root)]}
+        for node, _ in reversed(self.hashes):  # parents first
+            for part in node.parts:
+                if isinstance(part, Node):
+                    held = around[id(node)]
+                    if id(part) not in self.gone and furniture(part):
+                        if part.tag in ("nav", "footer", "aside", "button", "dialog", "menu") or 2 * self.words[id(part)] <= held:
+                            self.gone.add(id(part))
+                    around[id(part)] = self.words[id(part)] if part.tag in ("article", "main") else held
+        for node, _ in self.hashes:
+            self._count(node)
+
+    def _content(self, names: bool) -> list[Node]:
+        """The outermost articles, else main elements, if they hold half of the words left; else the whole page."""
+        whole = self.words[id(self.root)]
+        for wanted in ("article", "main") if names else ():
+            stack, found = [self.root], []
+            while stack:
+                node = stack.pop()
+                if id(node) in self.gone:
+                    continue
+                if node.tag == wanted:
+                    found.append(node)
+                else:
+                    stack += reversed([x for x in node.parts if isinstance(x, Node)])
+            if found and 2 * sum(self.words[id(node)] for node in found) >= whole:
+                return found
+        return [self.root]
+
+    def text(self) -> str:
+        blocks, held = [], []
+
+        def end():
+            words = " ".join("".join(held).split())
+            if words:
+                blocks.append(words)
+            held.clear()
+
+        # entries: a text, a node to enter, or None where a block ends
+        stack: list = list(reversed(self.content))
+        while stack:
+            part = stack.pop()
+            if part is None:
+                end()
+            elif isinstance(part, str):
+                held.append(part)
+            elif id(part) not in self.gone:
+                if part.tag in BLOCKS:
+                    end()
+                    stack.append(None)
+                elif part.tag == "br":
+                    held.append("\n")
+                stack += reversed(part.parts)
+        end()
+        return " ".join(blocks)
+
+    def subtrees(self) -> tuple[int, dict[int, bool]]:
+        """Hash of the main text's trees; hashes of subtrees with words, and whether they stand in the main text.
+
+        Of what lies beside the main text only the outermost elements are listed. A page that is main text as a whole is
+        all inside.
+        """
+        own, wordy, found, content = {id(n): h for n, h in self.hashes}, set(), {}, 0
+        for node, _ in self.hashes:
+            if node.tag not in SILENT and any(id(x) in wordy if isinstance(x, Node) else x.strip() for x in node.parts):
+                wordy.add(id(node))
+        chosen = {id(node) for node in self.content}
+        above = set(chosen)  # what holds main text
+        for node, _ in self.hashes:
+            if any(id(x) in above for x in node.parts if isinstance(x, Node)):
+                above.add(id(node))
+        stack = [(self.root, False)]
+        while stack:
+            node, inside = stack.pop()
+            inside = inside or id(node) in chosen
+            if id(node) not in wordy:
+                continue
+            if node.tag not in ("html", "body", "article", "main") and (inside or id(node) not in above):
+                found[own[id(node)]] = found.get(own[id(node)], False) or inside
+            if inside or id(node) in above:
+                stack += [(x, inside) for x in node.parts if isinstance(x, Node)]
+        for node in self.content:
+            content = _mixed(content * 33 + own[id(node)] & _MASK)
+        return content, found
 
-    def end():
-        words = " ".join("".join(held).split())
-        if words:
-            blocks.append(words)
-        held.clear()
 
-    # entries: a text, a node to enter, or None where a block ends
-    stack: list = [content]
-    while stack:
-        part = stack.pop()
-        if part is None:
-            end()
-        elif isinstance(part, str):
-            held.append(part)
-        else:
-            if part is not content and (hashes.get(id(part)) in template if template else False):
-                continue
-            if part is not content and part.tag != "article" and furniture(part):
-                continue
-            block = part.tag in BLOCKS
-            if block:
-                end()
-                stack.append(None)
-            elif part.tag == "br":
-                held.append("\n")
-            stack += reversed(part.parts)
-    end()
-    return " ".join(blocks)
-
-
-def candidates(root: Node) -> tuple[int, set[int]]:
-    """Hash of the main text's tree, and hashes of the subtrees with words in it that could be template."""
-    content = content_root(root)
-    hashed = subtree_hashes(content)
-    wordy: set[int] = set()
-    found = set()
-    for node, value in hashed:  # children first
-        if any(id(x) in wordy if isinstance(x, Node) else x.strip() for x in node.parts):
-            wordy.add(id(node))
-            if node is not content and node.tag not in ("body", "article", "main") and not furniture(node):
-                found.add(value)
-    return hashed[-1][1], found
+def main_text(html: str, template: set[int] | None = None, names: bool = True) -> str:
+    """Blocks of the main text. ``template``: hashes of the host's recurring subtrees; without ``names`` only those go."""
+    return Page(html, template, names).text()
 
 
 def _listed(batches):
-    """(host, content, subtree): which subtrees stand in which main text, 0 for the page as such."""
+    """(host, content, subtree, inside): which subtrees stand on which page, 0 for the page as such."""
     for batch in batches:
-        hosts, contents, trees = [], [], []
+        hosts, contents, trees, inside = [], [], [], []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            content, found = candidates(parse(html or ""))
-            found.add(0)
+            content, found = Page(html or "").subtrees()
+            found[0] = False
             hosts += [host] * len(found)
             contents += [content] * len(found)
             trees += found
+            inside += found.values()
         numbers = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (contents, trees)]
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.int64()), *numbers], ["host", "content", "subtree"])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.int64()), *numbers, pa.array(inside, pa.bool_())], ["host", "content", "subtree", "inside"])
 
 
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, template): hashes of the subtrees that recur on the host, for hosts that have any.
+def site_templates(
+    pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, outside_pages: int = OUTSIDE_PAGES
+) -> DataFrame:
+    """(host, subtree): hashes of the subtrees that are template on the host.
 
-    Pages with equal main texts count once, so that copies of an article do not make it a template. As a
-    subtree must stand on a large share of the pages, a host has only a few times as many of them as a
-    page has elements.
+    Pages with equal main texts count once, so that copies of an article do not make it a template.
     """
     rows = pages.select(F.xxhash64(host_of(F.col("url"))).alias("host"), "html").mapInArrow(
-        _listed, "host bigint, content bigint, subtree bigint"
+        _listed, "host bigint, content bigint, subtree bigint, inside boolean"
     )
-    counts = rows.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    counts = stored(counts, "subtrees")
+    once = rows.groupBy("host", "content", "subtree").agg(F.bool_or("inside").alias("inside"))
+    counts = stored(once.groupBy("host", "subtree").agg(F.count("*").alias("n"), F.bool_or("inside").alias("inside")), "subtrees")
     total = counts.where("subtree = 0").select("host", F.col("n").alias("pages"))
-    often = counts.where((F.col("subtree") != 0) & (F.col("n") >= min_pages)).join(total, "host")
-    often = often.where(F.col("n") >= F.col("pages") * min_share)
-    return stored(often.groupBy("host").agg(F.collect_list("subtree").alias("template")), "templates")
+    often = counts.where((F.col("subtree") != 0) & (F.col("n") >= min(min_pages, outside_pages))).join(total, "host")
+    everywhere = (F.col("n") >= min_pages) & (F.col("n") >= F.col("pages") * min_share)
+    beside = ~F.col("inside") & (F.col("n") >= outside_pages) & (F.col("n") >= F.col("pages") * OUTSIDE_SHARE)
+    return often.where(everywhere | beside).select("host", "subtree")
 
 
-def _extracted(batches):
+def _cleared(batches):
+    """Texts of pages; ``found`` lists those of the page's subtrees that are template."""
     for batch in batches:
         texts = []
-        for html, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True):
-            texts.append(main_text(parse(html or ""), {t & _MASK for t in template} if template else None))
+        for html, found in zip(batch.column("html").to_pylist(), batch.column("found").to_pylist(), strict=True):
+            texts.append(main_text(html or "", {t & _MASK for t in found} if found else None))
         sizes = pa.array([len(t) for t in texts], pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
 
@@ -302,8 +349,9 @@ def extract_pages(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     stored, so Spark knows their size when it chooses the join.
     """
     templates = site_templates(pages, min_pages, min_share)
+    templates = stored(templates.groupBy("host").agg(F.collect_list("subtree").alias("found")), "templates")
     rows = pages.select("page_id", "url", "html", F.xxhash64(host_of(F.col("url"))).alias("host"))
     kind = dict(pages.dtypes)["page_id"]
-    return rows.join(templates, "host", "left").select("page_id", "url", "html", "template").mapInArrow(
-        _extracted, f"page_id {kind}, url string, text string, n_chars bigint"
+    return rows.join(templates, "host", "left").select("page_id", "url", "html", "found").mapInArrow(
+        _cleared, f"page_id {kind}, url string, text string, n_chars bigint"
     )
