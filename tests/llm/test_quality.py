@@ -53,6 +53,16 @@ def test_odd_documents_and_clashing_columns(spark, tmp_path):
     assert kept.count() == sum(r["predicted"] for r in got)
 
 
+def test_labels_without_documents_and_odd_labels_take_no_places(spark, tmp_path):
+    docs, labels, _ = labelled(spark, tmp_path, 120)
+    odd = [(10_000 + i, i % 2, 0) for i in range(3000)] + [(0, 2, 0), (1, -1, 0), (2, 7, 1)]
+    one, two = (
+        Counter((r["doc_id"], r["score"]) for r in quality.scored(docs, quality.fit(docs, marks, most=60)).collect())
+        for marks in (labels, labels.union(spark.createDataFrame(odd, LABELS)))
+    )
+    assert one == two
+
+
 def test_no_labels_one_class_and_no_documents(spark, tmp_path):
     docs = stored_documents(spark, tmp_path)
     assert {r["score"] for r in quality.quality_scores(docs, spark.createDataFrame([], LABELS)).collect()} == {0.5}

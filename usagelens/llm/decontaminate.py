@@ -34,6 +34,7 @@ WIDTH = 10
 LANE = 512  # words
 MAX_PATTERNS = 200_000
 TABLE_BITS = 20
+CHUNK = 1 << 20  # bytes of text at a time; every byte takes part in several arrays of numbers
 
 _WORD = byte_class([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -204,7 +205,7 @@ def _searcher(compiled: list[Patterns]):
     def run(batches):
         hasher = ByteHasher()
         for batch in batches:
-            for first, last, buf, offsets in text_chunks(batch.column("_ul_body")):
+            for first, last, buf, offsets in text_chunks(batch.column("_ul_body"), CHUNK):
                 counts, hits, items, (_, _, row, hit) = find(buf, offsets, compiled, hasher)
                 begin = np.cumsum(counts) - counts
                 places = defaultdict(list)
@@ -264,7 +265,7 @@ def _dropper(compiled: list[Patterns], names: list[str]):
         hasher = ByteHasher()
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            for first, last, buf, offsets in text_chunks(batch.column("_ul_body")):
+            for first, last, buf, offsets in text_chunks(batch.column("_ul_body"), CHUNK):
                 keep[first:last] = find(buf, offsets, compiled, hasher)[1] == 0
             yield batch.select(names).filter(pa.array(keep))
 

@@ -9,7 +9,7 @@ into probabilities.
 
 The model is fitted on at most ``MAX_TRAIN`` labelled rows, those with the smallest hash of the id; that
 is the only bound, and scoring reads every text whole. Labels of one id that disagree count as 1 if any
-does; null labels and labels without a document are ignored. Without labels the score is 0.5, with labels
+does; null labels, labels other than 0 and 1, and labels without a document are ignored and take no places. Without labels the score is 0.5, with labels
 of one class only it is that class's smoothed share. Null and empty texts have no features and get the
 score of the bias. Repeated rows get equal scores. Extra columns are kept by ``scored``, and columns named
 like the results are replaced. An empty table gives an empty table.
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from usagelens.llm.common import mix, text_chunks, word_spans
 
 MAX_TRAIN = 6000
+CHUNK = 1 << 20  # bytes of text at a time; every byte takes part in several arrays of numbers
 FEATURE_BITS = 16  # half of the features for byte trigrams, half for word shapes
 FEATURES = 1 << FEATURE_BITS
 SMOOTHING = 1.0
@@ -196,7 +197,7 @@ def fit_rows(rows: list[np.ndarray], labels: np.ndarray) -> Model:
 
 def _features(batches):
     for batch in batches:
-        for first, last, buf, offsets in text_chunks(batch.column("_ul_body")):
+        for first, last, buf, offsets in text_chunks(batch.column("_ul_body"), CHUNK):
             cut = batch.slice(first, last - first)
             packed = [on.astype(np.uint16).tobytes() for on in feature_rows(buf, offsets)]
             yield pa.RecordBatch.from_arrays(
@@ -210,7 +211,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
     The chosen labels are at most ``most`` rows, hence broadcast; their documents' features, again at most
     ``most`` rows, come to the driver.
     """
-    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     known = known.groupBy(F.col("doc_id").alias("_ul_id")).agg(F.max(label).cast("int").alias("label"))
     known = known.withColumn("rank", F.xxhash64("_ul_id")).orderBy("rank", "_ul_id").limit(most)
     texts = docs.select("doc_id", F.col("text").alias("_ul_body"))
@@ -226,7 +228,7 @@ def _scorer(model: Model, names: list[str]):
     def run(batches):
         for batch in batches:
             scores = np.empty(batch.num_rows)
-            for first, last, buf, offsets in text_chunks(batch.column("_ul_body")):
+            for first, last, buf, offsets in text_chunks(batch.column("_ul_body"), CHUNK):
                 scores[first:last] = [model.score(on) for on in feature_rows(buf, offsets)]
             columns = [batch.column(name) for name in names] + [pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, [*names, "score"])
@@ -255,7 +257,7 @@ def _keeper(model: Model, names: list[str], threshold: float):
     def run(batches):
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            for first, last, buf, offsets in text_chunks(batch.column("_ul_body")):
+            for first, last, buf, offsets in text_chunks(batch.column("_ul_body"), CHUNK):
                 keep[first:last] = [model.score(on) >= threshold for on in feature_rows(buf, offsets)]
             yield batch.select(names).filter(pa.array(keep))
 
