@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.cases import rows, stored_documents, words
@@ -84,6 +85,42 @@ def test_pairs_in_a_family_below_the_threshold_equal_brute_force(spark, tmp_path
     assert Counter((r["doc_id"], r["class_id"]) for r in got) == expected
 
 
+@pytest.mark.parametrize("texts", [50, 400])
+def test_candidates_of_a_family_grow_with_its_texts(spark, tmp_path, monkeypatch, texts):
+    # all texts of the family lie at 0.70; planted pairs share more and lie above 0.8
+    draw = random.Random(texts)
+    passage, data = words(501, 178), []
+    for pair in range(texts // 2):
+        common = words(5000 + pair, 20)
+        for side in (0, 1):
+            data.append((2 * pair + side, " ".join(passage + common + words(20_000 + 2 * pair + side, 17)), "en", "s", 0))
+    draw.shuffle(data)
+    found, rest = [], near_dup._rest
+
+    def counted(*args):
+        pairs = rest(*args)
+        found.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_dup, "_rest", counted)
+    got = near_dup.near_duplicate_classes(stored_documents(spark, tmp_path, data)).collect()
+    expected = classes(data)
+    assert Counter(Counter(c for _, c in expected).values()) == {2: texts // 2}
+    assert Counter((r["doc_id"], r["class_id"]) for r in got) == expected
+    assert len(found) == 1 and found[0] <= 3 * texts
+
+
+def test_parities_never_exceed_the_difference():
+    draw = random.Random(8)
+    for n in (3, 60, 900):
+        a = {draw.getrandbits(64) for _ in range(n)}
+        b = set(draw.sample(sorted(a), n // 2)) | {draw.getrandbits(64) for _ in range(n // 3)}
+        rows_ = np.repeat([0, 1], [len(a), len(b)])
+        odd = near_dup.parities(rows_, np.array([*a, *b], np.uint64), 3)
+        bits = sum(int(x).bit_count() for x in odd[0] ^ odd[1])
+        assert 0 < bits <= len(a ^ b) and not odd[2].any()
+
+
 def test_one_document_of_each_class_stays(spark, tmp_path):
     docs = stored_documents(spark, tmp_path)
     kept = near_dup.unique_documents(docs).collect()

@@ -16,9 +16,11 @@ components of the links.
 3. *Exact check* of every such pair on the full shingle sets, then components by contraction of edges.
 4. *The rest.* Rounds end without having compared all texts of a bucket. Texts of buckets that still hold
    untested pairs of different classes are joined on the rarest elements of their sets: of two texts at the
-   threshold, the prefixes must share an element at places that leave room for the common ones. What the
-   join leaves out cannot reach the threshold, the rest is checked exactly. So every pair that shares a
-   bucket is linked, in one class by other links, or known to be below the threshold.
+   threshold, the prefixes must share an element at places that leave room for the common ones. A pair
+   meets at its first common element only, as far as the ``HEAD`` elements before tell, and if the parities of
+   512 hash classes of elements allow enough common ones. What the join leaves out cannot reach the
+   threshold, the rest is checked exactly. So every pair that shares a bucket is linked, in one class by
+   other links, or known to be below the threshold.
 
 Equal texts share their signature and are one node. Null texts are alone; empty texts are equal texts.
 Repeated rows are copies. Null ids sort behind others within a class. Other columns are ignored. The
@@ -39,7 +41,10 @@ THRESHOLD = 0.8
 COORDINATES = 128
 BANDS = 32
 ROUNDS = 4
+PARITY_WORDS = 8  # 64-bit words of a set's parities, a power of two
+HEAD = 16  # elements before a shared one that are looked at to see whether the pair has met already
 
+_PARITIES = [f"odd{i}" for i in range(PARITY_WORDS)]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -170,8 +175,20 @@ def _signed(bands: int, k: int, words: int):
     return run
 
 
+def parities(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """n x PARITY_WORDS integers: per text, whether each hash class of elements has an odd number of them.
+
+    A class of odd and even number differs by at least one element, so two sets have no fewer elements apart
+    than their parities have different bits.
+    """
+    spot = mix(values ^ _ODD)
+    out = np.zeros((n, PARITY_WORDS), np.uint64)
+    np.bitwise_xor.at(out, (rows, (spot & np.uint64(PARITY_WORDS - 1)).astype(np.int64)), np.uint64(1) << (spot >> np.uint64(58)))
+    return out
+
+
 def _shingle_sets(words: int):
-    """Every text as distinct hashes of (shingle, number of the occurrence): set sizes are weights."""
+    """Every text as distinct hashes of (shingle, number of the occurrence): set sizes are weights; with parities."""
 
     def run(batches):
         hasher = ByteHasher()
@@ -181,10 +198,12 @@ def _shingle_sets(words: int):
                 rows, values, weights = counted(*shingles(buf, offsets, hasher, words))
                 turn = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights) - weights, weights)
                 each = mix(np.repeat(values, weights) + turn.astype(np.uint64) * _ODD)
-                ends = np.concatenate([[0], np.cumsum(np.bincount(np.repeat(rows, weights), minlength=n))])
+                owner = np.repeat(rows, weights)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(each.view(np.int64)))
+                odd = [pa.array(column) for column in parities(owner, each, n).view(np.int64).T]
                 cut = batch.slice(first, n)
-                yield pa.RecordBatch.from_arrays([cut.column("text_id"), lists], ["text_id", "elements"])
+                yield pa.RecordBatch.from_arrays([cut.column("text_id"), lists, *odd], ["text_id", "elements", *_PARITIES])
 
     return run
 
@@ -309,18 +328,28 @@ def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, tested: DataFra
     known = known.select("bucket", "text_id", F.coalesce("root", "text_id").alias("root"))
     several = known.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo < hi AND n > 2")
     texts = stored(known.join(several.select("bucket"), "bucket").select("text_id", "root").distinct(), "open")
-    each = sets.join(texts, "text_id").select("text_id", "root", F.size("elements").alias("size"), F.explode("elements").alias("element"))
+    each = sets.join(texts, "text_id").select("text_id", "root", *_PARITIES, F.size("elements").alias("size"), F.explode("elements").alias("element"))
     # an element of one class makes no pair; such elements come first in every text's order
     counts = each.groupBy("element", "root").agg(F.count("*").alias("n"))
     shared = counts.groupBy("element").agg(F.sum("n").alias("texts"), F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("classes"))
     shared = stored(shared.where("classes > 1").drop("classes"), "shared-elements")
-    place = F.struct("texts", "element", "main")
-    lists = each.join(shared, "element").groupBy("text_id", "root", "size").agg(F.array_sort(F.collect_list(place)).alias("elements"))
-    rows = lists.select("text_id", "root", "size", (F.col("size") - F.size("elements")).alias("alone"), F.posexplode("elements").alias("at", "e"))
-    rows = rows.select("text_id", "root", "size", (F.col("alone") + F.col("at")).alias("place"), "e.element", (F.col("root") != F.col("e.main")).alias("minor"))
     t = float(threshold)
+    lists = each.join(shared, "element").groupBy("text_id", "root", "size", *_PARITIES).agg(
+        F.array_sort(F.collect_list(F.struct("texts", "element", "main"))).alias("order")
+    )
+    lists = lists.withColumn("alone", F.col("size") - F.size("order")).withColumn("names", F.transform("order", lambda e: e["element"]))
+    # elements that may be the first common one: enough others follow
+    most = F.least(F.size("order"), F.floor(F.col("size") * F.lit(1 - t) - F.col("alone") + 1e-6).cast("int") + 1)
+    places = F.transform(
+        F.slice("order", 1, F.greatest(most, F.lit(0))),
+        lambda e, at: F.struct(
+            (F.col("alone") + at).alias("place"), e["element"].alias("element"), (F.col("root") != e["main"]).alias("minor"),
+            F.slice("names", F.greatest(at - HEAD, F.lit(0)) + 1, F.least(at, F.lit(HEAD))).alias("head"),
+        ),
+    )
+    rows = lists.select("text_id", "root", "size", *_PARITIES, F.inline(places))
     left = F.col("size") - F.col("place")  # elements from this place on
-    rows = stored(rows.where(left >= F.col("size") * F.lit(t) - 1e-6), "prefixes")
+    rows = stored(rows, "prefixes")
     # the smaller text of a pair shares one of even fewer elements; one of the two is outside of the element's main class
     small = rows.where(left >= F.col("size") * F.lit(2 * t / (1 + t)) - 1e-6).withColumn("side", F.when(F.col("minor"), 0).otherwise(1))
     large = rows.withColumn("side", F.explode(F.when(F.col("minor"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
@@ -328,12 +357,16 @@ def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, tested: DataFra
     busy = stored(busy, "busy")
     small = small.join(busy, ["element", "side"]).withColumn("salt", F.pmod(F.xxhash64("text_id"), F.col("salts")).cast("int")).drop("salts")
     large = large.join(busy, ["element", "side"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    for name in ("text_id", "root", "size", "place"):
+    for name in ("text_id", "root", "size", "place", "head", *_PARITIES):
         small, large = small.withColumnRenamed(name, f"{name}_a"), large.withColumnRenamed(name, f"{name}_b")
+    both = F.col("size_a") + F.col("size_b")
+    apart = sum((F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in _PARITIES), F.lit(0))
     pairs = small.drop("minor").join(large.drop("minor"), ["element", "side", "salt"]).where(
         (F.col("root_a") != F.col("root_b"))
         & (F.struct("size_a", "text_id_a") < F.struct("size_b", "text_id_b"))
-        & (F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) >= (F.col("size_a") + F.col("size_b")) * F.lit(t / (1 + t)) - 1e-6)
+        & (F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) >= both * F.lit(t / (1 + t)) - 1e-6)
+        & (apart <= both * F.lit((1 - t) / (1 + t)) + 1e-6)
+        & ~F.arrays_overlap("head_a", "head_b")
     )
     pairs = _tidy(pairs.select(F.col("text_id_a").alias("a"), F.col("text_id_b").alias("b")))
     return stored(pairs.join(tested, ["a", "b"], "left_anti"), "rest")
@@ -346,7 +379,8 @@ def _sets_of(rows: DataFrame, texts: DataFrame, members: DataFrame, words: int)
         wanted.withColumnRenamed("text_id", "_ul_text"),
         (F.col("text_id") == F.col("_ul_text")) & F.col("id").eqNullSafe(F.col("first_id")),
     ).select("text_id", "_ul_body")
-    sets = bodies.mapInArrow(_shingle_sets(words), "text_id bigint, elements array<bigint>")
+    schema = "text_id bigint, elements array<bigint>, " + ", ".join(f"{name} bigint" for name in _PARITIES)
+    sets = bodies.mapInArrow(_shingle_sets(words), schema)
     # rows repeated with their id give the same set again
     return stored(sets.dropDuplicates(["text_id"]), "sets")
 
@@ -358,7 +392,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs at or above the threshold. A text with many partners is dealt out under several salts."""
     busy = pairs.select(F.col("a").alias("text_id")).unionByName(pairs.select(F.col("b").alias("text_id")))
     busy = stored(busy.groupBy("text_id").agg(F.ceil(F.count("*") / FAN).cast("int").alias("salts")), "busy")
-    salted = sets.join(busy, "text_id").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    salted = sets.select("text_id", "elements").join(busy, "text_id").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     sides = []
     for one, other in (("a", "b"), ("b", "a")):
         sides.append(salted.select(F.col("text_id").alias(one), F.col("salt").alias(f"salt_{one}"), F.col("elements").alias(f"elements_{one}")))
