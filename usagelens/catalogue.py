@@ -14,7 +14,7 @@ from usagelens.operators import definitions, directory, quality, reshape, turns
 from usagelens.operators.adoption import adoption_by_period, adoption_from_ledger, user_flags, user_ledger
 from usagelens.operators.bitmaps import adoption_from_bitmaps, period_users, rolling_adoption
 from usagelens.operators.dedup import without_repeats
-from usagelens.plans import jobs, questions, recipes, rollup, views
+from usagelens.plans import bucketed, jobs, questions, recipes, rollup, views
 from usagelens.session import configure, scratch_path
 from usagelens.sources import logs, variants
 from usagelens.sources.sample_logs import SampleLogs
@@ -205,6 +205,13 @@ def m1_upsert(s):
     return directory.upsert_definitions(s.agent_directory, updates)
 
 
+@query
+def m4_strict_upsert(s):
+    """Every update arrives twice; ``error`` accepts exact repeats and would fail on two different rows of an agent."""
+    updates = definitions.flatten_definitions_light(s.agent_definitions)
+    return directory.upsert_definitions(s.agent_directory, updates.unionByName(updates), on_conflict="error")
+
+
 @query
 def m2_reconcile(s):
     names = directory.harvest_names(s.assistant_activity)
@@ -589,6 +596,23 @@ def v3_daily_adoption(s):
     return _daily(s).read("daily_adoption").withColumnRenamed("activity_date", "time_period")
 
 
+# ---- events kept by user -------------------------------------------------------------------
+def _bucketed(s) -> DataFrame:
+    """A name of its own per run: an earlier run's result may still be read."""
+    path = scratch_path(s.spark, "bucketed")
+    return bucketed.store(_events(s), path, path.rsplit("/", 1)[-1].replace("-", "_"), buckets=8)
+
+
+@query
+def v2_bucketed_ledger(s):
+    return user_ledger(_bucketed(s)).withColumn("agent_ids_used", F.array_join("agent_ids_used", ","))
+
+
+@query
+def n5_bucketed_users(s):
+    return questions.users_of(_bucketed(s), ("notebooklm",))
+
+
 # ---- questions as SQL ---------------------------------------------------------------------
 def _asked(s, text: str) -> DataFrame:
     """Ask a question in SQL over a warehouse with landed events and metrics."""

@@ -230,6 +230,8 @@ def _kept_up(sql: dict[str, str]) -> dict[str, str]:
     same = {
         "v2_daily_ledger": "v2_user_ledger",
         "v3_daily_adoption": "v3_adoption_summary",
+        "v2_bucketed_ledger": "v2_user_ledger",
+        "n5_bucketed_users": "n5_feature_users",
         "n1_sql_dau_trend": "n1_dau_trend",
         "n2_bitmap_weekly": "n2_adoption_weekly",
         "n2_bitmap_monthly": "n2_adoption_monthly",
@@ -238,6 +240,7 @@ def _kept_up(sql: dict[str, str]) -> dict[str, str]:
         "n11_sql_top_agents": "n11_top_agents",
         "n13_sql_agents_on_day": "n13_distinct_agents_on_day",
         "j2_nightly_names": "m2_reconcile",
+        "m4_strict_upsert": "m1_upsert",
         "j1_variant_backfill": "j1_backfill",
         "t11_variant_events": "t11_normalized_events",
     }

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -148,10 +148,10 @@ class Warehouse:
         ``base`` is the number of the version that ``df`` was computed from; if another one has become
         current since, nothing changes and ``ConcurrentReplace`` is raised.
         """
-        version = uuid.uuid4().hex
+        base, version = self.current(table)[0] if base is None else base, uuid.uuid4().hex
         path = f"{self.path(table)}/version={version}"
         align_schema(df, schemas.SNAPSHOT_TABLES[table]).write.parquet(path)
-        self._publish(table, version, self.current(table)[0] if base is None else base)
+        self._publish(table, version, base)
         return path
 
     def _publish(self, table: str, version: str, base: int) -> None:
@@ -221,15 +221,16 @@ class Warehouse:
         """A log table without the copies that several loads have brought.
 
         Copies of an entry have its timestamp, hence its day; so only days that more than one load has
-        written are aggregated. Finding them reads partition values, no payload.
+        written, and entries without a time, are aggregated. Finding them reads partition values, no payload.
         """
         rows = self.parts(table)
         payload = "protopayload_auditlog" if table.startswith("audit") else "jsonPayload"
         loads = rows.groupBy(F.col("event_date").alias("day")).agg(F.count_distinct("load_id").alias("loads"))
-        shared = loads.filter("loads > 1").select("day")
-        same = F.col("event_date").eqNullSafe(F.col("day"))
-        single = rows.join(shared, same, "left_anti").drop("load_id")
-        return single.unionByName(without_repeats(rows.join(shared, same, "left_semi").drop("load_id"), payload))
+        shared = loads.filter("loads > 1 AND day IS NOT NULL").select("day")
+        same, timeless = F.col("event_date") == F.col("day"), F.col("event_date").isNull()
+        single = rows.filter(~timeless).join(shared, same, "left_anti")
+        several = rows.filter(~timeless).join(shared, same, "left_semi").unionByName(rows.filter(timeless))
+        return single.drop("load_id").unionByName(without_repeats(several.drop("load_id"), payload))
 
     def read_days(self, table: str, days: Sequence[date]) -> DataFrame:
         """Some days of a log table; only their folders are listed, however many there are."""
@@ -276,9 +277,9 @@ def load_with_bad_budget(
     The budget is ``max_bad`` lines or the share ``max_share`` of all lines, whichever is more. The
     lines are the caller's to keep, see ``Warehouse.reject``.
 
-    The text is parsed once, into a staged Parquet copy in the shared scratch folder. The malformed
-    lines are counted there by reading one, mostly empty, column, and the caller loads the same
-    copy: count and rows agree even if files arrive or executors are lost in between.
+    The text is read once, into a staged Parquet copy in the shared scratch folder, and counted by that very
+    write: a load beyond the budget is known before anything is published, and the caller loads the same
+    copy, so count and rows agree even if files arrive or executors are lost in between.
     """
     good = schemas.parsed(schema) if isinstance(schema, str) else schema
     flagged = StructType([*good.fields, StructField(_BAD, StringType())])
@@ -289,10 +290,11 @@ def load_with_bad_budget(
         .json(path)
     )
     staged_path = scratch_path(spark, "load")
-    raw.write.parquet(staged_path)
+    lines = Observation()
+    raw.observe(lines, F.count("*").alias("all"), F.count(_BAD).alias("bad")).write.parquet(staged_path)
     staged = spark.read.schema(flagged).parquet(staged_path)
     bad = staged.filter(F.col(_BAD).isNotNull()).select(_BAD)
-    bad_count = bad.count()
-    if bad_count > max_bad and bad_count > max_share * staged.count():
+    bad_count = lines.get["bad"]
+    if bad_count > max_bad and bad_count > max_share * lines.get["all"]:
         raise TooManyBadRecords(f"{bad_count} malformed records, allowed are {max_bad}: {path}")
     return staged.filter(F.col(_BAD).isNull()).drop(_BAD), bad
