@@ -41,6 +41,8 @@ THRESHOLD = 0.8
 COORDINATES = 128
 BANDS = 32
 ROUNDS = 4
+CHUNK = 1 << 20  # bytes of text at a time
+CELLS = 1 << 18  # cells of the regions at a time
 PARITY_WORDS = 8  # 64-bit words of a set's parities, a power of two
 HEAD = 16  # elements before a shared one that are looked at to see whether the pair has met already
 
@@ -136,7 +138,7 @@ def dart_signatures(rows, values, weights, n: int, k: int = COORDINATES) -> np.n
     return out.reshape(n, k)
 
 
-def _pieces(sizes: np.ndarray, limit: int = 1 << 20):
+def _pieces(sizes: np.ndarray, limit: int = CELLS):
     """Slices of about ``limit`` cells."""
     ends = np.cumsum(sizes)
     first = 0
@@ -160,7 +162,7 @@ def _signed(bands: int, k: int, words: int):
     def run(batches):
         hasher = ByteHasher()
         for batch in batches:
-            for first, last, buf, offsets in text_chunks(batch.column("_ul_body")):
+            for first, last, buf, offsets in text_chunks(batch.column("_ul_body"), CHUNK):
                 n = last - first
                 rows, values, weights = counted(*shingles(buf, offsets, hasher, words))
                 keys = band_keys(dart_signatures(rows, values, weights.astype(np.float64), n, k), bands)
@@ -193,7 +195,7 @@ def _shingle_sets(words: int):
     def run(batches):
         hasher = ByteHasher()
         for batch in batches:
-            for first, last, buf, offsets in text_chunks(batch.column("_ul_body")):
+            for first, last, buf, offsets in text_chunks(batch.column("_ul_body"), CHUNK):
                 n = last - first
                 rows, values, weights = counted(*shingles(buf, offsets, hasher, words))
                 turn = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights) - weights, weights)

@@ -42,7 +42,7 @@ END_ID = 1
 LONGEST = 16
 STRIDE = 256
 BLOCK_IDS = 1 << 15
-CACHED_WORDS = 1_200_000  # in one Python worker, about 200 bytes each
+CACHED_WORDS = 400_000  # in one Python worker, about 200 bytes each
 WORDS_AT_A_TIME = 10_000
 
 
@@ -66,13 +66,12 @@ class WordTokens:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         # for lines of plain lower-case letters: they are in normal form and one piece each
-        self.letters = Tokenizer.from_file(path)
-        self.letters.normalizer = normalizers.Sequence([])
+        self.letters = Tokenizer(self.tokenizer.model)
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split("\n", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
@@ -133,7 +132,8 @@ class WordTokens:
 
     def _by_words(self, texts: list[bytes]) -> list[bytes]:
         # capitals are lowered anyway, but after characters are composed: not where a combining mark could follow
-        split = [(text if b"\xcc" in text or b"\xcd" in text else text.lower()).split() for text in texts]
+        lowered = [text if b"\xcc" in text or b"\xcd" in text else text.lower() for text in texts]
+        split = [_MARK.sub(rb"\1 \2", text).split() for text in lowered]
         found = [list(map(self.known.get, words)) for words in split]
         gaps = [list(compress(range(len(ids)), map(is_, ids, repeat(None)))) if None in ids else () for ids in found]
         missing = {words[i] for words, places in zip(split, gaps, strict=True) for i in places}
@@ -145,6 +145,8 @@ class WordTokens:
         return [b"".join(ids) for ids in found]
 
 
+# a mark behind a letter at the end of a word is a piece of its own: without it, one word fewer is to be kept
+_MARK = re.compile(rb"([a-zA-Z])([,.])(?=\s|\Z)")
 _PLAIN_LETTERS = re.compile("[a-zß-öø-ÿ]+")
 
 
