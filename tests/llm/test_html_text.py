@@ -133,3 +133,14 @@ def test_counted_templates_alone_change_the_given_pages(spark):
 
 def test_empty_table(spark):
     assert html_text.extract_pages(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_texts_are_hashed_only_where_templates_are_looked_for(monkeypatch):
+    page = "<body><nav class='top'>Menu</nav><article>" + "<p class='x'>One <b>two</b> three.</p>" * 50 + "</article></body>"
+    made, real = [], html_text.text_hash
+    monkeypatch.setattr(html_text, "text_hash", lambda text: made.append(text) or real(text))
+    assert html_text.main_text(page) == " ".join(["One two three."] * 50)
+    assert not made
+    html_text.Page(page).subtrees()
+    # three texts of every paragraph and the menu; an element's name only once
+    assert len(made) <= 3 * 50 + 1 + 7

@@ -21,6 +21,8 @@ its elements are nested.
 """
 
 import re
+from functools import lru_cache
+from hashlib import blake2b
 from html import unescape
 from html.parser import HTMLParser
 
@@ -67,11 +69,14 @@ _PARAGRAPH_ENDERS = BLOCKS - {"body", "html"}
 
 
 class Node:
-    __slots__ = ("tag", "marks", "parts", "hidden")
+    __slots__ = ("tag", "marks", "parts", "hidden", "children", "own", "words", "gone", "hash")
 
     def __init__(self, tag: str, marks: str = "", hidden: bool = False):
         self.tag, self.marks, self.hidden = tag, marks, hidden
         self.parts: list = []  # texts and nodes, in page order
+        self.children: list[Node] = []
+        self.own = self.words = 0  # words in its own texts; words below it that are not gone
+        self.gone = False
 
 
 class TreeBuilder(HTMLParser):
@@ -83,37 +88,49 @@ class TreeBuilder(HTMLParser):
         self.open = [self.root]
         self.places: dict[str, list[int]] = {}  # where elements of a name are open
 
+    def updatepos(self, i, j):
+        return j  # nobody asks for line numbers
+
     def handle_starttag(self, tag, attrs):
         if tag == "html" or (tag == "body" and self.places.get(tag)):
             return
-        if tag in _PARAGRAPH_ENDERS:
-            self._close({"p"}, stop=("table", "button", "object"))
+        if tag in _PARAGRAPH_ENDERS and self.places.get("p"):
+            self._close(("p",), stop=("table", "button", "object"))
         if tag in ENDS:
             self._close(ENDS[tag], stop=("table", "ul", "ol", "dl", "select"))
-        known = dict(attrs)
-        marks = " ".join(str(known.get(k) or "") for k in ("class", "id"))
-        role = str(known.get("role") or "").lower()
-        style = str(known.get("style") or "").replace(" ", "").lower()
-        hidden = "hidden" in known or role in ROLES or str(known.get("aria-hidden") or "").lower() == "true" or "display:none" in style
-        node = Node(tag, marks, hidden)
-        self.open[-1].parts.append(node)
+        if attrs:
+            known = dict(attrs)
+            marks = f"{known.get('class') or ''} {known.get('id') or ''}"
+            role = (known.get("role") or "").lower()
+            style = (known.get("style") or "").replace(" ", "").lower()
+            hidden = "hidden" in known or role in ROLES or (known.get("aria-hidden") or "").lower() == "true" or "display:none" in style
+            node = Node(tag, marks, hidden)
+        else:
+            node = Node(tag, " ")
+        above = self.open[-1]
+        above.parts.append(node)
+        above.children.append(node)
         if tag not in VOID:
             self.places.setdefault(tag, []).append(len(self.open))
             self.open.append(node)
 
     def _last(self, tags) -> int:
-        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
+        last = 0
+        for tag in tags:
+            if (found := self.places.get(tag)) and found[-1] > last:
+                last = found[-1]
+        return last
 
     def _close(self, tags, stop=()):
         at = self._last(tags)
-        if at > self._last(stop):
+        if at and at > self._last(stop):
             while len(self.open) > at:
                 self.places[self.open.pop().tag].pop()
 
     def handle_endtag(self, tag):
         if tag in ("html", "body"):
             return
-        self._close({tag})
+        self._close((tag,))
 
     def handle_data(self, data):
         self.open[-1].parts.append(data)
@@ -133,9 +150,14 @@ def parse(html: str) -> Node:
     return root
 
 
+@lru_cache(1 << 12)
+def _marked(marks: str) -> bool:
+    return bool(marks.strip() and MARKS.search(marks))
+
+
 def furniture(node: Node) -> bool:
     """The element says itself that it is not main text."""
-    return node.tag in SILENT or node.tag in FURNITURE or node.hidden or bool(node.marks.strip() and MARKS.search(node.marks))
+    return node.tag in SILENT or node.tag in FURNITURE or node.hidden or (node.marks != " " and _marked(node.marks))
 
 
 _MASK = (1 << 64) - 1
@@ -149,86 +171,100 @@ def _mixed(x: int) -> int:
 
 def text_hash(text: str) -> int:
     """A stable 64-bit hash of a short string."""
-    import hashlib
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
+@lru_cache(1 << 14)
+def _name_hash(tag: str, marks: str) -> int:
+    return text_hash(f"{tag} {marks}")
 
-def subtree_hashes(root: Node) -> list[tuple[Node, int]]:
-    """Every element with the hash of its subtree, children before parents; no recursion."""
+
+def counted_nodes(root: Node, hashes: bool = True) -> list[Node]:
+    """Every element, children before parents, with its own words and the hash of its subtree; no recursion."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        stack += [x for x in node.parts if isinstance(x, Node)]
-    hashes: dict[int, int] = {}
-    out = []
-    for node in reversed(order):
-        value = text_hash(f"{node.tag} {node.marks}")
-        texts = []
+        stack += node.children
+    order.reverse()
+    for node in order:
+        value = _name_hash(node.tag, node.marks) if hashes else 0
+        texts, own = "", 0
         for part in node.parts:
-            if isinstance(part, Node):
-                if texts and (words := " ".join("".join(texts).split())):
-                    value = _mixed(value * 31 + text_hash(words) & _MASK)
-                texts = []
-                value = _mixed(value * 33 + hashes[id(part)] & _MASK)
-            else:
-                texts.append(part)
-        if texts and (words := " ".join("".join(texts).split())):
-            value = _mixed(value * 31 + text_hash(words) & _MASK)
-        hashes[id(node)] = value
-        out.append((node, value))
-    return out
+            if isinstance(part, str):
+                words = part.split()
+                own += len(words)
+                if hashes:
+                    if texts:  # texts that only a comment or the like divides
+                        words = (texts := texts + part).split()
+                    else:
+                        texts = part
+                    spaced = " ".join(words)
+            elif hashes:
+                if texts and spaced:
+                    value = _mixed(value * 31 + text_hash(spaced) & _MASK)
+                texts = ""
+                value = _mixed(value * 33 + part.hash & _MASK)
+        if texts and spaced:
+            value = _mixed(value * 31 + text_hash(spaced) & _MASK)
+        node.own, node.hash = own, value
+    return order
 
 
 class Page:
     """A parsed page, with the words of its elements counted and template and furniture marked as gone."""
 
-    def __init__(self, html: str, template: set[int] | None = None, names: bool = True):
+    def __init__(self, html: str, template: set[int] | None = None, names: bool = True, hashes: bool = True):
         self.root = parse(html)
-        self.hashes = subtree_hashes(self.root)  # children first
-        self.gone: set[int] = set()
-        self.words: dict[int, int] = {}  # words below an element that are not gone
-        for node, value in self.hashes:
-            if node.tag in SILENT or (template and value in template):
-                self.gone.add(id(node))
-            self._count(node)
+        self.nodes = counted_nodes(self.root, hashes or bool(template))  # children first
+        for node in self.nodes:
+            if node.tag in SILENT or (template and node.hash in template):
+                node.gone = True
+        self._count()
         if names:
             self._drop_named()
         self.content = self._content(names)
 
-    def _count(self, node: Node) -> None:
-        below = sum(self.words[id(x)] if isinstance(x, Node) else len(x.split()) for x in node.parts)
-        self.words[id(node)] = 0 if id(node) in self.gone else below
+    def _count(self) -> None:
+        for node in self.nodes:
+            below = 0
+            if not node.gone:
+                below = node.own
+                for child in node.children:
+                    below += child.words
+            node.words = below
 
     def _drop_named(self) -> None:
         """Furniture goes, unless it holds most of the words of what it stands in: an article's body or a page's wrapper."""
-        around = {id(self.root): self.words[id(self.root)]}
-        for node, _ in reversed(self.hashes):  # parents first
-            for part in node.parts:
-                if isinstance(part, Node):
-                    held = around[id(node)]
-                    if id(part) not in self.gone and furniture(part):
-                        if part.tag in ("nav", "footer", "aside", "button", "dialog", "menu") or 2 * self.words[id(part)] <= held:
-                            self.gone.add(id(part))
-                    around[id(part)] = self.words[id(part)] if part.tag in ("article", "main") else held
-        for node, _ in self.hashes:
-            self._count(node)
+        around = {id(self.root): self.root.words}
+        dropped = False
+        for node in reversed(self.nodes):  # parents first
+            if not node.children:
+                continue
+            held = around[id(node)]
+            for part in node.children:
+                if not part.gone and furniture(part):
+                    if part.tag in ("nav", "footer", "aside", "button", "dialog", "menu") or 2 * part.words <= held:
+                        part.gone = dropped = True
+                if part.children:
+                    around[id(part)] = part.words if part.tag in ("article", "main") else held
+        if dropped:
+            self._count()
 
     def _content(self, names: bool) -> list[Node]:
         """The outermost articles, else main elements, if they hold half of the words left; else the whole page."""
-        whole = self.words[id(self.root)]
+        whole = self.root.words
         for wanted in ("article", "main") if names else ():
             stack, found = [self.root], []
             while stack:
                 node = stack.pop()
-                if id(node) in self.gone:
+                if node.gone:
                     continue
                 if node.tag == wanted:
                     found.append(node)
                 else:
-                    stack += reversed([x for x in node.parts if isinstance(x, Node)])
-            if found and 2 * sum(self.words[id(node)] for node in found) >= whole:
+                    stack += reversed(node.children)
+            if found and 2 * sum(node.words for node in found) >= whole:
                 return found
         return [self.root]
 
@@ -249,7 +285,7 @@ class Page:
                 end()
             elif isinstance(part, str):
                 held.append(part)
-            elif id(part) not in self.gone:
+            elif not part.gone:
                 if part.tag in BLOCKS:
                     end()
                     stack.append(None)
@@ -265,33 +301,33 @@ class Page:
         Of what lies beside the main text only the outermost elements are listed. A page that is main text as a whole is
         all inside.
         """
-        own, wordy, found, content = {id(n): h for n, h in self.hashes}, set(), {}, 0
-        for node, _ in self.hashes:
-            if node.tag not in SILENT and any(id(x) in wordy if isinstance(x, Node) else x.strip() for x in node.parts):
-                wordy.add(id(node))
+        wordy, found, content = set(), {}, 0
         chosen = {id(node) for node in self.content}
         above = set(chosen)  # what holds main text
-        for node, _ in self.hashes:
-            if any(id(x) in above for x in node.parts if isinstance(x, Node)):
+        for node in self.nodes:
+            if node.tag not in SILENT and (node.own or any(id(x) in wordy for x in node.children)):
+                wordy.add(id(node))
+            if any(id(x) in above for x in node.children):
                 above.add(id(node))
         stack = [(self.root, False)]
         while stack:
             node, inside = stack.pop()
-            inside = inside or id(node) in chosen
             if id(node) not in wordy:
                 continue
-            if node.tag not in ("html", "body", "article", "main") and (inside or id(node) not in above):
-                found[own[id(node)]] = found.get(own[id(node)], False) or inside
-            if inside or id(node) in above:
-                stack += [(x, inside) for x in node.parts if isinstance(x, Node)]
+            inside = inside or id(node) in chosen
+            within = inside or id(node) in above
+            if node.tag not in ("html", "body", "article", "main") and (inside or not within):
+                found[node.hash] = found.get(node.hash, False) or inside
+            if within:
+                stack += [(x, inside) for x in node.children]
         for node in self.content:
-            content = _mixed(content * 33 + own[id(node)] & _MASK)
+            content = _mixed(content * 33 + node.hash & _MASK)
         return content, found
 
 
 def main_text(html: str, template: set[int] | None = None, names: bool = True) -> str:
     """Blocks of the main text. ``template``: hashes of the host's recurring subtrees; without ``names`` only those go."""
-    return Page(html, template, names).text()
+    return Page(html, template, names, hashes=False).text()
 
 
 def _listed(batches):
