@@ -87,6 +87,31 @@ def test_forgotten_words_are_learnt_again(monkeypatch):
         assert np.frombuffer(tokens.encode([text.encode()])[0], "<u2").tolist() + [1] == whole_text_ids([text])[0]
 
 
+def test_a_million_words_stay_known_in_little_memory():
+    import tracemalloc
+
+    tokens = tf.WordTokens(tf.tokenizer_path())
+    parts = [" ".join("".join(chr(97 + x // 26**i % 26) for i in range(5)) for x in range(k, 1_000_000, 5)).encode() for k in range(5)]
+    tracemalloc.start()
+    first = [tokens.encode([part]) for part in parts]
+    kept = tracemalloc.get_traced_memory()[0] - sum(len(x[0]) for x in first)
+    tracemalloc.stop()
+    assert kept < 120_000_000
+    # nothing is tokenized again
+    tokens.tokenizer = tokens.letters = tokens.learn = tokens.learnt = None
+    assert [tokens.encode([part]) for part in parts] == first
+
+
+def test_long_words_and_marks():
+    long = "ab1" * 40
+    check_words([f"{long} {long}x x. y, a., 1. é. {long}. ,", "", " ", "." , f"a{long} a. a", "x" * 64 + " " + "x" * 65 + " " + "x" * 64 + ","])
+    tokens = check_words.tokens
+    assert tokens.encode([]) == [] and tokens.encode([b"", b""]) == [b"", b""]
+    n = tokens.known.n
+    tokens.encode([("q" * 100).encode()])
+    assert tokens.known.n == n
+
+
 def huffman_cost(counts):
     heap = [c for c in counts if c]
     heapq.heapify(heap)

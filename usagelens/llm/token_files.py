@@ -24,8 +24,6 @@ are ignored. An empty table gives an empty one.
 import re
 import sys
 import zlib
-from itertools import compress, repeat
-from operator import is_
 from types import ModuleType
 
 import numpy as np
@@ -34,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import released_shuffles, stored, text_chunks
+from usagelens.llm.common import byte_class, mix, released_shuffles, stored, text_chunks, word_spans
 from usagelens.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -42,7 +40,7 @@ END_ID = 1
 LONGEST = 16
 STRIDE = 256
 BLOCK_IDS = 1 << 15
-CACHED_WORDS = 400_000  # in one Python worker, about 200 bytes each
+CACHED_WORDS = 2_000_000  # in one Python worker, about 40 bytes each
 WORDS_AT_A_TIME = 10_000
 
 
@@ -59,17 +57,18 @@ class WordTokens:
     """Ids of texts, word by word.
 
     The vocabulary never joins characters across white space, so a text's ids are those of its words, one
-    after another; words recur, and the ids of recent ones are kept. New words are encoded many at a time,
-    as lines of one text; the places of the tokens tell which line they belong to. Words of letters that the
+    after another; words recur, and the ids of recent ones are kept (``KnownWords``). New words are encoded many at
+    a time, as lines of one text; the places of the tokens tell which line they belong to. Words of letters that the
     normalizer would leave alone skip it. A text that holds one of the vocabulary's added tokens, which are
     found before anything else is done to a text, is encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int = END_ID):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # lowering would make added tokens of others
+        self.added = [token.content.encode().lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
         # for lines of plain lower-case letters: they are in normal form and one piece each
         self.letters = Tokenizer(self.tokenizer.model)
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
@@ -78,75 +77,232 @@ class WordTokens:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known.clear()
-        # a mark behind a letter is a piece of its own, so such a word adds nothing to the word without it
-        marked = {w: w[:-1] for w in words if w[-1:] in (b",", b".") and w[-2:-1].isalpha()}
-        plain = (words - marked.keys()) | set(marked.values()) | {w[-1:] for w in marked}
-        fresh = [w for w in plain if w not in self.known]
-        for part in (fresh[at : at + WORDS_AT_A_TIME] for at in range(0, len(fresh), WORDS_AT_A_TIME)):
-            lines = [w.decode("utf-8", "replace") for w in part]
+        self.end = np.array([end_id], "<u2")
+        self.known = KnownWords(self.end)
+
+    def learnt(self, words: list[bytes]):
+        """(places in ``words``, their ids one after another, ids per word), group by group."""
+        for first in range(0, len(words), WORDS_AT_A_TIME):
+            lines = b"\n".join(words[first : first + WORDS_AT_A_TIME]).decode("utf-8", "replace").split("\n")
             bare = [i for i, line in enumerate(lines) if _in_normal_form(line)]
             rest = sorted(set(range(len(lines))) - set(bare))
             letters = [i for i in rest if lines[i].isalpha() and lines[i].lower().isalpha()]
             others = sorted(set(rest) - set(letters))
             for chosen, lengths in ((bare, self._bare), (letters, self._one_piece_each), (others, self._any)):
-                ids, counts = lengths([lines[i] for i in chosen])
-                cuts = (2 * np.concatenate([[0], np.cumsum(counts)])).tolist()
-                self.known.update((part[i], ids[a:b]) for i, a, b in zip(chosen, cuts[:-1], cuts[1:], strict=True))
-        self.known.update((w, self.known[stem] + self.known[w[-1:]]) for w, stem in marked.items())
+                if chosen:
+                    yield np.array(chosen) + first, *lengths([lines[i] for i in chosen])
 
-    def _bare(self, lines: list[str]) -> tuple[bytes, np.ndarray]:
+    def _bare(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return self._one_piece_each(lines, self.letters)
 
-    def _one_piece_each(self, lines: list[str], tokenizer=None) -> tuple[bytes, np.ndarray]:
+    def _one_piece_each(self, lines: list[str], tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number per line for lines of letters: each ends with the one token that ends a word."""
-        if not lines:
-            return b"", np.empty(0, np.int64)
         tokenizer = tokenizer or self.tokenizer
         ids = np.array(tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, np.int64)
         ends = np.flatnonzero(self.ends_word[ids])
         if len(ends) != len(lines):
             return self._any(lines)
-        return ids.astype("<u2").tobytes(), np.diff(ends, prepend=-1)
+        return ids.astype("<u2"), np.diff(ends, prepend=-1)
 
-    def _any(self, lines: list[str]) -> tuple[bytes, np.ndarray]:
+    def _any(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for any lines, by the places of the tokens."""
         found = self.tokenizer.encode("\n".join(lines), add_special_tokens=False)
         line = np.searchsorted(np.cumsum([len(x) + 1 for x in lines]), [o[0] for o in found.offsets], "right")
-        return np.array(found.ids, "<u2").tobytes(), np.bincount(line, minlength=len(lines))
+        return np.array(found.ids, "<u2"), np.bincount(line, minlength=len(lines))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        # lowering would make added tokens of others
-        whole = {i for i, text in enumerate(texts) if any(token in low for low in (text.lower(),) for token in self.added)}
-        if not whole:
-            return self._by_words(texts)
-        found = self._by_words([b"" if i in whole else text for i, text in enumerate(texts)])
-        for i in whole:
-            ids = self.tokenizer.encode(texts[i].decode("utf-8", "replace"), add_special_tokens=False).ids
-            found[i] = np.array(ids, "<u2").tobytes()
-        return found
-
-    def _by_words(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, without an end id."""
+        offsets = np.cumsum([0, *(len(text) for text in texts)])
+        ids, ends = self.encode_rows(b"".join(texts), offsets)
+        at = ends.tolist()
+        return [ids[a : b - 1].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def encode_rows(self, data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows of a text buffer, each with the end id, and the n + 1 places where they begin and end."""
+        n = len(offsets) - 1
+        lowered = data.lower()
+        whole = sorted({row for token in self.added for row in _rows_with(token, lowered, offsets)})
         # capitals are lowered anyway, but after characters are composed: not where a combining mark could follow
-        lowered = [text if b"\xcc" in text or b"\xcd" in text else text.lower() for text in texts]
-        split = [_MARK.sub(rb"\1 \2", text).split() for text in lowered]
-        found = [list(map(self.known.get, words)) for words in split]
-        gaps = [list(compress(range(len(ids)), map(is_, ids, repeat(None)))) if None in ids else () for ids in found]
-        missing = {words[i] for words, places in zip(split, gaps, strict=True) for i in places}
-        if missing:
-            self.learn(missing)
-            for words, ids, places in zip(split, found, gaps, strict=True):
-                for i in places:
-                    ids[i] = self.known[words[i]]
-        return [b"".join(ids) for ids in found]
-
-
-# a mark behind a letter at the end of a word is a piece of its own: without it, one word fewer is to be kept
-_MARK = re.compile(rb"([a-zA-Z])([,.])(?=\s|\Z)")
+        buf = np.frombuffer(lowered + bytes(WINDOW), np.uint8).copy()
+        given = np.frombuffer(data, np.uint8)
+        if b"\xcc" in data or b"\xcd" in data:
+            for row in np.unique(np.searchsorted(offsets, np.flatnonzero((given == 0xCC) | (given == 0xCD)), "right") - 1).tolist():
+                buf[offsets[row] : offsets[row + 1]] = given[offsets[row] : offsets[row + 1]]
+        for row in whole:
+            buf[offsets[row] : offsets[row + 1]] = ord(" ")
+        start, end, row = word_spans(buf[: len(given)], offsets)
+        # a mark behind a letter is a piece of its own: with it, there would be one word more to be kept
+        marked = (end - start > 1) & _MARK[buf[end - 1]] & _LETTER[buf[end - 2]]
+        # pieces: words, marks, and the end of each row
+        extra = np.cumsum(marked)
+        at = np.arange(len(start)) + extra - marked + row
+        before = np.searchsorted(row, np.arange(n), "right")
+        ends = before + np.concatenate([[0], extra])[before] + np.arange(n)
+        pieces = np.ones(len(start) + int(marked.sum()) + n, np.int64)
+        from_, to = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        from_[at], to[at] = start, end - marked
+        from_[at[marked] + 1], to[at[marked] + 1] = end[marked] - 1, end[marked]
+        is_word = np.ones(len(pieces), bool)
+        is_word[ends] = False
+        pieces[is_word] = self.known.entries(buf, from_[is_word], to[is_word], self.learnt)
+        ids, after = self.known.ids(pieces)
+        bounds = np.concatenate([[0], after[ends]])
+        return self._with_whole(ids, bounds, whole, data, offsets) if whole else (ids, bounds)
+
+    def _with_whole(self, ids, bounds, whole: list[int], data: bytes, offsets):
+        parts = np.split(ids, bounds[1:-1])
+        for row in whole:
+            text = data[offsets[row] : offsets[row + 1]].decode("utf-8", "replace")
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            parts[row] = np.concatenate([np.array(found, "<u2"), self.end])
+        return np.concatenate(parts), np.cumsum([0, *(len(part) for part in parts)])
+
+
+WINDOW = 8  # bytes of a word that are hashed at a time
+LONGEST_WORD = 64  # bytes; longer ones are not kept
+
+
+class KnownWords:
+    """Ids of words by 128 bits of hash: an open-addressing table over flat arrays, which costs about 40 bytes a word.
+
+    Entry 0 is nothing, entry 1 the end of a text. Beyond ``CACHED_WORDS`` all is forgotten and learnt again.
+    """
+
+    def __init__(self, end: np.ndarray):
+        self.end = end
+        self.clear()
+
+    def clear(self) -> None:
+        self.slots = np.zeros(1 << 12, np.int32)
+        self.keys = np.zeros((2, 1 << 11), np.uint64)
+        self.starts, self.sizes = np.zeros(1 << 11, np.int64), np.zeros(1 << 11, np.int32)
+        self.flat = np.zeros(1 << 13, "<u2")
+        self.n, self.used = 1, 0
+        self._append(self.end, np.ones(1, np.int64))
+
+    def entries(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray, learnt) -> np.ndarray:
+        """The entry of every word ``buf[start:end]``; ``learnt`` encodes those that have none."""
+        long = end - start > LONGEST_WORD
+        out = np.zeros(len(start), np.int64)
+        short = np.flatnonzero(~long)
+        keys = word_keys(buf, start[short], end[short])
+        found = self._find(keys)
+        new = np.flatnonzero(found == 0)
+        if len(new):
+            new = new[_firsts(keys[:, new])]
+            if self.n + len(new) > CACHED_WORDS:
+                self.clear()
+                new = _firsts(keys)
+            self._learn(buf, start[short[new]], end[short[new]], learnt, keys[:, new])
+            found = self._find(keys)
+        out[short] = found
+        if long.any():
+            # for this call only: later entries take their places
+            n, used = self.n, self.used
+            out[long] = self._learn(buf, start[long], end[long], learnt)
+            self.n, self.used = n, used
+        return out
+
+    def _learn(self, buf, start, end, learnt, keys: np.ndarray | None = None) -> np.ndarray:
+        words = [buf[a:b].tobytes() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        out = np.zeros(len(words), np.int64)
+        for places, ids, counts in learnt(words):
+            out[places] = np.arange(self.n, self.n + len(places))
+            self._append(ids, counts)
+            if keys is not None:
+                self.keys[:, out[places]] = keys[:, places]
+                self._insert(out[places])
+        return out
+
+    def _append(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        n, used = self.n + len(counts), self.used + len(ids)
+        while n > len(self.starts):
+            self.starts, self.sizes = _doubled(self.starts), _doubled(self.sizes)
+            self.keys = np.concatenate([self.keys, np.zeros_like(self.keys)], axis=1)
+        while used > len(self.flat):
+            self.flat = _doubled(self.flat)
+        ends = np.cumsum(counts)
+        self.starts[self.n : n], self.sizes[self.n : n] = self.used + ends - counts, counts
+        self.flat[self.used : used] = ids
+        self.n, self.used = n, used
+
+    def _insert(self, entries: np.ndarray) -> None:
+        if 2 * self.n > len(self.slots):
+            while 2 * self.n > len(self.slots):
+                self.slots = _doubled(self.slots)
+            self.slots[:] = 0
+            entries = np.arange(2, self.n)
+        mask = len(self.slots) - 1
+        place = (self.keys[0, entries] & np.uint64(mask)).astype(np.int64)
+        while len(entries):
+            free = self.slots[place] == 0
+            self.slots[place[free]] = entries[free]  # of several, one stays
+            left = self.slots[place] != entries
+            entries, place = entries[left], (place[left] + 1) & mask
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The entries of the keys, 0 for unknown ones."""
+        out = np.zeros(keys.shape[1], np.int64)
+        mask = len(self.slots) - 1
+        left = np.arange(len(out))
+        place = (keys[0] & np.uint64(mask)).astype(np.int64)
+        while len(left):
+            entry = self.slots[place]
+            same = (self.keys[0, entry] == keys[0, left]) & (self.keys[1, entry] == keys[1, left]) & (entry > 0)
+            out[left[same]] = entry[same]
+            on = ~same & (entry > 0)
+            left, place = left[on], (place[on] + 1) & mask
+        return out
+
+    def ids(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the entries, one after another, and the place after each entry's."""
+        sizes = self.sizes[entries].astype(np.int64)
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.starts[entries] - (ends - sizes), sizes) + np.arange(total)], ends
+
+
+def _doubled(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([values, np.zeros_like(values)])
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each distinct key stands first."""
+    order = np.lexsort((keys[1], keys[0]))
+    new = np.ones(len(order), bool)
+    new[1:] = (keys[:, order[1:]] != keys[:, order[:-1]]).any(axis=0)
+    return order[new]
+
+
+def word_keys(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of every ``buf[start:end]``; ``WINDOW`` bytes follow the last word in ``buf``."""
+    windows = np.ndarray((max(0, len(buf) - WINDOW + 1),), "<u8", buf, strides=(1,))
+    size = (end - start).astype(np.uint64)
+    first, second = size * _ODD, size + _ODD
+    left, at, size = np.arange(len(start)), start, end - start
+    while len(left):
+        # bytes behind the word's end are shifted out
+        cut = (8 * np.maximum(WINDOW - size, 0)).astype(np.uint64)
+        value = (windows[at] << cut) >> cut
+        first[left] = mix(first[left] + value)
+        second[left] = mix((second[left] ^ value) * _ODD)
+        on = size > WINDOW
+        left, at, size = left[on], at[on] + WINDOW, size[on] - WINDOW
+    return np.stack([first, second])
+
+
+def _rows_with(token: bytes, data: bytes, offsets: np.ndarray):
+    """Rows that a match of the token begins in."""
+    at = data.find(token)
+    while at >= 0:
+        row = int(np.searchsorted(offsets, at, "right")) - 1
+        yield row
+        at = data.find(token, int(offsets[row + 1]))
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_MARK = byte_class(b",.")
+_LETTER = byte_class(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _PLAIN_LETTERS = re.compile("[a-zß-öø-ÿ]+")
 
 
@@ -155,28 +311,26 @@ def _in_normal_form(word: str) -> bool:
     return _PLAIN_LETTERS.fullmatch(word) is not None
 
 
-def _word_tokens(path: str) -> WordTokens:
+def _word_tokens(path: str, end_id: int) -> WordTokens:
     """One for each Python worker: a worker serves many tasks, and what it has learnt helps the next."""
     kept = sys.modules.setdefault("_usagelens_word_tokens", ModuleType("_usagelens_word_tokens")).__dict__
-    if path not in kept:
-        kept[path] = WordTokens(path)
-    return kept[path]
+    name = f"{end_id} {path}"
+    if name not in kept:
+        kept[name] = WordTokens(path, end_id)
+    return kept[name]
 
 
 def _tokenized(path: str, end_id: int):
-    end = np.array([end_id], "<u2").tobytes()
-
     def run(batches):
         tokens = None
         for batch in batches:
-            tokens = tokens or _word_tokens(path)
+            tokens = tokens or _word_tokens(path, end_id)
             for first, last, buf, offsets in text_chunks(batch.column("_ul_body"), 1 << 20):
-                data, at = buf.tobytes(), offsets.tolist()
-                ids = [x + end for x in tokens.encode([data[s:e] for s, e in zip(at[:-1], at[1:], strict=True)])]
+                ids, bounds = tokens.encode_rows(buf.tobytes(), offsets)
+                places = pa.py_buffer((2 * bounds).astype(np.int32))
+                packed = pa.Array.from_buffers(pa.binary(), last - first, [None, places, pa.py_buffer(ids)])
                 cut = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays(
-                    [cut.column("doc_id"), cut.column("tie"), pa.array(ids, pa.binary())], ["doc_id", "tie", "ids"]
-                )
+                yield pa.RecordBatch.from_arrays([cut.column("doc_id"), cut.column("tie"), packed], ["doc_id", "tie", "ids"])
 
     return run
 
