@@ -170,3 +170,33 @@ def test_components_of_long_paths(spark):
     edges = list(zip(nodes, nodes[1:], strict=False)) + [(100, 101), (103, 101)]
     got = near_dup.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     assert {r["node"]: r["root"] for r in got} == {n: 0 for n in nodes} | {100: 100, 101: 100, 103: 100}
+
+
+def test_known_classes_move_as_a_whole(spark, monkeypatch):
+    import itertools
+
+    draw = random.Random(4)
+    tables = []
+    monkeypatch.setattr(near_dup, "stored", lambda df, label, real=near_dup.stored: (tables.append(label), real(df, label))[1])
+    edges, roots = [], None
+    for _ in range(3):
+        more = [(draw.randrange(60), draw.randrange(60)) for _ in range(14)] + [(100 + i, 101 + i) for i in range(6)]
+        edges += more
+        roots = near_dup._joined(roots, spark.createDataFrame(more, "a bigint, b bigint"))
+    parent = {}
+
+    def top(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((top(a), top(b)))
+        parent[b] = a
+    want = {x: top(x) for x in itertools.chain(*edges)}
+    got = {r["node"]: r["root"] for r in roots.collect()}
+    assert got == {x: r for x, r in want.items() if x in got} and {x for x, r in want.items() if list(want.values()).count(r) > 1} <= set(got)
+    # a chain of seven nodes is followed in few steps
+    tables.clear()
+    near_dup._flattened(spark.createDataFrame([(i + 1, i) for i in range(7)], "node bigint, root bigint"), "x")
+    assert len(tables) <= 4

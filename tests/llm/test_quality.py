@@ -99,3 +99,16 @@ def test_dual_coordinate_descent_meets_the_primal():
     for _ in range(200):
         step = draw.normal(size=len(weights)) * 0.02
         assert primal(weights + step, bias + draw.normal() * 0.02) >= best - 1e-6
+
+
+def test_the_fit_holds_little_more_than_the_features():
+    import tracemalloc
+
+    draw = np.random.default_rng(2)
+    rows_ = [np.unique(draw.integers(0, quality.FEATURES, 1500)).astype(np.uint16) for _ in range(1200)]
+    labels = draw.integers(0, 2, len(rows_))
+    tracemalloc.start()
+    quality.fit_rows(rows_, labels)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 2 * sum(row.nbytes for row in rows_)

@@ -219,7 +219,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """
     forest = None
     left = stored(_tidy(edges), label)
-    while left.limit(1).count():
+    while not left.isEmpty():
         # flat hooks: no hooked node is the root of another, so it never comes back into the edges
         hooks = _flattened(left.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), label)
         forest = hooks if forest is None else forest.unionByName(hooks)
@@ -236,17 +236,32 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 
 def _flattened(forest: DataFrame, label: str) -> DataFrame:
-    """(node, root) with every root followed to its end, by pointer jumping."""
+    """(node, root) with every root followed to its end, by pointer jumping: two jumps to a stored table."""
     forest = stored(forest, label)
     while True:
         above = forest.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        jumped = stored(forest.join(above, "root", "left"), label)
-        moved = jumped.where("up IS NOT NULL").limit(1).count()
-        forest = jumped.select("node", F.coalesce("up", "root").alias("root"))
-        if not moved:
+        further = forest.select(F.col("node").alias("up"), F.col("root").alias("top"))
+        jumped = stored(forest.join(above, "root", "left").join(further, "up", "left"), label)
+        forest = jumped.select("node", F.coalesce("top", "up", "root").alias("root"))
+        if jumped.where("top IS NOT NULL").isEmpty():
             return forest
 
 
+def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) after more links: only their contracted edges are walked, known classes move as a whole."""
+    if roots is None:
+        return stored(components(links), "roots")
+    over = links
+    for end in ("a", "b"):
+        over = over.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    over = over.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    moved = stored(components(over), "moved")
+    known = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
+    # nodes of the contracted edges that had no class before
+    fresh = moved.join(roots.select("node"), "node", "left_anti")
+    return stored(known.select("node", F.coalesce("up", "root").alias("root")).unionByName(fresh), "roots")
+
+
 def _tidy(edges: DataFrame) -> DataFrame:
     return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
@@ -273,7 +288,7 @@ def near_duplicates(
     )
     texts = stored(signed.groupBy("text_id").agg(F.min("id").alias("first_id")), "texts")
     spread = signed.select("text_id", F.explode("bands").alias("bucket"))
-    links, sets, roots = None, None, None
+    tested, sets, roots = None, None, None
     for turn in range(rounds):
         order = F.xxhash64("text_id", F.lit(turn))
         if turn == 0:
@@ -290,24 +305,23 @@ def near_duplicates(
             ).where("lo < hi").select("bucket", F.col("centre.text_id").alias("centre"), F.col("centre.root").alias("centre_root"))
             pairs = known.join(shared, "bucket").where("root <> centre_root")
         pairs = _tidy(pairs.select(F.col("text_id").alias("a"), F.col("centre").alias("b")))
-        if links is not None:
+        if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         if turn == 0:
             sets = _sets_of(rows, texts, members, words)
-        elif not pairs.limit(1).count():
+        elif pairs.isEmpty():
             break
         found = stored(_verified(pairs, sets, threshold), "links")
-        tested = pairs if links is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        if turn and not found.limit(1).count():
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        if turn and found.isEmpty():
             break
-        roots = stored(components(links), "roots")
+        roots = _joined(roots, found)
     rest = _rest(members, roots, sets, tested, threshold)
-    if rest.limit(1).count():
+    if not rest.isEmpty():
         found = stored(_verified(rest, sets, threshold), "links")
-        if found.limit(1).count():
-            roots = stored(components(links.unionByName(found)), "roots")
+        if not found.isEmpty():
+            roots = _joined(roots, found)
     named = texts.join(roots.withColumnRenamed("node", "text_id"), "text_id", "left")
     named = stored(named.select("text_id", "first_id", F.coalesce("root", "text_id").alias("root")), "named")
     best = named.groupBy("root").agg(

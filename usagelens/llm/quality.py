@@ -151,6 +151,18 @@ def _hinge(rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray,
     return weights, bias
 
 
+class _Scaled:
+    """Values of the rows' features, unit length, made when asked for: the driver holds no more than the features."""
+
+    def __init__(self, rows: list[np.ndarray], ratio: np.ndarray):
+        self.rows, self.ratio = rows, ratio
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        value = self.ratio[self.rows[i]]
+        length = np.sqrt((value * value).sum())
+        return value / length if length > 0 else value
+
+
 def _logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     """Slope and offset by Newton steps, with a slight pull towards slope 1."""
     slope, offset = 1.0, 0.0
@@ -179,15 +191,11 @@ def fit_rows(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     for i in learn:
         counts[labels[i], rows[i]] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    values = []
-    for i in learn:
-        value = ratio[rows[i]]
-        length = np.sqrt((value * value).sum())
-        values.append(value / length if length > 0 else value)
+    learnt = [rows[i] for i in learn]
     signs = np.where(labels[learn] == 1, 1.0, -1.0)
     # both classes weigh the same; the logistic curve restores their shares
     share = np.where(signs > 0, (signs > 0).mean(), (signs < 0).mean())
-    weights, bias = _hinge([rows[i] for i in learn], values, signs, COST * 0.5 / share)
+    weights, bias = _hinge(learnt, _Scaled(learnt, ratio), signs, COST * 0.5 / share)
     model = Model(weights * ratio, ratio * ratio, bias, 1.0, 0.0)
     check = np.flatnonzero(aside) if aside.any() else learn
     margins = np.array([model.margin(rows[i]) for i in check])
@@ -220,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
     rows = chosen.mapInArrow(_features, "rank bigint, label int, packed binary")
     # an id that is repeated in the documents could bring more rows than labels
     rows = rows.orderBy("rank", F.crc32("packed")).limit(most).collect()
-    sets = [np.frombuffer(r["packed"], np.uint16).astype(np.int64) for r in rows]
+    sets = [np.frombuffer(r["packed"], np.uint16) for r in rows]
     return fit_rows(sets, np.array([r["label"] for r in rows], np.int64))
 
 
