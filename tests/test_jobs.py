@@ -165,3 +165,20 @@ def test_typed_turns_replace_the_raw_tables(spark, landing, warehouse, tmp_path)
     from_typed = normalize_events(*[again[n] for n in names])
     plan = from_typed._jdf.queryExecution().executedPlan().toString()
     assert "from_json" not in plan and "IsNotNull(principal)" in plan
+
+
+def test_exports_are_small_and_many_tasks_can_read_them(spark, monkeypatch):
+    import os
+
+    from usagelens import catalogue
+    from usagelens.sources.sample_logs import SampleLogs
+
+    monkeypatch.setattr(catalogue, "EXPORT_RECORDS", 100, raising=False)
+    sample = SampleLogs(spark, "/root/testdata/sf0.001")
+    root = catalogue._exports(sample).root.removeprefix("file:")
+    for name, entries in (("creation_log", sample.creation_entries), ("audit_log", sample.audit_entries)):
+        plain = sum(len(r[0].encode()) + 1 for r in entries.selectExpr("to_json(struct(*))").collect())
+        files = [f for f in os.listdir(f"{root}/{name}") if f.startswith("part-")]
+        assert 2 * sum(os.path.getsize(f"{root}/{name}/{f}") for f in files) < plain
+        assert len(files) >= entries.count() / 100
+        assert spark.read.json(f"{root}/{name}").count() == entries.count()

@@ -24,6 +24,8 @@ from usagelens.streaming import landing
 ACTIVITY_AS_OF = "2024-01-31"
 ORDERS_AS_OF = "2001-08-02"
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+EXPORT_CODEC = "lz4"  # a fourteenth of the text and less, and no slower to write or read
+EXPORT_RECORDS = 25_000  # a compressed file is read by one task
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -236,9 +238,15 @@ def _warehouse(spark, label: str, *tables: str) -> Warehouse:
     return warehouse
 
 
+def _write_json(df: DataFrame, path: str) -> None:
+    """Landed exports as they usually come: compressed, in files small enough for one task each."""
+    options = {"timestampFormat": MICROS, "compression": EXPORT_CODEC, "maxRecordsPerFile": EXPORT_RECORDS}
+    df.write.options(**options).json(path)
+
+
 def _landed_json(spark, df: DataFrame, label: str) -> str:
     path = scratch_path(spark, label)
-    df.write.option("timestampFormat", MICROS).json(path)
+    _write_json(df, path)
     return path
 
 
@@ -797,7 +805,7 @@ def _exports(s) -> jobs.Landing:
         "session_metrics": s.session_metrics,
     }
     for name, frame in frames.items():
-        frame.write.option("timestampFormat", MICROS).json(f"{root}/{name}")
+        _write_json(frame, f"{root}/{name}")
     return jobs.Landing(root)
 
 
