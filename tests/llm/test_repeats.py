@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +70,32 @@ def test_anchors_with_many_contexts_are_split(spark, tmp_path, monkeypatch):
     check(spark, tmp_path, data + passages(3))
 
 
+def test_a_share_of_the_runs_travels_at_a_time():
+    bodies = [prose(i, 400).encode() for i in range(150)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(150)), "tie": list(range(150)), "_ul_body": bodies})
+    offsets = np.concatenate([[0], np.cumsum([len(b) for b in bodies])])
+    everything = repeats.text_runs(np.frombuffer(b"".join(bodies), np.uint8), offsets, repeats.ByteHasher())
+    anchors, sizes = [], []
+    for turn in range(repeats.ROUNDS):
+        sent = pa.Table.from_batches(list(repeats._map_runs(200, 50, repeats.ROUNDS, turn)([batch]))).to_pylist()
+        packed = [row for row in sent if row["payload"]]
+        anchors += [repeats._from_planes(row["payload"], repeats.RUN)["anchor"] for row in packed]
+        sizes.append(sum(len(row["payload"]) + len(row["doc_ids"]) for row in packed))
+    known, n = set(everything[3].tolist()), len(everything[3])
+    assert set(np.concatenate(anchors).tolist()) == known  # none is left out
+    assert max(sizes) < 25 * n  # over 41 bytes a run when all travelled at once
+
+
+def test_contexts_that_share_no_string_are_not_fetched(spark, tmp_path, monkeypatch):
+    met, store = [], repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda df, label: met.append((label, out := store(df, label))) or out)
+    phrase = "Jpq vxzk wq-zzv kqj vvw 77 xqz"  # 30 bytes
+    data = [(i, f"{prose(3000 + i, 12)} {phrase} {prose(5000 + i, 12)}", "en", "s", 0) for i in range(150)]
+    check(spark, tmp_path, data)
+    asked = sum(df.where("anchor IS NOT NULL").count() for label, df in met if label == "runs")
+    assert asked < 30  # 233 before contexts were compared on both sides of the anchor
+
+
 def test_empty_table(spark, tmp_path):
     assert repeats.without_repeats(stored_documents(spark, tmp_path, [])).count() == 0
 

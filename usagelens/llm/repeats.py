@@ -7,12 +7,15 @@ content, so that equal strings meet, and most of them are settled before any is
 1. *Anchors.* Among the 24-byte grams of a ``span``-byte string, the one with the least hash (the leftmost
    of equals) is its anchor: equal strings have equal anchors. Neighbouring strings mostly share theirs, so
    a text falls into short *runs* of string starts with one anchor; a run's context is the text from its
-   first start to the end of its last string. Only runs travel, about one per 14 bytes, as two hashes.
+   first start to the end of its last string. Only runs travel, about one per 14 bytes, as two hashes. They
+   do so in ``ROUNDS`` shares of the anchors, one after the other, so that never all of them are on disk.
 2. *Equal contexts.* Each task first settles runs that recur within it: of equal contexts only those of the
    smallest document go on, so a hot passage reaches its reducer once per task. Runs then meet by anchor.
    A context that also occurs in a smaller document is repeated as a whole.
 3. *Suffix arrays.* Anchors with several different contexts remain, and of those contexts only the first
-   occurrence. Their bytes are fetched, all string starts are sorted (by anchor, then text) with common
+   occurrence. Two of them that share a string agree on half of its other bytes in front of the anchor or
+   behind it; those that agree with no other document's on either side (by hash) share none and go, too.
+   Their bytes are fetched, all string starts are sorted (by anchor, then text) with common
    prefix lengths, and a stack scan builds the tree of common-prefix intervals: each node is a repeat with
    all its occurrences, right-maximal by construction, and maximal if the bytes in front of them differ.
    An occurrence is repeated as far as the deepest node that reaches a smaller document.
@@ -38,6 +41,9 @@ from usagelens.llm.common import ByteHasher, mix, stored, text_chunks
 
 SPAN = 50
 GRAM = 24
+ROUNDS = 2  # shares of the anchors; each costs a scan of the texts, and the disk holds one share at a time
+SCAN_BYTES = 256 << 10  # bytes of text that are scanned at a time: their hashes stay in the processor's cache
+SEND_BYTES = 4 << 20  # bytes of packed runs in one batch
 FLUSH_RUNS = 1_500_000  # runs that a task gathers before it settles and sends them
 CONTEXTS = 2048  # different contexts of an anchor in one suffix array
 
@@ -47,12 +53,16 @@ _NULL_ID = -(2**63)
 # ---------------------------------------------------------------- anchors and runs
 
 
-def text_runs(buf: np.ndarray, offsets: np.ndarray, hasher: ByteHasher, span: int = SPAN):
-    """(row, first start, last start, anchor hash, context hash) of every run; starts are places in ``buf``."""
+def text_runs(buf: np.ndarray, offsets: np.ndarray, hasher: ByteHasher, span: int = SPAN, share=None):
+    """(row, first start, last start, anchor hash, context hash, sides) of every run; starts are places in ``buf``.
+
+    ``share`` tells which anchors are wanted, all without it. ``sides`` are hashes in 1 ... 65535 of the anchor
+    with half of a string's other bytes in front of it and behind it, 0 where the context ends before.
+    """
     none = np.empty(0, np.int64)
     long = np.diff(offsets) >= span
     if not long.any():
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), np.empty((0, 2), np.uint16)
     hasher.load(buf)
     place = np.arange(len(buf) - GRAM + 1)
     gram = hasher.between(place, place + GRAM)
@@ -75,16 +85,28 @@ def text_runs(buf: np.ndarray, offsets: np.ndarray, hasher: ByteHasher, span: in
     at = np.flatnonzero(new)
     first, last = start[at], start[np.append(at[1:], len(start)) - 1]
     mine = mine[at]
+    if share is not None:
+        wanted = share(gram[mine])
+        first, last, mine = first[wanted], last[wanted], mine[wanted]
     context = mix(hasher.between(first, last + span) + (mine - first).astype(np.uint64))
-    return np.searchsorted(offsets, first, "right") - 1, first, last, gram[mine], context
+    half = (span - GRAM + 1) // 2
+    begin, end = np.maximum(mine - half, first), np.minimum(mine + GRAM + half, last + span)
+    sides = np.stack([hasher.between(begin, mine + GRAM), hasher.between(mine, end)], axis=1) % np.uint64(65535) + np.uint64(1)
+    sides[np.stack([mine - begin < half, end - mine < GRAM + half], axis=1)] = 0
+    return np.searchsorted(offsets, first, "right") - 1, first, last, gram[mine], context, sides.astype(np.uint16)
 
 
-RUN = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("doc", "<u4"), ("first", "<u4"), ("more", "<u2")])
+RUN = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("doc", "<u4"), ("first", "<u4"), ("more", "<u2"), ("sides", "<u2", 2)])
 
 
 def _settled(runs: np.ndarray, rank: np.ndarray):
     """Sort runs by anchor, context, document; tell which also occur in a smaller document."""
-    order = np.lexsort((rank[runs["doc"]], runs["context"], runs["anchor"]))
+    anchor = np.ascontiguousarray(runs["anchor"])
+    order = np.argsort(anchor)
+    again = np.diff(anchor[order]) == 0
+    at = np.flatnonzero(np.append(again, False) | np.append(False, again))  # most anchors occur once
+    several = runs[order[at]]
+    order[at] = order[at][np.lexsort((rank[several["doc"]], several["context"], several["anchor"]))]
     runs = runs[order]
     ranks = rank[runs["doc"]]
     new = np.ones(len(runs), bool)
@@ -93,22 +115,14 @@ def _settled(runs: np.ndarray, rank: np.ndarray):
     return runs, ranks, new, ranks > smallest
 
 
-def _planes(runs: np.ndarray) -> bytes:
-    """Column after column, the sorted anchors byte by byte: compresses well."""
-    anchor = np.ascontiguousarray(runs["anchor"]).view(np.uint8).reshape(-1, 8)
-    return b"".join([anchor.T.tobytes(), *(np.ascontiguousarray(runs[name]).tobytes() for name in RUN.names[1:])])
+def _planes(rows: np.ndarray) -> bytes:
+    """First bytes of all rows, then second bytes, and so on: compresses well."""
+    return rows.view(np.uint8).reshape(len(rows), -1).T.tobytes()
 
 
-def _from_planes(data: bytes) -> np.ndarray:
-    n = len(data) // RUN.itemsize
-    runs = np.empty(n, RUN)
-    runs["anchor"] = np.ascontiguousarray(np.frombuffer(data, np.uint8, 8 * n).reshape(8, n).T).view("<u8").ravel()
-    at = 8 * n
-    for name in RUN.names[1:]:
-        kind = RUN[name]
-        runs[name] = np.frombuffer(data, kind, n, at)
-        at += n * kind.itemsize
-    return runs
+def _from_planes(data: bytes, kind: np.dtype) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _span_rows(docs: np.ndarray, start: np.ndarray, end: np.ndarray):
@@ -155,8 +169,33 @@ def _ranks(ids) -> np.ndarray:
     return np.array([_NULL_ID if i is None else i for i in ids], np.int64)
 
 
-def _map_runs(parts: int, span: int):
-    """Runs of a task's documents: settled where the task can, the rest sent by anchor."""
+def _packed_batch(packed):
+    part, payload, docs = zip(*packed, strict=True)
+    n = len(packed)
+    row = {
+        "part": pa.array(part, pa.int32()),
+        "payload": pa.array(payload, pa.binary()),
+        "doc_ids": pa.array(docs, pa.binary()),
+        "doc_id": pa.nulls(n, pa.int64()),
+        "tie": pa.nulls(n, pa.int64()),
+        "starts": pa.nulls(n, pa.list_(pa.int64())),
+        "ends": pa.nulls(n, pa.list_(pa.int64())),
+    }
+    return pa.RecordBatch.from_arrays([row[c] for c in _MAPPED], _MAPPED)
+
+
+DOC = np.dtype([("rank", "<i8"), ("tie", "<i8"), ("null", "u1")])  # null tells null ids apart from the smallest number
+
+
+def _map_runs(parts: int, span: int, rounds: int, turn: int):
+    """Runs of a task's documents, one share of the anchors: settled where the task can, the rest sent by anchor."""
+    shares = np.uint64(rounds)
+
+    def place(anchor):
+        return anchor % np.uint64(parts * rounds)
+
+    def share(anchor):
+        return place(anchor) % shares == turn
 
     def sent(held, ids, ties):
         runs = np.concatenate(held)
@@ -169,35 +208,35 @@ def _map_runs(parts: int, span: int):
             yield _spans_batch(
                 lambda n: np.arange(n) % parts, spans["doc"], start, start + spans["more"] + span, ids, ties, _MAPPED
             )
-        # bit 63 tells null ids apart from the smallest number
-        table = np.stack([rank, ties, np.array([i is None for i in ids], np.int64)])
-        part = (runs["anchor"] % np.uint64(parts)).astype(np.int64)
+        table = np.empty(len(ids), DOC)
+        table["rank"], table["tie"], table["null"] = rank, ties, [i is None for i in ids]
+        part = (place(runs["anchor"]) // shares).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(parts + 1))
-        for p in range(parts):
-            mine = runs[order[cuts[p] : cuts[p + 1]]]
-            if len(mine):
-                docs, index = np.unique(mine["doc"], return_inverse=True)
-                mine["doc"] = index
-                row = {
-                    "part": pa.array([p], pa.int32()),
-                    "payload": pa.array([_planes(mine)], pa.binary()),
-                    "doc_ids": pa.array([np.ascontiguousarray(table[:, docs]).tobytes()], pa.binary()),
-                    "doc_id": pa.nulls(1, pa.int64()),
-                    "tie": pa.nulls(1, pa.int64()),
-                    "starts": pa.nulls(1, pa.list_(pa.int64())),
-                    "ends": pa.nulls(1, pa.list_(pa.int64())),
-                }
-                yield pa.RecordBatch.from_arrays([row[c] for c in _MAPPED], _MAPPED)
+        runs, part = runs[order], part[order]
+        cuts = np.searchsorted(part, np.arange(parts + 1))
+        # every part numbers its own documents
+        pairs, index = np.unique(part * len(ids) + runs["doc"], return_inverse=True)
+        heads = np.searchsorted(pairs, np.arange(parts + 1) * len(ids))
+        table = table[pairs % len(ids)]
+        runs["doc"] = index - heads[part]
+        packed, size = [], 0
+        for p in np.flatnonzero(np.diff(cuts)).tolist():
+            packed.append((p, _planes(runs[cuts[p] : cuts[p + 1]]), _planes(table[heads[p] : heads[p + 1]])))
+            size += len(packed[-1][1]) + len(packed[-1][2])
+            if size >= SEND_BYTES:
+                yield _packed_batch(packed)
+                packed, size = [], 0
+        if packed:
+            yield _packed_batch(packed)
 
     def run(batches):
         hasher = ByteHasher()
         held, ids, ties, n = [], [], [], 0
         for batch in batches:
-            for first, last, buf, offsets in text_chunks(batch.column("_ul_body")):
-                row, start, end, anchor, context = text_runs(buf, offsets, hasher, span)
+            for first, last, buf, offsets in text_chunks(batch.column("_ul_body"), SCAN_BYTES):
+                row, start, end, anchor, context, sides = text_runs(buf, offsets, hasher, span, share)
                 runs = np.empty(len(row), RUN)
-                runs["anchor"], runs["context"] = anchor, context
+                runs["anchor"], runs["context"], runs["sides"] = anchor, context, sides
                 runs["doc"], runs["first"], runs["more"] = row + len(ids), start - offsets[row], end - start
                 held.append(runs)
                 cut = batch.slice(first, last - first)
@@ -213,6 +252,21 @@ def _map_runs(parts: int, span: int):
     return run
 
 
+def _may_share(group: np.ndarray, sides: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Contexts that agree with one of another rank in their group on a side of the anchor."""
+    out = np.zeros(len(group), bool)
+    for side in sides.T:
+        at = np.flatnonzero(side)
+        if len(at):
+            key = group[at] << 16 | side[at]
+            order = np.argsort(key, kind="stable")
+            at, key = at[order], key[order]
+            heads = np.flatnonzero(np.diff(key, prepend=-1))
+            differ = np.minimum.reduceat(ranks[at], heads) < np.maximum.reduceat(ranks[at], heads)
+            out[at[np.repeat(differ, np.diff(heads, append=len(at)))]] = True
+    return out
+
+
 def _meet(span: int):
     """All runs of some anchors: settle equal contexts, pass on anchors with several of them."""
 
@@ -226,17 +280,18 @@ def _meet(span: int):
                 yield pa.RecordBatch.from_arrays([*columns, ready.column("starts"), ready.column("ends")], _FOUND)
             for payload, docs in zip(batch.column("payload"), batch.column("doc_ids"), strict=True):
                 if payload.is_valid:
-                    runs = _from_planes(payload.as_py())
+                    runs = _from_planes(payload.as_py(), RUN)
                     runs["doc"] += offset
                     blobs.append(runs)
-                    tables.append(np.frombuffer(docs.as_py(), np.int64).reshape(3, -1))
-                    offset += tables[-1].shape[1]
+                    tables.append(_from_planes(docs.as_py(), DOC))
+                    offset += len(tables[-1])
         if not blobs:
             return
         runs = np.concatenate(blobs)
         blobs.clear()
-        rank, ties, null = np.concatenate(tables, axis=1)
-        ids = [None if n else r for r, n in zip(rank.tolist(), null.tolist(), strict=True)]
+        table = np.concatenate(tables)
+        rank, ties = np.ascontiguousarray(table["rank"]), np.ascontiguousarray(table["tie"])
+        ids = [None if n else r for r, n in zip(rank.tolist(), table["null"].tolist(), strict=True)]
         runs, ranks, new, known = _settled(runs, rank)
         spans = runs[known]
         if len(spans):
@@ -252,9 +307,13 @@ def _meet(span: int):
         open_groups = np.zeros(len(at), bool)
         open_groups[number[asks]] = True
         left = np.flatnonzero(~known & open_groups[number] & (contexts[number] > 1))
+        left = left[_may_share(number[left], runs["sides"][left], ranks[left])]
         if len(left):
-            salts = -(-contexts[number[left]] // CONTEXTS)
             turn = (np.cumsum(new) - 1)[left]
+            first = np.diff(turn, prepend=-1) > 0
+            contexts = np.bincount(number[left], first)
+            salts = -(-contexts[number[left]].astype(np.int64) // CONTEXTS)
+            turn = np.cumsum(first) - 1
             start = runs["first"][left].astype(np.int64)
             lists = pa.array(np.arange(len(left) + 1), pa.int32())
             doc = runs["doc"][left]
@@ -440,8 +499,12 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
     Documents without any do not appear. ``docs`` must be re-readable.
     """
     rows, parts = _keyed(docs), _parts(docs)
-    met = rows.mapInArrow(_map_runs(parts, span), _MAPPED_SCHEMA).repartition(parts, "part").mapInArrow(_meet(span), _FOUND_SCHEMA)
-    found = stored(met, "runs")
+    each = -(-parts // ROUNDS)
+    found = None
+    for turn in range(ROUNDS):
+        sent = rows.mapInArrow(_map_runs(each, span, ROUNDS, turn), _MAPPED_SCHEMA)
+        met = stored(sent.repartitionById(each, "part").mapInArrow(_meet(span), _FOUND_SCHEMA), "runs")
+        found = met if found is None else found.unionByName(met)
     asked = found.where("anchor IS NOT NULL").select(
         F.col("doc_id").alias("_ul_id"),
         F.col("tie").alias("_ul_tie"),
